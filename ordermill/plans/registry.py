@@ -8,9 +8,25 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordermill.functions import cart_blob, fx, money
 from ordermill.functions.timestamps import ntz
-from ordermill.plans import bi, models
-from ordermill.session import use_utc
+from ordermill.operators import (
+    bronze,
+    carts,
+    catalog,
+    cdc,
+    checkout,
+    feeds,
+    ingest,
+    landing,
+    moneyops,
+    monitoring,
+    screening,
+    suggest,
+)
+from ordermill.operators import vectors as vectors_op
+from ordermill.plans import bi, models, quality, upkeep
+from ordermill.session import fresh_dir, use_utc
 from ordermill.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +81,527 @@ def bi_newest_hours(spark, sf_dir):
 @query
 def bi_top_products(spark, sf_dir):
     return bi.top_products(bi.product_sales(_fact(spark, sf_dir)))
+
+
+@query
+def bi_product_sales(spark, sf_dir):
+    return bi.product_sales(_fact(spark, sf_dir))
+
+
+def _rates(spark, sf_dir):
+    lines = carts.fold(tables.cart_events(spark, sf_dir))
+    return bi.cart_not_paid(tables.cart_snapshots(lines), _fact(spark, sf_dir))
+
+
+@query
+def bi_cart_not_paid(spark, sf_dir):
+    return _rates(spark, sf_dir)
+
+
+@query
+def bi_cart_not_paid_top(spark, sf_dir):
+    return bi.highest_rate(_rates(spark, sf_dir))
+
+
+@query
+def bi_revenue_usd_by_hour(spark, sf_dir):
+    return bi.revenue_in(_fact(spark, sf_dir), "USD")
+
+
+@query
+def bi_metrics(spark, sf_dir):
+    by_hour = bi.revenue_by_hour(_fact(spark, sf_dir))
+    return by_hour.agg(
+        F.sum("revenue").cast(bi.REVENUE).alias("revenue"), F.sum("units").cast("bigint").alias("units")
+    )
+
+
+# --- quality -------------------------------------------------------------------
+
+
+@query
+def reconcile_totals(spark, sf_dir):
+    start, end = "1996-01-01", "1999-12-31"
+    fact = models.gold_fact(models.silver_items(tables.order_events(spark, sf_dir)))
+    return quality.reconcile(
+        quality.by_event_date(fact, start, end),
+        quality.by_timestamp(tables.reference_items(spark, sf_dir), start, end),
+    )
+
+
+@query
+def items_per_day(spark, sf_dir):
+    return quality.items_per_day(models.silver_items(tables.order_events(spark, sf_dir)))
+
+
+@query
+def duplicate_grain(spark, sf_dir):
+    return quality.duplicates(tables.order_lines(spark, sf_dir))
+
+
+@query
+def quality_report(spark, sf_dir):
+    bronze_table = bronze.bronze_rows(tables.order_events(spark, sf_dir))
+    silver = models.silver_items(tables.order_events(spark, sf_dir))
+    return quality.checkpoint(
+        quality.bronze_suite(bronze_table),
+        quality.silver_suite(silver),
+        quality.gold_suite(models.gold_fact(silver)),
+    )
+
+
+# --- ingest --------------------------------------------------------------------
+
+
+def _routed(spark, sf_dir):
+    return ingest.outcome(tables.faulty_messages(spark, sf_dir), transient=F.col("target_away"))
+
+
+@query
+def ingest_routes(spark, sf_dir):
+    return _routed(spark, sf_dir).select(
+        "o_orderkey", "route", "status", "error", F.col("out_attempt").alias("attempt")
+    )
+
+
+@query
+def ingest_outcomes(spark, sf_dir):
+    return ingest.count_outcomes(_routed(spark, sf_dir))
+
+
+@query
+def ingest_letters(spark, sf_dir):
+    """Envelopes of both topics, read back the way the consumer reads them."""
+    routed = _routed(spark, sf_dir)
+    now = F.lit("2026-01-01").cast("timestamp")
+    letters = (
+        ingest.dead_letters(routed, now).withColumn("topic", F.lit("orders_dlq"))
+        .unionByName(ingest.retries(routed, now).drop("headers").withColumn("topic", F.lit("orders_retry")))
+    )
+    again = ingest.parse(letters)
+    return again.select(
+        "topic",
+        "key",
+        "attempt",
+        F.get_json_object("value", "$.error").alias("error"),
+        F.size("event.items").alias("items"),
+    )
+
+
+# --- landing and bronze --------------------------------------------------------
+
+
+@query
+def landing_manifest(spark, sf_dir):
+    """Lands all events as files, then reports days from the manifest."""
+    root = fresh_dir(spark, "landing")
+    landing.land_batch(tables.order_events(spark, sf_dir), root, 0)
+    manifest = landing.read_manifest(spark, f"{root}/manifest")
+    return landing.manifest_totals(manifest).select("event_date", "rows", "min_event_date", "max_event_date")
+
+
+@query
+def bronze_sync(spark, sf_dir):
+    """Two landed batches, synced, then synced again with the ledger lost."""
+    root = fresh_dir(spark, "lake")
+    events = tables.order_events(spark, sf_dir)
+    late = F.col("_kafka_offset") % 1_000_000_000_000 >= 1_000_000_000
+    stamp = F.lit("2026-01-01").cast("timestamp")
+    for batch, part in enumerate((events.where(~late), events.where(late))):
+        landing.land_batch(part, f"{root}/landing", batch, ingested_at=stamp)
+        bronze.sync(spark, f"{root}/landing", f"{root}/bronze", f"{root}/ledger-{batch}")
+    table = bronze.read_bronze(spark, f"{root}/bronze")
+    return table.select("order_id", "_event_date", "_kafka_partition", "_kafka_offset")
+
+
+@query
+def bronze_rows(spark, sf_dir):
+    rows = bronze.one_per_row_id(bronze.bronze_rows(tables.order_events(spark, sf_dir)))
+    return rows.select("order_id", "_event_date", "_kafka_partition", "_kafka_offset", "_ingested_at")
+
+
+@query
+def bronze_health(spark, sf_dir):
+    return bronze.health(bronze.bronze_rows(tables.order_events(spark, sf_dir)))
+
+
+@query
+def pending_files(spark, sf_dir):
+    files = tables.landing_files(spark, sf_dir)
+    return bronze.pending_files(files, tables.file_ledger(files)).select("path", "rows")
+
+
+# --- monitoring ----------------------------------------------------------------
+
+
+@query
+def outcome_counts(spark, sf_dir):
+    return ingest.count_outcomes(tables.processing_outcomes(spark, sf_dir), "topic")
+
+
+@query
+def dlq_5min(spark, sf_dir):
+    return monitoring.alert_dead_letters(tables.processing_outcomes(spark, sf_dir))
+
+
+@query
+def rate_by_status(spark, sf_dir):
+    return monitoring.rate_by_status(tables.processing_outcomes(spark, sf_dir))
+
+
+@query
+def topic_freshness(spark, sf_dir):
+    return monitoring.freshness(
+        tables.processing_outcomes(spark, sf_dir), F.lit("2024-01-31 00:00:00").cast("timestamp")
+    )
+
+
+@query
+def topic_lag(spark, sf_dir):
+    return monitoring.lag(*tables.message_offsets(spark, sf_dir))
+
+
+@query
+def lag_alert(spark, sf_dir):
+    return monitoring.alert_lag(tables.lag_samples(spark, sf_dir))
+
+
+# --- carts ---------------------------------------------------------------------
+
+
+def _carts(spark, sf_dir):
+    return carts.fold(tables.cart_events(spark, sf_dir))
+
+
+@query
+def cart_fold(spark, sf_dir):
+    return _carts(spark, sf_dir)
+
+
+@query
+def cart_snapshot(spark, sf_dir):
+    return carts.snapshot(_carts(spark, sf_dir), F.lit("2024-01-31").cast("timestamp"))
+
+
+@query
+def cart_blob_snapshot(spark, sf_dir):
+    """The same through encoded cart blobs; every seventh user's blob is cut short."""
+    lines = _carts(spark, sf_dir)
+    blob = cart_blob.encode_line(F.col("user_id"), F.col("product_id"), F.col("quantity"))
+    dump = lines.select(F.col("user_id").alias("key"), blob.alias("value")).withColumn(
+        "value",
+        F.when(F.col("key").cast("bigint") % 7 == 0, F.expr("substring(value, 1, octet_length(value) - 1)"))
+        .otherwise(F.col("value")),
+    )
+    return carts.snapshot(carts.blob_lines(carts.decode_blobs(dump)), F.lit("2024-01-31").cast("timestamp"))
+
+
+@query
+def snapshot_upsert(spark, sf_dir):
+    """Snapshots of a month, then one taken again: replaced, and old ones dropped."""
+    lines = _carts(spark, sf_dir)
+    stamp = lambda text: F.lit(text).cast("timestamp")
+    once = carts.snapshot(lines, F.lit(None).cast("timestamp")).drop("snapshot_ts")
+    days = F.sequence(stamp("2024-01-01"), stamp("2024-01-31"), F.expr("interval 1 day"))
+    stored = once.withColumn("snapshot_ts", F.explode(days))
+    again = once.withColumns(
+        {"snapshot_ts": stamp("2024-01-31"), "units_in_cart": F.col("units_in_cart") + 1}
+    )
+    return carts.upsert_snapshots(stored, again, stamp("2024-01-31"))
+
+
+# --- catalogue -----------------------------------------------------------------
+
+
+@query
+def catalog_page(spark, sf_dir):
+    return catalog.page(tables.products(spark, sf_dir), tables.product_categories(spark, sf_dir), number=2)
+
+
+@query
+def catalog_search(spark, sf_dir):
+    return catalog.search(
+        tables.products(spark, sf_dir), tables.product_categories(spark, sf_dir), "RED g_z"
+    )
+
+
+@query
+def catalog_products(spark, sf_dir):
+    return catalog.with_categories(tables.products(spark, sf_dir), tables.product_categories(spark, sf_dir))
+
+
+@query
+def product_lookup(spark, sf_dir):
+    requests = tables.page_requests(spark, sf_dir).where(F.col("product_id").isNotNull())
+    return catalog.lookup(requests, tables.products(spark, sf_dir)).select(
+        "product_id", "requests", "found", "name", "price_units", "price_nanos"
+    )
+
+
+@query
+def vector_export(spark, sf_dir):
+    return catalog.vector_export(tables.json_feed(spark, sf_dir))
+
+
+@query
+def catalog_upsert(spark, sf_dir):
+    feed = feeds.from_csv_feed(tables.csv_feed(spark, sf_dir))
+    stored = tables.products(spark, sf_dir).withColumn("currency_code", F.lit("GBP"))
+    return feeds.upsert_products(stored, feed, keep_currency=True)
+
+
+@query
+def catalog_upsert_json(spark, sf_dir):
+    feed = feeds.from_json_feed(tables.json_feed(spark, sf_dir))
+    return feeds.upsert_products(tables.products(spark, sf_dir), feed, keep_currency=False)
+
+
+@query
+def catalog_bridge(spark, sf_dir):
+    """Bridge rows a CSV feed adds to an empty bridge, by category name."""
+    feed = feeds.from_csv_feed(tables.csv_feed(spark, sf_dir))
+    no_categories = spark.createDataFrame([], "id bigint, name string")
+    no_bridge = spark.createDataFrame([], "product_id string, category_id bigint")
+    categories = feeds.new_categories(no_categories, feed)
+    rows = feeds.new_bridge_rows(no_bridge, feed, categories)
+    return catalog.named_bridge(rows, categories)
+
+
+# --- shop ----------------------------------------------------------------------
+
+
+def _line_money(currency):
+    return F.struct(
+        currency.alias("currency_code"),
+        F.floor(F.col("cents") / 100).cast("bigint").alias("units"),
+        ((F.col("cents") % 100) * 10_000_000).alias("nanos"),
+    )
+
+
+@query
+def fx_convert(spark, sf_dir):
+    """Every line's price in Japanese yen."""
+    lines = tables.order_lines(spark, sf_dir)
+    converted = fx.with_converted(lines, _line_money(F.col("currency_code")), F.lit("JPY"), "m")
+    return converted.select(
+        "order_id", "product_id", "line", "supp", "currency_code",
+        F.col("m.units").alias("units"), F.col("m.nanos").alias("nanos"),
+        money.render(F.lit("JPY"), F.col("m.units"), F.col("m.nanos")).alias("shown"),
+    )
+
+
+@query
+def supported_currencies(spark, sf_dir):
+    """Orders per supported currency; currencies without orders show 0."""
+    used = tables.order_headers(spark, sf_dir).groupBy("currency_code").agg(F.count(F.lit(1)).alias("orders"))
+    return fx.supported_currencies(spark).join(used, "currency_code", "left").select(
+        "currency_code",
+        F.coalesce("orders", F.lit(0).cast("bigint")).alias("orders"),
+        F.col("currency_code").isin(*money.SHOP_CURRENCIES).alias("offered"),
+    )
+
+
+@query
+def money_sum(spark, sf_dir):
+    """Price minus discount per line; mixed signs and currencies give errors."""
+    lines = tables.table(spark, sf_dir, "lineitem")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    off = F.round(F.col("l_extendedprice") * F.col("l_discount") * 100).cast("bigint")
+    part = lambda c: ((c / 100).cast("bigint"), (c % 100) * 10_000_000)
+    u, n = part(cents)
+    ou, on = part(off)
+    struct = lambda currency, units, nanos: F.struct(
+        currency.alias("currency_code"), units.alias("units"), nanos.alias("nanos")
+    )
+    currency = F.when(F.col("l_returnflag") == "R", "EUR").otherwise("USD")
+    nanos = F.when(F.col("l_linenumber") == 7, on + 1).otherwise(-on)
+    rows = lines.select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+        struct(F.lit("USD"), u, n).alias("price"),
+        struct(currency, -ou, nanos).alias("discount"),
+    )
+    return moneyops.add(rows, "price", "discount").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+        F.col("sum.units").alias("units"), F.col("sum.nanos").alias("nanos"), "error",
+    )
+
+
+@query
+def order_totals(spark, sf_dir):
+    headers = tables.with_shipping(tables.order_headers(spark, sf_dir)).select(
+        F.col("o_orderkey").alias("order_id"),
+        "currency_code",
+        F.lit(None).cast(money.TOTAL).alias("amount"),
+        money.amount(F.col("shipping_cost.units"), F.col("shipping_cost.nanos")).alias("shipping"),
+    )
+    cents = F.round(F.col("l_extendedprice") * 100).cast("decimal(19,0)")
+    lines = tables.table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"),
+        F.lit(None).cast("string").alias("currency_code"),
+        (cents * F.expr("0.01BD") * F.col("l_quantity").cast("decimal(10,0)")).cast(money.TOTAL).alias("amount"),
+        F.lit(None).cast(money.AMOUNT).alias("shipping"),
+    )
+    totals = checkout.order_total(headers.unionByName(lines))
+    return totals.withColumn("shown", money.render(F.col("currency_code"), F.col("units"), F.col("nanos")))
+
+
+@query
+def shipping_quote(spark, sf_dir):
+    ordered = tables.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.lit(0).alias("quantity")
+    )
+    lines = tables.table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_quantity").cast("int").alias("quantity")
+    )
+    return checkout.quote(ordered.unionByName(lines), "order_id")
+
+
+def _priced_carts(spark, sf_dir):
+    lines = _carts(spark, sf_dir)
+    currency = tables.user_currency(F.col("user_id").cast("bigint").cast("int"))
+    return checkout.price_lines(lines, tables.products(spark, sf_dir), currency)
+
+
+@query
+def cart_lines_priced(spark, sf_dir):
+    return _priced_carts(spark, sf_dir).select(
+        "user_id", "product_id", "quantity",
+        F.col("cost.currency_code").alias("currency_code"),
+        F.col("cost.units").alias("units"), F.col("cost.nanos").alias("nanos"), "error",
+    )
+
+
+@query
+def cart_totals(spark, sf_dir):
+    return checkout.cart_totals(_priced_carts(spark, sf_dir))
+
+
+@query
+def recommendations(spark, sf_dir):
+    """For every user: products of the first catalogue page that are not in the cart."""
+    first_page = (
+        tables.products(spark, sf_dir).select(F.col("id").alias("product_id"))
+        .orderBy("product_id").limit(catalog.PAGE + 1)
+    )
+    users = tables.table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("user_id")
+    ).distinct()
+    baskets = carts.basket_ids(_carts(spark, sf_dir), first_page)
+    requests = users.join(baskets, "user_id", "left").withColumnRenamed("user_id", "request_id")
+    return suggest.recommend(requests, first_page, seed=7)
+
+
+def _ads(spark, sf_dir):
+    return suggest.ads_for(tables.ad_requests(spark, sf_dir), tables.advertisements(spark, sf_dir), seed=7)
+
+
+@query
+def ads_for_request(spark, sf_dir):
+    return _ads(spark, sf_dir).select("request_id", "key_pos", "redirect_url", "text", "fallback")
+
+
+@query
+def chosen_ads(spark, sf_dir):
+    return suggest.choose_ad(_ads(spark, sf_dir), seed=7).select("request_id", "redirect_url")
+
+
+@query
+def vector_topk(spark, sf_dir):
+    """The ten products nearest to the mean vector of each label."""
+    vectors = tables.table(spark, sf_dir, "embeddings")
+    found = vectors_op.nearest(vectors, vectors_op.centroids(vectors, "label"), 10)
+    return found.withColumn("score", F.round("score", 6))
+
+
+# --- screening -----------------------------------------------------------------
+
+
+@query
+def payload_screen(spark, sf_dir):
+    rows = screening.screen(tables.checkouts(spark, sf_dir), screening.checkout_error())
+    return rows.select("checkout_id", "first_error")
+
+
+@query
+def card_screen(spark, sf_dir):
+    rows = screening.screen(tables.checkouts(spark, sf_dir), screening.card_error(2025, 6))
+    return rows.select(
+        "checkout_id", "first_error", screening.last_four(F.col("cc_number")).alias("last_four")
+    )
+
+
+@query
+def cart_add_screen(spark, sf_dir):
+    adds = tables.table(spark, sf_dir, "events").select(
+        "event_id",
+        F.floor("value").cast("bigint").alias("quantity"),
+        F.when(F.col("event_type") == "error", "").otherwise(F.get_json_object("props", "$.k")).alias("product_id"),
+    )
+    return screening.screen(adds, screening.cart_error()).select("event_id", "first_error")
+
+
+@query
+def currency_screen(spark, sf_dir):
+    choices = tables.table(spark, sf_dir, "nation").join(
+        tables.table(spark, sf_dir, "customer"), F.col("n_nationkey") == F.col("c_nationkey")
+    ).select(
+        "c_custkey",
+        F.when(F.col("c_mktsegment") == "MACHINERY", F.substring("n_name", 1, 3))
+        .otherwise(tables.user_currency(F.col("c_nationkey"))).alias("currency"),
+    )
+    return screening.screen(choices, screening.currency_error())
+
+
+# --- change events -------------------------------------------------------------
+
+CDC_FIELDS = ("id", "name", "price_units", "price_nanos")
+
+
+@query
+def cdc_inserts(spark, sf_dir):
+    return cdc.fields(cdc.changes(tables.change_messages(spark, sf_dir)), CDC_FIELDS)
+
+
+@query
+def cdc_captured(spark, sf_dir):
+    """Products whose insert was captured with the values the table holds."""
+    events = cdc.fields(cdc.changes(tables.change_messages(spark, sf_dir)), CDC_FIELDS)
+    return cdc.captured(tables.products(spark, sf_dir), events, CDC_FIELDS).select("id", "name")
+
+
+# --- upkeep --------------------------------------------------------------------
+
+
+def _dated(spark, sf_dir):
+    return tables.table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("_event_date"))
+
+
+@query
+def retention_kept(spark, sf_dir):
+    today = F.lit("2001-08-01").cast("date")
+    return upkeep.kept(_dated(spark, sf_dir), today).groupBy("_event_date").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def retention_expired(spark, sf_dir):
+    return upkeep.expired_days(_dated(spark, sf_dir), F.lit("2001-08-01").cast("date"))
+
+
+@query
+def prune_candidates(spark, sf_dir):
+    files = tables.landing_files(spark, sf_dir)
+    now = F.lit("1998-12-31").cast("timestamp")
+    return upkeep.prune_candidates(tables.file_ledger(files), tables.file_listing(files), now)
+
+
+@query
+def orphans(spark, sf_dir):
+    files = tables.landing_files(spark, sf_dir)
+    now = F.lit("2001-08-01").cast("timestamp")
+    return upkeep.orphans(tables.file_listing(files), files, now).select("path", "modified_at")
+
+
+@query
+def compaction_plan(spark, sf_dir):
+    files = tables.landing_files(spark, sf_dir).withColumnRenamed("day", "partition")
+    return upkeep.compaction_plan(files, target=2_048)

@@ -347,3 +347,199 @@ def page_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id",
         F.when(F.col("event_type") == "view", F.get_json_object("props", "$.k")).alias("product_id"),
     )
+
+
+# --- views for the shop and upkeep queries -------------------------------------
+
+SNAPSHOT_TIMES = ("2024-01-31 00:00:00", "2024-01-31 00:05:00")
+
+
+def user_currency(user_id: Column) -> Column:
+    return _currency(user_id)
+
+
+def cart_snapshots(lines: DataFrame) -> DataFrame:
+    """The carts per product at two moments; the second is the newest."""
+    from ordermill.operators.carts import snapshot
+
+    once = snapshot(lines, F.lit(None).cast("timestamp")).drop("snapshot_ts")
+    times = F.array(*(F.lit(t).cast("timestamp") for t in SNAPSHOT_TIMES))
+    return once.withColumn("snapshot_ts", F.explode(times))
+
+
+def landing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest-shaped rows: four files per order day."""
+    days = table(spark, sf_dir, "orders").select(
+        F.to_date("o_orderdate").alias("day"), (F.col("o_orderkey") % 4).alias("part")
+    )
+    path = F.concat(
+        F.lit("bronze/orders/"), F.date_format("day", "yyyy/MM/dd"),
+        F.lit("/part-"), F.col("part").cast("string"), F.lit(".parquet"),
+    )
+    return days.groupBy("day", "part").agg(F.count(F.lit(1)).alias("rows")).select(
+        path.alias("path"),
+        "rows",
+        (F.col("rows") * 512).alias("size_bytes"),
+        "day",
+        F.date_add("day", 1).cast("timestamp").alias("created_at"),
+    )
+
+
+LEDGER_UNTIL = "1999-01-01"
+GONE_UNTIL = "1996-01-01"
+
+
+def file_ledger(files: DataFrame) -> DataFrame:
+    """Files of the days before 1999 have been synced."""
+    return files.where(F.col("day") < F.lit(LEDGER_UNTIL).cast("date")).select(
+        F.col("path").alias("source_path"), "rows", F.col("created_at").alias("file_created_at")
+    )
+
+
+def file_listing(files: DataFrame) -> DataFrame:
+    """What storage holds: files since 1996, and one leftover beside each."""
+    return files.where(F.col("day") >= F.lit(GONE_UNTIL).cast("date")).select(
+        F.explode(F.array(F.col("path"), F.concat("path", F.lit(".tmp")))).alias("path"),
+        "size_bytes",
+        F.col("created_at").alias("modified_at"),
+    )
+
+
+def advertisements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two ads per brand: its cheapest and its dearest product."""
+    best = table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("category")).agg(
+        F.min(F.struct("p_retailprice", "p_partkey")).alias("lo"),
+        F.max(F.struct("p_retailprice", "p_partkey")).alias("hi"),
+    )
+    ad = lambda side, text: F.struct(
+        F.concat(F.lit("/product/"), F.col(f"{side}.p_partkey").cast("string")).alias("redirect_url"),
+        F.concat("category", F.lit(text)).alias("text"),
+    )
+    offers = F.array(ad("lo", " from our outlet"), ad("hi", " for connoisseurs"))
+    return best.select("category", F.inline(offers))
+
+
+def ad_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page requests with their context keys: a product page has the product's
+    categories, other pages have none."""
+    requests = page_requests(spark, sf_dir)
+    keys = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("product_id"), F.array("p_type", "p_brand").alias("context_keys")
+    )
+    return requests.join(keys, "product_id", "left").select("request_id", "context_keys")
+
+
+def checkouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One checkout per customer; some nations leave out or break one field each.
+
+    Card numbers are made of digit pairs that each satisfy the check-digit rule,
+    so a number is good unless its last pair is replaced.
+    """
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    digits = F.lpad(key.cast("string"), 7, "0")
+    pair = lambda i: F.concat(
+        F.substring(digits, i, 1), F.translate(F.substring(digits, i, 1), "0123456789", "0864297531")
+    )
+    lead = F.element_at(F.array(F.lit("42"), F.lit("26"), F.lit("67"), F.lit("42")), (key % 4 + 1).cast("int"))
+    last = F.when(key % 4 == 3, F.lit("01")).otherwise(pair(7))
+    card = F.concat(lead, *(pair(i) for i in range(1, 7)), last)
+    spoil = lambda n, value, good: F.when(nation == n, F.lit(value)).otherwise(good)
+    return table(spark, sf_dir, "customer").select(
+        key.alias("checkout_id"),
+        spoil(0, "buyer@example", F.concat(F.lit("buyer"), key.cast("string"), F.lit("@example.com"))).alias("email"),
+        spoil(1, "12345 example street" * 30, F.lit("12345 example street")).alias("street_address"),
+        spoil(2, 0, F.lit(10_004)).alias("zip_code"),
+        spoil(3, "", F.lit("New York")).alias("city"),
+        spoil(4, "", F.lit("New York")).alias("state"),
+        spoil(5, "", F.lit("United States")).alias("country"),
+        spoil(6, "5272940000", card).alias("cc_number"),
+        F.when(nation == 7, 0).when(nation == 8, 13).otherwise((key % 12 + 1).cast("int")).alias("cc_month"),
+        spoil(9, 0, (key % 4 + 2023).cast("int")).alias("cc_year"),
+        spoil(10, 0, F.lit(584)).alias("cc_cvv"),
+    )
+
+
+def change_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change events of the product table; large sizes are updates, not inserts."""
+    p = products(spark, sf_dir).join(
+        table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id"), "p_size"), "id"
+    )
+    wrapped = lambda kind, c: F.struct(c.alias(kind))
+    row = F.struct(
+        F.col("id"),
+        wrapped("string", F.col("name")).alias("name"),
+        wrapped("string", F.col("description")).alias("description"),
+        wrapped("int", F.col("price_units")).alias("price_units"),
+        wrapped("int", F.col("price_nanos")).alias("price_nanos"),
+        wrapped("string", F.col("currency_code")).alias("currency_code"),
+    )
+    envelope = F.struct(
+        F.when(F.col("p_size") <= 40, "c").otherwise("u").alias("op"),
+        F.struct(row.alias("dbserver1.public.products.Value")).alias("after"),
+        F.struct(F.lit("products").alias("table")).alias("source"),
+    )
+    return p.select(
+        F.col("id").alias("key"),
+        F.to_json(envelope).alias("value"),
+        F.lit("dbserver1.public.products").alias("topic"),
+    )
+
+
+def csv_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed rows as text: known ids, and new ids for the large sizes."""
+    key = F.col("p_partkey").cast("string")
+    return table(spark, sf_dir, "part").select(
+        F.when(F.col("p_size") > 40, F.concat(F.lit("N"), key)).otherwise(key).alias("_id"),
+        F.concat(F.lit("new "), F.col("p_name")).alias("title"),
+        F.col("p_type").alias("description"),
+        F.when(F.col("p_size") == 1, "n/a").otherwise(F.col("p_retailprice").cast("string")).alias("price"),
+        F.when(F.col("p_size") == 2, "-")
+        .otherwise(F.concat(F.col("p_type"), F.lit(" > "), F.col("p_brand"), F.lit(" > ")))
+        .alias("category"),
+        F.when(F.col("p_size") == 3, "-")
+        .otherwise(F.concat(F.lit("http://img.example.com/a/"), key, F.lit(".png?w=9, http://img.example.com/b")))
+        .alias("imageUrls"),
+    )
+
+
+def json_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same products in the shape of the product document, priced in euro."""
+    cents = _cents(F.col("p_retailprice"))
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("id"),
+        F.concat(F.col("p_name"), F.lit("'s best")).alias("name"),
+        F.col("p_type").alias("description"),
+        F.concat(F.lit("/static/img/"), F.col("p_partkey").cast("string"), F.lit(".jpg")).alias("picture"),
+        F.struct(
+            F.lit("EUR").alias("currencyCode"),
+            F.floor(cents / 100).cast("bigint").alias("units"),
+            ((cents % 100) * 10_000_000).alias("nanos"),
+        ).alias("priceUsd"),
+        F.array("p_type", "p_brand").alias("categories"),
+    )
+
+
+def message_offsets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(end offsets, committed offsets, topics): events as messages of two topics
+    in four partitions, read up to a date; partition 3 was never committed."""
+    messages = table(spark, sf_dir, "events").select(
+        F.when(F.col("event_id") % 2 == 0, "orders").otherwise("orders_retry").alias("topic"),
+        (F.col("user_id") % 4).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("ts").cast("timestamp").alias("ts"),
+    )
+    read = (F.col("ts") < F.lit("2024-01-20").cast("timestamp")) & (F.col("partition") != 3)
+    both = messages.groupBy("topic", "partition").agg(
+        (F.max("offset") + 1).alias("end_offset"),
+        (F.max(F.when(read, F.col("offset"))) + 1).alias("committed"),
+    )
+    topics = spark.createDataFrame([("orders",), ("orders_retry",), ("orders_dlq",)], "topic string")
+    return both.select("topic", "partition", "end_offset"), both.select("topic", "partition", "committed"), topics
+
+
+def lag_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select(
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.when(F.col("event_id") % 2 == 0, "orders").otherwise("orders_retry").alias("topic"),
+        F.floor(F.col("value") * 10).cast("bigint").alias("lag"),
+    )
