@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 NANOS = 1_000_000_000
 AMOUNT = "decimal(28,9)"
 TOTAL = "decimal(38,9)"
+# Widest type whose sums and products below keep all nine decimals.
+FACTOR = "decimal(27,9)"
+ADDEND = "decimal(37,9)"
 
 ERR_INVALID = "one of the specified money values is invalid"
 ERR_CURRENCY = "mismatching currency codes"
@@ -35,12 +38,17 @@ def amount(units: Column, nanos: Column) -> Column:
 
 def units_of(total: Column) -> Column:
     """Whole units, cut toward zero."""
-    return F.when(total < 0, F.ceil(total)).otherwise(F.floor(total)).cast("bigint")
+    return total.cast("bigint")
 
 
 def nanos_of(total: Column) -> Column:
     """The fraction in nanos, with the sign of the amount."""
-    return ((total - units_of(total).cast("decimal(19,0)")) * NANOS).cast("bigint")
+    return ((total % 1).cast("decimal(10,9)") * NANOS).cast("bigint")
+
+
+def line_total(price: Column, quantity: Column) -> Column:
+    """price x quantity without losing a digit: 27 + 10 digits and a carry fit 38."""
+    return (price.cast(FACTOR) * quantity.cast("decimal(10,0)")).cast(TOTAL)
 
 
 def is_valid(units: Column, nanos: Column) -> Column:
@@ -111,7 +119,7 @@ def to_money(total: Column, currency: Column) -> Column:
 
 def times(price: Column, quantity: Column) -> Column:
     """price x quantity; a quantity of 0 counts once, as repeated addition does."""
-    return (price * F.greatest(quantity, F.lit(1)).cast("decimal(10,0)")).cast(TOTAL)
+    return line_total(price, F.greatest(quantity, F.lit(1)))
 
 
 def render(currency: Column, units: Column, nanos: Column) -> Column:

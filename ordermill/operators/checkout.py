@@ -36,7 +36,10 @@ def order_total(items: DataFrame) -> DataFrame:
     folded = items.groupBy("order_id").agg(
         F.min("currency_code").alias("currency_code"),
         F.max("currency_code").alias("_other"),
-        (F.coalesce(F.sum("amount"), F.lit(0)) + F.max("shipping")).cast(money.TOTAL).alias("total"),
+        (
+            F.coalesce(F.sum("amount"), F.lit(0)).cast(money.ADDEND)
+            + F.max("shipping").cast(money.ADDEND)
+        ).cast(money.TOTAL).alias("total"),
     )
     one_currency = F.col("currency_code") == F.col("_other")
     return folded.select(

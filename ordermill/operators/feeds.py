@@ -46,7 +46,7 @@ def from_csv_feed(rows: DataFrame) -> DataFrame:
     units, nanos = from_price_text(F.coalesce("price", F.lit("0")))
     category = F.coalesce("category", F.lit(""))
     categories = F.when(category == "-", F.array().cast("array<string>")).otherwise(
-        F.filter(F.transform(F.split(category, ">"), F.trim), lambda c: c != "")
+        F.filter(F.transform(F.split(category, ">"), lambda c: F.trim(c)), lambda c: c != "")
     )
     return rows.where(F.coalesce("_id", F.lit("")) != "").select(
         F.col("_id").alias("id"),

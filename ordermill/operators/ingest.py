@@ -143,7 +143,7 @@ def flatten(accepted: DataFrame, *keep: str) -> DataFrame:
             F.posexplode("event.items").alias("item_pos", "item"),
         )
         .withColumns(orders.flat_item(F.col("item")))
-        .withColumn("total_price", (F.col("unit_price") * F.col("quantity")).cast(money.TOTAL))
+        .withColumn("total_price", money.line_total(F.col("unit_price"), F.col("quantity")))
         .drop("item")
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordermill.functions import money
 from ordermill.operators import ingest
 from ordermill.operators.dedupe import first_by
 
@@ -62,7 +63,7 @@ def gold_fact(silver: DataFrame) -> DataFrame:
         "quantity",
         "currency_code",
         F.col("unit_price").cast(ingest.PRICE).alias("unit_price"),
-        (F.col("unit_price") * F.col("quantity")).cast(ingest.PRICE).alias("total_price"),
+        money.line_total(F.col("unit_price"), F.col("quantity")).cast(ingest.PRICE).alias("total_price"),
         "event_timestamp",
         "event_date",
         "status",

@@ -28,6 +28,7 @@ from ordermill.operators import vectors as vectors_op
 from ordermill.plans import bi, models, quality, upkeep
 from ordermill.session import fresh_dir, use_utc
 from ordermill.sources import tables
+from ordermill.streaming import cart_stream, etl
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -202,14 +203,15 @@ def landing_manifest(spark, sf_dir):
 
 @query
 def bronze_sync(spark, sf_dir):
-    """Two landed batches, synced, then synced again with the ledger lost."""
+    """Two landed batches, the second all replays, each drained into bronze."""
     root = fresh_dir(spark, "lake")
     events = tables.order_events(spark, sf_dir)
     late = F.col("_kafka_offset") % 1_000_000_000_000 >= 1_000_000_000
     stamp = F.lit("2026-01-01").cast("timestamp")
     for batch, part in enumerate((events.where(~late), events.where(late))):
         landing.land_batch(part, f"{root}/landing", batch, ingested_at=stamp)
-        bronze.sync(spark, f"{root}/landing", f"{root}/bronze", f"{root}/ledger-{batch}")
+        while bronze.sync(spark, f"{root}/landing", f"{root}/bronze", f"{root}/ledger"):
+            pass
     table = bronze.read_bronze(spark, f"{root}/bronze")
     return table.select("order_id", "_event_date", "_kafka_partition", "_kafka_offset")
 
@@ -605,3 +607,37 @@ def orphans(spark, sf_dir):
 def compaction_plan(spark, sf_dir):
     files = tables.landing_files(spark, sf_dir).withColumnRenamed("day", "partition")
     return upkeep.compaction_plan(files, target=2_048)
+
+
+# --- streams -------------------------------------------------------------------
+
+
+def _message_files(spark, sf_dir, root):
+    """The order topic as files, in the column layout of a broker."""
+    messages = tables.order_events(spark, sf_dir).select(
+        F.col("o_orderkey").cast("string").alias("key"),
+        F.col("raw").alias("value"),
+        F.col("_source_topic").alias("topic"),
+        F.col("_kafka_partition").alias("partition"),
+        F.col("_kafka_offset").alias("offset"),
+        F.col("_ingested_at").alias("timestamp"),
+    )
+    messages.write.parquet(f"{root}/topics/orders/batch=0")
+
+
+@query
+def stream_order_items(spark, sf_dir):
+    """The order topic through the ingest stream into the order_items table."""
+    root = fresh_dir(spark, "stream")
+    _message_files(spark, sf_dir, root)
+    etl.run_available(spark, root)
+    return etl.read_order_items(spark, f"{root}/order_items")
+
+
+@query
+def stream_cart_fold(spark, sf_dir):
+    """Cart events through the stateful stream; what is left in the carts."""
+    root = fresh_dir(spark, "carts")
+    events = tables.cart_events(spark, sf_dir)
+    events.write.parquet(f"{root}/events")
+    return cart_stream.run_available(spark, f"{root}/events", root)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -55,3 +57,19 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark)}/ordermill/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def many_writers(spark: SparkSession) -> Iterator[None]:
+    """For writes that are partitioned by day after a ``rebalance`` by day.
+
+    There a day's rows are already together, so merging shuffle partitions saves
+    no file; it only makes one task write many days. Splitting of hot days stays on.
+    """
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
