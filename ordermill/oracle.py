@@ -68,9 +68,9 @@ EVENTS = (
     HEADERS
     + f""",
 chunks AS (
-  SELECT l_orderkey, l_partkey,
-         l_partkey % CAST(ceil(count(*) OVER (PARTITION BY l_orderkey) / {LINES_PER_EVENT}.0) AS BIGINT) AS chunk
-  FROM lineitem),
+  SELECT *, CASE WHEN chunks = 1 THEN 0 ELSE l_partkey % chunks END AS chunk FROM (
+    SELECT *, CAST(ceil(count(*) OVER (PARTITION BY l_orderkey) / {LINES_PER_EVENT}.0) AS BIGINT) AS chunks
+    FROM lineitem) l),
 published AS (
   SELECT o_orderkey, ts, coalesce(chunk, 0) AS chunk, count(DISTINCT l_partkey) AS products
   FROM headers LEFT JOIN chunks ON l_orderkey = o_orderkey GROUP BY 1, 2, 3),
@@ -79,16 +79,18 @@ events_seen AS (
   FROM published, (VALUES (0), (1)) c(copy) WHERE copy = 0 OR o_orderkey % 10 = 0)"""
 )
 
-# Items of an event: the first and the last line of each product.
+# Items of an event: all lines; of a large order the first and last per product.
 ROUTES = (
     EVENTS
     + """,
 product_lines AS (
-  SELECT l_orderkey, chunk, l_partkey,
+  SELECT l_orderkey, chunk, l_partkey, any_value(chunks) AS chunks, count(*) AS lines,
          count(DISTINCT (l_linenumber, l_suppkey, l_quantity, l_extendedprice)) AS n
-  FROM lineitem JOIN chunks USING (l_orderkey, l_partkey) GROUP BY 1, 2, 3),
+  FROM chunks GROUP BY 1, 2, 3),
 event_items AS (
-  SELECT l_orderkey, chunk AS c, CAST(sum(least(n, 2)) AS INTEGER) AS items FROM product_lines GROUP BY 1, 2),
+  SELECT l_orderkey, chunk AS c,
+         CAST(sum(CASE WHEN chunks = 1 THEN lines ELSE least(n, 2) END) AS INTEGER) AS items
+  FROM product_lines GROUP BY 1, 2),
 kinds AS (
   SELECT o_orderkey, o_orderkey % 97 AS kind, coalesce(items, 0) AS items
   FROM published LEFT JOIN event_items ON l_orderkey = o_orderkey AND c = chunk),

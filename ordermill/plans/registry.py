@@ -26,6 +26,7 @@ from ordermill.operators import (
 )
 from ordermill.operators import vectors as vectors_op
 from ordermill.plans import bi, models, quality, upkeep
+from ordermill.schemas import BRONZE
 from ordermill.session import fresh_dir, use_utc
 from ordermill.sources import tables
 from ordermill.streaming import cart_stream, etl
@@ -142,8 +143,12 @@ def duplicate_grain(spark, sf_dir):
 
 @query
 def quality_report(spark, sf_dir):
-    bronze_table = bronze.bronze_rows(tables.order_events(spark, sf_dir))
-    silver = models.silver_items(tables.order_events(spark, sf_dir))
+    """The suites run on stored tables, as after a build: each layer is computed once."""
+    root = fresh_dir(spark, "models")
+    bronze.bronze_rows(tables.order_events(spark, sf_dir)).write.parquet(f"{root}/bronze")
+    bronze_table = spark.read.schema(BRONZE).parquet(f"{root}/bronze")
+    models.silver_items(bronze_table).write.parquet(f"{root}/silver")
+    silver = spark.read.parquet(f"{root}/silver")
     return quality.checkpoint(
         quality.bronze_suite(bronze_table),
         quality.silver_suite(silver),

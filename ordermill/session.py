@@ -22,6 +22,9 @@ def build_session(app_name: str = "ordermill", master: str | None = None, **conf
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        # Static sizes are those of compressed files, several times too small;
+        # sides that are really small are found at run time.
+        "spark.sql.autoBroadcastJoinThreshold": "2m",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
         **conf,

@@ -122,58 +122,64 @@ def with_shipping(rows: DataFrame) -> DataFrame:
     return fx.with_converted(rows, usd, F.col("currency_code"), "shipping_cost")
 
 
+LINE_ENTRY = "line:int,part:bigint,supp:bigint,quantity:int,cents:bigint"
+
+
 def orders_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order event: header columns plus an ``items`` array.
 
-    The array stays bounded whatever the keys look like: a (order, product) pair
-    gives at most its first and its last line, folded on the map side, and an
-    order of many lines is cut into chunks by product before anything is collected.
+    The array stays bounded whatever the keys look like. Lines are counted per
+    order first. An order of at most :data:`LINES_PER_EVENT` lines is one event.
+    A larger one is cut into chunks by product before anything is collected, and
+    a product gives only its first and its last line, folded on the map side.
     """
     lineitem = table(spark, sf_dir, "lineitem")
-    pairs = (
-        lineitem.select("l_orderkey", "l_partkey", *_line_columns())
-        .groupBy("l_orderkey", "l_partkey")
-        .agg(
-            F.min(F.struct(*LINE_ORDER)).alias("lo"),
-            F.max(F.struct(*LINE_ORDER)).alias("hi"),
-        )
-    )
     chunks = lineitem.groupBy("l_orderkey").agg(
         F.ceil(F.count(F.lit(1)) / LINES_PER_EVENT).alias("chunks")
     )
     headers = order_headers(spark, sf_dir)
-    headers = headers.join(
-        chunks, headers.o_orderkey == chunks.l_orderkey, "left"
-    ).drop("l_orderkey")
-
-    def entry(pair_line: str) -> Column:
-        return F.struct(
-            F.col(f"{pair_line}.line").alias("line"),
-            F.col("l_partkey").alias("part"),
-            *(F.col(f"{pair_line}.{f}").alias(f) for f in ("supp", "quantity", "cents")),
+    headers = headers.join(chunks, headers.o_orderkey == chunks.l_orderkey, "left").drop("l_orderkey")
+    lines = lineitem.select("l_orderkey", F.col("l_partkey").alias("part"), *_line_columns())
+    # The text key gives the aggregation its own exchange, so AQE may split a hot
+    # order in the join.
+    joined = lines.join(headers, lines.l_orderkey == headers.o_orderkey).withColumn(
+        "order_id", F.col("o_orderkey").cast("string")
+    )
+    header = ["o_orderkey", "event_timestamp", "currency_code"]
+    same = [F.first(c).alias(c) for c in header]  # one value per order
+
+    usual = (
+        joined.where(F.col("chunks") == 1)
+        .groupBy("order_id")
+        .agg(F.collect_list(F.struct("line", "part", "supp", "quantity", "cents")).alias("lines"), *same)
+        .withColumn("chunk", F.lit(0).cast("bigint"))
+    )
+    entry = lambda side: F.struct(
+        *(F.col("part") if f == "part" else F.col(f"{side}.{f}").alias(f) for f in ("line", "part", "supp", "quantity", "cents"))
+    )
+    large = (
+        joined.where(F.col("chunks") > 1)
+        .groupBy("order_id", "part")
+        .agg(
+            F.min(F.struct(*LINE_ORDER)).alias("lo"),
+            F.max(F.struct(*LINE_ORDER)).alias("hi"),
+            F.first("chunks").alias("chunks"),
+            *same,
         )
-
-    keys = ["order_id", "chunk", "o_orderkey", "event_timestamp", "currency_code"]
-    filled = (
-        pairs.join(headers, pairs.l_orderkey == headers.o_orderkey)
-        .select(
-            F.col("o_orderkey").cast("string").alias("order_id"),
-            (F.col("l_partkey") % F.col("chunks")).alias("chunk"),
-            *keys[2:],
-            F.array_distinct(F.array(entry("lo"), entry("hi"))).alias("lines"),
+        .groupBy("order_id", (F.col("part") % F.col("chunks")).alias("chunk"))
+        .agg(
+            F.flatten(F.collect_list(F.array_distinct(F.array(entry("lo"), entry("hi"))))).alias("lines"),
+            *same,
         )
-        .groupBy(*keys)
-        .agg(F.array_sort(F.flatten(F.collect_list("lines"))).alias("lines"))
     )
     empty = headers.where(F.col("chunks").isNull()).select(
         F.col("o_orderkey").cast("string").alias("order_id"),
         F.lit(0).cast("bigint").alias("chunk"),
-        *keys[2:],
-        F.expr("cast(array() as array<struct<line:int,part:bigint,supp:bigint,quantity:int,cents:bigint>>)").alias("lines"),
+        *header,
+        F.array().cast(f"array<struct<{LINE_ENTRY}>>").alias("lines"),
     )
-    both = filled.unionByName(empty)
     items = F.transform(
-        "lines",
+        F.array_sort("lines"),
         lambda l: F.struct(
             l["part"].cast("string").alias("product_id"),
             l["quantity"].cast("bigint").alias("quantity"),
@@ -184,7 +190,8 @@ def orders_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("cost"),
         ),
     )
-    return with_shipping(both.select(*keys, items.alias("items")))
+    events = usual.unionByName(large).unionByName(empty)
+    return with_shipping(events.select("order_id", "chunk", *header, items.alias("items")))
 
 
 def _address(orderkey: Column) -> Column:
