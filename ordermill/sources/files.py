@@ -119,7 +119,7 @@ def read_products_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def read_fx_rates(spark: SparkSession, path: str) -> DataFrame:
     """(currency_code, rate) of a rate document; rates stay text until used."""
-    text = spark.read.option("wholetext", "true").text(path)
+    text = spark.read.text(path, wholetext=True)
     return text.select(F.explode(F.from_json("value", "map<string,string>"))).select(
         F.col("key").alias("currency_code"), F.col("value").alias("rate")
     )
