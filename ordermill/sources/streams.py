@@ -87,6 +87,14 @@ def registry_id(value: Column) -> Column:
     return F.conv(F.hex(F.substring(value, 2, 4)), 16, 10).cast("int")
 
 
+def from_registry_avro(value: Column, schema: str) -> Column:
+    """Record behind a registry frame as JSON text, the form the change-event
+    operators read. Needs the Avro package on the cluster."""
+    from pyspark.sql.avro.functions import from_avro
+
+    return F.to_json(from_avro(registry_payload(value), schema))
+
+
 def write_stream(rows: DataFrame, fmt: str, options: dict[str, str], checkpoint: str):
     """Publishes ``key, value[, headers]`` rows, e.g. to the order topic."""
     return (

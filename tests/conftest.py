@@ -11,8 +11,11 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("tests", "local[4]", **{"spark.sql.shuffle.partitions": "4"})
+def spark(tmp_path_factory):
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
+    session = build_session(
+        "tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.sql.warehouse.dir": warehouse}
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -2,7 +2,6 @@
 
 import datetime
 
-import duckdb
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
@@ -77,7 +76,13 @@ def test_reconciliation(spark):
         quality.by_event_date(good, "2026-1-1", "2026-10-15")
 
 
-def test_build_models_and_schema_names(spark, tmp_path):
+def test_build_models_and_schema_names(spark):
+    from ordermill.sources import tables
+
+    for _ in range(2):  # a rebuild replaces
+        built = models.build_models(spark, tables.order_events(spark, SMALL))
+    assert built == {"silver": "silver.stg_orders_items", "gold": "gold.fact_orders_items"}
+    assert spark.table(built["gold"]).count() == spark.table(built["silver"]).count() == 5942
     assert models.schema_name(" gold ", "dev") == "gold" and models.schema_name(None, "dev") == "dev"
 
 
