@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.money import from_price_text
-from ordermill.operators.dedupe import absent_from
+from ordermill.operators.dedupe import absent_from, first_by
 
 PRODUCT_COLUMNS = (
     "id", "name", "description", "picture_url", "price_units", "price_nanos", "currency_code",
@@ -63,9 +63,12 @@ def from_csv_feed(rows: DataFrame) -> DataFrame:
 def upsert_products(stored: DataFrame, incoming: DataFrame, keep_currency: bool) -> DataFrame:
     """Insert or replace by id. A CSV feed keeps the stored currency of known ids.
 
-    ``incoming`` holds one row per id.
+    Of feed rows with the same id the last one counts, as when they are loaded
+    one after the other.
     """
-    old, new = stored.alias("old"), incoming.alias("new")
+    placed = incoming.withColumn("_row", F.monotonically_increasing_id())
+    last = first_by(placed, ["id"], [F.desc("_row")]).drop("_row")
+    old, new = stored.alias("old"), last.alias("new")
     both = old.join(new, F.col("old.id") == F.col("new.id"), "full_outer")
     given = F.col("new.id").isNotNull()
 

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ordermill.session import fresh_dir
+
 # Query vectors per pass over the table. One pass holds this many vectors in each
 # task; more queries mean more passes, never a larger broadcast.
 QUERIES_PER_PASS = 256
@@ -67,25 +70,29 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_i
     Each task keeps only its own k best per query, so what is shuffled is
     tasks x queries x k rows, whatever the table's size. Ties go to the smaller id.
     """
-    candidates = None
     rows = vectors.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(vector).alias("vector"))
-    block: list = []
+    schema = "query_id bigint, vec_id bigint, score double"
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
 
-    def scan(block: list) -> DataFrame:
+    def one_pass(block: list) -> DataFrame:
         ids = [int(r["query_id"]) for r in block]
         matrix = np.array([r["query"] for r in block], dtype=np.float64)
-        return rows.mapInPandas(_scan(ids, matrix, k), "query_id bigint, vec_id bigint, score double")
-
-    for query in queries.select("query_id", "query").orderBy("query_id").toLocalIterator():
-        block.append(query)
-        if len(block) == per_pass:
-            part, block = scan(block), []
-            candidates = part if candidates is None else candidates.unionByName(part)
-    if block or candidates is None:
-        part = scan(block) if block else rows.sparkSession.createDataFrame(
-            [], "query_id bigint, vec_id bigint, score double"
-        )
-        candidates = part if candidates is None else candidates.unionByName(part)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = candidates.withColumn("rank", F.row_number().over(order))
-    return ranked.where(F.col("rank") <= k)
+        found = rows.mapInPandas(_scan(ids, matrix, k), schema)
+        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+    asked = queries.select("query_id", "query").orderBy("query_id").toLocalIterator()
+    block = list(islice(asked, per_pass))
+    if not block:
+        return rows.sparkSession.createDataFrame([], f"{schema}, rank int")
+    following = list(islice(asked, per_pass))
+    if not following:
+        return one_pass(block)
+    # Several passes: each is written before the next block is fetched, so the
+    # driver never holds more than two blocks of queries.
+    path = fresh_dir(rows.sparkSession, "nearest")
+    number = 0
+    while block:
+        one_pass(block).write.parquet(f"{path}/pass={number}")
+        block, following = following, list(islice(asked, per_pass))
+        number += 1
+    return rows.sparkSession.read.parquet(path).drop("pass")

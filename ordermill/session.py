@@ -48,7 +48,7 @@ def shared_dir(spark: SparkSession) -> str:
     A cluster names it in ``spark.checkpoint.dir``. Only where that is unset
     (tests, a laptop) a local folder stands in for it.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")

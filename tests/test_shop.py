@@ -140,6 +140,9 @@ def test_feeds(spark, tmp_path):
     assert kept["a1"]["currency_code"] == "GBP" and kept["a1"]["name"] == "Shoe, red" and kept["a3"]["currency_code"] == "USD"
     assert by_id(feeds.upsert_products(stored, feed, keep_currency=False))["a1"]["currency_code"] == "USD"
 
+    twice = feed.where("id = 'a3'").unionByName(feed.where("id = 'a3'").withColumn("name", F.lit("Cap 2"))).coalesce(1)
+    assert by_id(feeds.upsert_products(stored, twice, keep_currency=True))["a3"]["name"] == "Cap 2"
+
     none = spark.createDataFrame([], "id bigint, name string")
     names = feeds.new_categories(none, feed)
     assert sorted(r["name"] for r in names.collect()) == ["Men", "Shoes"]
