@@ -17,21 +17,25 @@ def fold(events: DataFrame) -> DataFrame:
     """Cart lines per user: adds after the user's last empty, summed per product.
 
     The last empty is one row per user. A user with very many events skews only
-    the add side, which AQE may split: the aggregation groups on the text of the
-    user id and so has its own exchange, fed by partial sums.
+    the add side. The join goes by the text of the user id and the aggregations
+    around it by the id, so that each has its own exchange and AQE may split the
+    user in the join; the sums are folded before they are shuffled.
     """
     at = F.struct("ts", "event_id")
     last_empty = (
-        events.where(F.col("action") == "empty").groupBy("user_id").agg(F.max(at).alias("emptied"))
+        events.where(F.col("action") == "empty")
+        .groupBy("user_id")
+        .agg(F.max(at).alias("emptied"))
+        .select(F.col("user_id").cast("string").alias("_user"), "emptied")
     )
     live = (
         events.where(F.col("action") == "add")
-        .join(last_empty, "user_id", "left")
+        .withColumn("_user", F.col("user_id").cast("string"))
+        .join(last_empty, "_user", "left")
         .where(F.col("emptied").isNull() | (at > F.col("emptied")))
     )
-    return live.groupBy(F.col("user_id").cast("string").alias("user_id"), "product_id").agg(
-        F.sum("quantity").cast("bigint").alias("quantity")
-    )
+    summed = live.groupBy("user_id", "product_id").agg(F.sum("quantity").cast("bigint").alias("quantity"))
+    return summed.withColumn("user_id", F.col("user_id").cast("string"))
 
 
 def basket_ids(lines: DataFrame, pool: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from ordermill.operators.dedupe import first_by
 
 RECOMMENDED, SHOWN = 5, 4
 FALLBACK_ADS = 2
+SALTS = 64
 # The pool is one catalogue page; it is carried as an array in a single row.
 MAX_POOL = 1_000
 
@@ -57,9 +58,13 @@ def ads_for(requests: DataFrame, ads: DataFrame, seed: int = 0) -> DataFrame:
     ads where no key has any.
 
     ``requests``: request_id, context_keys; ``ads``: category, redirect_url, text.
+    Most requests may ask for one category, so requests are salted and the few ads
+    of a category are there once per salt.
     """
-    keyed = requests.select("request_id", F.posexplode_outer("context_keys").alias("key_pos", "category"))
-    matched = keyed.join(ads, "category", "inner").select(
+    keyed = requests.select("request_id", F.posexplode("context_keys").alias("key_pos", "category"))
+    salted = keyed.withColumn("_salt", F.pmod(F.xxhash64("request_id"), F.lit(SALTS)).cast("int"))
+    copies = ads.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    matched = salted.join(copies, ["category", "_salt"]).select(
         "request_id", "key_pos", "redirect_url", "text", F.lit(False).alias("fallback")
     )
     unmatched = requests.join(matched.select("request_id").distinct(), "request_id", "left_anti")

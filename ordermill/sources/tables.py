@@ -139,18 +139,20 @@ def orders_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     headers = order_headers(spark, sf_dir)
     headers = headers.join(chunks, headers.o_orderkey == chunks.l_orderkey, "left").drop("l_orderkey")
-    lines = lineitem.select("l_orderkey", F.col("l_partkey").alias("part"), *_line_columns())
-    # The text key gives the aggregation its own exchange, so AQE may split a hot
-    # order in the join.
-    joined = lines.join(headers, lines.l_orderkey == headers.o_orderkey).withColumn(
-        "order_id", F.col("o_orderkey").cast("string")
-    )
-    header = ["o_orderkey", "event_timestamp", "currency_code"]
+    # Lines and headers meet on the text key, while counting and collecting go by
+    # the number: so both sides of this join and the step after it have exchanges
+    # of their own, which is what lets AQE split a hot order.
+    headers = headers.withColumn("order_id", F.col("o_orderkey").cast("string"))
+    lines = lineitem.select(
+        F.col("l_orderkey").cast("string").alias("order_id"), F.col("l_partkey").alias("part"), *_line_columns()
+    )
+    joined = lines.join(headers, "order_id")
+    header = ["order_id", "event_timestamp", "currency_code"]
     same = [F.first(c).alias(c) for c in header]  # one value per order
 
     usual = (
         joined.where(F.col("chunks") == 1)
-        .groupBy("order_id")
+        .groupBy("o_orderkey")
         .agg(F.collect_list(F.struct("line", "part", "supp", "quantity", "cents")).alias("lines"), *same)
         .withColumn("chunk", F.lit(0).cast("bigint"))
     )
@@ -159,21 +161,21 @@ def orders_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     large = (
         joined.where(F.col("chunks") > 1)
-        .groupBy("order_id", "part")
+        .groupBy("o_orderkey", "part")
         .agg(
             F.min(F.struct(*LINE_ORDER)).alias("lo"),
             F.max(F.struct(*LINE_ORDER)).alias("hi"),
             F.first("chunks").alias("chunks"),
             *same,
         )
-        .groupBy("order_id", (F.col("part") % F.col("chunks")).alias("chunk"))
+        .groupBy("o_orderkey", (F.col("part") % F.col("chunks")).alias("chunk"))
         .agg(
             F.flatten(F.collect_list(F.array_distinct(F.array(entry("lo"), entry("hi"))))).alias("lines"),
             *same,
         )
     )
     empty = headers.where(F.col("chunks").isNull()).select(
-        F.col("o_orderkey").cast("string").alias("order_id"),
+        "o_orderkey",
         F.lit(0).cast("bigint").alias("chunk"),
         *header,
         F.array().cast(f"array<struct<{LINE_ENTRY}>>").alias("lines"),
@@ -191,7 +193,7 @@ def orders_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     events = usual.unionByName(large).unionByName(empty)
-    return with_shipping(events.select("order_id", "chunk", *header, items.alias("items")))
+    return with_shipping(events.select("o_orderkey", "chunk", *header, items.alias("items")))
 
 
 def _address(orderkey: Column) -> Column:
