@@ -43,8 +43,10 @@ def test_same_results(spark, skewed, name):
     assert rows_of(ours) == rows_of(theirs)
 
 
-@pytest.mark.parametrize("name", ["bronze_rows", "bi_revenue_by_hour", "cart_fold"])
-def test_hot_side_of_the_join_is_split(spark, skewed, name):
+@pytest.mark.parametrize(
+    "name, joined_on", [("bronze_rows", "order_id"), ("bi_revenue_by_hour", "l_orderkey"), ("cart_fold", "_user")]
+)
+def test_hot_side_of_the_join_is_split(spark, skewed, name, joined_on):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2000",
@@ -62,7 +64,8 @@ def test_hot_side_of_the_join_is_split(spark, skewed, name):
         source = _many_files(spark, skewed)
         frame = entry_module.queries()[name](spark, source)
         frame.collect()
-        assert "skew=true" in frame._jdf.queryExecution().executedPlan().toString()
+        plan = frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert f"SortMergeJoin(skew=true) [{joined_on}" in plan, [l for l in plan.splitlines() if "SortMergeJoin" in l]
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
