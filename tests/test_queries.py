@@ -4,7 +4,6 @@ import datetime
 
 import pytest
 from conftest import SMALL
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from compare import duck, rows_of
