@@ -7,7 +7,8 @@ from conftest import SMALL
 
 import __spark_entry__ as entry_module
 from compare import duck, rows_of
-from ordermill.plans import bi, models, quality
+from ordermill import oracle
+from ordermill.plans import bi, models, quality, registry
 
 SLOW = {"bronze_sync", "landing_manifest", "stream_order_items"}
 
@@ -18,10 +19,10 @@ def sql():
 
 
 def test_every_query_has_a_twin():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(registry.queries()) == set(oracle.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_module.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - SLOW))
 def test_query_equals_its_twin(spark, sql, name):
     ours = entry_module.queries()[name](spark, SMALL).toArrow()
     theirs = sql.execute(entry_module.oracle_sql()[name]).to_arrow_table()
