@@ -64,7 +64,7 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     """
     keep = without(docs, OWN)
     rows = docs.select(
-        F.struct(*[quoted(x) for x in keep]).alias("_doc"),
+        *[quoted(x).alias(f"_doc{k}") for k, x in enumerate(keep)],
         quoted(source_col).alias("_source"),
         F.coalesce(F.regexp_count(quoted(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("_size"),
         _key(id_col).alias("_key"),
@@ -93,7 +93,7 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
         .withColumn("_at", at)
         .withColumn("_budget", budget)
         .withColumn("_epochs", epochs)
-        .select("_doc.*", F.col("_size").alias("size"), "source_size", "target",
+        .select(*[F.col(f"_doc{k}").alias(x) for k, x in enumerate(keep)], F.col("_size").alias("size"), "source_size", "target",
                 (F.col("_epochs") * F.col("_size") + part).alias("taken"))
     )
 
