@@ -21,9 +21,9 @@ CHUNK = 4096
 SYMBOLS = "#*$%&|<>"
 SPACE = " \t\n\x0b\f\r"
 #: Bytes from which a row holds; least and most raw bytes per compressed byte. Shorter texts pass.
-BANDS = ((256, 1.05, 4.0), (512, 1.15, 5.0), (1024, 1.2, 6.0), (2048, 1.3, 7.0), (8192, 1.4, 8.5), (32768, 1.5, 10.0), (131072, 1.5, 14.0))
+BANDS = ((256, 1.15, 3.0), (512, 1.3, 3.2), (1024, 1.45, 3.6), (2048, 1.5, 4.2), (8192, 1.55, 5.0), (32768, 1.6, 6.5), (131072, 1.6, 8.0))
 #: The same for a whole chunk of CHUNK bytes.
-CHUNK_BAND = (1.2, 8.0)
+CHUNK_BAND = (1.45, 5.0)
 OWN = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "ratio", "chunk_least", "chunk_most", "base_failed", "kept")
 KIND = T.StructType([T.StructField(x, T.LongType() if k < 5 else T.DoubleType()) for k, x in enumerate(OWN[:8])])
 
