@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import compression, mixing, packing, secret_scan, token_blocks
+from ordermill.llm import compression, hamming, mixing, packing, secret_scan, token_blocks
 from ordermill.llm.common import documents
 
 
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_token_blocks": lambda spark, sf_dir: token_blocks.op2(documents(spark, sf_dir)),
         "op3_packing": lambda spark, sf_dir: packing.op3(documents(spark, sf_dir)),
+        "op4_hamming_dedup": lambda spark, sf_dir: hamming.op4(documents(spark, sf_dir)),
         "op7_compression_rules": lambda spark, sf_dir: compression.op7(documents(spark, sf_dir)),
         "op8_secret_scan": lambda spark, sf_dir: secret_scan.op8(documents(spark, sf_dir)),
         "op9_mixing": lambda spark, sf_dir: mixing.op9(documents(spark, sf_dir)),
