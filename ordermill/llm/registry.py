@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import compression, hamming, mixing, packing, secret_scan, token_blocks
+from ordermill.llm import compression, hamming, mixing, packing, projection, secret_scan, token_blocks
 from ordermill.llm.common import documents
 
 
@@ -18,8 +18,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_compression_rules": lambda spark, sf_dir: compression.op7(documents(spark, sf_dir)),
         "op8_secret_scan": lambda spark, sf_dir: secret_scan.op8(documents(spark, sf_dir)),
         "op9_mixing": lambda spark, sf_dir: mixing.op9(documents(spark, sf_dir)),
+        "op10_projection_dedup": lambda spark, sf_dir: projection.op10(spark.read.parquet(f"{sf_dir}/embeddings.parquet")),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_mixing": mixing.ORACLE}
+    return {"op9_mixing": mixing.ORACLE, "op10_projection_dedup": projection.ORACLE}
