@@ -2,7 +2,8 @@
 
 The tokenizer drops white space and never joins pieces across it, so a text's ids are those of its
 words in a row. Each Python worker keeps the ids of the words it has met; only new words reach the
-tokenizer. Plain words with closing punctuation are cached in two parts, which are two pieces there too.
+tokenizer. Plain words, with or without closing punctuation, are cut here as the tokenizer's own first steps
+cut them, and only its merges run on their letters.
 """
 
 from __future__ import annotations
@@ -23,6 +24,16 @@ KEPT_WORDS = 700_000
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|]*)")
 
 
+def _byte_chars() -> dict[int, str]:
+    """The character that stands for each byte in byte-level pieces: printable ones for themselves, the rest from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (b for b in range(256) if b not in plain)
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+BYTE_CHARS = _byte_chars()
+
+
 def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
@@ -37,26 +48,42 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
         self._words: dict[bytes, bytes] = {}
-        self._parts: dict[str, bytes] = {"": b""}
+        self._parts: dict[str, bytes] = {}
+        self._ends: dict[str, bytes] = {"": b""}
+
+    def _part(self, letters: str) -> bytes:
+        """Ids of one run of small letters: one piece, already in the form the model's merges expect."""
+        found = self._parts.get(letters)
+        if found is None:
+            piece = letters if letters.isascii() else letters.encode().decode("latin-1").translate(BYTE_CHARS)
+            found = self._parts[letters] = np.array([t.id for t in self._model.tokenize(piece)], "<u4").tobytes()
+        return found
 
     def _learn(self, new: list[bytes]) -> None:
-        split = []
+        odd = []
         for word in new:
-            text = word.decode("utf-8", "surrogatepass")
-            m = PLAIN.fullmatch(text)
-            split.append((m[1].lower(), m[2]) if m else (text, ""))
-        unknown = list({p for pair in split for p in pair} - self._parts.keys())
-        encoded = self._tokenizer.encode_batch_fast(unknown, add_special_tokens=False)
-        self._parts.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(unknown, encoded))
-        self._words.update((w, self._parts[a] + self._parts[b]) for w, (a, b) in zip(new, split))
+            m = PLAIN.fullmatch(text := word.decode("utf-8", "surrogatepass"))
+            if m is None:
+                odd.append((word, text))
+            else:
+                end = self._ends.get(m[2])
+                if end is None:
+                    end = self._ends[m[2]] = self._encoded([m[2]])[0]
+                self._words[word] = self._part(m[1].lower()) + end
+        if odd:
+            self._words.update(zip([w for w, _ in odd], self._encoded([t for _, t in odd])))
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def ids(self, texts: list[str | None], end: int | None = END) -> list[bytes]:
         """The ids of each text, ``end`` after them; a null text counts as empty."""
         tail = b"" if end is None else np.array([end], "<u4").tobytes()
         if len(self._words) > KEPT_WORDS:
             self._words.clear()
-            self._parts = {"": b""}
+            self._parts.clear()
         out = []
         for text in texts:
             ws = words(text)
