@@ -5,6 +5,8 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterable
 
+import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,23 @@ def lower_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+class _Hashes(dict):
+    """64-bit hashes of words, remembered; starts anew when it has grown large."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
+_hashes = _Hashes()
+
+
+def word_hashes(ws: list[bytes]) -> np.ndarray:
+    if len(_hashes) > 700_000:
+        _hashes.clear()
+    return np.fromiter(map(_hashes.__getitem__, ws), np.uint64, len(ws))
+
+
 def crc(data: bytes) -> int:
     """Unsigned CRC-32."""
     return zlib.crc32(data) & 0xFFFFFFFF

@@ -21,12 +21,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordermill.llm.common import lower_words, modest_batches, quoted, saved
+from ordermill.llm.common import lower_words, modest_batches, quoted, saved, word_hashes
 from ordermill.llm.components import components
 
 SHINGLE = 3
@@ -54,25 +53,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-class _Hashes(dict):
-    """64-bit hashes of words, remembered; starts anew when it has grown large."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_hashes = _Hashes()
-
-
 def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles; all words as one where they are fewer."""
-    ws = lower_words(text)
-    if not ws:
-        return np.zeros(0, np.uint64)
-    if len(_hashes) > 1_000_000:
-        _hashes.clear()
-    h = np.fromiter(map(_hashes.__getitem__, ws), np.uint64, len(ws))
+    h = word_hashes(lower_words(text))
+    if not len(h):
+        return h
     n = max(1, len(h) - size + 1)
     width = min(size, len(h))
     out = np.full(n, np.uint64(width))

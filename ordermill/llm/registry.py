@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import compression, hamming, mixing, packing, projection, quality_gam, secret_scan, token_blocks, toxicity
+from ordermill.llm import compression, hamming, mixing, packing, pitman_yor, projection, quality_gam, secret_scan, token_blocks, toxicity
 from ordermill.llm.common import documents, labels
 
 
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_packing": lambda spark, sf_dir: packing.op3(documents(spark, sf_dir)),
         "op4_hamming_dedup": lambda spark, sf_dir: hamming.op4(documents(spark, sf_dir)),
         "op5_toxicity": lambda spark, sf_dir: toxicity.op5(documents(spark, sf_dir), labels(spark, sf_dir)),
+        "op6_pitman_yor": lambda spark, sf_dir: pitman_yor.op6(documents(spark, sf_dir)),
         "op7_compression_rules": lambda spark, sf_dir: compression.op7(documents(spark, sf_dir)),
         "op8_secret_scan": lambda spark, sf_dir: secret_scan.op8(documents(spark, sf_dir)),
         "op9_mixing": lambda spark, sf_dir: mixing.op9(documents(spark, sf_dir)),

@@ -21,7 +21,8 @@ VOCABULARY = "word_bpe_49k.json"
 END = 1
 #: Words kept per worker; on reaching it the cache starts anew.
 KEPT_WORDS = 700_000
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|]*)")
+#: Letters without marks of their own, then ASCII signs; apostrophes may belong to a word's end.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 def _byte_chars() -> dict[int, str]:
@@ -40,59 +41,57 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-class WordTokenizer:
-    """Ids of texts as little-endian unsigned 32-bit integers."""
+class WordTokenizer(dict):
+    """Words to their ids as little-endian unsigned 32-bit integers; a missing word is encoded and kept."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallelism
         from tokenizers import Tokenizer
 
+        super().__init__()
         self._tokenizer = Tokenizer.from_file(path)
         self._model = self._tokenizer.model
-        self._words: dict[bytes, bytes] = {}
         self._parts: dict[str, bytes] = {}
-        self._ends: dict[str, bytes] = {"": b""}
-
-    def _part(self, letters: str) -> bytes:
-        """Ids of one run of small letters: one piece, already in the form the model's merges expect."""
-        found = self._parts.get(letters)
-        if found is None:
-            piece = letters if letters.isascii() else letters.encode().decode("latin-1").translate(BYTE_CHARS)
-            found = self._parts[letters] = np.array([t.id for t in self._model.tokenize(piece)], "<u4").tobytes()
-        return found
-
-    def _learn(self, new: list[bytes]) -> None:
-        odd = []
-        for word in new:
-            m = PLAIN.fullmatch(text := word.decode("utf-8", "surrogatepass"))
-            if m is None:
-                odd.append((word, text))
-            else:
-                end = self._ends.get(m[2])
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "surrogatepass")
+        m = PLAIN.fullmatch(text)
+        if m is None:
+            ids = self._encoded(text)
+        else:
+            letters = m[1].lower()
+            ids = self._parts.get(letters)
+            if ids is None:
+                # One piece, in the form that the model's merges expect.
+                piece = letters if letters.isascii() else letters.encode().decode("latin-1").translate(BYTE_CHARS)
+                ids = self._parts[letters] = _packed([t.id for t in self._model.tokenize(piece)]).tobytes()
+            if m[2]:
+                end = self._parts.get(m[2])
                 if end is None:
-                    end = self._ends[m[2]] = self._encoded([m[2]])[0]
-                self._words[word] = self._part(m[1].lower()) + end
-        if odd:
-            self._words.update(zip([w for w, _ in odd], self._encoded([t for _, t in odd])))
+                    end = self._parts[m[2]] = self._encoded(m[2])
+                ids += end
+        self[word] = ids
+        return ids
 
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encoded(self, text: str) -> bytes:
+        return _packed(self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def ids(self, texts: list[str | None], end: int | None = END) -> list[bytes]:
         """The ids of each text, ``end`` after them; a null text counts as empty."""
-        tail = b"" if end is None else np.array([end], "<u4").tobytes()
-        if len(self._words) > KEPT_WORDS:
-            self._words.clear()
-            self._parts.clear()
+        tail = b"" if end is None else _packed([end]).tobytes()
         out = []
         for text in texts:
-            ws = words(text)
-            if new := list(set(ws).difference(self._words)):
-                self._learn(new)
-            out.append(b"".join(map(self._words.__getitem__, ws)) + tail)
+            if len(self) > KEPT_WORDS:
+                self.clear()
+                self._parts.clear()
+            out.append(b"".join(map(self.__getitem__, words(text))) + tail)
         return out
 
 
+def _packed(values: list[int]) -> np.ndarray:
+    return np.array(values, "<u4")
+
+
 @cache
 def tokenizer(path: str) -> WordTokenizer:
     """One per worker and vocabulary: its cache outlives a task."""
