@@ -1,8 +1,8 @@
 """MinHash near-duplicates by a multi-index Hamming join.
 
-A document's signature holds the low bits of SLOTS minima over its shingles. Two documents of similarity
-s differ in about (1 - s) of the slots; a pair within DISTANCE differing slots is a candidate. By the
-pigeonhole principle such a pair has a chunk of the signature with at most DISTANCE // CHUNKS errors (here
+A document's signature holds eight bits of one minimum per slot over its shingles. Two documents of similarity
+s differ in about (1 - s) of the slots; a pair within the setting's distance is a candidate. By the
+pigeonhole principle such a pair has a chunk of the signature with at most distance // chunks errors (here
 one), so each document enters, for every chunk, all keys of that chunk with one slot left out: every pair
 within the distance meets under some key, whatever the data.
 
@@ -17,6 +17,7 @@ that join something new come out: a group gives at most a forest of links per pa
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -28,13 +29,32 @@ from pyspark.sql import types as T
 from ordermill.llm.common import lower_words, modest_batches, quoted, saved, word_hashes
 from ordermill.llm.components import components
 
-SHINGLE = 3
-#: Links from 100 * intersection >= PERCENT * union.
-PERCENT = 85
-SLOTS, CHUNKS = 66, 11
-CHUNK = SLOTS // CHUNKS
-#: At similarity 0.85 slots differ at a rate of 0.15: 9.9 on average, 2.9 standard deviation; 21 is four above.
-DISTANCE = 2 * CHUNKS - 1
+
+
+@dataclass(frozen=True)
+class Setting:
+    """Words of a shingle, links from 100 * intersection >= percent * union, the signature's chunks."""
+
+    shingle: int
+    percent: int
+    chunk: int
+    chunks: int
+
+    @property
+    def slots(self) -> int:
+        return self.chunk * self.chunks
+
+    @property
+    def distance(self) -> int:
+        """Differing slots up to which some chunk has one error at most."""
+        return 2 * self.chunks - 1
+
+
+#: At similarity 0.85, 66 slots differ in 9.9 places on average, 2.9 standard deviation; 21 is four above.
+THREE_WORDS = Setting(3, 85, 6, 11)
+#: At similarity 0.8, 70 slots differ in 13.9 places on average, 3.3 standard deviation; 27 is four above.
+FIVE_WORDS = Setting(5, 80, 5, 14)
+MOST_SLOTS = 128
 #: Documents of a block in the comparison of full sets.
 BLOCK = 256
 #: Rows of a small table that may be broadcast; beyond it the join shuffles.
@@ -43,8 +63,8 @@ BROADCAST_ROWS = 2_000_000
 LARGE_BUCKET = 50_000
 
 _random = np.random.default_rng(20240229)
-FACTORS = _random.integers(0, 1 << 63, SLOTS, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
-SHIFTS = _random.integers(0, 1 << 63, SLOTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+FACTORS = _random.integers(0, 1 << 63, MOST_SLOTS, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
+SHIFTS = _random.integers(0, 1 << 63, MOST_SLOTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -53,7 +73,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
+def shingles(text: str | None, size: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles; all words as one where they are fewer."""
     h = word_hashes(lower_words(text))
     if not len(h):
@@ -66,10 +86,11 @@ def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
     return np.unique(out)
 
 
-def signature(h: np.ndarray) -> np.ndarray:
-    best = np.full(SLOTS, np.uint64(0xFFFFFFFFFFFFFFFF))
+def signature(h: np.ndarray, slots: int) -> np.ndarray:
+    best = np.full(slots, np.uint64(0xFFFFFFFFFFFFFFFF))
+    factors, shifts = FACTORS[:slots], SHIFTS[:slots]
     for i in range(0, len(h), 1024):
-        np.minimum(best, (h[i : i + 1024, None] * FACTORS + SHIFTS).min(axis=0), out=best)
+        np.minimum(best, (h[i : i + 1024, None] * factors + shifts).min(axis=0), out=best)
     return (_mixed(best) >> np.uint64(56)).astype(np.uint8)
 
 
@@ -85,43 +106,47 @@ def _row_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(quoted(id_col).cast("string"), quoted(text_col))
 
 
-def sketch(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sketch(docs: DataFrame, setting: Setting, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, hash of id and text, number of shingles, 128 bits for the set, signature (null without words)."""
     modest_batches(docs.sparkSession)
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t) for t in batch.column(2).to_pylist()]
+            sets = [shingles(t, setting.shingle) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_pydict({
                 "id": batch.column(0), "row": batch.column(1), "n_shingles": np.array([len(s) for s in sets], np.int64), "set1": _identity(sets, np.uint64(0)), "set2": _identity(sets, M3),
-                "signature": pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
+                "signature": pa.array([signature(s, setting.slots).tobytes() if len(s) else None for s in sets], pa.binary()),
             })
 
     return docs.select(quoted(id_col).cast("long").alias("id"), _row_key(id_col, text_col).alias("row"), quoted(text_col).alias("text")).mapInArrow(sketched, SKETCH)
 
 
-def chunk_keys(signatures: np.ndarray) -> np.ndarray:
-    """(documents, CHUNKS * CHUNK) keys: every chunk with each of its slots left out."""
-    parts = signatures.reshape(len(signatures), CHUNKS, CHUNK).astype(np.uint64)
-    powers = np.uint64(1) << (np.arange(CHUNK, dtype=np.uint64) * np.uint64(8))
+def chunk_keys(signatures: np.ndarray, setting: Setting) -> np.ndarray:
+    """(documents, slots) keys: every chunk with each of its slots left out."""
+    parts = signatures.reshape(len(signatures), setting.chunks, setting.chunk).astype(np.uint64)
+    powers = np.uint64(1) << (np.arange(setting.chunk, dtype=np.uint64) * np.uint64(8))
     values = parts * powers
     left = values.sum(axis=2, dtype=np.uint64)[:, :, None] - values
-    tags = np.arange(CHUNKS * CHUNK, dtype=np.uint64).reshape(CHUNKS, CHUNK) << np.uint64(8 * CHUNK)
+    tags = np.arange(setting.slots, dtype=np.uint64).reshape(setting.chunks, setting.chunk) << np.uint64(8 * setting.chunk)
     return _mixed((left + tags).reshape(len(signatures), -1) * M1).view(np.int64)
 
 
 def _signatures(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SLOTS)
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1)
 
 
-def _probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = np.repeat(batch.column(0).to_numpy(), SLOTS)
-        if len(ids):
-            yield pa.RecordBatch.from_pydict({"key": chunk_keys(_signatures(batch.column(1))).reshape(-1), "id": ids})
+def _probes(setting: Setting):
+    def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                ids = np.repeat(batch.column(0).to_numpy(), setting.slots)
+                yield pa.RecordBatch.from_pydict({"key": chunk_keys(_signatures(batch.column(1)), setting).reshape(-1), "id": ids})
 
+    return probes
 
-def ties(ids: np.ndarray, signatures: np.ndarray, distance: int = DISTANCE) -> list[tuple[int, int]]:
+
+def ties(ids: np.ndarray, signatures: np.ndarray, distance: int) -> list[tuple[int, int]]:
     """Leader and member pairs of one bucket that keep every pair within the distance connected."""
     out = []
     while len(ids) > 1:
@@ -132,33 +157,36 @@ def ties(ids: np.ndarray, signatures: np.ndarray, distance: int = DISTANCE) -> l
     return out
 
 
-def _bucket_ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bucket_ties(distance: int):
     """Buckets arrive sorted by key; the last of a batch waits for the next batch."""
 
-    def tied(keys: np.ndarray, ids: np.ndarray, sigs: np.ndarray) -> pa.RecordBatch:
-        cuts = np.flatnonzero(np.diff(keys)) + 1
-        starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(keys)]])
-        two = starts[ends - starts == 2]
-        near = two[(sigs[two] != sigs[two + 1]).sum(axis=1) <= 2 * DISTANCE]
-        found = set(zip(ids[near].tolist(), ids[near + 1].tolist()))
-        for a, b in zip(starts[ends - starts > 2], ends[ends - starts > 2]):
-            found.update(ties(ids[a:b], sigs[a:b]))
-        left, right = zip(*found) if found else ((), ())
-        return pa.RecordBatch.from_pydict({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
-
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy(), _signatures(batch.column(2))))
-        if held[0][0][0] == held[-1][0][-1]:
-            continue
-        keys, ids, sigs = (np.concatenate(x) for x in zip(*held))
-        cut = int(np.flatnonzero(keys != keys[-1])[-1]) + 1
-        yield tied(keys[:cut], ids[:cut], sigs[:cut])
-        held = [(keys[cut:], ids[cut:], sigs[cut:])]
-    if held:
-        yield tied(*(np.concatenate(x) for x in zip(*held)))
+    def tied_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def tied(keys: np.ndarray, ids: np.ndarray, sigs: np.ndarray) -> pa.RecordBatch:
+            cuts = np.flatnonzero(np.diff(keys)) + 1
+            starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(keys)]])
+            two = starts[ends - starts == 2]
+            near = two[(sigs[two] != sigs[two + 1]).sum(axis=1) <= 2 * distance]
+            found = set(zip(ids[near].tolist(), ids[near + 1].tolist()))
+            for a, b in zip(starts[ends - starts > 2], ends[ends - starts > 2]):
+                found.update(ties(ids[a:b], sigs[a:b], distance))
+            left, right = zip(*found) if found else ((), ())
+            return pa.RecordBatch.from_pydict({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy(), _signatures(batch.column(2))))
+            if held[0][0][0] == held[-1][0][-1]:
+                continue
+            keys, ids, sigs = (np.concatenate(x) for x in zip(*held))
+            cut = int(np.flatnonzero(keys != keys[-1])[-1]) + 1
+            yield tied(keys[:cut], ids[:cut], sigs[:cut])
+            held = [(keys[cut:], ids[cut:], sigs[cut:])]
+        if held:
+            yield tied(*(np.concatenate(x) for x in zip(*held)))
+
+    return tied_buckets
 
 
 @F.arrow_udf(T.IntegerType())
@@ -166,9 +194,9 @@ def _distance(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array((_signatures(a) != _signatures(b)).sum(axis=1), pa.int32())
 
 
-def candidate_ties(classes: DataFrame) -> DataFrame:
+def candidate_ties(classes: DataFrame, setting: Setting) -> DataFrame:
     """(a, b) pairs of class ids; any two classes within the distance are connected through them."""
-    probes = classes.select("id", "signature").mapInArrow(_probes, "key bigint, id bigint")
+    probes = classes.select("id", "signature").mapInArrow(_probes(setting), "key bigint, id bigint")
     bucket = Window.partitionBy("key")
     met = probes.select("key", "id", F.min("id").over(bucket).alias("least"), F.max("id").over(bucket).alias("most"))
     met = saved(met.where("least != most").select("key", "id").join(classes.select("id", "signature"), "id").select("key", "id", "signature"), "buckets")
@@ -181,9 +209,9 @@ def candidate_ties(classes: DataFrame) -> DataFrame:
         leaders = met.join(sizes, "key").groupBy("key").agg(F.min(F.struct("id", "signature")).alias("leader"))
         led = met.join(leaders, "key", "left").withColumn("at", F.coalesce("leader.signature", "signature"))
         seen = saved(led.withColumn("far", _distance("signature", "at")), "balls")
-        found.append(seen.where(f"leader is not null and far <= {2 * DISTANCE} and id != leader.id").select(F.col("leader.id").alias("a"), F.col("id").alias("b")).distinct())
-        met = seen.where(f"leader is null or far > {DISTANCE}").select("key", "id", "signature")
-    out = met.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_bucket_ties, "a bigint, b bigint")
+        found.append(seen.where(f"leader is not null and far <= {2 * setting.distance} and id != leader.id").select(F.col("leader.id").alias("a"), F.col("id").alias("b")).distinct())
+        met = seen.where(f"leader is null or far > {setting.distance}").select("key", "id", "signature")
+    out = met.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_bucket_ties(setting.distance), "a bigint, b bigint")
     for part in found:
         out = out.unionByName(part)
     return out.distinct()
@@ -223,7 +251,7 @@ def _shared(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def spanning_links(sets: list[np.ndarray], percent: int = PERCENT, cross: np.ndarray | None = None) -> list[tuple[int, int]]:
+def spanning_links(sets: list[np.ndarray], percent: int, cross: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links that join the sets' components, by exact comparison of full sets.
 
     ``cross`` marks the sides; with it only pairs of different sides are compared.
@@ -248,22 +276,25 @@ def spanning_links(sets: list[np.ndarray], percent: int = PERCENT, cross: np.nda
     return out
 
 
-def _group_links(rows: pd.DataFrame) -> pd.DataFrame:
+def _group_links(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Links of one task's documents: whole small groups, or the two blocks of one pair of blocks."""
     out: list[tuple[int, int]] = []
     for _, part in rows.groupby("sc", sort=False):
         ids, sides = part["id"].to_numpy(), part["side"].to_numpy()
         sets = [np.frombuffer(x, np.uint64) for x in part["shingles"]]
         cross = sides if len(set(sides)) > 1 else None
-        out += [(int(ids[a]), int(ids[b])) for a, b in spanning_links(sets, cross=cross)]
+        out += [(int(ids[a]), int(ids[b])) for a, b in spanning_links(sets, percent, cross)]
     left, right = zip(*out) if out else ((), ())
     return pd.DataFrame({"a": np.array(left, np.int64), "b": np.array(right, np.int64)})
 
 
-def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = [shingles(t) for t in batch.column(0).to_pylist()]
-        yield pa.RecordBatch.from_pydict({"id": _identity(sets, np.uint64(0)), "shingles": pa.array([s.tobytes() for s in sets], pa.binary())})
+def _full_sets(size: int):
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingles(t, size) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_pydict({"id": _identity(found, np.uint64(0)), "shingles": pa.array([s.tobytes() for s in found], pa.binary())})
+
+    return sets
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:
@@ -271,7 +302,7 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def confirmed_links(groups: DataFrame, sets: DataFrame) -> DataFrame:
+def confirmed_links(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b) links on full sets inside candidate groups (node, component), never all pairs of a group.
 
     Groups up to BLOCK documents go whole, many to a task. Larger ones are first held against their
@@ -283,13 +314,13 @@ def confirmed_links(groups: DataFrame, sets: DataFrame) -> DataFrame:
     small = placed.where(F.col("count").between(2, BLOCK))
     tasks = max(1, -(-small.count() // BLOCK))
     whole = small.select("sc", "id", "shingles", F.lit(0).alias("side"), F.pmod(F.xxhash64("sc"), F.lit(tasks)).alias("task"))
-    links = whole.groupBy("task").applyInPandas(lambda rows: _group_links(rows), "a bigint, b bigint")
+    links = whole.groupBy("task").applyInPandas(lambda rows: _group_links(rows, percent), "a bigint, b bigint")
 
     large = placed.where(F.col("count") > BLOCK)
     if not large.take(1):
         return links
     first = large.where("id = sc").select("sc", F.col("shingles").alias("first"))
-    near = saved(large.join(first, "sc").mapInArrow(_against_first, "sc bigint, id bigint, shingles binary, pure boolean"), "against-first")
+    near = saved(large.join(first, "sc").mapInArrow(_against_first(percent), "sc bigint, id bigint, shingles binary, pure boolean"), "against-first")
     star = near.where("pure and id != sc").select(F.col("sc").alias("a"), F.col("id").alias("b"))
     counts = near.groupBy("sc", "pure").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     blocked = near.join(counts, ["sc", "pure"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
@@ -305,22 +336,25 @@ def confirmed_links(groups: DataFrame, sets: DataFrame) -> DataFrame:
         "block-pairs",
     )
     met = blocked.join(sides, ["sc", "pure", "block"]).select("sc", "id", "shingles", "side", "task")
-    cross = met.groupBy("task").applyInPandas(lambda rows: _group_links(rows), "a bigint, b bigint")
+    cross = met.groupBy("task").applyInPandas(lambda rows: _group_links(rows, percent), "a bigint, b bigint")
     return links.unionByName(star).unionByName(cross)
 
 
-def _against_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        column = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
-        pure = []
-        for own, first in zip(column["shingles"].to_pylist(), column["first"].to_pylist()):
-            a, b = np.frombuffer(own, np.uint64), np.frombuffer(first, np.uint64)
-            both = len(np.intersect1d(a, b, assume_unique=True))
-            pure.append(100 * both >= PERCENT * (len(a) + len(b) - both))
-        yield pa.RecordBatch.from_pydict({"sc": column["sc"], "id": column["id"], "shingles": column["shingles"], "pure": pa.array(pure, pa.bool_())})
+def _against_first(percent: int):
+    def against(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
+            pure = []
+            for own, first in zip(column["shingles"].to_pylist(), column["first"].to_pylist()):
+                a, b = np.frombuffer(own, np.uint64), np.frombuffer(first, np.uint64)
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                pure.append(100 * both >= percent * (len(a) + len(b) - both))
+            yield pa.RecordBatch.from_pydict({"sc": column["sc"], "id": column["id"], "shingles": column["shingles"], "pure": pa.array(pure, pa.bool_())})
+
+    return against
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, setting: Setting = FIVE_WORDS, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: id, row (hash of id and text), n_shingles, class, component_id, kept.
 
     ``class`` is the same for all texts that links connect, null for texts without words; component_id is
@@ -328,16 +362,16 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     nothing and are their own component. Rows that repeat an id are told apart by their texts. A row
     without id takes the smallest id it links with, if any, and is kept. An empty table gives no rows.
     """
-    rows = saved(sketch(docs, id_col=id_col, text_col=text_col), "sketches")
+    rows = saved(sketch(docs, setting, id_col=id_col, text_col=text_col), "sketches")
     key = ["n_shingles", "set1", "set2"]
     grouped = rows.where("n_shingles > 0").groupBy(*key)
     classes = saved(grouped.agg(F.min("id").alias("least"), F.min("row").alias("row"), F.first("signature").alias("signature")), "classes")
     # From here on a class goes by the first half of its set's identity.
-    near = saved(components(candidate_ties(classes.select(F.col("set1").alias("id"), "signature"))), "groups")
+    near = saved(components(candidate_ties(classes.select(F.col("set1").alias("id"), "signature"), setting)), "groups")
     wanted = broadcast_if_small(saved(classes.join(near, F.col("set1") == F.col("node"), "left_semi").select(F.col("row").alias("_row")), "wanted"))
     texts = docs.select(quoted(text_col).alias("text"), _row_key(id_col, text_col).alias("row")).join(wanted, F.col("row") == F.col("_row"), "left_semi")
-    sets = texts.select("text").mapInArrow(_full_sets, "id bigint, shingles binary").dropDuplicates(["id"])
-    found = saved(components(saved(confirmed_links(near, sets), "confirmed")), "linked")
+    sets = texts.select("text").mapInArrow(_full_sets(setting.shingle), "id bigint, shingles binary").dropDuplicates(["id"])
+    found = saved(components(saved(confirmed_links(near, sets, setting.percent), "confirmed")), "linked")
     joined = classes.join(found, F.col("set1") == F.col("node"), "left").withColumn("class", F.coalesce("component", "set1"))
     ids = joined.groupBy("class").agg(F.min("least").alias("component_id"))
     named = saved(joined.join(ids.withColumnRenamed("class", "c"), F.col("class") == F.col("c")).select(*[F.col(x).alias(f"_{x}") for x in key], "class", "component_id"), "named")
@@ -349,12 +383,12 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     )
 
 
-def distinct_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def distinct_documents(docs: DataFrame, setting: Setting = FIVE_WORDS, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without near copies: of each group the row with the smallest id stays, of equal rows one.
 
     Documents without words all stay. Columns keep their names and order.
     """
-    found = saved(near_duplicates(docs, id_col=id_col, text_col=text_col), "duplicates")
+    found = saved(near_duplicates(docs, setting, id_col=id_col, text_col=text_col), "duplicates")
     rows = found.where("class is not null").groupBy("class", "row").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("place"), F.count("*").alias("copies"))
     least = rows.groupBy(F.col("class").alias("c")).agg(F.min("place").alias("least"))
     fates = rows.join(least, F.col("class") == F.col("c")).select("row", (F.col("row") == F.col("least.row")).alias("stays"), "copies").where("not stays or copies > 1")
@@ -366,4 +400,4 @@ def distinct_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
 
 def op4(docs: DataFrame) -> DataFrame:
-    return near_duplicates(docs).select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+    return near_duplicates(docs, THREE_WORDS).select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")

@@ -3,14 +3,16 @@
 Every row gets a hash-random key. Within a source the keys are cut into equal ranges, about as many
 ranges as a range has rows (the square root of the source's rows), so that neither the rows of a range
 nor the ranges of a source grow into one large task: a third of ten billion rows gives 58 thousand
-ranges of 58 thousand rows. Word counts are summed per range, ranges are summed along the source, rows
-are summed inside their range; the three sums give each row's place in its source. A source takes its
-whole epochs and then the rows (and of the last row the words) up to its exact budget.
+ranges of 58 thousand rows. Word counts are summed per range and ranges are summed along the source;
+only the rows of the range in which a source's budget ends are sorted and summed one by one. A source
+takes its whole epochs and then all rows before its cut, and of the row at the cut the words up to the
+exact budget. With the cuts known, a handful of numbers per source, each row decides for itself: texts
+are never shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.llm.common import WORD, quoted, saved, without
@@ -50,52 +52,57 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     )
 
 
-def _key(id_col: str) -> Column:
-    return F.md5(F.coalesce(quoted(id_col).cast("string"), F.lit("")))
-
-
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
     """The rows of ``docs`` with size, source_size, target and taken (words the mix takes, repeats counted).
 
     Null texts have no words and are never taken; null sources are one source, the last. Rows that
-    repeat are rows of their own. Input columns named like the operator's are replaced. An empty table
-    gives an empty table. Reruns agree: the key is the MD5 of the id.
+    repeat are rows of their own; where a source's cut falls among rows of equal id and size, each of them
+    gives an equal share. Input columns named like the operator's are replaced. An empty table gives an
+    empty table. Reruns agree: the key is the MD5 of the id.
     """
     keep = without(docs, OWN)
     rows = docs.select(
         *[quoted(x).alias(f"_doc{k}") for k, x in enumerate(keep)],
         quoted(source_col).alias("_source"),
         F.coalesce(F.regexp_count(quoted(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("_size"),
-        _key(id_col).alias("_key"),
-        quoted(id_col).alias("_id"),
+        F.md5(F.coalesce(quoted(id_col).cast("string"), F.lit(""))).alias("_key"),
     )
     ranges = saved(docs.groupBy(quoted(source_col).alias("_s")).agg(F.ceil(F.sqrt(F.count("*"))).alias("_ranges")), "mix-ranges")
     share = F.conv(F.substring("_key", 1, 8), 16, 10).cast("double") / 2**32
     placed = rows.join(ranges, F.col("_source").eqNullSafe(F.col("_s"))).withColumn("_range", F.floor(share * F.col("_ranges")))
     sums = saved(placed.groupBy("_source", "_range").agg(F.sum("_size").alias("_words")), "mix-sums")
     goal = targets(sums.groupBy(F.col("_source").alias("source")).agg(F.sum("_words").alias("source_size")), weights, most)
+    budget = F.round("target").cast("long")
+    plan = saved(
+        goal.withColumn("epochs", F.floor(budget / F.greatest("source_size", F.lit(1)))).withColumn("rest", budget - F.col("epochs") * F.col("source_size")),
+        "mix-plan",
+    )
+    # The range of each source, and in it the row, where what is left of the budget ends.
     along = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = saved(
+    ends = (
         sums.withColumn("_start", F.coalesce(F.sum("_words").over(along), F.lit(0)))
-        .join(goal, F.col("_source").eqNullSafe(F.col("source")))
-        .select(F.col("_source").alias("_s2"), F.col("_range").alias("_r2"), "_start", "source_size", "target"),
-        "mix-starts",
+        .join(plan, F.col("_source").eqNullSafe(F.col("source")))
+        .where("_start <= rest and rest < _start + _words")
+        .select(F.col("_source").alias("_s2"), F.col("_range").alias("_r2"), (F.col("rest") - F.col("_start")).alias("_rest"))
     )
-    inside = Window.partitionBy("_source", "_range").orderBy("_key", "_id", "_size").rowsBetween(Window.unboundedPreceding, -1)
-    at = F.col("_start") + F.coalesce(F.sum("_size").over(inside), F.lit(0))
-    budget = F.round("target").cast("long")
-    epochs = F.floor(F.col("_budget") / F.greatest(F.col("source_size"), F.lit(1)))
-    rest = F.col("_budget") - F.col("_epochs") * F.col("source_size") - F.col("_at")
-    part = F.greatest(F.lit(0), F.least(F.col("_size"), rest))
-    return (
-        placed.join(starts, F.col("_source").eqNullSafe(F.col("_s2")) & (F.col("_range") == F.col("_r2")))
-        .withColumn("_at", at)
-        .withColumn("_budget", budget)
-        .withColumn("_epochs", epochs)
-        .select(*[F.col(f"_doc{k}").alias(x) for k, x in enumerate(keep)], F.col("_size").alias("size"), "source_size", "target",
-                (F.col("_epochs") * F.col("_size") + part).alias("taken"))
+    ends = saved(ends, "mix-ends")
+    near = placed.join(ends, F.col("_source").eqNullSafe(F.col("_s2")) & (F.col("_range") == F.col("_r2"))).groupBy("_source", "_rest", "_key", "_size").agg(F.count("*").alias("_n"))
+    inside = Window.partitionBy("_source").orderBy("_key", "_size").rowsBetween(Window.unboundedPreceding, -1)
+    before = near.withColumn("_at", F.coalesce(F.sum(F.col("_size") * F.col("_n")).over(inside), F.lit(0)))
+    cuts = before.where("_at <= _rest and _rest < _at + _size * _n").select(
+        F.col("_source").alias("_s3"), F.col("_key").alias("_cut_key"), F.col("_size").alias("_cut_size"), F.floor((F.col("_rest") - F.col("_at")) / F.col("_n")).alias("_part")
+    )
+    plan = saved(plan.join(cuts, F.col("source").eqNullSafe(F.col("_s3")), "left").drop("_s3", "rest"), "mix-cuts")
+    part = (
+        F.when((F.col("_key") < F.col("_cut_key")) | ((F.col("_key") == F.col("_cut_key")) & (F.col("_size") < F.col("_cut_size"))), F.col("_size"))
+        .when((F.col("_key") == F.col("_cut_key")) & (F.col("_size") == F.col("_cut_size")), F.col("_part"))
+        .otherwise(0)
     )
+    return rows.join(plan, F.col("_source").eqNullSafe(F.col("source"))).select(
+        *[F.col(f"_doc{k}").alias(x) for k, x in enumerate(keep)],
+        F.col("_size").alias("size"), "source_size", "target", (F.col("epochs") * F.col("_size") + part).alias("taken"),
+    )
 
 
 def mixed_documents(mixed: DataFrame, *, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:

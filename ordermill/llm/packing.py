@@ -23,7 +23,7 @@ from ordermill.llm.tokens import tokenizer, vocabulary_path
 CAPACITY = 4096
 #: Pieces of a group.
 GROUP = 2048
-ROUNDS = 6
+ROUNDS = 8
 #: A sequence with more free tokens than this share of the capacity is loose.
 LOOSE = 0.002
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"

@@ -46,6 +46,15 @@ def _units(column: pa.Array) -> np.ndarray:
     return np.stack([np.frombuffer(x, np.float64) for x in column.to_pylist()])
 
 
+def _padded(column: pd.Series) -> np.ndarray:
+    """Vectors of one block; shorter ones, whose labels differ anyway, end in zeros."""
+    rows = [np.frombuffer(x, np.float64) for x in column]
+    out = np.zeros((len(rows), max(map(len, rows), default=0)))
+    for k, row in enumerate(rows):
+        out[k, : len(row)] = row
+    return out
+
+
 def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Unit vectors in double precision; null for those that can't be compared."""
     for batch in batches:
@@ -66,7 +75,7 @@ def _window_links(cosine: float, window: int):
     def links(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("rank", ignore_index=True)
         nodes, labels, ranks = rows["node"].to_numpy(), rows["label"].to_numpy(), rows["rank"].to_numpy()
-        units = np.stack([np.frombuffer(x, np.float64) for x in rows["unit"]])
+        units = _padded(rows["unit"])
         out = []
         for i in range(0, len(rows), 128):
             part = slice(i, min(i + 128, len(rows)))
@@ -192,8 +201,8 @@ ORACLE = rf"""
 WITH RECURSIVE v AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
 l AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
   WHERE list_cosine_similarity(a.e, b.e) >= {COSINE}),

@@ -36,8 +36,8 @@ CONTEXT = re.compile(
     r"""(?:(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth|(?:api|access|private|signing)[_\ -]?key)
           ["']?(?:\x20*(?:[:=]|=>)\x20*|\x20is:?\x20)["']?
         | bearer\x20+
-        | [a-z][a-z0-9+.-]{1,20}://[^\s:/@]{1,64}:(?=[^\s/@]+@)
-        )(?P<value>[^\s"'<>;,]+)""",
+        )(?P<value>[^\s"'<>;,]+)
+        | [a-z][a-z0-9+.-]{1,20}://[^\s:/@]{1,64}:(?P<login>[^\s/@]+)(?=@)""",
     re.IGNORECASE | re.ASCII | re.VERBOSE,
 )
 ASSIGN_HINTS = (b"passw", b"secret", b"token", b"api")
@@ -146,7 +146,7 @@ def find(text: str | None) -> list[tuple[str, int, int, float]]:
     found += [("hex", *m.span(), math.nan) for m in HEX.finditer(text)]
     if any(h in low for h in CONTEXT_HINTS):
         taken = sorted(x[1:3] for x in found)
-        values = [m.span("value") for m in CONTEXT.finditer(text) if len(m["value"]) >= 6]
+        values = [m.span(m.lastgroup) for m in CONTEXT.finditer(text) if len(m[m.lastgroup]) >= 6]
         free = [s for s in values if not any(a < s[1] and s[0] < b for a, b in taken)]
         if free:
             ranks = _ranks(text, [text[a:b] for a, b in free])
