@@ -1,7 +1,7 @@
 """Best-fit packing with certified bin counts.
 
-Documents become pieces of at most CAPACITY tokens. The pieces are dealt at random over groups of a
-bounded size; each group packs its pieces best-fit decreasing, and dual feasible functions give a lower
+Documents become pieces of at most CAPACITY tokens. The pieces are dealt by length, one to each in turn, over
+groups of a bounded size; each group packs its pieces best-fit decreasing, and dual feasible functions give a lower
 bound of the sequences it needs. A group that meets its bound is finished. The others keep their full
 sequences, put the pieces of their loose ones into a common pool, and the pool is dealt and packed anew,
 over fewer groups each time, until nothing is left to gain.
@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -103,6 +104,20 @@ def best_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray,
     return bins, offsets, np.array(used, np.int64)
 
 
+def _dealt(rows: DataFrame, groups: int, turn: int) -> DataFrame:
+    """``rows`` with ``group``: in order of length one to each group in turn, so that all groups look alike."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rng = np.random.default_rng((turn, TaskContext.get().partitionId()))
+        at = int(rng.integers(groups))
+        for batch in batches:
+            yield batch.append_column("group", pa.array((np.arange(at, at + batch.num_rows) % groups).astype(np.int64)))
+            at += batch.num_rows
+
+    ordered = rows.select(*PIECES_AND_ROW).repartitionByRange("length", "row").sortWithinPartitions("length", "row")
+    return ordered.mapInArrow(deal, PIECES + ", row bigint, group bigint")
+
+
 PACKED = PIECES + ", row bigint, bin bigint, offset bigint, bound bigint, n_bins bigint, settled boolean"
 
 
@@ -125,8 +140,8 @@ def pack(rows: DataFrame, *, capacity: int = CAPACITY, group: int = GROUP, round
     """Pieces (see ``pieces``) with sequence_id, offset and round, into as few sequences as it can.
 
     Pieces of exactly the capacity are sequences of their own. Offsets have no gaps. A round costs a
-    shuffle of the lengths of what is still loose; the number of groups comes from the row count, and
-    pieces are dealt by a hash of their row number, so equal lengths or ids heat no group. An empty table
+    sort of the lengths of what is still loose; the number of groups comes from the row count, and equal
+    lengths or ids heat no group. An empty table
     gives an empty table.
     """
     rows = saved(rows.withColumn("row", F.monotonically_increasing_id()), "pieces")
@@ -141,7 +156,7 @@ def pack(rows: DataFrame, *, capacity: int = CAPACITY, group: int = GROUP, round
         if not count:
             break
         groups = -(-count // group)
-        dealt = left.select(*PIECES_AND_ROW, F.pmod(F.xxhash64("row", F.lit(k)), F.lit(groups)).alias("group"))
+        dealt = _dealt(left, groups, k)
         packed = saved(dealt.groupBy("group").applyInPandas(_pack_group(capacity, loose), PACKED), f"packed-{k}")
         sums = packed.agg(F.count_if(~F.col("settled")).alias("open"), F.count_distinct(F.when(~F.col("settled"), F.col("bin"))).alias("bins")).first()
         # Alone in one group, or no fewer loose sequences than it took last time: nothing left to exchange.
