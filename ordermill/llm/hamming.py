@@ -146,6 +146,26 @@ def _probes(setting: Setting):
     return probes
 
 
+class _Forest(dict):
+    """Union-find over whatever joins."""
+
+    def __missing__(self, x: int) -> int:
+        self[x] = x
+        return x
+
+    def root(self, x: int) -> int:
+        while self[x] != x:
+            self[x] = self[self[x]]
+            x = self[x]
+        return x
+
+    def join(self, a: int, b: int) -> bool:
+        """Whether the two were apart."""
+        a, b = self.root(a), self.root(b)
+        self[max(a, b)] = min(a, b)
+        return a != b
+
+
 def ties(ids: np.ndarray, signatures: np.ndarray, distance: int) -> list[tuple[int, int]]:
     """Leader and member pairs of one bucket that keep every pair within the distance connected."""
     out = []
@@ -158,9 +178,14 @@ def ties(ids: np.ndarray, signatures: np.ndarray, distance: int) -> list[tuple[i
 
 
 def _bucket_ties(distance: int):
-    """Buckets arrive sorted by key; the last of a batch waits for the next batch."""
+    """Buckets arrive sorted by key; the last of a batch waits for the next batch.
+
+    A task's ties come out as a forest: what connects nothing new is left out.
+    """
 
     def tied_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = _Forest()
+
         def tied(keys: np.ndarray, ids: np.ndarray, sigs: np.ndarray) -> pa.RecordBatch:
             cuts = np.flatnonzero(np.diff(keys)) + 1
             starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(keys)]])
@@ -169,6 +194,7 @@ def _bucket_ties(distance: int):
             found = set(zip(ids[near].tolist(), ids[near + 1].tolist()))
             for a, b in zip(starts[ends - starts > 2], ends[ends - starts > 2]):
                 found.update(ties(ids[a:b], sigs[a:b], distance))
+            found = [(a, b) for a, b in sorted(found) if forest.join(a, b)]
             left, right = zip(*found) if found else ((), ())
             return pa.RecordBatch.from_pydict({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
@@ -217,24 +243,6 @@ def candidate_ties(classes: DataFrame, setting: Setting) -> DataFrame:
     return out.distinct()
 
 
-class _Forest:
-    """Union-find over positions."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = self.up[self.up[x]]
-            x = self.up[x]
-        return x
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.root(a), self.root(b)
-        self.up[max(a, b)] = min(a, b)
-        return a != b
-
-
 def _shared(sets: list[np.ndarray]) -> np.ndarray:
     """Intersection sizes of all pairs; shingles of one set alone are left out, the others go in slices."""
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
@@ -263,7 +271,7 @@ def spanning_links(sets: list[np.ndarray], percent: int, cross: np.ndarray | Non
     if cross is not None:
         possible &= cross[:, None] != cross[None, :]
     left, right = np.nonzero(possible)
-    forest, out = _Forest(n), []
+    forest, out = _Forest(), []
     if len(left) > 64:
         both = np.rint(_shared(sets)).astype(np.int64)[left, right]
         hit = 100 * both >= percent * (sizes[left] + sizes[right] - both)
