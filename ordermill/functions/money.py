@@ -132,7 +132,9 @@ def render(currency: Column, units: Column, nanos: Column) -> Column:
 
 def from_price_text(text: Column) -> tuple[Column, Column]:
     """(units, nanos) of a feed's price text; text that is no number counts as 0."""
-    value = F.coalesce(text.try_cast("double"), F.lit(0.0))
+    value = text.try_cast("double")
+    # Not a number, or more than whole units can hold: no price either.
+    value = F.when(~F.isnan(value) & (F.abs(value) < 2.0**63), value).otherwise(F.lit(0.0))
     units = value.cast("bigint")
     # Half-even, the rounding the feed loader applies to the nano part.
     nanos = F.bround((value - units) * F.lit(1e9)).cast("bigint")

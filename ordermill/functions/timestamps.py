@@ -31,11 +31,6 @@ def event_date(raw: Column, ingested_at: Column) -> Column:
     return F.coalesce(payload_date(raw), F.to_date(ingested_at))
 
 
-def date_path(prefix: str, day: Column) -> Column:
-    """``<prefix>/yyyy/mm/dd``"""
-    return F.concat(F.lit(prefix.strip("/") + "/"), F.date_format(day, "yyyy/MM/dd"))
-
-
 def utc_iso(ts: Column) -> Column:
     """RFC 3339 text of an instant, to the second, as order events carry it."""
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")

@@ -38,18 +38,6 @@ def fold(events: DataFrame) -> DataFrame:
     return summed.withColumn("user_id", F.col("user_id").cast("string"))
 
 
-def basket_ids(lines: DataFrame, pool: DataFrame) -> DataFrame:
-    """Per user the cart's products that are in ``pool`` (column ``product_id``).
-
-    The pool bounds the array, however large a cart is.
-    """
-    return (
-        lines.join(F.broadcast(pool.select("product_id")), "product_id", "left_semi")
-        .groupBy("user_id")
-        .agg(F.array_sort(F.collect_set("product_id")).alias("basket"))
-    )
-
-
 def decode_blobs(dump: DataFrame) -> DataFrame:
     """(key, items, malformed) of a cart dump; absent values are left out."""
     return (
@@ -94,11 +82,6 @@ def upsert_snapshots(stored: DataFrame, new: DataFrame, now: Column,
     return first_by(kept, ["snapshot_ts", "product_id"], ["_age"]).select(*SNAPSHOTS.fieldNames())
 
 
-def write_snapshots(rows: DataFrame, path: str) -> None:
-    """Replaces the table at a new path; the caller points readers to it."""
-    rows.write.mode("errorifexists").parquet(path)
-
-
 def store_snapshot(spark: SparkSession, path: str, new: DataFrame, snapshot_ts: str,
                    retention_days: int = RETENTION_DAYS) -> None:
     """Keeps one folder per snapshot time: writing one replaces just that time,

@@ -32,15 +32,12 @@ def named_bridge(bridge: DataFrame, categories: DataFrame) -> DataFrame:
 
 def _categories_of(products: DataFrame, bridge: DataFrame) -> DataFrame:
     """The same, for a few products: only their bridge rows are folded."""
-    wanted = bridge.join(F.broadcast(products.select(F.col("id").alias("product_id"))), "product_id", "left_semi")
+    wanted = bridge.join(products.select(F.col("id").alias("product_id")), "product_id", "left_semi")
     return with_categories(products, wanted)
 
 
 def page(products: DataFrame, bridge: DataFrame, number: int = 1, size: int = PAGE) -> DataFrame:
-    """One page by id plus a look-ahead row; categories are joined to the page only.
-
-    The page is at most ``size + 1`` rows, which bounds the broadcast.
-    """
+    """One page by id plus a look-ahead row; categories are joined to the page only."""
     number = number if number > 0 else 1
     rows = products.orderBy("id").offset((number - 1) * size).limit(size + 1)
     return _categories_of(rows, bridge)

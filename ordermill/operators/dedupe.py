@@ -19,11 +19,6 @@ def first_by(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     return rows.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
-def latest_by(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The last row per key; ``order`` gives descending columns."""
-    return first_by(rows, keys, order)
-
-
 def absent_from(rows: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key the target does not hold (insert-only merge).
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW, STEP = "5 minutes", "15 seconds"
-WINDOW_SECONDS = 300
+WINDOW_SECONDS, STEP_SECONDS = 300, 15
 LAG_LIMIT = 300
 FRESHNESS_SECONDS = 3_600
 
@@ -62,11 +62,14 @@ def freshness(outcomes: DataFrame, now: Column, limit_seconds: int = FRESHNESS_S
 def alert_lag(samples: DataFrame, limit: int = LAG_LIMIT) -> DataFrame:
     """Windows of 5 minutes in which a topic's lag was above the limit throughout.
 
-    ``samples`` has (ts, topic, lag); a topic's lag at one step is its largest.
+    ``samples`` has (ts, topic, lag); a topic's lag at one step is its largest. A step
+    without a sample says nothing; the first and the last step of a window must have
+    one, so that the lag is seen to have held for the whole time.
     """
     ticks = _ticks(samples, "topic", lag=F.max("lag"))
-    return (
-        ticks.groupBy(F.window("tick", WINDOW, STEP)["start"].alias("window_start"), "topic")
-        .agg(F.min("lag").alias("min_lag"))
-        .where(F.col("min_lag") > limit)
+    spread = F.window("tick", WINDOW, STEP)
+    held = ticks.groupBy(spread["start"].alias("window_start"), "topic").agg(
+        F.min("lag").alias("min_lag"), F.min("tick").alias("first"), F.max("tick").alias("last")
     )
+    whole = F.unix_micros("last") - F.unix_micros("first") == (WINDOW_SECONDS - STEP_SECONDS) * 1_000_000
+    return held.where((F.col("min_lag") > limit) & whole).select("window_start", "topic", "min_lag")

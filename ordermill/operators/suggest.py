@@ -10,8 +10,7 @@ from ordermill.operators.dedupe import first_by
 RECOMMENDED, SHOWN = 5, 4
 FALLBACK_ADS = 2
 SALTS = 64
-# The pool is one catalogue page; it is carried as an array in a single row.
-MAX_POOL = 1_000
+SLOT_DIGITS = 2
 
 
 def draw(*parts: Column) -> Column:
@@ -19,38 +18,29 @@ def draw(*parts: Column) -> Column:
     return F.md5(F.concat_ws("|", *(p.cast("string") for p in parts)).cast("binary"))
 
 
-def recommend(requests: DataFrame, pool: DataFrame, seed: int = 0, k: int = RECOMMENDED) -> DataFrame:
-    """Up to ``k`` random products of the pool that are not in the basket.
+def recommend(requests: DataFrame, baskets: DataFrame, catalogue: DataFrame, seed: int = 0, k: int = RECOMMENDED) -> DataFrame:
+    """Up to ``k`` random products of the catalogue that are not in the basket.
 
-    ``requests``: request_id, basket (array); ``pool``: product_id, one catalogue
-    page. The page travels as one array, so each request is answered in its own
-    row: no pairs of requests and products are ever formed.
+    ``requests``: request_id; ``baskets``: request_id, product_id (one row per product);
+    ``catalogue``: product_id. The catalogue is numbered in a random order and each
+    request reads on from a random place, as many products as its basket may strike
+    out and ``k`` more: an equi-join by number, whatever the catalogue's size.
     """
-    page = pool.limit(MAX_POOL + 1).agg(F.array_sort(F.collect_set("product_id")).alias("pool"))
-    checked = page.withColumn(
-        "pool",
-        F.when(F.size("pool") <= MAX_POOL, F.col("pool")).otherwise(
-            F.raise_error(F.lit(f"the pool is limited to {MAX_POOL} products"))
-        ),
-    )
-    rest = F.array_except("pool", F.coalesce("basket", F.array().cast("array<string>")))
-    ranked = F.array_sort(
-        F.transform(
-            rest,
-            lambda p: F.struct(draw(F.col("request_id"), p, F.lit(seed)).alias("d"), p.alias("product_id")),
-        )
-    )
-    # The right side is exactly one row.
-    return (
-        requests.join(F.broadcast(checked), F.lit(True))
-        .select("request_id", F.posexplode(F.slice(ranked, 1, k)).alias("pos", "pick"))
-        .select(
-            "request_id",
-            (F.col("pos") + 1).alias("rank"),
-            F.col("pick.product_id").alias("product_id"),
-            (F.col("pos") < SHOWN).alias("shown"),
-        )
+    numbered, size = _numbered(catalogue, ["product_id"])
+    held = baskets.groupBy("request_id").agg(F.count(F.lit(1)).alias("held"))
+    start = F.pmod(F.conv(F.substring(draw(F.col("request_id"), F.lit(seed)), 1, 12), 16, 10).cast("bigint"), F.col("rows"))
+    wanted = F.least(F.col("rows"), F.coalesce("held", F.lit(0)) + k)
+    drawn = (
+        requests.join(held, "request_id", "left")
+        .join(F.broadcast(size), F.lit(True))  # one row
+        .where("rows > 0")
+        .withColumn("step", F.explode(F.sequence(F.lit(0).cast("bigint"), wanted - 1)))
+        .withColumn("number", (start + F.col("step")) % F.col("rows"))
     )
+    found = drawn.join(numbered, "number").select("request_id", "step", "product_id")
+    free = found.join(baskets.select("request_id", "product_id"), ["request_id", "product_id"], "left_anti")
+    rank = F.row_number().over(Window.partitionBy("request_id").orderBy("step"))
+    return free.withColumn("rank", rank).where(F.col("rank") <= k).select("request_id", "rank", "product_id", (F.col("rank") <= SHOWN).alias("shown"))
 
 
 def ads_for(requests: DataFrame, ads: DataFrame, seed: int = 0) -> DataFrame:
@@ -59,15 +49,22 @@ def ads_for(requests: DataFrame, ads: DataFrame, seed: int = 0) -> DataFrame:
 
     ``requests``: request_id, context_keys; ``ads``: category, redirect_url, text.
     Most requests may ask for one category, so requests are salted and the few ads
-    of a category are there once per salt.
+    of a category are there once per salt. Requests without keys go straight to the
+    random ads; of the others each row knows whether its key has ads, so that they
+    are joined once.
     """
-    keyed = requests.select("request_id", F.posexplode("context_keys").alias("key_pos", "category"))
+    asks = F.coalesce(F.size("context_keys"), F.lit(0)) > 0
+    keyed = requests.where(asks).select("request_id", F.posexplode("context_keys").alias("key_pos", "category"))
     salted = keyed.withColumn("_salt", F.pmod(F.xxhash64("request_id"), F.lit(SALTS)).cast("int"))
     copies = ads.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    matched = salted.join(copies, ["category", "_salt"]).select(
+    met = salted.join(copies, ["category", "_salt"], "left")
+    any_hit = F.count("redirect_url").over(Window.partitionBy("request_id"))
+    known = met.withColumn("_hits", any_hit)
+    matched = known.where("redirect_url is not null").select(
         "request_id", "key_pos", "redirect_url", "text", F.lit(False).alias("fallback")
     )
-    unmatched = requests.join(matched.select("request_id").distinct(), "request_id", "left_anti")
+    missed = known.where("_hits = 0 and key_pos = 0").select("request_id")
+    unmatched = requests.where(~asks).select("request_id").unionByName(missed)
     return matched.unionByName(random_ads(unmatched, ads, seed))
 
 
@@ -78,10 +75,10 @@ def random_ads(requests: DataFrame, ads: DataFrame, seed: int = 0, n: int = FALL
     are numbered per hash slot and the slots by their running size, so no task
     sees all of them.
     """
-    numbered, size = _numbered(ads)
+    numbered, size = _numbered(ads, ["category", "redirect_url", "text"])
     index = F.pmod(
         F.conv(F.substring(draw(F.col("request_id"), F.col("key_pos"), F.lit(seed)), 1, 12), 16, 10).cast("bigint"),
-        F.col("ads"),
+        F.col("rows"),
     )
     drawn = (
         requests.select("request_id", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("key_pos"))
@@ -93,18 +90,17 @@ def random_ads(requests: DataFrame, ads: DataFrame, seed: int = 0, n: int = FALL
     )
 
 
-def _numbered(ads: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(ads with a dense ``number`` from 0, one row with how many there are)."""
-    order = ["category", "redirect_url", "text"]
-    slotted = ads.withColumn("slot", F.substring(draw(*(F.col(c) for c in order)), 1, 2))
-    sizes = slotted.groupBy("slot").agg(F.count(F.lit(1)).alias("n"))  # at most 256 rows
+def _numbered(ads: DataFrame, order: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows with a dense ``number`` from 0, one row with how many there are)."""
+    slotted = ads.withColumn("slot", F.substring(draw(*(F.col(c) for c in order)), 1, SLOT_DIGITS))
+    sizes = slotted.groupBy("slot").agg(F.count(F.lit(1)).alias("n"))  # at most 16 ** SLOT_DIGITS rows
     before = F.coalesce(
         F.sum("n").over(Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
     starts = sizes.select("slot", before.alias("start"))
     number = F.col("start") + F.row_number().over(Window.partitionBy("slot").orderBy(*order)) - 1
     numbered = slotted.join(F.broadcast(starts), "slot").withColumn("number", number).drop("slot", "start")
-    return numbered, ads.agg(F.count(F.lit(1)).alias("ads"))
+    return numbered, ads.agg(F.count(F.lit(1)).alias("rows"))
 
 
 def choose_ad(candidates: DataFrame, seed: int = 0) -> DataFrame:

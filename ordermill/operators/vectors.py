@@ -2,19 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import islice
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordermill.session import fresh_dir
-
-# Query vectors per pass over the table. One pass holds this many vectors in each
-# task; more queries mean more passes, never a larger broadcast.
-QUERIES_PER_PASS = 256
+# Vectors and queries that meet in one task.
+ROWS_PER_BLOCK, QUERIES_PER_BLOCK = 8_192, 256
 
 
 def centroids(vectors: DataFrame, by: str, vector: str = "embedding") -> DataFrame:
@@ -27,72 +21,50 @@ def centroids(vectors: DataFrame, by: str, vector: str = "embedding") -> DataFra
     )
 
 
-def _scan(ids: list[int], matrix: np.ndarray, k: int):
-    """Per input batch: the k best rows for each query, merged over the partition."""
-    unit = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+def _usable(column: Column) -> Column:
+    """Vectors with a direction: not NULL, no NULL or non-finite entry, not all zero."""
+    bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
+    return column.isNotNull() & ~F.exists(column, bad) & F.exists(column, lambda x: x != 0)
+
 
-    def best(frame: pd.DataFrame) -> pd.DataFrame:
-        ordered = frame.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
-        return ordered.groupby("query_id", sort=False).head(k)
+def _best(k: int):
+    """The k best rows of one block of vectors for each query of one block."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept = None
-        for batch in batches:
-            if batch.empty:
-                continue
-            rows = np.stack(batch["vector"].to_numpy()).astype(np.float64)
-            scores = (rows @ unit.T) / np.linalg.norm(rows, axis=1, keepdims=True)
-            vec_ids = batch["vec_id"].to_numpy()
-            found = []
-            for q, query_id in enumerate(ids):
-                column = scores[:, q]
-                if len(column) > k:
-                    # Every row that ties with the k-th stays in play.
-                    floor = np.partition(column, -k)[-k]
-                    take = np.flatnonzero(column >= floor)
-                else:
-                    take = np.arange(len(column))
-                found.append(
-                    pd.DataFrame({"query_id": query_id, "vec_id": vec_ids[take], "score": column[take]})
-                )
-            parts = found if kept is None else [kept, *found]
-            kept = best(pd.concat(parts, ignore_index=True))
-        if kept is not None:
-            yield kept
+    def best(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        if vectors.empty or queries.empty:
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
+        rows, asked = (np.stack(f["vector"].to_numpy()).astype(np.float64) for f in (vectors, queries))
+        scores = (asked / np.linalg.norm(asked, axis=1, keepdims=True)) @ (rows / np.linalg.norm(rows, axis=1, keepdims=True)).T
+        vec_ids = vectors["vec_id"].to_numpy()
+        # By score, then by the smaller id: the order of the result.
+        order = np.lexsort((np.broadcast_to(vec_ids, scores.shape), -scores), axis=1)[:, :k]
+        return pd.DataFrame({
+            "query_id": np.repeat(queries["query_id"].to_numpy(), order.shape[1]),
+            "vec_id": vec_ids[order].reshape(-1),
+            "score": np.take_along_axis(scores, order, axis=1).reshape(-1),
+        })
 
-    return run
+    return best
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_id",
-            vector: str = "embedding", per_pass: int = QUERIES_PER_PASS) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, vec_id, score, rank): the k rows of highest cosine similarity.
 
-    Each task keeps only its own k best per query, so what is shuffled is
-    tasks x queries x k rows, whatever the table's size. Ties go to the smaller id.
+    Blocks of queries meet blocks of vectors, each pair in one task, in one job; a task
+    returns its own k best per query. Both blocks have a bounded size whatever the tables'
+    sizes. Vectors and queries without a direction (NULL, zero, not finite) take no
+    part. Ties go to the smaller id.
     """
-    rows = vectors.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(vector).alias("vector"))
-    schema = "query_id bigint, vec_id bigint, score double"
+    rows = vectors.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(vector).alias("vector")).where(_usable(F.col("vector")))
+    asked = queries.select(F.col("query_id").cast("bigint").alias("query_id"), F.col("query").alias("vector")).where(_usable(F.col("vector")))
+    sizes = rows.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / ROWS_PER_BLOCK)).alias("row_blocks")).join(
+        F.broadcast(asked.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / QUERIES_PER_BLOCK)).alias("query_blocks"))), F.lit(True)
+    )
+    sizes = F.broadcast(sizes)  # exactly one row
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    block = lambda c, n: F.pmod(F.xxhash64(c), F.col(n))
+    left = rows.join(sizes, F.lit(True)).select("vec_id", "vector", block("vec_id", "row_blocks").alias("r"), upto("query_blocks").alias("q"))
+    right = asked.join(sizes, F.lit(True)).select("query_id", "vector", block("query_id", "query_blocks").alias("q"), upto("row_blocks").alias("r"))
+    found = left.groupBy("r", "q").cogroup(right.groupBy("r", "q")).applyInPandas(_best(k), "query_id bigint, vec_id bigint, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-
-    def one_pass(block: list) -> DataFrame:
-        ids = [int(r["query_id"]) for r in block]
-        matrix = np.array([r["query"] for r in block], dtype=np.float64)
-        found = rows.mapInPandas(_scan(ids, matrix, k), schema)
-        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-
-    asked = queries.select("query_id", "query").orderBy("query_id").toLocalIterator()
-    block = list(islice(asked, per_pass))
-    if not block:
-        return rows.sparkSession.createDataFrame([], f"{schema}, rank int")
-    following = list(islice(asked, per_pass))
-    if not following:
-        return one_pass(block)
-    # Several passes: each is written before the next block is fetched, so the
-    # driver never holds more than two blocks of queries.
-    path = fresh_dir(rows.sparkSession, "nearest")
-    number = 0
-    while block:
-        one_pass(block).write.parquet(f"{path}/pass={number}")
-        block, following = following, list(islice(asked, per_pass))
-        number += 1
-    return rows.sparkSession.read.parquet(path).drop("pass")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

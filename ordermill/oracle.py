@@ -62,38 +62,31 @@ carts AS (
   GROUP BY a.user_id, a.product_id
 )"""
 
-# One event per order, several for an order of very many lines; every tenth
-# order is seen twice.
+# An order's lines by event (all of them); every tenth order is seen twice.
 EVENTS = (
     HEADERS
     + f""",
-chunks AS (
-  SELECT *, CASE WHEN chunks = 1 THEN 0 ELSE l_partkey % chunks END AS chunk FROM (
-    SELECT *, CAST(ceil(count(*) OVER (PARTITION BY l_orderkey) / {LINES_PER_EVENT}.0) AS BIGINT) AS chunks
-    FROM lineitem) l),
+layout AS (
+  SELECT greatest(1, CAST(ceil(max(n) / {LINES_PER_EVENT}.0) AS BIGINT)) AS split, max(block) + 1 AS blocks FROM (
+    SELECT count(*) AS n, max((l_linenumber - 1) // {LINES_PER_EVENT}) AS block FROM lineitem GROUP BY l_orderkey) s),
+placed AS (
+  SELECT l.*, ((row_number() OVER (PARTITION BY l_orderkey, l_partkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice) - 1)
+               // {LINES_PER_EVENT} * blocks + (l_linenumber - 1) // {LINES_PER_EVENT}) * split + l_partkey % split AS chunk
+  FROM lineitem l, layout),
 published AS (
-  SELECT o_orderkey, ts, coalesce(chunk, 0) AS chunk, count(DISTINCT l_partkey) AS products
-  FROM headers LEFT JOIN chunks ON l_orderkey = o_orderkey GROUP BY 1, 2, 3),
+  SELECT o_orderkey, ts, coalesce(chunk, 0) AS chunk, CAST(count(l_orderkey) AS INTEGER) AS items,
+         CAST(coalesce(sum(l_quantity), 0) AS BIGINT) AS units
+  FROM headers LEFT JOIN placed ON l_orderkey = o_orderkey GROUP BY 1, 2, 3),
 events_seen AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS order_id, o_orderkey, ts, chunk, copy
+  SELECT CAST(o_orderkey AS VARCHAR) AS order_id, o_orderkey, ts, chunk, copy, items, units
   FROM published, (VALUES (0), (1)) c(copy) WHERE copy = 0 OR o_orderkey % 10 = 0)"""
 )
 
-# Items of an event: all lines; of a large order the first and last per product.
 ROUTES = (
     EVENTS
     + """,
-product_lines AS (
-  SELECT l_orderkey, chunk, l_partkey, any_value(chunks) AS chunks, count(*) AS lines,
-         count(DISTINCT (l_linenumber, l_suppkey, l_quantity, l_extendedprice)) AS n
-  FROM chunks GROUP BY 1, 2, 3),
-event_items AS (
-  SELECT l_orderkey, chunk AS c,
-         CAST(sum(CASE WHEN chunks = 1 THEN lines ELSE least(n, 2) END) AS INTEGER) AS items
-  FROM product_lines GROUP BY 1, 2),
 kinds AS (
-  SELECT o_orderkey, o_orderkey % 97 AS kind, coalesce(items, 0) AS items
-  FROM published LEFT JOIN event_items ON l_orderkey = o_orderkey AND c = chunk),
+  SELECT o_orderkey, o_orderkey % 97 AS kind, items FROM published),
 errors AS (
   SELECT *, CASE
     WHEN kind = 1 THEN 'InvalidOrder: Missing order_id'
@@ -117,13 +110,6 @@ routes AS (
   FROM errors)"""
 )
 
-FILES = """
-files AS (
-  SELECT 'bronze/orders/' || strftime(day, '%Y/%m/%d') || '/part-' || part || '.parquet' AS path,
-         day, rows, CAST(day + 1 AS TIMESTAMP) AS created_at
-  FROM (SELECT CAST(o_orderdate AS DATE) AS day, o_orderkey % 4 AS part, count(*) AS rows
-        FROM orders GROUP BY 1, 2) f)"""
-
 OUTCOMES = """
 outcomes AS (
   SELECT ts, CASE WHEN event_id % 2 = 0 THEN 'orders' ELSE 'orders_retry' END AS topic,
@@ -204,45 +190,55 @@ WITH {GOLD}
 SELECT order_id, product_id, quantity, currency_code, unit_price, total_price,
        event_timestamp, event_date, status FROM gold"""
 
+    sales = f"""
+{HEADERS}, {LINES},
+kept AS (
+  SELECT l_orderkey, l_partkey, min({{'line': line, 'supp': supp, 'quantity': quantity, 'cents': cents}}) AS l
+  FROM lines GROUP BY ALL),
+sold AS (
+  SELECT o_orderkey AS o, CAST(l_partkey AS VARCHAR) AS p, date_trunc('hour', ts) AS h, l.quantity AS q, l.quantity * l.cents AS c
+  FROM headers, kept WHERE o_orderkey = l_orderkey)"""
+    money = lambda cents: f"CAST(({cents}) / CAST(100 AS DECIMAL(18,2)) AS DECIMAL(18,2))"
+
     q["bi_revenue_by_hour"] = f"""
-WITH {GOLD}
-SELECT date_trunc('hour', event_timestamp) AS event_hour,
-       CAST(sum(total_price) AS DECIMAL(18,2)) AS revenue,
-       CAST(sum(quantity) AS BIGINT) AS units,
-       count(DISTINCT order_id) AS orders
-FROM gold GROUP BY 1"""
+WITH {sales}
+SELECT DISTINCT h AS event_hour, {money("sum(c) OVER w")} AS revenue, CAST(sum(q) OVER w AS BIGINT) AS units,
+       max(nth) OVER w AS orders
+FROM (SELECT *, dense_rank() OVER (PARTITION BY h ORDER BY o) AS nth FROM sold) s WINDOW w AS (PARTITION BY h)"""
+
+    q["bi_newest_hours"] = q["bi_revenue_by_hour"] + " ORDER BY event_hour DESC LIMIT 168"
 
-    q["bi_newest_hours"] = q["bi_revenue_by_hour"] + " ORDER BY 1 DESC LIMIT 168"
+    q["bi_product_sales"] = f"""
+WITH {sales}, per_order AS (SELECT p, o, sum(q) AS q, sum(c) AS c FROM sold GROUP BY ALL)
+SELECT p AS product_id, CAST(sum(q) AS BIGINT) AS units_sold, {money("sum(c)")} AS revenue, count(*) AS orders
+FROM per_order GROUP BY p"""
 
     q["bi_top_products"] = f"""
-WITH {GOLD}
-SELECT product_id, CAST(sum(quantity) AS BIGINT) AS units_sold,
-       CAST(sum(total_price) AS DECIMAL(18,2)) AS revenue,
-       count(DISTINCT order_id) AS orders
-FROM gold GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20"""
+SELECT * FROM ({q["bi_product_sales"]}) s
+QUALIFY row_number() OVER (ORDER BY units_sold DESC, product_id) <= 20"""
 
-    q["bi_product_sales"] = f"""
-WITH {GOLD}
-SELECT product_id, CAST(sum(quantity) AS BIGINT) AS units_sold,
-       CAST(sum(total_price) AS DECIMAL(18,2)) AS revenue,
-       count(DISTINCT order_id) AS orders
-FROM gold GROUP BY 1"""
+    q["bi_product_sales_with_copies"] = f"""
+WITH {sales}, per_order AS (
+  SELECT p, o, sum(q) * CASE o % 10 WHEN 0 THEN 2 ELSE 1 END AS q, sum(c) * CASE o % 10 WHEN 0 THEN 2 ELSE 1 END AS c
+  FROM sold GROUP BY p, o)
+SELECT p AS product_id, CAST(sum(q) AS BIGINT) AS units_sold, {money("sum(c)")} AS revenue, count(*) AS orders
+FROM per_order GROUP BY p"""
 
     q["bi_cart_not_paid"] = f"""
-WITH {GOLD}, {CARTS},
-cart AS (SELECT product_id, CAST(sum(quantity) AS BIGINT) AS cart_units, count(*) AS carts
-         FROM carts GROUP BY 1),
-paid AS (SELECT product_id, CAST(sum(quantity) AS BIGINT) AS paid_units FROM gold GROUP BY 1)
-SELECT coalesce(c.product_id, p.product_id) AS product_id,
-       coalesce(cart_units, 0) AS cart_units, coalesce(carts, 0) AS carts,
-       coalesce(paid_units, 0) AS paid_units,
-       CAST(coalesce(cart_units, 0) AS DOUBLE)
-         / nullif(coalesce(cart_units, 0) + coalesce(paid_units, 0), 0) AS cart_not_paid_rate
-FROM cart c FULL OUTER JOIN paid p ON c.product_id = p.product_id"""
-
-    q["bi_cart_not_paid_top"] = (
-        q["bi_cart_not_paid"] + " ORDER BY cart_not_paid_rate DESC NULLS LAST, 1 LIMIT 20"
-    )
+WITH {sales}, {CARTS},
+sides AS (
+  SELECT product_id AS p, quantity AS waiting, 1 AS line, 0 AS bought FROM carts
+  UNION ALL SELECT p, 0, 0, q FROM sold),
+sums AS (
+  SELECT p, CAST(sum(waiting) AS BIGINT) AS waiting, CAST(sum(line) AS BIGINT) AS lines, CAST(sum(bought) AS BIGINT) AS bought
+  FROM sides GROUP BY p)
+SELECT p AS product_id, waiting AS cart_units, lines AS carts, bought AS paid_units,
+       CASE WHEN waiting + bought <> 0 THEN CAST(waiting AS DOUBLE) / (waiting + bought) END AS cart_not_paid_rate
+FROM sums"""
+
+    q["bi_cart_not_paid_top"] = f"""
+SELECT * FROM ({q["bi_cart_not_paid"]}) s
+QUALIFY row_number() OVER (ORDER BY cart_not_paid_rate DESC NULLS LAST, product_id) <= 20"""
 
     q["bi_revenue_usd_by_hour"] = f"""
 WITH {GOLD}, {fx("gold", "currency_code", "CAST(trunc(total_price) AS BIGINT)",
@@ -301,6 +297,54 @@ SELECT suite, expectation, failed_rows, failed_rows = 0 AS success FROM (
                           ELSE 0 END AS failed_rows
   FROM rules, broken) r"""
 
+    faulty = f"""
+{GOLD},
+kinds AS (SELECT *, l_orderkey % 97 AS kind FROM gold WHERE l_orderkey % 97 <> 18),
+once AS (
+  SELECT order_id, event_date, CASE WHEN kind <> 12 THEN product_id END AS product_id, CASE WHEN kind = 11 THEN 0 ELSE quantity END AS quantity,
+         CASE kind WHEN 13 THEN 'LOST' WHEN 14 THEN 'CANCELLED' ELSE status END AS status,
+         CASE WHEN kind = 15 THEN -unit_price ELSE unit_price END AS unit_price,
+         CASE WHEN kind = 16 THEN total_price + 1 ELSE total_price END AS total_price, kind FROM kinds),
+broken AS (SELECT * FROM once UNION ALL SELECT * FROM once WHERE kind = 17)"""
+    off = "abs(total_price - quantity * unit_price) > quantity * 0.005 + 0.01"
+    gold_rules = {
+        **{f"not_null:{c}": "false" for c in ("order_id", "quantity", "currency_code", "unit_price", "total_price", "event_timestamp", "event_date", "status")},
+        "not_null:product_id": "product_id IS NULL",
+        "accepted:status": "status NOT IN ('SUCCEED', 'CANCELLED')",
+        "only_succeed:status": "status <> 'SUCCEED'",
+        "at_least_1:quantity": "quantity < 1",
+        "at_least_0:unit_price": "unit_price < 0",
+        "at_least_0:total_price": "total_price < 0",
+    }
+
+    q["quality_report_faulty"] = (
+        f"WITH {faulty}, r AS ("
+        + " UNION ALL ".join(f"SELECT 'gold' AS suite, '{n}' AS expectation, count(*) FILTER (WHERE {c}) AS failed_rows FROM broken" for n, c in gold_rules.items())
+        + f"""
+  UNION ALL SELECT 'gold', 'unique:order_id,product_id', CAST(coalesce(sum(n), 0) AS BIGINT) FROM (
+    SELECT count(*) AS n FROM broken GROUP BY order_id, product_id HAVING count(*) > 1) d
+  UNION ALL SELECT 'totals', 'equals_0:fact_price_mismatch_rows', CAST(count(*) > 0 AS BIGINT) FROM broken WHERE {off}
+  UNION ALL SELECT 'totals', 'equals_-1:fact_items', CAST(1 AS BIGINT))
+SELECT suite, expectation, failed_rows, failed_rows = 0 AS success FROM r"""
+    )
+
+    q["reconcile_differences"] = f"""
+WITH {faulty},
+ours AS (
+  SELECT year(event_date) AS y, count(*) AS items, CAST(sum(quantity) AS BIGINT) AS units,
+         CAST(sum(total_price * 100) AS BIGINT) AS cents, count(*) FILTER (WHERE {off}) AS mismatch FROM broken GROUP BY 1),
+theirs AS (
+  SELECT year(ts) AS y, count(*) AS items, CAST(sum(f.quantity) AS BIGINT) AS units, CAST(sum(f.quantity * f.cents) AS BIGINT) AS cents
+  FROM first_lines f JOIN headers ON l_orderkey = o_orderkey GROUP BY 1),
+r AS (
+  SELECT CAST(y AS INTEGER) AS year, coalesce(o.items, 0) AS fact_items, coalesce(o.units, 0) AS fact_units, coalesce(o.cents, 0) AS fact_revenue_cents,
+         coalesce(t.items, 0) AS reference_items, coalesce(t.units, 0) AS reference_units, coalesce(t.cents, 0) AS reference_revenue_cents,
+         coalesce(mismatch, 0) AS fact_price_mismatch_rows
+  FROM (SELECT unnest([1994, 1995, 1996, 1997, 1998, 1999, 2030]) AS y) s LEFT JOIN ours o USING (y) LEFT JOIN theirs t USING (y))
+SELECT *, fact_items - reference_items AS items_delta, fact_units - reference_units AS units_delta,
+       fact_revenue_cents - reference_revenue_cents AS revenue_cents_delta
+FROM r WHERE fact_items <> reference_items OR fact_units <> reference_units OR fact_revenue_cents <> reference_revenue_cents"""
+
     q["ingest_routes"] = f"""
 WITH {ROUTES}
 SELECT o_orderkey, route, status, error, attempt FROM routes"""
@@ -341,8 +385,20 @@ SELECT count(*) AS rows, count(*) FILTER (WHERE copy = 0) AS distinct_row_ids,
 FROM events_seen"""
 
     q["pending_files"] = f"""
-WITH {FILES}
-SELECT path, rows FROM files WHERE day >= DATE '1999-01-01' ORDER BY path LIMIT 2000"""
+WITH {EVENTS}
+SELECT strftime(ts, '%Y-%m-%d') AS event_date, CAST(count(*) AS BIGINT) AS rows
+FROM events_seen WHERE ts >= TIMESTAMP '1999-01-01' GROUP BY 1"""
+
+    q["pending_files_per_run"] = q["pending_files"].replace("GROUP BY 1", "AND ts < TIMESTAMP '1999-01-08' GROUP BY 1")
+
+    q["order_event_items"] = f"""
+WITH {EVENTS}
+SELECT order_id, o_orderkey + chunk * 1000000000000 + copy * 1000000000 AS _kafka_offset, items, units FROM events_seen"""
+
+    q["quarantine"] = f"""
+WITH {EVENTS}
+SELECT order_id, o_orderkey + chunk * 1000000000000 + copy * 1000000000 AS _kafka_offset,
+       'InvalidOrder: Order ' || order_id || ' has no items' AS error FROM events_seen WHERE items = 0"""
 
     q["outcome_counts"] = f"""
 WITH {OUTCOMES} SELECT topic, status, count(*) AS n FROM outcomes GROUP BY 1, 2"""
@@ -386,7 +442,7 @@ WITH s AS (
          max(CAST(floor(value * 10) AS BIGINT)) AS lag
   FROM events GROUP BY 1, 2)
 SELECT tick - to_seconds(15 * i) AS window_start, topic, min(lag) AS min_lag
-FROM s, range(20) r(i) GROUP BY 1, 2 HAVING min(lag) > 300"""
+FROM s, range(20) r(i) GROUP BY 1, 2 HAVING min(lag) > 300 AND count(*) FILTER (WHERE i IN (0, 19)) = 2"""
 
     q["cart_fold"] = f"""
 WITH {CARTS} SELECT CAST(user_id AS VARCHAR) AS user_id, product_id, quantity FROM carts"""
@@ -435,8 +491,8 @@ feed AS (
   SELECT CASE WHEN p_size > 40 THEN 'N' || id ELSE id END AS id, 'new ' || name AS name,
          p_type AS description,
          CASE WHEN p_size = 3 THEN '' ELSE '/images/' || id || '.png' END AS picture_url,
-         CASE WHEN p_size = 1 THEN CAST(0 AS BIGINT) ELSE price_units END AS price_units,
-         CASE WHEN p_size = 1 THEN CAST(0 AS INTEGER) ELSE price_nanos END AS price_nanos
+         CASE WHEN p_size IN (1, 4, 5, 6) THEN CAST(0 AS BIGINT) ELSE price_units END AS price_units,
+         CASE WHEN p_size IN (1, 4, 5, 6) THEN CAST(0 AS INTEGER) ELSE price_nanos END AS price_nanos
   FROM products)
 SELECT id, name, description, picture_url, price_units, price_nanos,
        CASE WHEN starts_with(id, 'N') THEN 'USD' ELSE 'GBP' END AS currency_code FROM feed
@@ -537,13 +593,22 @@ FROM t"""
 
     q["recommendations"] = f"""
 WITH {CARTS},
-pool AS (SELECT CAST(p_partkey AS VARCHAR) AS product_id FROM part ORDER BY 1 LIMIT 21),
+numbered AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS product_id,
+         row_number() OVER (ORDER BY substr(md5(CAST(p_partkey AS VARCHAR)), 1, 2), CAST(p_partkey AS VARCHAR)) - 1 AS number
+  FROM part),
+asked AS (
+  SELECT user_id, (SELECT count(*) FROM carts c WHERE c.user_id = u.user_id) + 5 AS wanted,
+         CAST('0x' || substr(md5(user_id || '|7'), 1, 12) AS BIGINT) AS start
+  FROM (SELECT DISTINCT user_id FROM events) u),
+read AS (
+  SELECT a.user_id, i AS step, n.product_id
+  FROM asked a, range((SELECT max(wanted) FROM asked)) r(i)
+  JOIN numbered n ON n.number = (a.start + i) % (SELECT count(*) FROM part)
+  WHERE i < least(wanted, (SELECT count(*) FROM part))),
 ranked AS (
-  SELECT u.user_id, p.product_id,
-         row_number() OVER (PARTITION BY u.user_id
-           ORDER BY md5(u.user_id || '|' || p.product_id || '|7'), p.product_id) AS rank
-  FROM (SELECT DISTINCT user_id FROM events) u, pool p
-  WHERE NOT EXISTS (SELECT 1 FROM carts c WHERE c.user_id = u.user_id AND c.product_id = p.product_id))
+  SELECT user_id, product_id, row_number() OVER (PARTITION BY user_id ORDER BY step) AS rank
+  FROM read r WHERE NOT EXISTS (SELECT 1 FROM carts c WHERE c.user_id = r.user_id AND c.product_id = r.product_id))
 SELECT CAST(user_id AS VARCHAR) AS request_id, product_id, CAST(rank AS INTEGER) AS rank, rank <= 4 AS shown
 FROM ranked WHERE rank <= 5"""
 
@@ -620,22 +685,12 @@ SELECT CAST(o_orderdate AS DATE) AS _event_date, count(*) AS rows FROM orders
 WHERE CAST(o_orderdate AS DATE) < DATE '2001-08-01' - 90 GROUP BY 1"""
 
     q["prune_candidates"] = f"""
-WITH {FILES}
-SELECT path, created_at AS file_created_at FROM files
-WHERE day < DATE '1999-01-01' AND day >= DATE '1996-01-01'
-  AND created_at < TIMESTAMP '1998-12-31' - INTERVAL 30 DAY"""
+WITH {EVENTS}
+SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS event_date, CAST(CAST(ts AS DATE) + 1 AS TIMESTAMP) AS file_created_at
+FROM events_seen WHERE ts < TIMESTAMP '1999-01-01' AND CAST(ts AS DATE) + 1 < TIMESTAMP '1998-12-31' - INTERVAL 30 DAY"""
 
     q["orphans"] = f"""
-WITH {FILES}
-SELECT path || '.tmp' AS path, created_at AS modified_at FROM files
-WHERE day >= DATE '1996-01-01' AND created_at < TIMESTAMP '2001-08-01' - INTERVAL 3 DAY"""
-
-    q["compaction_plan"] = f"""
-WITH {FILES},
-p AS (SELECT day AS partition, count(*) AS input_files, CAST(sum(rows * 512) AS BIGINT) AS input_bytes
-      FROM files WHERE rows * 512 < 2048 GROUP BY 1 HAVING count(*) >= 2)
-SELECT partition, input_files, input_bytes, CAST(ceil(input_bytes / 2048.0) AS BIGINT) AS output_files
-FROM p WHERE ceil(input_bytes / 2048.0) < input_files"""
+WITH {HEADERS} SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS event_date FROM headers WHERE o_orderkey % 5 = 0"""
 
     q["stream_order_items"] = f"""
 WITH {GOLD}

@@ -50,11 +50,6 @@ def silver_items(bronze: DataFrame) -> DataFrame:
     return first.select(*SILVER_COLUMNS)
 
 
-def silver_from_lines(lines: DataFrame, position: tuple[str, ...]) -> DataFrame:
-    """The same rule on rows that were never packed into events."""
-    return first_by(lines, ["order_id", "product_id"], list(position)).select(*SILVER_COLUMNS)
-
-
 def gold_fact(silver: DataFrame) -> DataFrame:
     """Prices to cents; the total comes from the price before it is rounded."""
     return silver.select(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.functions import cart_blob, fx, money
-from ordermill.functions.timestamps import ntz
+from ordermill.functions.timestamps import ntz, utc_iso
 from ordermill.operators import (
     bronze,
     carts,
@@ -25,10 +25,9 @@ from ordermill.operators import (
     suggest,
 )
 from ordermill.operators import vectors as vectors_op
-from ordermill.plans import bi, models, quality, upkeep
-from ordermill.schemas import BRONZE
+from ordermill.plans import bi, models, quality, store, upkeep
 from ordermill.session import fresh_dir, use_utc
-from ordermill.sources import tables
+from ordermill.sources import files, tables
 from ordermill.streaming import cart_stream, etl
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,8 +52,7 @@ def queries() -> dict[str, Query]:
 
 
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = tables.order_lines(spark, sf_dir)
-    return models.gold_fact(models.silver_from_lines(lines, tables.LINE_ORDER))
+    return store.layers(spark, sf_dir).gold
 
 
 # --- models and BI ---------------------------------------------------------
@@ -62,12 +60,26 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def silver_order_items(spark, sf_dir):
-    return models.silver_items(tables.order_events(spark, sf_dir))
+    return models.silver_items(store.layers(spark, sf_dir).bronze)
 
 
 @query
 def gold_fact_order_items(spark, sf_dir):
-    return models.gold_fact(models.silver_items(tables.order_events(spark, sf_dir)))
+    return models.gold_fact(store.layers(spark, sf_dir).silver)
+
+
+@query
+def order_event_items(spark, sf_dir):
+    """Items and units of every event, parsed back from its text."""
+    parsed = ingest.parse(store.layers(spark, sf_dir).bronze, "raw")
+    units = F.aggregate("event.items", F.lit(0).cast("bigint"), lambda total, i: total + F.coalesce(i["quantity"].cast("bigint"), F.lit(0)))
+    return parsed.select("order_id", "_kafka_offset", F.size("event.items").alias("items"), units.alias("units"))
+
+
+@query
+def quarantine(spark, sf_dir):
+    """Refused events as stored beside silver, with the reason."""
+    return store.layers(spark, sf_dir).quarantine.select("order_id", "_kafka_offset", "error")
 
 
 @query
@@ -90,6 +102,13 @@ def bi_product_sales(spark, sf_dir):
     return bi.product_sales(_fact(spark, sf_dir))
 
 
+@query
+def bi_product_sales_with_copies(spark, sf_dir):
+    """Product sales while every tenth order is in the fact twice: orders count once."""
+    fact = _fact(spark, sf_dir)
+    return bi.product_sales(fact.unionByName(fact.where(F.col("order_id").cast("bigint") % 10 == 0)))
+
+
 def _rates(spark, sf_dir):
     lines = carts.fold(tables.cart_events(spark, sf_dir))
     return bi.cart_not_paid(tables.cart_snapshots(lines), _fact(spark, sf_dir))
@@ -124,16 +143,15 @@ def bi_metrics(spark, sf_dir):
 @query
 def reconcile_totals(spark, sf_dir):
     start, end = "1996-01-01", "1999-12-31"
-    fact = models.gold_fact(models.silver_items(tables.order_events(spark, sf_dir)))
     return quality.reconcile(
-        quality.by_event_date(fact, start, end),
+        quality.by_event_date(_fact(spark, sf_dir), start, end),
         quality.by_timestamp(tables.reference_items(spark, sf_dir), start, end),
     )
 
 
 @query
 def items_per_day(spark, sf_dir):
-    return quality.items_per_day(models.silver_items(tables.order_events(spark, sf_dir)))
+    return quality.items_per_day(store.layers(spark, sf_dir).silver)
 
 
 @query
@@ -143,19 +161,48 @@ def duplicate_grain(spark, sf_dir):
 
 @query
 def quality_report(spark, sf_dir):
-    """The suites run on stored tables, as after a build: each layer is computed once."""
-    root = fresh_dir(spark, "models")
-    bronze.bronze_rows(tables.order_events(spark, sf_dir)).write.parquet(f"{root}/bronze")
-    bronze_table = spark.read.schema(BRONZE).parquet(f"{root}/bronze")
-    models.silver_items(bronze_table).write.parquet(f"{root}/silver")
-    silver = spark.read.parquet(f"{root}/silver")
+    """The suites on the stored tables."""
+    tables_ = store.layers(spark, sf_dir)
     return quality.checkpoint(
-        quality.bronze_suite(bronze_table),
-        quality.silver_suite(silver),
-        quality.gold_suite(models.gold_fact(silver)),
+        quality.bronze_suite(tables_.bronze), quality.silver_suite(tables_.silver), quality.gold_suite(tables_.gold)
     )
 
 
+def _faulty(fact: DataFrame) -> DataFrame:
+    """The fact with a fault in some orders, one kind each; one kind is missing, one is there twice."""
+    kind = F.col("order_id").cast("bigint") % 97
+    broken = fact.where(kind != 18).withColumns(
+        {
+            "product_id": F.when(kind != 12, F.col("product_id")),
+            "quantity": F.when(kind == 11, 0).otherwise(F.col("quantity")),
+            "status": F.when(kind == 13, "LOST").when(kind == 14, "CANCELLED").otherwise(F.col("status")),
+            "unit_price": F.when(kind == 15, -F.col("unit_price")).otherwise(F.col("unit_price")),
+            "total_price": F.when(kind == 16, F.col("total_price") + 1).otherwise(F.col("total_price")),
+        }
+    )
+    return broken.unionByName(broken.where(kind == 17))
+
+
+@query
+def quality_report_faulty(spark, sf_dir):
+    """The gold suite where it must fail, and the expected totals of the fact."""
+    fact = _faulty(_fact(spark, sf_dir))
+    row = quality.totals(fact, "fact", F.count_if(quality.price_mismatch()).alias("fact_price_mismatch_rows"))
+    return quality.checkpoint(quality.gold_suite(fact), quality.exact("totals", row, {"fact_price_mismatch_rows": 0, "fact_items": -1}))
+
+
+@query
+def reconcile_differences(spark, sf_dir):
+    """Years in which the faulty fact and the reference disagree, and by how much."""
+    fact, reference = _faulty(_fact(spark, sf_dir)), tables.reference_items(spark, sf_dir)
+    years = []
+    for year in (1994, 1995, 1996, 1997, 1998, 1999, 2030):
+        span = (f"{year}-01-01", f"{year}-12-31")
+        row = quality.reconcile(quality.by_event_date(fact, *span), quality.by_timestamp(reference, *span))
+        years.append(quality.differences(row).withColumn("year", F.lit(year)))
+    return quality.checkpoint(*years)
+
+
 # --- ingest --------------------------------------------------------------------
 
 
@@ -199,10 +246,8 @@ def ingest_letters(spark, sf_dir):
 
 @query
 def landing_manifest(spark, sf_dir):
-    """Lands all events as files, then reports days from the manifest."""
-    root = fresh_dir(spark, "landing")
-    landing.land_batch(tables.order_events(spark, sf_dir), root, 0)
-    manifest = landing.read_manifest(spark, f"{root}/manifest")
+    """Days of the landed events' manifest."""
+    manifest = landing.read_manifest(spark, f"{store.landed(spark, sf_dir)}/manifest")
     return landing.manifest_totals(manifest).select("event_date", "rows", "min_event_date", "max_event_date")
 
 
@@ -223,19 +268,44 @@ def bronze_sync(spark, sf_dir):
 
 @query
 def bronze_rows(spark, sf_dir):
-    rows = bronze.one_per_row_id(bronze.bronze_rows(tables.order_events(spark, sf_dir)))
+    rows = bronze.one_per_row_id(store.layers(spark, sf_dir).bronze)
     return rows.select("order_id", "_event_date", "_kafka_partition", "_kafka_offset", "_ingested_at")
 
 
 @query
 def bronze_health(spark, sf_dir):
-    return bronze.health(bronze.bronze_rows(tables.order_events(spark, sf_dir)))
+    return bronze.health(store.layers(spark, sf_dir).bronze)
 
 
 @query
 def pending_files(spark, sf_dir):
-    files = tables.landing_files(spark, sf_dir)
-    return bronze.pending_files(files, tables.file_ledger(files)).select("path", "rows")
+    """Rows that wait in landed files, per day; the files of the days before 1999 have been synced."""
+    manifest = landing.read_manifest(spark, f"{store.landed(spark, sf_dir)}/manifest")
+    pending = bronze.pending_files(manifest, _ledger(manifest))
+    return pending.groupBy(F.col("min_event_date").alias("event_date")).agg(F.sum("rows").alias("rows"))
+
+
+@query
+def pending_files_per_run(spark, sf_dir):
+    """Two files a run until nothing is pending: every file is taken once, by one run."""
+    manifest = landing.read_manifest(spark, f"{store.landed(spark, sf_dir)}/manifest")
+    week = manifest.where("min_event_date between '1999-01-01' and '1999-01-07'")
+    taken, ledger = [], _ledger(week.limit(0))
+    while True:
+        run = bronze.next_run(bronze.pending_files(week, ledger), 2).collect()
+        if not run:
+            break
+        taken += [(r["path"], r["rows"], r["min_event_date"]) for r in run]
+        ledger = spark.createDataFrame(taken, "source_path string, rows bigint, day string")
+    return ledger.groupBy(F.col("day").alias("event_date")).agg(F.sum("rows").alias("rows"))
+
+
+def _ledger(manifest: DataFrame) -> DataFrame:
+    """Ledger rows of the landed files of days before 1999, each synced the day after."""
+    old = manifest.where("min_event_date < '1999-01-01'")
+    return old.select(
+        F.col("path").alias("source_path"), "rows", F.date_add(F.col("min_event_date").cast("date"), 1).cast("timestamp").alias("file_created_at")
+    )
 
 
 # --- monitoring ----------------------------------------------------------------
@@ -485,17 +555,10 @@ def cart_totals(spark, sf_dir):
 
 @query
 def recommendations(spark, sf_dir):
-    """For every user: products of the first catalogue page that are not in the cart."""
-    first_page = (
-        tables.products(spark, sf_dir).select(F.col("id").alias("product_id"))
-        .orderBy("product_id").limit(catalog.PAGE + 1)
-    )
-    users = tables.table(spark, sf_dir, "events").select(
-        F.col("user_id").cast("string").alias("user_id")
-    ).distinct()
-    baskets = carts.basket_ids(_carts(spark, sf_dir), first_page)
-    requests = users.join(baskets, "user_id", "left").withColumnRenamed("user_id", "request_id")
-    return suggest.recommend(requests, first_page, seed=7)
+    """For every user: products of the catalogue that are not in the cart."""
+    users = tables.table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("request_id")).distinct()
+    baskets = _carts(spark, sf_dir).select(F.col("user_id").alias("request_id"), "product_id")
+    return suggest.recommend(users, baskets, tables.products(spark, sf_dir).select(F.col("id").alias("product_id")), seed=7)
 
 
 def _ads(spark, sf_dir):
@@ -594,24 +657,35 @@ def retention_expired(spark, sf_dir):
     return upkeep.expired_days(_dated(spark, sf_dir), F.lit("2001-08-01").cast("date"))
 
 
-@query
-def prune_candidates(spark, sf_dir):
-    files = tables.landing_files(spark, sf_dir)
-    now = F.lit("1998-12-31").cast("timestamp")
-    return upkeep.prune_candidates(tables.file_ledger(files), tables.file_listing(files), now)
+def _day_of(path):
+    return F.regexp_extract(path, "event_date=([^/]+)/", 1)
 
 
 @query
-def orphans(spark, sf_dir):
-    files = tables.landing_files(spark, sf_dir)
-    now = F.lit("2001-08-01").cast("timestamp")
-    return upkeep.orphans(tables.file_listing(files), files, now).select("path", "modified_at")
+def prune_candidates(spark, sf_dir):
+    """Days whose landed files were synced, are old enough and still lie there."""
+    root = store.landed(spark, sf_dir)
+    ledger = _ledger(landing.read_manifest(spark, f"{root}/manifest"))
+    gone = spark.createDataFrame([("file:/landing/event_date=1900-01-01/part-0.parquet",)], "source_path string")
+    ledger = ledger.unionByName(gone.selectExpr("source_path", "1L as rows", "timestamp'1900-01-02' as file_created_at"))
+    listing = files.list_files(spark, f"{root}/data")
+    found = upkeep.prune_candidates(ledger, listing, F.lit("1998-12-31").cast("timestamp"))
+    return found.select(_day_of("path").alias("event_date"), "file_created_at").distinct()
 
 
 @query
-def compaction_plan(spark, sf_dir):
-    files = tables.landing_files(spark, sf_dir).withColumnRenamed("day", "partition")
-    return upkeep.compaction_plan(files, target=2_048)
+def orphans(spark, sf_dir):
+    """Days of a batch that was written but never entered in a manifest."""
+    root = fresh_dir(spark, "lake")
+    headers = tables.order_headers(spark, sf_dir).select(
+        F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("order_id"), utc_iso(F.col("event_timestamp")).alias("timestamp"))).alias("raw"), "o_orderkey"
+    )
+    landing.land_batch(headers.where("o_orderkey % 5 > 0"), root, 0)
+    landing.write_batch(landing.decorate(headers.where("o_orderkey % 5 = 0")), f"{root}/data", "crashed")
+    listing = files.list_files(spark, f"{root}/data")
+    later = F.current_timestamp() + F.expr("interval 10 days")
+    found = upkeep.orphans(listing, landing.read_manifest(spark, f"{root}/manifest"), later)
+    return found.select(_day_of("path").alias("event_date")).distinct()
 
 
 # --- streams -------------------------------------------------------------------
@@ -644,5 +718,6 @@ def stream_cart_fold(spark, sf_dir):
     """Cart events through the stateful stream; what is left in the carts."""
     root = fresh_dir(spark, "carts")
     events = tables.cart_events(spark, sf_dir)
-    events.write.parquet(f"{root}/events")
-    return cart_stream.run_available(spark, f"{root}/events", root)
+    for batch in range(4):  # in no order of time across the batches
+        events.where(F.col("event_id") % 4 == batch).coalesce(1).write.mode("append").parquet(f"{root}/events")
+    return cart_stream.run_available(spark, f"{root}/events", root, max_files=1)

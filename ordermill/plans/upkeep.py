@@ -1,4 +1,4 @@
-"""Table upkeep: retention, compaction, landing prune, orphan report."""
+"""Table upkeep: retention, landing prune, orphan report."""
 
 from __future__ import annotations
 
@@ -15,8 +15,6 @@ from ordermill.sources.files import list_files
 RAW_RETENTION_DAYS = 30
 BRONZE_RETENTION_DAYS = 90
 ORPHAN_GRACE_DAYS = 3
-TARGET_BYTES = 134_217_728
-MIN_INPUT_FILES = 2
 
 
 def kept(table: DataFrame, today: Column, days: int = BRONZE_RETENTION_DAYS) -> DataFrame:
@@ -49,56 +47,6 @@ def drop_expired(spark: SparkSession, path: str, today: date, days: int = BRONZE
     return dropped
 
 
-def compaction_plan(files: DataFrame, target: int = TARGET_BYTES,
-                    min_files: int = MIN_INPUT_FILES) -> DataFrame:
-    """Per partition: how many files below the target there are and how many they
-    should become. ``files``: partition, path, size_bytes."""
-    return (
-        files.where(F.col("size_bytes") < target)
-        .groupBy("partition")
-        .agg(
-            F.count(F.lit(1)).alias("input_files"),
-            F.sum("size_bytes").cast("bigint").alias("input_bytes"),
-        )
-        .where(F.col("input_files") >= min_files)
-        .withColumn("output_files", F.ceil(F.col("input_bytes") / target).cast("bigint"))
-        .where(F.col("output_files") < F.col("input_files"))
-    )
-
-
-def compact(spark: SparkSession, path: str, target: int = TARGET_BYTES) -> int:
-    """Rewrites the partitions of the plan into files of about the target size.
-
-    Rows are spread round-robin inside a partition, so a day that holds most of
-    the table becomes many even files. Readers keep the old files until the
-    commit replaces the touched partitions.
-    """
-    listing = list_files(spark, path).withColumn(
-        "partition", F.regexp_extract("path", r"_event_date=([^/]+)/", 1)
-    )
-    plan = {r["partition"]: int(r["output_files"]) for r in compaction_plan(listing, target).collect()}
-    if not plan:
-        return 0
-    days = [date.fromisoformat(d) for d in plan if d[:1].isdigit()]
-    rows = bronze.read_bronze(spark, path).where(bronze._on_days(days))
-    rows = rows.where(F.col("_event_date").isin(days))
-    share = F.create_map(*(F.lit(v) for d, n in plan.items() if d[:1].isdigit() for v in (d, n)))
-    slot = F.pmod(
-        F.xxhash64("_row_id", "_kafka_partition", "_kafka_offset"),
-        F.element_at(share, F.col("_event_date").cast("string")),
-    )
-    (
-        rows.withColumn("_slot", slot)
-        .repartition(max(1, sum(plan.values())), "_event_date", "_slot")
-        .drop("_slot")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("_event_date")
-        .parquet(path)
-    )
-    return len(plan)
-
-
 def prune_candidates(ledger: DataFrame, listing: DataFrame, now: Column,
                      days: int = RAW_RETENTION_DAYS) -> DataFrame:
     """Landing files that were synced, are old enough and still exist.
@@ -119,18 +67,30 @@ def orphans(listing: DataFrame, referenced: DataFrame, now: Column,
     return old.join(referenced.select("path"), "path", "left_anti")
 
 
+DELETES_PER_TASK = 1_000
+
+
+def _delete(batches):
+    from pyarrow import fs
+
+    for batch in batches:
+        gone = []
+        for path in batch["path"]:
+            store, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+            there = store.get_file_info(inner).type == fs.FileType.File
+            if there:  # a repeated task finds nothing left to do
+                store.delete_file(inner)
+            gone.append(there)
+        yield batch.assign(deleted=gone)
+
+
 def delete_files(candidates: DataFrame, dry_run: bool = True) -> int:
-    """Deletes the listed files one by one as they arrive; returns how many."""
+    """Deletes the listed files, spread over tasks; returns how many were there."""
     if dry_run:
         return 0
-    spark = candidates.sparkSession
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
-    conf = spark._jsc.hadoopConfiguration()
-    deleted = 0
-    for row in candidates.select("path").toLocalIterator():
-        path = hadoop_path(row["path"])
-        deleted += bool(path.getFileSystem(conf).delete(path, False))
-    return deleted
+    paths = candidates.select("path")
+    spread = paths.repartition(max(1, -(-paths.count() // DELETES_PER_TASK)), "path")
+    return spread.mapInPandas(_delete, "path string, deleted boolean").where("deleted").count()
 
 
 def with_columns_of(table: DataFrame, newer: DataFrame) -> DataFrame:
@@ -140,14 +100,11 @@ def with_columns_of(table: DataFrame, newer: DataFrame) -> DataFrame:
 
 def run(spark: SparkSession, bronze_path: str, landing_root: str, ledger_path: str, today: date,
         prune_dry_run: bool = False, orphan_dry_run: bool = True) -> dict[str, int]:
-    """Retention, compaction, landing prune, orphan report, in this order."""
+    """Retention, landing prune, orphan report, in this order."""
     if not bronze._exists(spark, bronze_path):
         return {}
     now = F.lit(today.isoformat()).cast("timestamp")
-    done = {
-        "expired_days": drop_expired(spark, bronze_path, today),
-        "compacted": compact(spark, bronze_path),
-    }
+    done = {"expired_days": drop_expired(spark, bronze_path, today)}
     listing = list_files(spark, f"{landing_root}/data")
     ledger = bronze.read_ledger(spark, ledger_path)
     done["pruned"] = delete_files(prune_candidates(ledger, listing, now), prune_dry_run)

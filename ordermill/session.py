@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -45,21 +44,32 @@ def use_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset
-    (tests, a laptop) a local folder stands in for it.
+    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset, on a
+    local master (tests, a laptop), a folder of the warehouse stands in for it.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        named = "file://" + tempfile.mkdtemp(prefix="ordermill-")
+        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/ordermill/{name}-{uuid.uuid4().hex}"
+    """A new, unused path below the session's own part of the shared folder."""
+    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def work_dir(spark: SparkSession) -> str:
+    """The session's own part of the shared folder."""
+    return f"{shared_dir(spark)}/ordermill/{spark.sparkContext.applicationId}"
+
+
+def drop_work(spark: SparkSession) -> None:
+    """Removes what this session left in the shared folder; call it when no result is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(work_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @contextmanager

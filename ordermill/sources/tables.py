@@ -12,8 +12,7 @@ from ordermill.functions import fx, money, orders as ev
 from ordermill.functions.timestamps import utc_iso
 from ordermill.operators.ingest import PRICE
 
-# A message is limited in size, so an order with very many lines is published
-# as several events of about this many lines each.
+# A message is limited in size: orders of more lines are published as several events.
 LINES_PER_EVENT = 64
 
 # Display currency by customer nation, element [nation % 6].
@@ -122,78 +121,54 @@ def with_shipping(rows: DataFrame) -> DataFrame:
     return fx.with_converted(rows, usd, F.col("currency_code"), "shipping_cost")
 
 
-LINE_ENTRY = "line:int,part:bigint,supp:bigint,quantity:int,cents:bigint"
+LINE_ENTRY = "line:int,part:bigint,supp:bigint,quantity:int,cents:bigint,copies:int"
 
 
 def orders_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order event: header columns plus an ``items`` array.
+    """One row per order event: header columns plus an ``items`` array of all its lines.
 
-    The array stays bounded whatever the keys look like. Lines are counted per
-    order first. An order of at most :data:`LINES_PER_EVENT` lines is one event.
-    A larger one is cut into chunks by product before anything is collected, and
-    a product gives only its first and its last line, folded on the map side.
+    An order is one event while no order has more than :data:`LINES_PER_EVENT` lines.
+    Otherwise lines go by line number, then by product, so that the first line of a
+    product stays in the earliest event that holds the product; equal lines are folded
+    on the map side, and what one event can't hold of them goes to later events.
+    Nothing is left out, and no array holds much more than a share of its order.
     """
     lineitem = table(spark, sf_dir, "lineitem")
-    chunks = lineitem.groupBy("l_orderkey").agg(
-        F.ceil(F.count(F.lit(1)) / LINES_PER_EVENT).alias("chunks")
-    )
-    headers = order_headers(spark, sf_dir)
-    headers = headers.join(chunks, headers.o_orderkey == chunks.l_orderkey, "left").drop("l_orderkey")
-    # Lines and headers meet on the text key, while counting and collecting go by
-    # the number: so both sides of this join and the step after it have exchanges
-    # of their own, which is what lets AQE split a hot order.
-    headers = headers.withColumn("order_id", F.col("o_orderkey").cast("string"))
-    lines = lineitem.select(
-        F.col("l_orderkey").cast("string").alias("order_id"), F.col("l_partkey").alias("part"), *_line_columns()
-    )
-    joined = lines.join(headers, "order_id")
-    header = ["order_id", "event_timestamp", "currency_code"]
-    same = [F.first(c).alias(c) for c in header]  # one value per order
-
-    usual = (
-        joined.where(F.col("chunks") == 1)
-        .groupBy("o_orderkey")
-        .agg(F.collect_list(F.struct("line", "part", "supp", "quantity", "cents")).alias("lines"), *same)
-        .withColumn("chunk", F.lit(0).cast("bigint"))
-    )
-    entry = lambda side: F.struct(
-        *(F.col("part") if f == "part" else F.col(f"{side}.{f}").alias(f) for f in ("line", "part", "supp", "quantity", "cents"))
-    )
-    large = (
-        joined.where(F.col("chunks") > 1)
-        .groupBy("o_orderkey", "part")
-        .agg(
-            F.min(F.struct(*LINE_ORDER)).alias("lo"),
-            F.max(F.struct(*LINE_ORDER)).alias("hi"),
-            F.first("chunks").alias("chunks"),
-            *same,
-        )
-        .groupBy("o_orderkey", (F.col("part") % F.col("chunks")).alias("chunk"))
-        .agg(
-            F.flatten(F.collect_list(F.array_distinct(F.array(entry("lo"), entry("hi"))))).alias("lines"),
-            *same,
-        )
-    )
-    empty = headers.where(F.col("chunks").isNull()).select(
-        "o_orderkey",
-        F.lit(0).cast("bigint").alias("chunk"),
-        *header,
-        F.array().cast(f"array<struct<{LINE_ENTRY}>>").alias("lines"),
-    )
-    items = F.transform(
-        F.array_sort("lines"),
-        lambda l: F.struct(
-            l["part"].cast("string").alias("product_id"),
-            l["quantity"].cast("bigint").alias("quantity"),
-            _money_struct(
-                F.col("currency_code"),
-                F.floor(l["cents"] / 100).cast("bigint"),
-                (l["cents"] % 100) * 10_000_000,
-            ).alias("cost"),
-        ),
-    )
-    events = usual.unionByName(large).unionByName(empty)
-    return with_shipping(events.select("o_orderkey", "chunk", *header, items.alias("items")))
+    block = F.floor((F.col("l_linenumber") - 1) / LINES_PER_EVENT)
+    sizes = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.max(block).alias("block"))
+    layout = sizes.agg(  # one row
+        F.greatest(F.lit(1), F.ceil(F.max("n") / LINES_PER_EVENT)).alias("split"), (F.max("block") + 1).alias("blocks")
+    )
+    copies = (
+        lineitem.select("l_orderkey", F.col("l_partkey").alias("part"), *_line_columns(), block.alias("block"))
+        .groupBy("l_orderkey", "part", *LINE_ORDER, "block")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .join(F.broadcast(layout), F.lit(True))
+        .withColumn("turn", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / LINES_PER_EVENT))))
+    )
+    chunk = (F.col("turn") * F.col("blocks") + F.col("block")) * F.col("split") + F.pmod("part", "split")
+    here = F.least(F.lit(LINES_PER_EVENT), F.col("n") - F.col("turn") * LINES_PER_EVENT).cast("int")
+    events = copies.groupBy("l_orderkey", chunk.alias("chunk")).agg(
+        F.collect_list(F.struct("line", "part", "supp", "quantity", "cents", here.alias("copies"))).alias("lines")
+    )
+    # The text key gives this join exchanges of its own, so AQE may split a hot order.
+    headers = order_headers(spark, sf_dir).withColumn("order_id", F.col("o_orderkey").cast("string"))
+    filled = events.withColumn("order_id", F.col("l_orderkey").cast("string")).drop("l_orderkey").join(headers, "order_id")
+    empty = headers.join(sizes.select("l_orderkey"), headers.o_orderkey == sizes.l_orderkey, "left_anti").select(
+        "*", F.lit(0).cast("bigint").alias("chunk"), F.array().cast(f"array<struct<{LINE_ENTRY}>>").alias("lines")
+    )
+    item = lambda l: F.struct(
+        l["part"].cast("string").alias("product_id"),
+        l["quantity"].cast("bigint").alias("quantity"),
+        _money_struct(
+            F.col("currency_code"),
+            F.floor(l["cents"] / 100).cast("bigint"),
+            (l["cents"] % 100) * 10_000_000,
+        ).alias("cost"),
+    )
+    items = F.flatten(F.transform(F.array_sort("lines"), lambda l: F.array_repeat(item(l), l["copies"])))
+    columns = ["o_orderkey", "chunk", "order_id", "event_timestamp", "currency_code"]
+    return with_shipping(filled.unionByName(empty).select(*columns, items.alias("items")))
 
 
 def _address(orderkey: Column) -> Column:
@@ -376,44 +351,6 @@ def cart_snapshots(lines: DataFrame) -> DataFrame:
     return once.withColumn("snapshot_ts", F.explode(times))
 
 
-def landing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Manifest-shaped rows: four files per order day."""
-    days = table(spark, sf_dir, "orders").select(
-        F.to_date("o_orderdate").alias("day"), (F.col("o_orderkey") % 4).alias("part")
-    )
-    path = F.concat(
-        F.lit("bronze/orders/"), F.date_format("day", "yyyy/MM/dd"),
-        F.lit("/part-"), F.col("part").cast("string"), F.lit(".parquet"),
-    )
-    return days.groupBy("day", "part").agg(F.count(F.lit(1)).alias("rows")).select(
-        path.alias("path"),
-        "rows",
-        (F.col("rows") * 512).alias("size_bytes"),
-        "day",
-        F.date_add("day", 1).cast("timestamp").alias("created_at"),
-    )
-
-
-LEDGER_UNTIL = "1999-01-01"
-GONE_UNTIL = "1996-01-01"
-
-
-def file_ledger(files: DataFrame) -> DataFrame:
-    """Files of the days before 1999 have been synced."""
-    return files.where(F.col("day") < F.lit(LEDGER_UNTIL).cast("date")).select(
-        F.col("path").alias("source_path"), "rows", F.col("created_at").alias("file_created_at")
-    )
-
-
-def file_listing(files: DataFrame) -> DataFrame:
-    """What storage holds: files since 1996, and one leftover beside each."""
-    return files.where(F.col("day") >= F.lit(GONE_UNTIL).cast("date")).select(
-        F.explode(F.array(F.col("path"), F.concat("path", F.lit(".tmp")))).alias("path"),
-        "size_bytes",
-        F.col("created_at").alias("modified_at"),
-    )
-
-
 def advertisements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two ads per brand: its cheapest and its dearest product."""
     best = table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("category")).agg(
@@ -430,12 +367,14 @@ def advertisements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ad_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page requests with their context keys: a product page has the product's
-    categories, other pages have none."""
+    categories, other pages have none and meet no product."""
     requests = page_requests(spark, sf_dir)
     keys = table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("string").alias("product_id"), F.array("p_type", "p_brand").alias("context_keys")
     )
-    return requests.join(keys, "product_id", "left").select("request_id", "context_keys")
+    pages = requests.where(F.col("product_id").isNotNull()).join(keys, "product_id", "left")
+    others = requests.where(F.col("product_id").isNull()).withColumn("context_keys", F.lit(None).cast("array<string>"))
+    return pages.select("request_id", "context_keys").unionByName(others.select("request_id", "context_keys"))
 
 
 def checkouts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -501,7 +440,8 @@ def csv_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("p_size") > 40, F.concat(F.lit("N"), key)).otherwise(key).alias("_id"),
         F.concat(F.lit("new "), F.col("p_name")).alias("title"),
         F.col("p_type").alias("description"),
-        F.when(F.col("p_size") == 1, "n/a").otherwise(F.col("p_retailprice").cast("string")).alias("price"),
+        F.when(F.col("p_size") == 1, "n/a").when(F.col("p_size") == 4, "NaN").when(F.col("p_size") == 5, "1e30")
+        .when(F.col("p_size") == 6, "-Infinity").otherwise(F.col("p_retailprice").cast("string")).alias("price"),
         F.when(F.col("p_size") == 2, "-")
         .otherwise(F.concat(F.col("p_type"), F.lit(" > "), F.col("p_brand"), F.lit(" > ")))
         .alias("category"),

@@ -38,43 +38,48 @@ SLICES = 32
 
 
 class CartProcessor(StatefulProcessor):
-    """State per (user, slice of the products): product -> quantity. An add raises
-    its line, an empty drops all lines; changed lines are emitted, dropped ones
-    with quantity 0."""
+    """State per (user, slice of the products): when the cart was last emptied, and
+    the adds since. Events count by their own time, whatever batch brings them: an add
+    older than the last empty is dropped, a late empty takes only the adds before
+    it. Changed lines are emitted with their new quantity, 0 when nothing is left."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        product = T.StructType([T.StructField("product_id", T.StringType())])
+        add = T.StructType([T.StructField("ts", T.LongType()), T.StructField("event_id", T.LongType()), T.StructField("product_id", T.StringType())])
         quantity = T.StructType([T.StructField("quantity", T.LongType())])
-        self._lines = handle.getMapState("lines", product, quantity)
+        self._adds = handle.getMapState("adds", add, quantity)
+        self._lines = handle.getMapState("lines", T.StructType([T.StructField("product_id", T.StringType())]), quantity)
+        self._emptied = handle.getValueState("emptied", T.StructType([T.StructField("ts", T.LongType()), T.StructField("event_id", T.LongType())]))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        emptied, adds = None, []
-        for chunk in rows:
-            at = pd.MultiIndex.from_frame(chunk[["ts", "event_id"]])
-            empties = at[(chunk["action"] == "empty").to_numpy()]
-            if len(empties):
-                emptied = max(emptied, empties.max()) if emptied is not None else empties.max()
-            # Adds before an empty are settled; only later ones are held on to.
-            adds.append(chunk[(chunk["action"] == "add").to_numpy()])
-            if emptied is not None:
-                adds = [self._after(part, emptied) for part in adds]
         changed: dict[str, int] = {}
-        if emptied is not None:
-            changed = {k[0]: 0 for k in self._lines.keys()}
-            self._lines.clear()
-        for product, added in pd.concat(adds).groupby("product_id")["quantity"].sum().items():
-            held = self._lines.getValue((product,)) if self._lines.containsKey((product,)) else None
-            total = int(added) + (held[0] if held else 0)
-            self._lines.updateValue((product,), (total,))
-            changed[product] = total
+        emptied = tuple(self._emptied.get()) if self._emptied.exists() else None
+        for chunk in rows:
+            at = list(zip(chunk["ts"].astype("datetime64[us]").astype("int64"), chunk["event_id"].astype("int64")))
+            latest = max((t for t, action in zip(at, chunk["action"]) if action == "empty"), default=None)
+            if latest is not None and (emptied is None or latest > emptied):
+                emptied = latest
+                self._emptied.update(emptied)
+                for (ts, event_id, product), (quantity,) in list(self._adds.iterator()):
+                    if (ts, event_id) <= emptied:
+                        self._adds.removeKey((ts, event_id, product))
+                        changed[product] = self._move(product, -quantity)
+            for t, action, product, quantity in zip(at, chunk["action"], chunk["product_id"], chunk["quantity"]):
+                place = (*t, product)
+                # The same add again, from a replayed batch, is known by its place.
+                if action == "add" and (emptied is None or t > emptied) and not self._adds.containsKey(place):
+                    self._adds.updateValue(place, (int(quantity),))
+                    changed[product] = self._move(product, int(quantity))
         yield pd.DataFrame(
             {"user_id": str(key[0]), "product_id": list(changed), "quantity": list(changed.values())}
         ).astype({"user_id": "object", "product_id": "object", "quantity": "int64"})
 
-    @staticmethod
-    def _after(rows: pd.DataFrame, emptied: tuple) -> pd.DataFrame:
-        ts, event_id = emptied
-        return rows[(rows["ts"] > ts) | ((rows["ts"] == ts) & (rows["event_id"] > event_id))]
+    def _move(self, product: str, by: int) -> int:
+        held = self._lines.getValue((product,))[0] if self._lines.containsKey((product,)) else 0
+        if held + by:
+            self._lines.updateValue((product,), (held + by,))
+        else:
+            self._lines.removeKey((product,))
+        return held + by
 
     def close(self) -> None:
         pass

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.operators import ingest, landing
-from ordermill.operators.bronze import MAX_LISTED_DAYS, _exists
+from ordermill.operators.bronze import _exists
 from ordermill.operators.dedupe import absent_from, first_by
 from ordermill.schemas import MESSAGE, ORDER_ITEMS
 from ordermill.session import many_writers
@@ -17,6 +17,8 @@ from ordermill.sources import streams
 
 KEY = ["order_id", "product_id"]
 TRIGGER = "60 seconds"
+# First arrival: by the broker's time, then by place, then by position in the event.
+ARRIVAL = ("timestamp", "topic", "partition", "offset", "item_pos")
 
 
 def read_order_items(spark: SparkSession, path: str) -> DataFrame:
@@ -33,15 +35,14 @@ def insert_absent(items: DataFrame, path: str, same_day: bool = False) -> None:
     exact as long as every copy of an order states the same timestamp.
     """
     spark = items.sparkSession
-    first = first_by(items, KEY, ["partition", "offset", "item_pos"])
+    first = first_by(items, KEY, list(ARRIVAL))
     rows = ingest.order_item_rows(first)
     target = read_order_items(spark, path)
     if same_day:
         days = sorted(r[0] for r in items.select(F.to_date("event_timestamp")).distinct().collect())
         day = F.col("event_date")
         if days:
-            near = day.isin(days) if len(days) <= MAX_LISTED_DAYS else day.between(days[0], days[-1])
-            target = target.where(near)
+            target = target.where(day.isin(days))  # one entry per day: bounded by the calendar
     fresh = absent_from(rows, target, KEY).hint("rebalance", "event_date")
     with many_writers(spark):
         fresh.write.mode("append").partitionBy("event_date").parquet(path)
@@ -56,7 +57,7 @@ def publish_files(rows: DataFrame, path: str, topic: str, batch_id: int) -> None
             "value",
             F.lit(topic).alias("topic"),
             F.lit(0).alias("partition"),
-            F.lit(batch_id).cast("bigint").alias("offset"),
+            F.monotonically_increasing_id().alias("offset"),
             F.current_timestamp().alias("timestamp"),
             *(["headers"] if "headers" in have else []),
         )
@@ -94,7 +95,7 @@ def process_batch(items_path: str, publish: Callable[[DataFrame, str, int], None
         routed = routed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             accepted = routed.where(F.col("route") == "ok")
-            insert_absent(ingest.flatten(accepted, "partition", "offset"), items_path, same_day)
+            insert_absent(ingest.flatten(accepted, *ARRIVAL[:-1]), items_path, same_day)
             publish(ingest.retries(routed), streams.RETRY, batch_id)
             publish(ingest.dead_letters(routed), streams.DEAD_LETTER, batch_id)
             if outcomes_path:
