@@ -26,6 +26,10 @@ def lower_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+#: Words whose hashes a worker remembers.
+KEPT_HASHES = 200_000
+
+
 class _Hashes(dict):
     """64-bit hashes of words, remembered; starts anew when it has grown large."""
 
@@ -38,7 +42,7 @@ _hashes = _Hashes()
 
 
 def word_hashes(ws: list[bytes]) -> np.ndarray:
-    if len(_hashes) > 700_000:
+    if len(_hashes) > KEPT_HASHES:
         _hashes.clear()
     return np.fromiter(map(_hashes.__getitem__, ws), np.uint64, len(ws))
 

@@ -180,23 +180,24 @@ def ties(ids: np.ndarray, signatures: np.ndarray, distance: int) -> list[tuple[i
 def _bucket_ties(distance: int):
     """Buckets arrive sorted by key; the last of a batch waits for the next batch.
 
-    A task's ties come out as a forest: what connects nothing new is left out.
+    A task ties every node once, to the smallest node it is connected with in the task's
+    buckets. Tasks that see the same group mostly name the same node, so what they give
+    together grows with the nodes and not with the buckets they share.
     """
 
     def tied_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = _Forest()
 
-        def tied(keys: np.ndarray, ids: np.ndarray, sigs: np.ndarray) -> pa.RecordBatch:
+        def tie(keys: np.ndarray, ids: np.ndarray, sigs: np.ndarray) -> None:
             cuts = np.flatnonzero(np.diff(keys)) + 1
             starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(keys)]])
             two = starts[ends - starts == 2]
             near = two[(sigs[two] != sigs[two + 1]).sum(axis=1) <= 2 * distance]
-            found = set(zip(ids[near].tolist(), ids[near + 1].tolist()))
+            for a, b in zip(ids[near].tolist(), ids[near + 1].tolist()):
+                forest.join(a, b)
             for a, b in zip(starts[ends - starts > 2], ends[ends - starts > 2]):
-                found.update(ties(ids[a:b], sigs[a:b], distance))
-            found = [(a, b) for a, b in sorted(found) if forest.join(a, b)]
-            left, right = zip(*found) if found else ((), ())
-            return pa.RecordBatch.from_pydict({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+                for pair in ties(ids[a:b], sigs[a:b], distance):
+                    forest.join(*pair)
 
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for batch in batches:
@@ -207,10 +208,15 @@ def _bucket_ties(distance: int):
                 continue
             keys, ids, sigs = (np.concatenate(x) for x in zip(*held))
             cut = int(np.flatnonzero(keys != keys[-1])[-1]) + 1
-            yield tied(keys[:cut], ids[:cut], sigs[:cut])
+            tie(keys[:cut], ids[:cut], sigs[:cut])
             held = [(keys[cut:], ids[cut:], sigs[cut:])]
         if held:
-            yield tied(*(np.concatenate(x) for x in zip(*held)))
+            tie(*(np.concatenate(x) for x in zip(*held)))
+        ends = [(forest.root(x), x) for x in list(forest)]
+        ends = [(a, b) for a, b in ends if a != b]
+        for i in range(0, len(ends), 50_000):
+            left, right = zip(*ends[i : i + 50_000])
+            yield pa.RecordBatch.from_pydict({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
     return tied_buckets
 
