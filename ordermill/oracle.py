@@ -67,11 +67,13 @@ EVENTS = (
     HEADERS
     + f""",
 layout AS (
-  SELECT greatest(1, CAST(ceil(max(n) / {LINES_PER_EVENT}.0) AS BIGINT)) AS split, max(block) + 1 AS blocks FROM (
-    SELECT count(*) AS n, max((l_linenumber - 1) // {LINES_PER_EVENT}) AS block FROM lineitem GROUP BY l_orderkey) s),
+  SELECT split, width, (line - 1) // width + 1 AS blocks FROM (
+    SELECT *, greatest(1, {LINES_PER_EVENT} // split) AS width FROM (
+      SELECT greatest(1, CAST(ceil(max(n) / {LINES_PER_EVENT}.0) AS BIGINT)) AS split, max(line) AS line FROM (
+        SELECT count(*) AS n, max(l_linenumber) AS line FROM lineitem GROUP BY l_orderkey) s) t) u),
 placed AS (
   SELECT l.*, ((row_number() OVER (PARTITION BY l_orderkey, l_partkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice) - 1)
-               // {LINES_PER_EVENT} * blocks + (l_linenumber - 1) // {LINES_PER_EVENT}) * split + l_partkey % split AS chunk
+               // {LINES_PER_EVENT} * blocks + (l_linenumber - 1) // width) * split + l_partkey % split AS chunk
   FROM lineitem l, layout),
 published AS (
   SELECT o_orderkey, ts, coalesce(chunk, 0) AS chunk, CAST(count(l_orderkey) AS INTEGER) AS items,

@@ -362,13 +362,16 @@ def cart_snapshot(spark, sf_dir):
 
 @query
 def cart_blob_snapshot(spark, sf_dir):
-    """The same through encoded cart blobs; every seventh user's blob is cut short."""
-    lines = _carts(spark, sf_dir)
-    blob = cart_blob.encode_line(F.col("user_id"), F.col("product_id"), F.col("quantity"))
-    dump = lines.select(F.col("user_id").alias("key"), blob.alias("value")).withColumn(
+    """The same through encoded carts, one blob per user with all lines; some have
+    fields nobody knows, every seventh is cut short."""
+    items = F.array_sort(F.collect_list(F.struct("product_id", "quantity")))  # a cart has a line per product
+    whole = _carts(spark, sf_dir).groupBy("user_id").agg(items.alias("items"))
+    key = F.col("user_id").cast("bigint")
+    blob = cart_blob.encode(F.col("user_id"), F.col("items"))
+    blob = F.when(key % 5 == 1, F.concat(F.unhex(F.lit("2D00000000")), blob, F.unhex(F.lit("1807")))).otherwise(blob)
+    dump = whole.select(F.col("user_id").alias("key"), blob.alias("value")).withColumn(
         "value",
-        F.when(F.col("key").cast("bigint") % 7 == 0, F.expr("substring(value, 1, octet_length(value) - 1)"))
-        .otherwise(F.col("value")),
+        F.when(F.col("key").cast("bigint") % 7 == 0, F.expr("substring(value, 1, octet_length(value) - 1)")).otherwise(F.col("value")),
     )
     return carts.snapshot(carts.blob_lines(carts.decode_blobs(dump)), F.lit("2024-01-31").cast("timestamp"))
 

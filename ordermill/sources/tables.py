@@ -128,22 +128,24 @@ def orders_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order event: header columns plus an ``items`` array of all its lines.
 
     An order is one event while no order has more than :data:`LINES_PER_EVENT` lines.
-    Otherwise lines go by line number, then by product, so that the first line of a
+    Otherwise lines go by line number, finer the larger the largest order is, then by
+    product, so that the first line of a
     product stays in the earliest event that holds the product; equal lines are folded
     on the map side, and what one event can't hold of them goes to later events.
     Nothing is left out, and no array holds much more than a share of its order.
     """
     lineitem = table(spark, sf_dir, "lineitem")
-    block = F.floor((F.col("l_linenumber") - 1) / LINES_PER_EVENT)
-    sizes = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.max(block).alias("block"))
-    layout = sizes.agg(  # one row
-        F.greatest(F.lit(1), F.ceil(F.max("n") / LINES_PER_EVENT)).alias("split"), (F.max("block") + 1).alias("blocks")
-    )
+    sizes = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.max("l_linenumber").alias("line"))
+    split = F.greatest(F.lit(1), F.ceil(F.max("n") / LINES_PER_EVENT))
+    layout = sizes.agg(split.alias("split"), F.max("line").alias("lines")).select(  # one row
+        "split", "lines", F.greatest(F.lit(1), F.floor(F.lit(LINES_PER_EVENT) / F.col("split"))).alias("width")
+    ).withColumn("blocks", F.floor((F.col("lines") - 1) / F.col("width")) + 1)
     copies = (
-        lineitem.select("l_orderkey", F.col("l_partkey").alias("part"), *_line_columns(), block.alias("block"))
-        .groupBy("l_orderkey", "part", *LINE_ORDER, "block")
+        lineitem.select("l_orderkey", F.col("l_partkey").alias("part"), *_line_columns())
+        .groupBy("l_orderkey", "part", *LINE_ORDER)
         .agg(F.count(F.lit(1)).alias("n"))
-        .join(F.broadcast(layout), F.lit(True))
+        .join(F.broadcast(layout.drop("lines")), F.lit(True))
+        .withColumn("block", F.floor((F.col("line") - 1) / F.col("width")))
         .withColumn("turn", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / LINES_PER_EVENT))))
     )
     chunk = (F.col("turn") * F.col("blocks") + F.col("block")) * F.col("split") + F.pmod("part", "split")
@@ -190,7 +192,8 @@ def order_events(spark: SparkSession, sf_dir: str, replays: bool = True) -> Data
     base = orders_with_items(spark, sf_dir)
     raw = ev.to_event_json(
         F.col("order_id"),
-        F.concat(F.lit("track-"), F.col("order_id")),
+        # Events of one order are told apart by their parcel.
+        F.concat(F.lit("track-"), F.col("order_id"), F.when(F.col("chunk") > 0, F.concat(F.lit("-"), F.col("chunk"))).otherwise("")),
         F.col("shipping_cost"),
         _address(F.col("o_orderkey")),
         F.col("items"),
@@ -394,16 +397,16 @@ def checkouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     spoil = lambda n, value, good: F.when(nation == n, F.lit(value)).otherwise(good)
     return table(spark, sf_dir, "customer").select(
         key.alias("checkout_id"),
-        spoil(0, "buyer@example", F.concat(F.lit("buyer"), key.cast("string"), F.lit("@example.com"))).alias("email"),
-        spoil(1, "12345 example street" * 30, F.lit("12345 example street")).alias("street_address"),
-        spoil(2, 0, F.lit(10_004)).alias("zip_code"),
-        spoil(3, "", F.lit("New York")).alias("city"),
-        spoil(4, "", F.lit("New York")).alias("state"),
-        spoil(5, "", F.lit("United States")).alias("country"),
-        spoil(6, "5272940000", card).alias("cc_number"),
+        spoil(0, "no address", F.concat(F.lit("buyer"), key.cast("string"), F.lit("@example.com"))).alias("email"),
+        spoil(1, "long lane " * 60, F.lit("4 Harbour Row")).alias("street_address"),
+        spoil(2, 0, F.lit(20_457)).alias("zip_code"),
+        spoil(3, "", F.lit("Hamburg")).alias("city"),
+        spoil(4, "", F.lit("HH")).alias("state"),
+        spoil(5, "", F.lit("Germany")).alias("country"),
+        spoil(6, "4100000000", card).alias("cc_number"),
         F.when(nation == 7, 0).when(nation == 8, 13).otherwise((key % 12 + 1).cast("int")).alias("cc_month"),
         spoil(9, 0, (key % 4 + 2023).cast("int")).alias("cc_year"),
-        spoil(10, 0, F.lit(584)).alias("cc_cvv"),
+        spoil(10, 0, F.lit(731)).alias("cc_cvv"),
     )
 
 

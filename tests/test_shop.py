@@ -48,32 +48,51 @@ def varint(n):
     return out + bytes([n])
 
 
-def test_blob_decoding(spark):
-    good = cart_blob.encode_cart("u", [("OLJ", 2), ("", 5), ("X", 0), ("NEG", -3), ("big", 300)])
-    unknown_fields = good + b"\x18\x07" + b"\x21" + b"\0" * 8 + b"\x2d" + b"\0" * 4
-    dump = [
-        ("good", bytearray(good)),
-        ("extra", bytearray(unknown_fields)),
-        ("cut", bytearray(good[:-1])),
-        ("wire", bytearray(b"\x0b")),
-        ("long", bytearray(b"\x08" + b"\xff" * 11)),
-        ("empty", bytearray(b"")),
-        ("null", None),
-    ]
-    decoded = carts.decode_blobs(spark.createDataFrame(dump, "key string, value binary"))
-    assert tuple(carts.scan_report(decoded).first()) == (2, 3)
-    items = {r["key"]: [(i["product_id"], i["quantity"]) for i in r["items"]] for r in decoded.where("not malformed").collect()}
-    assert items["good"] == [("OLJ", 2), ("", 5), ("X", 0), ("NEG", -3), ("big", 300)] == items["extra"]
-    lines = carts.blob_lines(decoded)
-    snap = {r["product_id"]: (r["units_in_cart"], r["carts_with_product"]) for r in carts.snapshot(lines, ts("2026-01-01")).collect()}
-    assert snap == {"OLJ": (4, 2), "big": (600, 2)}
+def part(number, content):
+    return varint(number * 8 + 2) + varint(len(content)) + content
+
 
+def cart(user, *lines):
+    """A cart written by hand; a quantity of None is left out."""
+    body = [part(2, part(1, p.encode()) + (b"" if q is None else varint(16) + varint(q))) for p, q in lines]
+    return part(1, user.encode()) + b"".join(body)
 
-def test_line_encoding_matches_the_cart_encoding(spark):
-    row = spark.createDataFrame([("u", "p", 200)], "u string, p string, q bigint").select(
-        cart_blob.encode_line(F.col("u"), F.col("p"), F.col("q"))
-    ).first()
-    assert bytes(row[0]) == b"\x0a\x01u\x12\x06\x0a\x01p\x10" + varint(200)
+
+def test_blob_decoding(spark):
+    lines = [("tea", 2), ("", 5), ("cup", None), ("owed", -3), ("saucer é", 70_000)]
+    whole = cart("ann", *lines)
+    twice = part(2, part(1, b"first") + part(1, b"second") + varint(16) + varint(1) + varint(16) + varint(9))
+    dump = {
+        "whole": whole,
+        "unknown": b"\x20\x01" + whole + varint(9 * 8 + 1) + bytes(8) + varint(10 * 8 + 5) + bytes(4) + part(11, b"?"),
+        "several": cart("bob", ("pot", 1)) + cart("bob", ("lid", 2)),
+        "last wins": twice,
+        "cut": whole[:-1],
+        "cut inside": part(2, part(1, b"tea")[:-1]),
+        "group": b"\x13",
+        "endless": b"\x10" + b"\xff" * 12,
+        "no text": part(2, part(1, b"\xff\xfe")),
+        "long length": b"\x12\xff\xff\xff\xff\xff\xff\xff\xff\x7f",
+        "none": b"",
+        "null": None,
+    }
+    frame = spark.createDataFrame([(k, None if v is None else bytearray(v)) for k, v in dump.items()], "key string, value binary")
+    for rows in (frame, frame.repartition(3)):
+        decoded = carts.decode_blobs(rows)
+        assert tuple(carts.scan_report(decoded).first()) == (4, 6)
+        items = {r["key"]: [tuple(i) for i in r["items"]] for r in decoded.where("not malformed").collect()}
+        want = [(p, q or 0) for p, q in lines]
+        assert items == {"whole": want, "unknown": want, "several": [("pot", 1), ("lid", 2)], "last wins": [("second", 9)]}
+    snap = {r["product_id"]: (r["units_in_cart"], r["carts_with_product"]) for r in carts.snapshot(carts.blob_lines(decoded), ts("2026-01-01")).collect()}
+    assert snap == {"tea": (4, 2), "saucer é": (140_000, 2), "pot": (1, 1), "lid": (2, 1), "second": (9, 1)}
+    assert carts.decode_blobs(frame.limit(0)).count() == 0
+
+
+def test_encoded_carts_are_the_same_bytes(spark):
+    rows = [("u", [("p", 200), ("x" * 300, 1), ("é", 0)]), ("v", [])]
+    frame = spark.createDataFrame(rows, "user string, items array<struct<product_id:string,quantity:bigint>>")
+    got = {r[0]: bytes(r[1]) for r in frame.select("user", cart_blob.encode(F.col("user"), F.col("items"))).collect()}
+    assert got == {"u": cart("u", ("p", 200), ("x" * 300, 1), ("é", None)), "v": cart("v")}
 
 
 def test_snapshot_upsert_and_retention(spark, folder):
@@ -199,19 +218,19 @@ def test_missing_product_fails_the_cart(spark):
 
 
 def test_recommendations(spark):
-    pool = spark.createDataFrame([(f"p{i}",) for i in range(8)], "product_id string")
-    requests = spark.createDataFrame(
-        [("r1", ["p0", "p1", "p1"]), ("r2", None), ("r3", [f"p{i}" for i in range(6)])], "request_id string, basket array<string>"
-    )
-    first, again = (sorted(map(tuple, suggest.recommend(requests, pool, seed=1).collect())) for _ in range(2))
+    shelf = spark.createDataFrame([(f"p{i}",) for i in range(8)], "product_id string")
+    requests = spark.createDataFrame([("r1",), ("r2",), ("r3",)], "request_id string")
+    held = [("r1", "p0"), ("r1", "p1"), ("r1", "elsewhere")] + [("r3", f"p{i}") for i in range(6)]
+    baskets = spark.createDataFrame(held, "request_id string, product_id string")
+    first, again = (sorted(map(tuple, suggest.recommend(requests, baskets, shelf, seed=1).collect())) for _ in range(2))
     assert first == again
     of = lambda r: [x for x in first if x[0] == r]
     assert len(of("r1")) == 5 and not {"p0", "p1"} & {x[2] for x in of("r1")}
     assert len({x[2] for x in of("r2")}) == 5 and sum(x[3] for x in of("r2")) == 4
-    assert {x[2] for x in of("r3")} == {"p6", "p7"}
-    wide = spark.range(1500).selectExpr("cast(id as string) product_id")
-    with pytest.raises(Exception, match="limited to"):
-        suggest.recommend(requests, wide).collect()
+    assert {x[2] for x in of("r3")} == {"p6", "p7"} and [x[1] for x in of("r3")] == [1, 2]
+    wide = spark.range(5000).selectExpr("cast(id as string) product_id")
+    assert suggest.recommend(requests, baskets, wide).count() == 15
+    assert suggest.recommend(requests, baskets, wide.limit(0)).count() == 0
 
 
 def test_ads(spark):
@@ -231,7 +250,7 @@ def test_ads(spark):
     assert sorted(r["request_id"] for r in chosen) == [1, 2, 3, 4]
 
 
-def test_nearest_equals_brute_force_in_any_number_of_passes(spark):
+def test_nearest_equals_brute_force_in_any_number_of_blocks(spark, monkeypatch):
     rng = np.random.default_rng(5)
     data = rng.normal(size=(300, 16)).astype(np.float32)
     data[17] = data[42]  # a tie
@@ -241,9 +260,11 @@ def test_nearest_equals_brute_force_in_any_number_of_passes(spark):
     queries = spark.createDataFrame([(q, v.tolist()) for q, v in enumerate(asked)], "query_id bigint, query array<double>")
     wide = data.astype(np.float64)
     scores = (wide @ asked.T) / (np.linalg.norm(wide, axis=1)[:, None] * np.linalg.norm(asked, axis=1))
-    for per_pass in (2, 256):
+    for rows, block in ((8_192, 256), (50, 3)):
+        monkeypatch.setattr(vectors, "ROWS_PER_BLOCK", rows)
+        monkeypatch.setattr(vectors, "QUERIES_PER_BLOCK", block)
         got = {}
-        for r in vectors.nearest(frame, queries, 6, per_pass=per_pass).collect():
+        for r in vectors.nearest(frame, queries, 6).collect():
             got.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
         for q in range(7):
             want = sorted(range(300), key=lambda i: (-round(scores[i, q], 12), i))[:6]
@@ -251,24 +272,34 @@ def test_nearest_equals_brute_force_in_any_number_of_passes(spark):
     assert vectors.nearest(frame, queries.limit(0), 3).count() == 0
 
 
+def test_vectors_without_direction_take_no_part(spark):
+    odd = [(0, [1.0, 0.0]), (1, [0.0, 0.0]), (2, [0.6, 0.8]), (3, None), (4, [float("nan"), 1.0]), (5, [None, 1.0]), (6, [0.0, 1.0])]
+    frame = spark.createDataFrame(odd, "vec_id bigint, embedding array<double>")
+    queries = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 0.0]), (2, None)], "query_id bigint, query array<double>")
+    for k, want in ((1, [0]), (2, [0, 2]), (9, [0, 2, 6])):
+        assert [(r["query_id"], r["vec_id"]) for r in vectors.nearest(frame, queries, k).orderBy("rank").collect()] == [(0, v) for v in want]
+
+
 # --- screening --------------------------------------------------------------------
 
-GOOD = dict(email="test@example.com", street_address="12345 example street", zip_code=10004, city="New York", state="New York",
-            country="United States", cc_number="5272940000751666", cc_month=4, cc_year=2024, cc_cvv=584)
-BROKEN = [
-    ("email", "test@example"), ("street_address", "12345 example street" * 513), ("zip_code", 0), ("city", ""), ("state", ""),
-    ("country", ""), ("cc_number", "5272940000"), ("cc_month", 0), ("cc_month", 13), ("cc_year", 0), ("cc_cvv", 0),
-]
+SOUND = {"email": "rosa.lind@post.example.org", "street_address": "Kirkgate 9", "zip_code": 55_120, "city": "Mainz", "state": "RP", "country": "Germany",
+         "cc_number": "4539578763621486", "cc_month": 11, "cc_year": 2031, "cc_cvv": 217}
+# What each rule refuses.
+REFUSED = {
+    "cc_cvv": [0], "email": ["", "rosa.lind", "@post.example.org"], "zip_code": [0], "city": [""], "country": [""], "state": [""],
+    "street_address": ["", "K" * 600], "cc_month": [-2, 0, 13, 40], "cc_year": [0], "cc_number": ["", "4539578763621487", "45395787"],
+}
 
 
 def test_checkout_rules(spark):
-    rows = [GOOD] + [{**GOOD, k: v} for k, v in BROKEN]
-    schema = ", ".join(f"{k} {'string' if isinstance(v, str) else 'bigint'}" for k, v in GOOD.items())
+    broken = [(k, v) for k, values in REFUSED.items() for v in values]
+    rows = [SOUND] + [{**SOUND, k: v} for k, v in broken]
+    schema = ", ".join(f"{k} {'string' if isinstance(v, str) else 'bigint'}" for k, v in SOUND.items())
     frame = spark.createDataFrame([tuple(r.values()) for r in rows], schema)
     screened = screening.screen(frame, screening.checkout_error())
-    assert [r["first_error"] for r in screened.collect()] == [None] + [k for k, _ in BROKEN]
+    assert [r["first_error"] for r in screened.collect()] == [None] + [k for k, _ in broken]
     good, bad = screening.split(screened)
-    assert (good.count(), bad.count()) == (1, 11)
+    assert (good.count(), bad.count()) == (1, len(broken))
 
 
 def test_cart_and_currency_rules(spark):
@@ -325,5 +356,9 @@ def test_sliding_counts_and_alerts(spark):
     assert fresh["age_seconds"] == 3599.0 and fresh["in_sla"]
     samples = spark.createDataFrame([("2024-01-01 00:00:00", 500), ("2024-01-01 00:04:00", 200)], "t string, lag bigint")
     samples = samples.select(F.col("t").cast("timestamp").alias("ts"), F.lit("orders").alias("topic"), "lag")
-    # Only the windows that end before the second sample saw a high lag throughout.
-    assert monitoring.alert_lag(samples).count() == 16
+    # Two samples say nothing of the time between a window's first and last step.
+    assert monitoring.alert_lag(samples).count() == 0
+    steps = [(f"2024-01-01 00:{m:02}:{s:02}", 500 if m < 6 else 200) for m in range(8) for s in (0, 15, 30, 45)]
+    steady = spark.createDataFrame(steps, "t string, lag bigint").select(F.col("t").cast("timestamp").alias("ts"), F.lit("orders").alias("topic"), "lag")
+    held = [r["window_start"].strftime("%M:%S") for r in monitoring.alert_lag(steady).orderBy("window_start").collect()]
+    assert held == ["00:00", "00:15", "00:30", "00:45", "01:00"]

@@ -6,6 +6,7 @@ from conftest import SMALL
 
 import __spark_entry__ as entry_module
 from compare import TABLES, duck, rows_of
+from ordermill.sources import tables
 
 HOT = {
     "lineitem": """
@@ -35,7 +36,8 @@ def skewed(tmp_path_factory):
     "name",
     ["silver_order_items", "bi_revenue_by_hour", "bi_top_products", "bi_cart_not_paid", "reconcile_totals",
      "ingest_routes", "bronze_rows", "bronze_health", "cart_fold", "cart_totals", "order_totals",
-     "recommendations", "ads_for_request", "chosen_ads", "stream_cart_fold"],
+     "recommendations", "ads_for_request", "chosen_ads", "stream_cart_fold", "order_event_items", "quarantine",
+     "quality_report_faulty", "reconcile_differences"],
 )
 def test_same_results(spark, skewed, name):
     ours = entry_module.queries()[name](spark, skewed).toArrow()
@@ -44,9 +46,10 @@ def test_same_results(spark, skewed, name):
 
 
 @pytest.mark.parametrize(
-    "name, joined_on", [("bronze_rows", "order_id"), ("bi_revenue_by_hour", "l_orderkey"), ("cart_fold", "_user")]
+    "frame_of, joined_on",
+    [(tables.order_events, "order_id"), (tables.order_lines, "l_orderkey"), (entry_module.queries()["cart_fold"], "_user")],
 )
-def test_hot_side_of_the_join_is_split(spark, skewed, name, joined_on):
+def test_hot_side_of_the_join_is_split(spark, skewed, frame_of, joined_on):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2000",
@@ -62,7 +65,7 @@ def test_hot_side_of_the_join_is_split(spark, skewed, name, joined_on):
         spark.conf.set(key, value)
     try:
         source = _many_files(spark, skewed)
-        frame = entry_module.queries()[name](spark, source)
+        frame = frame_of(spark, source)
         frame.collect()
         plan = frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
         assert f"SortMergeJoin(skew=true) [{joined_on}" in plan, [l for l in plan.splitlines() if "SortMergeJoin" in l]
@@ -80,3 +83,17 @@ def _many_files(spark, folder):
             "partitionOverwriteMode", "static"
         ).parquet(target)
     return out
+
+
+def test_an_order_of_many_lines_keeps_them_all(spark, skewed):
+    """3 000 copies of a line, and an order with a third of all lines: nothing is lost, no event holds much."""
+    events = entry_module.queries()["order_event_items"](spark, skewed).where("_kafka_offset % 1000000000000 < 1000000000")
+    lines = spark.read.parquet(f"{skewed}/lineitem.parquet").where("l_orderkey in (7, 8)").groupBy("l_orderkey").count()
+    per_order = events.groupBy("order_id").agg({"items": "sum", "*": "count"}).where("order_id in ('7', '8')")
+    assert {int(r["order_id"]): r["sum(items)"] for r in per_order.collect()} == {r["l_orderkey"]: r["count"] for r in lines.collect()}
+    assert events.agg({"items": "max"}).first()[0] <= 300
+
+
+def test_silver_joins_lines_to_headers_once(spark):
+    plan = tables.orders_with_items(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Join Inner, (order_id" in line for line in plan.splitlines()) == 1

@@ -1,5 +1,6 @@
 """Streams run to the end of what is there; running them again changes nothing."""
 
+import datetime
 import json
 
 from pyspark.sql import functions as F
@@ -88,6 +89,30 @@ def test_cart_stream_over_several_batches(spark, folder):
     assert lines() == [("1", "q", 1), ("2", "p", 7)]
 
 
+def test_carts_go_by_event_time_and_not_by_batch(spark, folder):
+    """A late add from before the empty stays out, a late empty leaves newer adds, a replayed add counts once."""
+    batches = [
+        [(1, "empty", None, 0, 50, 9), (1, "add", "new", 2, 60, 10)],
+        [(1, "add", "old", 7, 40, 8), (1, "add", "new", 1, 70, 11), (2, "add", "kept", 3, 90, 21)],
+        [(2, "add", "gone", 5, 10, 20), (1, "add", "new", 1, 70, 11)],
+        [(2, "empty", None, 0, 30, 22)],
+    ]
+    for rows in batches:
+        frame = spark.createDataFrame(rows, "user_id bigint, action string, product_id string, quantity bigint, t bigint, event_id bigint")
+        frame.withColumn("ts", F.timestamp_seconds("t")).drop("t").coalesce(1).write.mode("append").parquet(f"{folder}/events")
+        lines = cart_stream.run_available(spark, f"{folder}/events", folder)
+    assert sorted(map(tuple, lines.collect())) == [("1", "new", 3), ("2", "kept", 3)]
+
+
+def test_first_arrival_is_the_earliest_message(spark, folder):
+    """By time, before partition and offset, over both topics."""
+    at = lambda minute: datetime.datetime(2031, 5, 17, 6, minute)
+    rows = [(None, json.dumps(order(items=[item("A", q)])), topic, part, offset, at(minute))
+            for q, topic, part, offset, minute in ((9, "orders", 0, 5, 30), (1, "orders", 3, 70, 2), (4, "orders_retry", 0, 1, 10))]
+    etl.process_batch(f"{folder}/order_items", lambda *_: None)(spark.createDataFrame(rows, MESSAGE), 0)
+    assert [r["quantity"] for r in etl.read_order_items(spark, f"{folder}/order_items").collect()] == [1]
+
+
 def test_metric_stream(spark, folder):
     rows = [(5, "dlq"), (6, "dlq"), (3600, "success"), (7200, "dlq")]
     spark.createDataFrame(rows, "t bigint, status string").select(F.timestamp_seconds("t").alias("ts"), "status").write.parquet(f"{folder}/in")
