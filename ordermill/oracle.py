@@ -695,9 +695,26 @@ FROM events_seen WHERE ts < TIMESTAMP '1999-01-01' AND CAST(ts AS DATE) + 1 < TI
 WITH {HEADERS} SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS event_date FROM headers WHERE o_orderkey % 5 = 0"""
 
     q["stream_order_items"] = f"""
-WITH {GOLD}
+WITH {GOLD},
+fine AS (SELECT DISTINCT l_orderkey FROM lines WHERE l_orderkey % 97 NOT BETWEEN 1 AND 8)
 SELECT order_id, product_id, quantity, currency_code, unit_price, total_price,
-       event_timestamp, status, event_date FROM gold"""
+       event_timestamp, status, event_date FROM gold SEMI JOIN fine USING (l_orderkey)"""
+
+    q["stream_outcomes"] = f"""
+WITH {ROUTES},
+copies AS (SELECT r.* FROM routes r, (VALUES (0), (1)) c(copy) WHERE copy = 0 OR o_orderkey % 10 = 0),
+ended AS (
+  -- An envelope of attempt 1 with items is sent twice more before it is given up.
+  SELECT unnest(CASE WHEN status = 'retry' THEN ['retry', 'retry', 'dlq'] ELSE [status] END) AS status FROM copies)
+SELECT status, count(*) AS n FROM ended GROUP BY 1"""
+
+    q["bronze_first_load"] = f"""
+WITH {EVENTS} SELECT CAST(ts AS DATE) AS _event_date, count(*) AS rows FROM events_seen WHERE copy = 0 GROUP BY 1"""
+
+    q["bronze_backfill"] = f"""
+WITH {EVENTS}
+SELECT CAST(ts AS DATE) AS _event_date, count(*) FILTER (WHERE year(ts) < 1996) AS missing, CAST(0 AS BIGINT) AS left,
+       count(*) FILTER (WHERE copy = 0) AS events FROM events_seen GROUP BY 1"""
 
     q["stream_cart_fold"] = q["cart_fold"]
     return q

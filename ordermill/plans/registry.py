@@ -219,7 +219,11 @@ def ingest_routes(spark, sf_dir):
 
 @query
 def ingest_outcomes(spark, sf_dir):
-    return ingest.count_outcomes(_routed(spark, sf_dir))
+    """Outcomes of the messages as a file of JSON lines; envelopes find the target away."""
+    root = fresh_dir(spark, "lines")
+    tables.faulty_messages(spark, sf_dir).select("value").write.text(f"{root}/messages")
+    lines = files.read_jsonl(spark, f"{root}/messages")
+    return ingest.count_outcomes(ingest.outcome(lines, transient=F.col("value").startswith('{"original":')))
 
 
 @query
@@ -266,6 +270,31 @@ def bronze_sync(spark, sf_dir):
     return table.select("order_id", "_event_date", "_kafka_partition", "_kafka_offset")
 
 
+@query
+def bronze_first_load(spark, sf_dir):
+    """Everything landed into an empty table, then a sync that finds nothing; rows per day."""
+    landed, root = store.landed(spark, sf_dir), fresh_dir(spark, "lake")
+    bronze.load_full(spark, landed, f"{root}/bronze", f"{root}/ledger")
+    bronze.sync(spark, landed, f"{root}/bronze", f"{root}/ledger")
+    table = bronze.read_bronze(spark, f"{root}/bronze")
+    return table.groupBy("_event_date").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def bronze_backfill(spark, sf_dir):
+    """Days stored before two columns existed, read with them missing, then filled in."""
+    root, rows = fresh_dir(spark, "lake"), store.layers(spark, sf_dir).bronze
+    rows = upkeep.with_columns_of(rows.drop("order_id", "_row_id").where("year(_event_date) < 1996"), rows).unionByName(rows.where("year(_event_date) >= 1996"))
+    rows.repartition("_event_date").write.partitionBy("_event_date").parquet(f"{root}/bronze")
+    before = bronze.read_bronze(spark, f"{root}/bronze").groupBy("_event_date").agg(F.count_if(F.col("_row_id").isNull()).alias("missing")).collect()
+    bronze.backfill(spark, f"{root}/bronze")
+    missing = spark.createDataFrame(before, "_event_date date, missing bigint")
+    after = bronze.read_bronze(spark, f"{root}/bronze").groupBy("_event_date").agg(
+        F.count_if(F.col("_row_id").isNull() | F.col("order_id").isNull()).alias("left"), F.count_distinct("_row_id").alias("events")
+    )
+    return missing.join(after, "_event_date")
+
+
 @query
 def bronze_rows(spark, sf_dir):
     rows = bronze.one_per_row_id(store.layers(spark, sf_dir).bronze)
@@ -373,6 +402,9 @@ def cart_blob_snapshot(spark, sf_dir):
         "value",
         F.when(F.col("key").cast("bigint") % 7 == 0, F.expr("substring(value, 1, octet_length(value) - 1)")).otherwise(F.col("value")),
     )
+    root = fresh_dir(spark, "dump")
+    dump.write.parquet(f"{root}/carts")
+    dump = files.read_cart_dump(spark, f"{root}/carts")
     return carts.snapshot(carts.blob_lines(carts.decode_blobs(dump)), F.lit("2024-01-31").cast("timestamp"))
 
 
@@ -425,7 +457,10 @@ def vector_export(spark, sf_dir):
 
 @query
 def catalog_upsert(spark, sf_dir):
-    feed = feeds.from_csv_feed(tables.csv_feed(spark, sf_dir))
+    """A feed file with header and quoted text, read back and merged into the catalogue."""
+    root = fresh_dir(spark, "feed")
+    tables.csv_feed(spark, sf_dir).write.option("header", "true").option("escape", '"').csv(f"{root}/feed")
+    feed = feeds.from_csv_feed(files.read_products_csv(spark, f"{root}/feed"))
     stored = tables.products(spark, sf_dir).withColumn("currency_code", F.lit("GBP"))
     return feeds.upsert_products(stored, feed, keep_currency=True)
 
@@ -695,25 +730,42 @@ def orphans(spark, sf_dir):
 
 
 def _message_files(spark, sf_dir, root):
-    """The order topic as files, in the column layout of a broker."""
-    messages = tables.order_events(spark, sf_dir).select(
-        F.col("o_orderkey").cast("string").alias("key"),
-        F.col("raw").alias("value"),
-        F.col("_source_topic").alias("topic"),
-        F.col("_kafka_partition").alias("partition"),
-        F.col("_kafka_offset").alias("offset"),
-        F.col("_ingested_at").alias("timestamp"),
+    """Orders with all kinds of faults as files of the order and the retry topic, in the
+    layout of a broker. Every tenth order comes again, hours later with other quantities,
+    in another partition, where it has the smaller offset."""
+    value = F.col("value")
+    again = F.regexp_replace(value, '"quantity":[0-9]+', '"quantity":77')
+    at = F.lit("2026-01-01").cast("timestamp") + F.make_dt_interval(mins=(F.col("o_orderkey") % 60).cast("int"))
+    first = F.struct(value.alias("value"), (F.col("o_orderkey") % 3 + 1).cast("int").alias("partition"), F.col("o_orderkey").alias("offset"), at.alias("timestamp"))
+    late = F.struct(again.alias("value"), F.lit(0).alias("partition"), F.lit(0).cast("bigint").alias("offset"), (at + F.expr("interval 5 hours")).alias("timestamp"))
+    both = F.when(F.col("o_orderkey") % 10 == 0, F.array(first, late)).otherwise(F.array(first))
+    messages = tables.faulty_messages(spark, sf_dir).select(F.col("o_orderkey").cast("string").alias("key"), F.explode(both).alias("m")).select(
+        "key", "m.value", F.when(F.col("m.value").startswith('{"original":'), "orders_retry").otherwise("orders").alias("topic"), "m.partition", "m.offset", "m.timestamp"
     )
-    messages.write.parquet(f"{root}/topics/orders/batch=0")
+    for topic in ("orders", "orders_retry"):
+        messages.where(F.col("topic") == topic).write.parquet(f"{root}/topics/{topic}/batch=first")
 
 
-@query
-def stream_order_items(spark, sf_dir):
-    """The order topic through the ingest stream into the order_items table."""
+def _drained(spark, sf_dir):
+    """Both topics through the ingest stream, again and again until no retry is left."""
     root = fresh_dir(spark, "stream")
     _message_files(spark, sf_dir, root)
-    etl.run_available(spark, root)
-    return etl.read_order_items(spark, f"{root}/order_items")
+    for _ in range(ingest.RETRY_MAX_ATTEMPT + 1):
+        etl.run_available(spark, root, transient=F.col("attempt") > 0)
+    return root
+
+
+@query
+def stream_order_items(spark, sf_dir):
+    """What the ingest stream stored: first arrivals of the orders without a fault."""
+    return etl.read_order_items(spark, f"{_drained(spark, sf_dir)}/order_items")
+
+
+@query
+def stream_outcomes(spark, sf_dir):
+    """How the stream's messages ended, retries counted each time."""
+    counted = spark.read.parquet(f"{_drained(spark, sf_dir)}/outcomes")
+    return counted.groupBy("status").agg(F.sum("n").cast("bigint").alias("n"))
 
 
 @query

@@ -78,7 +78,10 @@ def test_sync_is_idempotent_bounded_and_survives_a_lost_ledger(spark, folder):
     assert bronze.read_bronze(spark, table).count() == 3
     health = bronze.health(bronze.read_bronze(spark, table)).first()
     assert tuple(health) == (3, 3, 0, 0)
-    assert bronze.load_full(spark, f"{folder}/data", table) == 0
+    assert bronze.load_full(spark, folder, table, ledger) == 0
+    # A first load takes all files, each event once, and leaves nothing to sync.
+    assert bronze.load_full(spark, folder, f"{folder}/bronze3", f"{folder}/ledger3") == 3
+    assert bronze.sync(spark, folder, f"{folder}/bronze3", f"{folder}/ledger3") == 0
 
 
 def test_undated_copy_on_another_day_is_not_added(spark, folder):
@@ -92,8 +95,8 @@ def test_undated_copy_on_another_day_is_not_added(spark, folder):
 
 def test_full_load_of_a_plain_date_tree(spark, folder):
     rows = landing.decorate(events(spark, ("a", "2026-10-10T10:00:00Z")), now())
-    rows.write.parquet(f"{folder}/zone/2026/10/10")
-    assert bronze.load_full(spark, f"{folder}/zone", f"{folder}/bronze") == 1
+    rows.write.parquet(f"{folder}/zone/data/2026/10/10")
+    assert bronze.load_full(spark, f"{folder}/zone", f"{folder}/bronze", f"{folder}/ledger") == 1
 
 
 def test_backfill(spark, folder):
