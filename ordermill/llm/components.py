@@ -21,12 +21,14 @@ def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     both = saved(there.unionByName(back).dropna().distinct(), "links")
     labels = saved(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("component")), "labels")
     while True:
-        near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("component").alias("low"))
-        lower = labels.join(near, F.col("node") == F.col("a")).select("node", F.col("component").alias("was"), F.least("component", "low").alias("low"))
+        # A node's own label carries on beside its neighbours'; ``was`` is null in theirs.
+        own = labels.select("node", F.col("component").alias("low"), F.col("component").alias("was"))
+        near = both.join(labels, both.b == labels.node).select(F.col("a").alias("node"), F.col("component").alias("low"), F.lit(None).cast("bigint").alias("was"))
+        lower = own.unionByName(near).groupBy("node").agg(F.min("low").alias("low"), F.max("was").alias("was"))
         aim = labels.select(F.col("node").alias("aim"), F.col("component").alias("beyond"))
+        component = F.least("low", "beyond")
         jumped = saved(
-            lower.join(aim, F.col("low") == F.col("aim")).select("node", F.least("low", "beyond").alias("component"), (F.least("low", "beyond") < F.col("was")).alias("moved")),
-            "labels",
+            lower.join(aim, F.col("low") == F.col("aim")).select("node", component.alias("component"), (component < F.col("was")).alias("moved")), "labels"
         )
         labels = jumped.select("node", "component")
         if not jumped.where("moved").take(1):

@@ -7,9 +7,8 @@ one), so each document enters, for every chunk, all keys of that chunk with one
 within the distance meets under some key, whatever the data.
 
 Equal shingle sets are one class first, so copies never meet as pairs. Inside a bucket a member is
-compared with leaders: what lies within the distance is tied to the leader and leaves the bucket, what lies
-within twice the distance is tied as well (by the triangle inequality anything within the distance of a
-member that left is among it). The ties give candidate groups that no candidate pair crosses. In a group
+compared with leaders until the bucket is connected as its pairs within the distance connect it, without
+listing them. The ties give candidate groups that no candidate pair crosses. In a group
 documents are compared on their full shingle sets, block against block of bounded size, and only links
 that join something new come out: a group gives at most a forest of links per pair of blocks, never its pairs.
 """
@@ -166,14 +165,31 @@ class _Forest(dict):
         return a != b
 
 
+def _any_near(some: np.ndarray, others: np.ndarray, distance: int) -> np.ndarray:
+    """Which of ``some`` lie within the distance of any of ``others``."""
+    out = np.zeros(len(some), bool)
+    step = max(1, 20_000_000 // max(1, others.size))
+    for i in range(0, len(some), step):
+        out[i : i + step] = ((some[i : i + step, None] != others).sum(axis=2) <= distance).any(axis=1)
+    return out
+
+
 def ties(ids: np.ndarray, signatures: np.ndarray, distance: int) -> list[tuple[int, int]]:
-    """Leader and member pairs of one bucket that keep every pair within the distance connected."""
+    """Leader and member pairs of one bucket that connect exactly what pairs within the distance connect.
+
+    What lies within the distance of a leader leaves with it. Of the rest only what lies within twice
+    the distance can be near one of those that leave (triangle inequality), and is compared with them.
+    """
     out = []
     while len(ids) > 1:
         far = (signatures[1:] != signatures[0]).sum(axis=1)
-        out += [(int(ids[0]), int(b)) for b in ids[1:][far <= 2 * distance]]
-        rest = far > distance
-        ids, signatures = ids[1:][rest], signatures[1:][rest]
+        ball = far <= distance
+        tied = ball.copy()
+        ring = np.flatnonzero((far > distance) & (far <= 2 * distance))
+        if len(ring) and ball.any():
+            tied[ring] = _any_near(signatures[1:][ring], signatures[1:][ball], distance)
+        out += [(int(ids[0]), int(b)) for b in ids[1:][tied]]
+        ids, signatures = ids[1:][~ball], signatures[1:][~ball]
     return out
 
 
@@ -192,7 +208,7 @@ def _bucket_ties(distance: int):
             cuts = np.flatnonzero(np.diff(keys)) + 1
             starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(keys)]])
             two = starts[ends - starts == 2]
-            near = two[(sigs[two] != sigs[two + 1]).sum(axis=1) <= 2 * distance]
+            near = two[(sigs[two] != sigs[two + 1]).sum(axis=1) <= distance]
             for a, b in zip(ids[near].tolist(), ids[near + 1].tolist()):
                 forest.join(a, b)
             for a, b in zip(starts[ends - starts > 2], ends[ends - starts > 2]):
@@ -237,7 +253,8 @@ def candidate_ties(classes: DataFrame, setting: Setting) -> DataFrame:
         sizes = met.groupBy("key").count().where(F.col("count") > LARGE_BUCKET)
         if not sizes.take(1):
             break
-        # A leader's ball leaves all large buckets in one join, which splits where a key is hot.
+        # A leader's ball leaves all large buckets in one join, which splits where a key is hot; the
+        # ring around it is tied unseen, which makes candidate groups larger and loses no pair.
         leaders = met.join(sizes, "key").groupBy("key").agg(F.min(F.struct("id", "signature")).alias("leader"))
         led = met.join(leaders, "key", "left").withColumn("at", F.coalesce("leader.signature", "signature"))
         seen = saved(led.withColumn("far", _distance("signature", "at")), "balls")
