@@ -432,3 +432,20 @@ def distinct_documents(docs: DataFrame, setting: Setting = FIVE_WORDS, *, id_col
 
 def op4(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs, THREE_WORDS).select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+#: Every pair of documents that share a shingle; nothing of the signatures.
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) > 2 THEN [ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] FOR i IN range(1, len(ws) - 1)]
+                                      WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+r AS (SELECT doc_id AS node, doc_id AS low FROM documents UNION SELECT l.a, r.low FROM l JOIN r ON l.b = r.node)
+SELECT node AS doc_id, coalesce(max(n.n), 0)::BIGINT AS n_shingles, min(low) AS component_id, node = min(low) AS kept
+FROM r LEFT JOIN n ON n.doc_id = node GROUP BY node
+"""

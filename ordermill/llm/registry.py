@@ -26,4 +26,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_mixing": mixing.ORACLE, "op10_projection_dedup": projection.ORACLE}
+    return {"op4_hamming_dedup": hamming.ORACLE, "op9_mixing": mixing.ORACLE, "op10_projection_dedup": projection.ORACLE}

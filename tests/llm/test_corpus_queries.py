@@ -516,6 +516,7 @@ def test_twins_agree(spark, tables, result):
     docs = spark.read.parquet(f"{tables[0]}/documents.parquet").where("doc_id <> 7")
     vectors = spark.read.parquet(f"{tables[0]}/embeddings.parquet").where("vec_id < 10000")
     assert rows_of(mixing.op9(docs).toArrow()) == rows_of(con.execute(oracles["op9_mixing"]).to_arrow_table())
+    assert rows_of(hamming.op4(docs).toArrow()) == rows_of(con.execute(oracles["op4_hamming_dedup"]).to_arrow_table())
     assert rows_of(projection.op10(vectors).toArrow()) == rows_of(con.execute(oracles["op10_projection_dedup"]).to_arrow_table())
 
 
