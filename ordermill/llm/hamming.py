@@ -121,13 +121,21 @@ def sketch(docs: DataFrame, setting: Setting, *, id_col: str = "doc_id", text_co
 
 
 def chunk_keys(signatures: np.ndarray, setting: Setting) -> np.ndarray:
-    """(documents, slots) keys: every chunk with each of its slots left out."""
+    """(documents, slots) keys: every chunk with each of its slots left out.
+
+    Neighbouring slots of a chunk share the upper half of their keys, made from the slots that neither
+    leaves out: dealt by it, buckets that hold the same documents mostly meet in one task.
+    """
     parts = signatures.reshape(len(signatures), setting.chunks, setting.chunk).astype(np.uint64)
-    powers = np.uint64(1) << (np.arange(setting.chunk, dtype=np.uint64) * np.uint64(8))
-    values = parts * powers
-    left = values.sum(axis=2, dtype=np.uint64)[:, :, None] - values
-    tags = np.arange(setting.slots, dtype=np.uint64).reshape(setting.chunks, setting.chunk) << np.uint64(8 * setting.chunk)
-    return _mixed((left + tags).reshape(len(signatures), -1) * M1).view(np.int64)
+    values = parts << (np.arange(setting.chunk, dtype=np.uint64) * np.uint64(8))
+    whole = values.sum(axis=2, dtype=np.uint64)[:, :, None]
+    pairs = np.arange(setting.chunk) // 2
+    paired = np.stack([values[:, :, pairs == p].sum(axis=2, dtype=np.uint64) for p in pairs], axis=2)
+    number = np.arange(setting.slots, dtype=np.uint64).reshape(setting.chunks, setting.chunk)
+    first = np.arange(setting.chunks, dtype=np.uint64)[:, None] * np.uint64(setting.chunk) + (pairs * 2).astype(np.uint64)
+    shift, low = np.uint64(8 * setting.chunk), np.uint64(32)
+    shared, own = _mixed((whole - paired + (first << shift)) * M1), _mixed((whole - values + (number << shift)) * M3)
+    return ((shared >> low) << low | own >> low).reshape(len(signatures), -1).view(np.int64)
 
 
 def _signatures(column: pa.Array) -> np.ndarray:
@@ -260,7 +268,7 @@ def candidate_ties(classes: DataFrame, setting: Setting) -> DataFrame:
         seen = saved(led.withColumn("far", _distance("signature", "at")), "balls")
         found.append(seen.where(f"leader is not null and far <= {2 * setting.distance} and id != leader.id").select(F.col("leader.id").alias("a"), F.col("id").alias("b")).distinct())
         met = seen.where(f"leader is null or far > {setting.distance}").select("key", "id", "signature")
-    out = met.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_bucket_ties(setting.distance), "a bigint, b bigint")
+    out = met.repartition(F.shiftright("key", 32)).sortWithinPartitions("key", "id").mapInArrow(_bucket_ties(setting.distance), "a bigint, b bigint")
     for part in found:
         out = out.unionByName(part)
     return out.distinct()
