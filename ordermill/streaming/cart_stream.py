@@ -41,45 +41,51 @@ class CartProcessor(StatefulProcessor):
     """State per (user, slice of the products): when the cart was last emptied, and
     the adds since. Events count by their own time, whatever batch brings them: an add
     older than the last empty is dropped, a late empty takes only the adds before
-    it. Changed lines are emitted with their new quantity, 0 when nothing is left."""
+    it, an add that is replayed is known by its time and id. Changed lines are emitted
+    with their new quantity, 0 when nothing is left.
+
+    A batch reads and writes a slice's adds at once; the slices and the last empty
+    bound how many there are."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        add = T.StructType([T.StructField("ts", T.LongType()), T.StructField("event_id", T.LongType()), T.StructField("product_id", T.StringType())])
-        quantity = T.StructType([T.StructField("quantity", T.LongType())])
-        self._adds = handle.getMapState("adds", add, quantity)
-        self._lines = handle.getMapState("lines", T.StructType([T.StructField("product_id", T.StringType())]), quantity)
-        self._emptied = handle.getValueState("emptied", T.StructType([T.StructField("ts", T.LongType()), T.StructField("event_id", T.LongType())]))
+        place = [T.StructField("ts", T.LongType()), T.StructField("event_id", T.LongType())]
+        line = [T.StructField("product_id", T.StringType()), T.StructField("quantity", T.LongType())]
+        self._adds = handle.getListState("adds", T.StructType([*place, *line]))
+        self._emptied = handle.getValueState("emptied", T.StructType(place))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        changed: dict[str, int] = {}
         emptied = tuple(self._emptied.get()) if self._emptied.exists() else None
+        held = {(ts, event_id, product): quantity for ts, event_id, product, quantity in self._adds.get()} if self._adds.exists() else {}
+        before = self._totals(held)
         for chunk in rows:
-            at = list(zip(chunk["ts"].astype("datetime64[us]").astype("int64"), chunk["event_id"].astype("int64")))
-            latest = max((t for t, action in zip(at, chunk["action"]) if action == "empty"), default=None)
-            if latest is not None and (emptied is None or latest > emptied):
-                emptied = latest
-                self._emptied.update(emptied)
-                for (ts, event_id, product), (quantity,) in list(self._adds.iterator()):
-                    if (ts, event_id) <= emptied:
-                        self._adds.removeKey((ts, event_id, product))
-                        changed[product] = self._move(product, -quantity)
-            for t, action, product, quantity in zip(at, chunk["action"], chunk["product_id"], chunk["quantity"]):
-                place = (*t, product)
-                # The same add again, from a replayed batch, is known by its place.
-                if action == "add" and (emptied is None or t > emptied) and not self._adds.containsKey(place):
-                    self._adds.updateValue(place, (int(quantity),))
-                    changed[product] = self._move(product, int(quantity))
+            ts, event_id = chunk["ts"].astype("datetime64[us]").astype("int64"), chunk["event_id"].astype("int64")
+            empties = (chunk["action"] == "empty").to_numpy()
+            if empties.any():
+                latest = max(zip(ts[empties].tolist(), event_id[empties].tolist()))
+                emptied = latest if emptied is None else max(emptied, latest)
+            adds = (chunk["action"] == "add").to_numpy()
+            if emptied is not None:
+                adds &= ((ts > emptied[0]) | ((ts == emptied[0]) & (event_id > emptied[1]))).to_numpy()
+            held.update(zip(zip(ts[adds].tolist(), event_id[adds].tolist(), chunk["product_id"][adds]), chunk["quantity"][adds].astype("int64").tolist()))
+        if emptied is not None:
+            held = {place: quantity for place, quantity in held.items() if place[:2] > emptied}
+            self._emptied.update(emptied)
+        if held:
+            self._adds.put([(*place, quantity) for place, quantity in held.items()])
+        else:
+            self._adds.clear()
+        after = self._totals(held)
+        changed = [p for p in before.keys() | after.keys() if before.get(p, 0) != after.get(p, 0)]
         yield pd.DataFrame(
-            {"user_id": str(key[0]), "product_id": list(changed), "quantity": list(changed.values())}
+            {"user_id": str(key[0]), "product_id": changed, "quantity": [after.get(p, 0) for p in changed]}
         ).astype({"user_id": "object", "product_id": "object", "quantity": "int64"})
 
-    def _move(self, product: str, by: int) -> int:
-        held = self._lines.getValue((product,))[0] if self._lines.containsKey((product,)) else 0
-        if held + by:
-            self._lines.updateValue((product,), (held + by,))
-        else:
-            self._lines.removeKey((product,))
-        return held + by
+    @staticmethod
+    def _totals(held: dict[tuple, int]) -> dict[str, int]:
+        totals: dict[str, int] = {}
+        for (_, _, product), quantity in held.items():
+            totals[product] = totals.get(product, 0) + quantity
+        return totals
 
     def close(self) -> None:
         pass
