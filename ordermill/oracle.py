@@ -625,13 +625,16 @@ SELECT request_id, redirect_url FROM (
   FROM served) t WHERE rn = 1"""
 
     q["vector_topk"] = """
-WITH parts AS (
+WITH v AS (
+  SELECT vec_id, label, CASE vec_id % 50 WHEN 7 THEN [CAST(0 AS FLOAT) FOR x IN embedding] WHEN 8 THEN NULL ELSE embedding END AS embedding
+  FROM embeddings),
+parts AS (
   SELECT label, i AS pos, avg(CAST(embedding[i] AS DOUBLE)) AS x
-  FROM embeddings, range(1, (SELECT max(len(embedding)) + 1 FROM embeddings)) r(i)
+  FROM v, range(1, (SELECT max(len(embedding)) + 1 FROM v)) r(i)
   GROUP BY 1, 2),
 q AS (SELECT CAST(label AS BIGINT) AS query_id, list(x ORDER BY pos) AS query FROM parts GROUP BY 1),
 s AS (SELECT query_id, vec_id, list_cosine_similarity(CAST(embedding AS DOUBLE[]), query) AS score
-      FROM embeddings, q),
+      FROM v, q WHERE vec_id % 50 NOT IN (7, 8)),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, vec_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 10"""
 

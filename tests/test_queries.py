@@ -10,9 +10,6 @@ from compare import duck, rows_of
 from ordermill import oracle
 from ordermill.plans import bi, models, quality, registry
 
-SLOW = {"bronze_sync", "landing_manifest", "stream_order_items"}
-
-
 @pytest.fixture(scope="module")
 def sql():
     return duck(SMALL)
@@ -22,7 +19,7 @@ def test_every_query_has_a_twin():
     assert set(registry.queries()) == set(oracle.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_equals_its_twin(spark, sql, name):
     ours = entry_module.queries()[name](spark, SMALL).toArrow()
     theirs = sql.execute(entry_module.oracle_sql()[name]).to_arrow_table()
