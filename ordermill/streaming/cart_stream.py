@@ -34,7 +34,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 # A user's lines are spread over this many state keys, so that a very busy user
 # is not one task's work.
-SLICES = 32
+SLICES = 8
 
 
 class CartProcessor(StatefulProcessor):
