@@ -129,10 +129,20 @@ def _ranks(text: str, values: list[str]) -> dict[str, int]:
     return ranks | COMMON_RANKS
 
 
+def _covered(start: int, end: int, spans: list[tuple[int, int]]) -> bool:
+    """Whether the spans, sorted by start, together cover all from ``start`` to ``end``."""
+    for a, b in spans:
+        if a > start:
+            break
+        start = max(start, b)
+    return start >= end
+
+
 def find(text: str | None) -> list[tuple[str, int, int, float]]:
     """(kind, start, end, cost) in code points, by start, then kind; base kinds have no cost.
 
-    A guess span is the value alone; values that a base span covers in part or whole are left to it.
+    A guess span is the value alone; values that base spans cover whole are left to them, others are
+    scored from end to end.
     """
     if not text:
         return []
@@ -147,14 +157,14 @@ def find(text: str | None) -> list[tuple[str, int, int, float]]:
     if any(h in low for h in CONTEXT_HINTS):
         taken = sorted(x[1:3] for x in found)
         values = [m.span(m.lastgroup) for m in CONTEXT.finditer(text) if len(m[m.lastgroup]) >= 6]
-        free = [s for s in values if not any(a < s[1] and s[0] < b for a, b in taken)]
+        values = [(a, a + len(text[a:b].rstrip(".)]}!?:"))) for a, b in values]
+        free = [s for s in values if not _covered(*s, taken)]
         if free:
             ranks = _ranks(text, [text[a:b] for a, b in free])
             for a, b in free:
-                value = text[a:b].rstrip(".)]}!?:")
-                cost = guess_cost(value, ranks)
-                if len(value) >= 6 and cost >= THRESHOLD:
-                    found.append(("guess", a, a + len(value), cost))
+                cost = guess_cost(text[a:b], ranks)
+                if b - a >= 6 and cost >= THRESHOLD:
+                    found.append(("guess", a, b, cost))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 

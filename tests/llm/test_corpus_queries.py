@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as entry_module
+import corpus_pipeline
 from compare import rows_of
 from ordermill.llm import (
     compression,
@@ -419,6 +420,26 @@ def test_guess_costs_tell_secrets_from_prose(text, secret):
     assert found == ([secret] if secret else [])
 
 
+@pytest.mark.parametrize("text, spans", [
+    ("password: Tr0ub4dor&3xK!9zQ rest", ["assign password: Tr0ub4dor", "guess Tr0ub4dor&3xK!9zQ"]),
+    ("api_key='kV9mQ2xL$7pW#r4'", ["assign api_key='kV9mQ2xL", "guess kV9mQ2xL$7pW#r4"]),
+    ("pwd=#q!0123456789abcdef01234567Zr8&", ["guess #q!0123456789abcdef01234567Zr8&", "hex 0123456789abcdef01234567"]),
+    ("password=hunter22x! and token: Zr8kQ2vL9xWq.", ["assign password=hunter22x", "assign token: Zr8kQ2vL9xWq."]),
+    ("password: password&password", ["assign password: password"]),
+])
+def test_values_that_a_base_span_covers_in_part_are_scored_whole(text, spans):
+    assert [f"{kind} {text[a:b]}" for kind, a, b, _ in secret_scan.find(text)] == spans
+
+
+def test_strong_passwords_leave_no_rest(spark, tmp_path):
+    text = "Log in with password: Tr0ub4dor&3xK!9zQ and go on"
+    docs = spark.createDataFrame([(1, text, "en", "src0", len(text))], DOCS)
+    assert corpus_pipeline.blot_secrets(spark, docs, "").first().text == "Log in with <assign> and go on"
+    docs.write.parquet(f"file://{tmp_path}/documents.parquet")
+    got = entry_module.queries()["op8_secret_scan"](spark, f"file://{tmp_path}").first()
+    assert (got.n_assign, got.n_guess) == (1, 1) and got.spans == "assign:12:31,guess:22:39"
+
+
 def test_guess_cost_is_the_least_and_linear():
     assert secret_scan.guess_cost("passwordpassword") < secret_scan.guess_cost("pasxwordpasswqrd")
     assert secret_scan.guess_cost("x" * 50_000) < 12 < secret_scan.guess_cost("kV9#mQ2$xL7!")
