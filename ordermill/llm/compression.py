@@ -1,8 +1,9 @@
 """Quality rules by compression bands.
 
-A text is compressed whole and in fixed chunks. Very small outputs mean repetition, very large ones
+A text is compressed whole, in chunks and in parts of half a chunk. Chunks and parts overlap by half and
+the last ones end with the text, so that junk is judged alike wherever it stands. Very small outputs mean repetition, very large ones
 noise. What is usual depends on the length (a short text has little to repeat), so every length has
-its own limits; the lower ones hold for whole texts and for chunks, where noise between good lines shows.
+its own limits; they hold for whole texts, and for chunks and parts, where noise between good lines shows.
 """
 
 from __future__ import annotations
@@ -24,8 +25,12 @@ SPACE = " \t\n\x0b\f\r"
 BANDS = ((256, 1.15, 3.0), (512, 1.3, 3.2), (1024, 1.45, 3.6), (2048, 1.5, 4.2), (8192, 1.55, 5.0), (32768, 1.6, 6.5), (131072, 1.6, 8.0))
 #: The same for a whole chunk of CHUNK bytes.
 CHUNK_BAND = (1.45, 5.0)
+#: Bytes of a part, held to the limits of its own length.
+PART = CHUNK // 2
+PART_BAND = next((low, high) for start, low, high in BANDS if start == PART)
 OWN = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "ratio", "chunk_least", "chunk_most", "base_failed", "kept")
-KIND = T.StructType([T.StructField(x, T.LongType() if k < 5 else T.DoubleType()) for k, x in enumerate(OWN[:8])])
+MEASURES = (*OWN[:8], "part_least", "part_most")
+KIND = T.StructType([T.StructField(x, T.LongType() if k < 5 else T.DoubleType()) for k, x in enumerate(MEASURES)])
 
 
 def repeated(ws: list[bytes]) -> int:
@@ -59,13 +64,24 @@ def dup_lines(text: str) -> int:
     return found
 
 
-def ratios(raw: bytes, press: zstandard.ZstdCompressor) -> tuple[float, float, float]:
-    """Raw bytes per compressed byte: of the whole, and the least and most of the full chunks."""
+def window_ratios(raw: bytes, size: int, press: zstandard.ZstdCompressor) -> list[float]:
+    """Raw bytes per compressed byte of windows that overlap by half; the last one ends with ``raw``."""
+    starts = [*range(0, len(raw) - size, size // 2), len(raw) - size]
+    return [size / len(press.compress(raw[i : i + size])) for i in starts]
+
+
+def ratios(raw: bytes, press: zstandard.ZstdCompressor) -> tuple[float, float, float, float, float]:
+    """Raw bytes per compressed byte: of the whole, the least and most of the chunks, and of the parts.
+
+    Texts shorter than a chunk have neither; the whole's stands for them.
+    """
     if not raw:
-        return 1.0, 1.0, 1.0
+        return 1.0, 1.0, 1.0, 1.0, 1.0
     whole = len(raw) / len(press.compress(raw))
-    parts = [CHUNK / len(press.compress(raw[i : i + CHUNK])) for i in range(0, len(raw) - CHUNK + 1, CHUNK)]
-    return whole, min(parts, default=whole), max(parts, default=whole)
+    if len(raw) < CHUNK:
+        return whole, whole, whole, whole, whole
+    chunks, parts = window_ratios(raw, CHUNK, press), window_ratios(raw, PART, press)
+    return whole, min(chunks), max(chunks), min(parts), max(parts)
 
 
 def measure(text: str | None, press: zstandard.ZstdCompressor) -> tuple:
@@ -80,9 +96,9 @@ def measure(text: str | None, press: zstandard.ZstdCompressor) -> tuple:
 @F.arrow_udf(KIND)
 def _measured(texts: pa.Array) -> pa.Array:
     press = zstandard.ZstdCompressor(level=LEVEL)
-    columns = list(zip(*[measure(t, press) for t in texts.to_pylist()])) or [()] * 8
-    kinds = [pa.int64()] * 5 + [pa.float64()] * 3
-    return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=list(OWN[:8]))
+    columns = list(zip(*[measure(t, press) for t in texts.to_pylist()])) or [()] * len(MEASURES)
+    kinds = [pa.int64()] * 5 + [pa.float64()] * 5
+    return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=list(MEASURES))
 
 
 def judge(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
@@ -98,11 +114,12 @@ def judge(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     keep = without(docs, OWN)
     failed = (F.col("_m.n_words") < 50) | (100 * F.col("_m.n_repeat_words") > 50 * F.col("_m.n_words"))
     chunks = (F.col("_m.chunk_least") >= CHUNK_BAND[0]) & (F.col("_m.chunk_most") <= CHUNK_BAND[1])
+    parts = (F.col("_m.part_least") >= PART_BAND[0]) & (F.col("_m.part_most") <= PART_BAND[1])
     inside = (F.col("_m.ratio") >= F.col("_least")) & (F.col("_m.ratio") <= F.col("_most"))
     return (
         docs.select(*map(quoted, keep), _measured(quoted(text_col)).alias("_m"), least.alias("_least"), most.alias("_most"), size.alias("_size"))
-        .withColumn("_ok", inside & (F.coalesce(F.col("_size") < CHUNK, F.lit(True)) | chunks))
-        .select(*map(quoted, keep), "_m.*", failed.alias("base_failed"), (~failed & F.col("_ok")).alias("kept"))
+        .withColumn("_ok", inside & (F.coalesce(F.col("_size") < CHUNK, F.lit(True)) | (chunks & parts)))
+        .select(*map(quoted, keep), *[F.col(f"_m.{x}") for x in OWN[:8]], failed.alias("base_failed"), (~failed & F.col("_ok")).alias("kept"))
     )
 
 

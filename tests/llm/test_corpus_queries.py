@@ -393,6 +393,20 @@ def test_bands_reject_noise_and_repetition(spark):
     assert {r.doc_id: r.kept for r in compression.judge(docs).collect()} == {1: False, 2: False, 3: True, 4: False}
 
 
+@pytest.mark.parametrize("after", [0, 2048, 4096, 6144])
+def test_junk_is_found_wherever_it_stands(spark, after):
+    rng = random.Random(2)
+    good = prose(rng, 4000, 4000)[:8192]
+    noise = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", k=2500))
+    line = ("the same line comes again and again\n" * 100)[:3500]
+    texts = [good[:4096], good] + [good[: min(after, size)] + junk + good[min(after, size) : size] for size in (4096, 8192) for junk in (noise, line)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    kept = {r.doc_id: (r.kept, r.ratio) for r in compression.judge(docs).collect()}
+    assert [kept[k][0] for k in range(len(texts))] == [True, True, False, False, False, False]
+    # The whole text is within its limits: it is the chunks and parts that tell.
+    assert kept[2][1] >= 1.5 and kept[4][1] >= 1.55 and kept[5][1] <= 5.0
+
+
 BASE = [
     ("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), lambda m: len(m[2]) >= 6),
     ("access", re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20),
