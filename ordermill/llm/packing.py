@@ -1,10 +1,10 @@
 """Best-fit packing with certified bin counts.
 
 Documents become pieces of at most CAPACITY tokens. The pieces are dealt by length, one to each in turn, over
-groups of a bounded size; each group packs its pieces best-fit decreasing, and dual feasible functions give a lower
-bound of the sequences it needs. A group that meets its bound is finished. The others keep their full
-sequences, put the pieces of their loose ones into a common pool, and the pool is dealt and packed anew,
-over fewer groups each time, until nothing is left to gain.
+groups of a bounded size; each group packs its pieces best-fit decreasing and keeps its full sequences. The pieces
+of the loose ones, of all groups, make a common pool, which is dealt and packed anew. Dual feasible functions
+give a lower bound of the sequences that the whole pool needs; once its loose sequences meet the bound, or all of
+it was packed in one group, it is finished. A round that would take more sequences than there are is dropped.
 """
 
 from __future__ import annotations
@@ -22,8 +22,8 @@ from ordermill.llm.common import crc, modest_batches, quoted, saved
 from ordermill.llm.tokens import tokenizer, vocabulary_path
 
 CAPACITY = 4096
-#: Pieces of a group.
-GROUP = 2048
+#: Pieces of a group, and the sequences that its tokens fill at least: short pieces come in larger groups.
+GROUP, FILLED = 2048, 16
 ROUNDS = 8
 #: A sequence with more free tokens than this share of the capacity is loose.
 LOOSE = 0.002
@@ -63,9 +63,11 @@ def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
     One counts pieces above capacity - t whole and leaves out those below t, for every t up to half the
     capacity; the other rounds to multiples of capacity / k. Sums of either over the capacity bound the count.
     """
-    if not len(lengths):
-        return 0
-    counts = np.bincount(lengths, minlength=capacity + 1)
+    return bound_of_counts(np.bincount(lengths, minlength=capacity + 1), capacity) if len(lengths) else 0
+
+
+def bound_of_counts(counts: np.ndarray, capacity: int = CAPACITY) -> int:
+    """The same from the number of pieces of every length up to the capacity."""
     sizes = np.arange(capacity + 1)
     below = np.concatenate([[0], np.cumsum(counts * sizes)])
     above = np.concatenate([np.cumsum(counts[::-1])[::-1], [0]])
@@ -118,7 +120,7 @@ def _dealt(rows: DataFrame, groups: int, turn: int) -> DataFrame:
     return ordered.mapInArrow(deal, PIECES + ", row bigint, group bigint")
 
 
-PACKED = PIECES + ", row bigint, bin bigint, offset bigint, bound bigint, n_bins bigint, settled boolean"
+PACKED = PIECES + ", row bigint, bin bigint, offset bigint, settled boolean"
 
 
 def _pack_group(capacity: int, loose: float):
@@ -126,11 +128,9 @@ def _pack_group(capacity: int, loose: float):
         rows = rows.sort_values(["length", "row"], ascending=[False, True], kind="stable", ignore_index=True)
         lengths = rows["length"].to_numpy(np.int64)
         bins, offsets, used = best_fit(lengths, capacity)
-        bound = lower_bound(lengths, capacity)
         full = capacity - used <= int(capacity * loose)
         rows["bin"], rows["offset"] = bins + (int(key[0]) << 24), offsets
-        rows["bound"], rows["n_bins"] = bound, len(used)
-        rows["settled"] = (len(used) <= bound) | full[bins]
+        rows["settled"] = full[bins]
         return rows.drop(columns="group")
 
     return pack
@@ -140,32 +140,39 @@ def pack(rows: DataFrame, *, capacity: int = CAPACITY, group: int = GROUP, round
     """Pieces (see ``pieces``) with sequence_id, offset and round, into as few sequences as it can.
 
     Pieces of exactly the capacity are sequences of their own. Offsets have no gaps. A round costs a
-    sort of the lengths of what is still loose; the number of groups comes from the row count, and equal
-    lengths or ids heat no group. An empty table
-    gives an empty table.
+    sort of the lengths of what is still loose; the number of groups comes from the rows and their tokens, and
+    equal lengths or ids heat no group. An empty table gives an empty table.
     """
     rows = saved(rows.withColumn("row", F.monotonically_increasing_id()), "pieces")
     whole = rows.where(F.col("length") >= capacity).select(
         *[x for x in rows.columns if x != "row"], (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(0).alias("round")
     )
     names = [x for x in whole.columns if x not in ("sequence_id", "offset", "round")]
-    done = [whole]
+    done, loosely = [whole], None
     left = rows.where(F.col("length") < capacity)
-    count, bins_before = left.count(), None
+    size = left.agg(F.count("*").alias("pieces"), F.coalesce(F.sum("length"), F.lit(0)).alias("tokens")).first()
     for k in range(1, rounds + 1):
-        if not count:
+        if not size["pieces"]:
             break
-        groups = -(-count // group)
-        dealt = _dealt(left, groups, k)
-        packed = saved(dealt.groupBy("group").applyInPandas(_pack_group(capacity, loose), PACKED), f"packed-{k}")
-        sums = packed.agg(F.count_if(~F.col("settled")).alias("open"), F.count_distinct(F.when(~F.col("settled"), F.col("bin"))).alias("bins")).first()
-        # Alone in one group, or no fewer loose sequences than it took last time: nothing left to exchange.
-        last = not sums["open"] or groups == 1 or k == rounds or bins_before == sums["bins"]
-        out = packed if last else packed.where("settled")
-        done.append(out.select(*names, (F.col("bin") + F.lit(k << 56)).alias("sequence_id"), "offset", F.lit(k).alias("round")))
-        if last:
+        groups = min(-(-size["pieces"] // group), -(-size["tokens"] // (FILLED * capacity)))
+        packed = saved(_dealt(left, groups, k).groupBy("group").applyInPandas(_pack_group(capacity, loose), PACKED), f"packed-{k}")
+        # Every sequence has one piece at offset 0.
+        first, still = F.col("offset") == 0, ~F.col("settled")
+        sums = packed.agg(
+            F.count_if(first).alias("bins"), F.count_if(first & still).alias("loose"), F.count_if(still).alias("pieces"), F.coalesce(F.sum(F.when(still, F.col("length"))), F.lit(0)).alias("tokens")
+        ).first()
+        if loosely is None or sums["bins"] <= bins:
+            named = packed.select(*names, (F.col("bin") + F.lit(k << 56)).alias("sequence_id"), "offset", F.lit(k).alias("round"), "settled")
+            done.append(named.where("settled").drop("settled"))
+            loosely, left, size, bins = named.where("not settled").drop("settled"), packed.where("not settled"), sums, sums["loose"]
+            counts = np.zeros(capacity + 1, np.int64)
+            for r in left.groupBy("length").count().collect():  # fewer than the capacity
+                counts[r["length"]] = r["count"]
+            bound = bound_of_counts(counts, capacity)
+        if groups == 1 or bins <= bound:
             break
-        left, count, bins_before = packed.where("not settled"), sums["open"], sums["bins"]
+    if loosely is not None:
+        done.append(loosely)
     result = done[0]
     for part in done[1:]:
         result = result.unionByName(part)

@@ -224,6 +224,18 @@ def test_groups_exchange_loose_sequences(spark, shortest, spread, more):
     assert few.rows == 3000 and few.n <= one.n * more and (few.r > 1 or shortest == 1500)
 
 
+@pytest.mark.parametrize("count, length", [(40_000, "1"), (40_000, "3"), (30_000, "25 + id % 11")])
+def test_groups_strand_no_remainders(spark, count, length):
+    rows = spark.range(count).selectExpr("id as doc_id", "0 as piece", "0L as start", f"cast({length} as bigint) as length", "0L as ids_crc32")
+    packed = packing.pack(rows).toPandas()
+    assert sorted(packed.doc_id) == list(range(count))
+    for _, own in packed.sort_values("offset").groupby("sequence_id"):
+        assert own.offset.tolist() == [0, *own.length.cumsum().tolist()[:-1]] and own.length.sum() <= 4096
+    # All pieces in one group, which is no bound where lengths mix.
+    one = len(packing.best_fit(packed.length.to_numpy())[2])
+    assert packed.sequence_id.nunique() <= one + 2 * (packed.length.nunique() > 1)
+
+
 def test_sequences_hold_the_ids(spark, tables, rows):
     docs = spark.read.parquet(f"{tables[0]}/documents.parquet").where("doc_id > 200")
     with_ids = packing.pieces(docs, with_ids=True)
