@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import compression, hamming, mixing, packing, pitman_yor, projection, quality_gam, secret_scan, token_blocks, toxicity
+from ordermill.llm import collocations, compression, hamming, licenses, mixing, packing, pitman_yor, projection, quality_gam, secret_scan, spelling, token_blocks, toxicity
 from ordermill.llm.common import documents, labels
 
 
@@ -22,8 +22,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secret_scan": lambda spark, sf_dir: secret_scan.op8(documents(spark, sf_dir)),
         "op9_mixing": lambda spark, sf_dir: mixing.op9(documents(spark, sf_dir)),
         "op10_projection_dedup": lambda spark, sf_dir: projection.op10(spark.read.parquet(f"{sf_dir}/embeddings.parquet")),
+        "op11_collocations": lambda spark, sf_dir: collocations.op11(documents(spark, sf_dir)),
+        "op12_spelling": lambda spark, sf_dir: spelling.op12(documents(spark, sf_dir)),
+        "op13_licenses": lambda spark, sf_dir: licenses.op13(documents(spark, sf_dir)),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_hamming_dedup": hamming.ORACLE, "op9_mixing": mixing.ORACLE, "op10_projection_dedup": projection.ORACLE}
+    return {
+        "op4_hamming_dedup": hamming.ORACLE,
+        "op9_mixing": mixing.ORACLE,
+        "op10_projection_dedup": projection.ORACLE,
+        "op11_collocations": collocations.ORACLE,
+    }
