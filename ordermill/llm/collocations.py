@@ -5,10 +5,11 @@ empty strings. Only these longest windows are counted; one ROLLUP over their col
 all shorter prefixes, so a phrase's count is the sum of the windows that begin with it, and no n-gram list per
 length is ever made.
 
-Most windows of a large corpus are found once. A phrase that reaches the limit has words and pairs that reach
-it, so one earlier pass counts words and pairs into a fixed number of hashed counters (they stop at the limit);
-a window is padded from its first word or pair on whose counter stays below. Counters only ever overstate, so
-nothing that reaches the limit is lost, and every count that comes out is exact, however full the counters are.
+Most windows of a large corpus are found once. A phrase that reaches the limit has prefixes that reach it, so
+one earlier pass counts all prefixes into hashed counters (they stop at the limit), and a window is padded from
+the first prefix on whose counter stays below. Counters only ever overstate, so nothing that reaches the limit
+is lost, and every count that comes out is exact, however full the counters are; where they are full, windows
+merely stay long.
 """
 
 from __future__ import annotations
@@ -24,17 +25,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.llm.common import quoted, saved
+from ordermill.llm.hamming import broadcast_if_small
 
 LONGEST = 5
 LEAST = 100
 TOP = 2000
 NO_LANG = "und"
-#: Counters of words and pairs, 2 MB as bits for every task at every size; the parts they travel in.
-COUNTER_BITS = 24
+#: Least and most counters as powers of two: 16 to 128 MB in a counting task, 2 to 16 MB of bits sent to all.
+#: Between them there is a counter for every so many characters; counters travel in so many parts.
+LEAST_BITS, MOST_BITS = 24, 27
+CHARACTERS = 80
 PARTS = 1024
-PART = (1 << COUNTER_BITS) // PARTS
 #: Words that a task counts together before it hands rows on.
-CHUNK_WORDS = 2_000_000
+CHUNK_WORDS = 250_000
 
 #: A byte that no UTF-8 text holds stands for the end of a piece.
 BREAK = b"\xff"
@@ -69,17 +72,19 @@ class Chunk:
         self.hashes = np.array([xxhash.xxh3_64_intdigest(x) for x in self.words], np.uint64)[self.ids] ^ tint[self.langs]
         self.inside = self.ids > 0
 
-    def word_counters(self) -> np.ndarray:
-        return _counter(self.hashes * M1)
+    def prefixes(self, longest: int, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For 1 to ``longest`` words: the counter of the prefix at every place, and whether it stays in its piece."""
+        whole, now = self.inside, self.hashes * M1
+        yield _counter(now, bits), whole
+        for k in range(1, min(longest, len(now))):
+            now = (now[:-1] ^ (now[:-1] >> np.uint64(29))) * M2 + self.hashes[k:]
+            whole = whole[:-1] & self.inside[k:]
+            yield _counter(now, bits), whole
 
-    def pair_counters(self) -> np.ndarray:
-        """Of each word and the next one; meaningful where both are words."""
-        return _counter((self.hashes[:-1] * M2 + self.hashes[1:]) * M1)
 
-
-def _counter(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * M2
-    return (x >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+def _counter(x: np.ndarray, bits: int) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * M1
+    return ((x ^ (x >> np.uint64(31))) * M2 >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
@@ -95,16 +100,15 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
         yield Chunk(docs)
 
 
-def _counted(least: int):
+def _counted(least: int, longest: int, bits: int):
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = np.zeros(1 << COUNTER_BITS, np.uint8)
+        counters = np.zeros(1 << bits, np.uint8)
         for chunk in _chunks(batches):
-            both = chunk.inside[:-1] & chunk.inside[1:]
-            seen = np.concatenate([chunk.word_counters()[chunk.inside], chunk.pair_counters()[both]])
+            seen = np.concatenate([places[whole] for places, whole in chunk.prefixes(longest, bits)])
             places, counts = np.unique(seen, return_counts=True)
             counters[places] = np.minimum(counters[places] + np.minimum(counts, least), least)
         pack = zstandard.ZstdCompressor(level=1)
-        parts = counters.reshape(PARTS, PART)
+        parts = counters.reshape(PARTS, -1)
         used = np.flatnonzero(parts.any(axis=1))
         yield pa.RecordBatch.from_pydict({"part": pa.array(used, pa.int32()), "counts": pa.array([pack.compress(parts[k].tobytes()) for k in used], pa.binary())})
 
@@ -125,7 +129,7 @@ def _summed(least: int):
                 if part != at:
                     if at is not None:
                         yield row()
-                    at, total = part, np.zeros(PART, np.uint16)
+                    at, total = part, np.uint16(0)
                 total = np.minimum(total + np.frombuffer(unpack.decompress(raw), np.uint8), least)
         if at is not None:
             yield row()
@@ -133,32 +137,35 @@ def _summed(least: int):
     return summed
 
 
-def frequent_bits(texts: DataFrame, least: int) -> np.ndarray:
-    """One bit per counter, set where it reaches ``least`` over all texts: 2 MB, whatever the corpus."""
-    parts = texts.mapInArrow(_counted(least), "part int, counts binary").repartition("part").sortWithinPartitions("part")
-    bits = np.zeros((PARTS, PART // 8), np.uint8)
+def counter_bits(texts: DataFrame) -> int:
+    size = texts.agg(F.sum(F.length("text")).alias("size")).first()["size"] or 0
+    return min(MOST_BITS, max(LEAST_BITS, (size // CHARACTERS).bit_length()))
+
+
+def frequent_bits(texts: DataFrame, least: int, longest: int, bits: int) -> np.ndarray:
+    """One bit per counter, set where it reaches ``least`` over all texts."""
+    parts = texts.mapInArrow(_counted(least, longest, bits), "part int, counts binary").repartition("part").sortWithinPartitions("part")
+    out = np.zeros((PARTS, (1 << bits) // PARTS // 8), np.uint8)
     for row in parts.mapInArrow(_summed(least), "part int, bits binary").toLocalIterator():
-        bits[row["part"]] = np.frombuffer(row["bits"], np.uint8)
-    return bits.reshape(-1)
+        out[row["part"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.reshape(-1)
 
 
-def _windows(bits, longest: int):
+def _windows(sent, longest: int, bits: int):
     """Distinct padded windows of a chunk with their counts."""
 
     def reaches(counters: np.ndarray) -> np.ndarray:
-        return bits.value[counters >> 3] >> (7 - (counters & 7)).astype(np.uint8) & 1 > 0
+        return sent.value[counters >> 3] >> (7 - (counters & 7)).astype(np.uint8) & 1 > 0
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches):
-            n = len(chunk.ids)
-            often = chunk.inside & reaches(chunk.word_counters())
-            goes_on = np.zeros(n, bool)
-            goes_on[:-1] = often[:-1] & often[1:] & reaches(chunk.pair_counters())
-            columns = [np.where(often, chunk.ids, 0)]
-            alive = often
-            for k in range(1, longest):
-                alive = alive & np.concatenate([goes_on[k - 1 :], np.zeros(min(k - 1, n), bool)])[:n]
-                columns.append(np.where(alive, np.concatenate([chunk.ids[k:], np.zeros(min(k, n), np.int64)])[:n], 0))
+            columns, alive = [], np.ones(len(chunk.ids), bool)
+            for k, (places, whole) in enumerate(chunk.prefixes(longest, bits)):
+                alive = alive[: len(whole)] & whole
+                alive[alive] = reaches(places[alive])
+                columns.append(np.zeros(len(chunk.ids), np.int64))
+                columns[k][: len(alive)] = np.where(alive, chunk.ids[k:], 0)
+            columns += [np.zeros(len(chunk.ids), np.int64)] * (longest - len(columns))
             size = len(chunk.words)
             rows = np.flatnonzero(chunk.inside)
             key = chunk.langs[rows] * size + columns[0][rows]
@@ -193,9 +200,10 @@ def phrase_counts(docs: DataFrame, *, least: int = LEAST, longest: int = LONGEST
         raise ValueError("least must lie between 1 and 255")
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(quoted(lang_col).cast("string"), F.lit(NO_LANG)).alias("lang"), quoted(text_col).alias("text"))
-    bits = spark.sparkContext.broadcast(frequent_bits(texts, least))
+    bits = counter_bits(texts)
+    sent = spark.sparkContext.broadcast(frequent_bits(texts, least, longest, bits))
     columns = [f"w{k}" for k in range(1, longest + 1)]
-    windows = texts.mapInArrow(_windows(bits, longest), ", ".join(["lang string", *(f"{c} string" for c in columns), "n bigint"]))
+    windows = texts.mapInArrow(_windows(sent, longest, bits), ", ".join(["lang string", *(f"{c} string" for c in columns), "n bigint"]))
     counted = windows.groupBy("lang", *columns).agg(F.sum("n").alias("n"))
     summed = counted.rollup("lang", *columns).agg(F.sum("n").alias("f"), F.grouping_id().alias("id"))
     # Of level k the last k ids are set: prefixes of longest - k words. A prefix that ends in padding is no phrase.
@@ -230,7 +238,7 @@ def collocations(docs: DataFrame, *, least: int = LEAST, longest: int = LONGEST,
     for end, count in (("head", "l"), ("tail", "r")):
         cuts = cuts.join(parts.withColumnRenamed("f", count), (F.col("lang") == F.col("of")) & (F.col(end) == F.col("part"))).drop("of", "part")
     totals = counts.where("words = 0").select(F.col("lang").alias("of"), F.col("f").alias("n"))
-    scored = cuts.join(totals, F.col("lang") == F.col("of")).drop("of")
+    scored = cuts.join(broadcast_if_small(totals), F.col("lang") == F.col("of")).drop("of")
     scored = scored.withColumn("above", F.lit(1000).cast("decimal(4,0)") * _whole("a") * _whole("n")).withColumn("below", _whole("l") * _whole("r"))
     scored = scored.withColumn("score", F.expr("above div below"))
     best = scored.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "cut", "l", "r")).alias("best"))
