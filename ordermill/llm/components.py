@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.llm.common import saved
 
 
+def contracted(links: DataFrame, rounds: int = 2) -> DataFrame:
+    """(a, b) links, a < b, that connect the same nodes with about one link for each.
+
+    Where many tasks tied one node to different nodes, it keeps the smallest and the others are tied to
+    that one; mostly the same few of them, so that they fall together. A node has at most one
+    link from each task, which bounds the rows that meet. Turned round, the same holds for what is left.
+    """
+    pairs = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
+    for _ in range(rounds):
+        low = pairs.withColumn("low", F.min("a").over(Window.partitionBy("b")))
+        ends = F.when(F.col("a") == F.col("low"), F.array(F.struct("a", "b"))).otherwise(F.array(F.struct(F.col("low").alias("a"), F.col("a").alias("b"))))
+        pairs = low.select(F.explode(ends).alias("end")).select("end.a", "end.b").distinct()
+    return pairs
+
+
 def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """(node, component) for every node of a link; ``component`` is the smallest node it reaches.
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordermill.llm.common import lower_words, modest_batches, quoted, saved, word_hashes
-from ordermill.llm.components import components
+from ordermill.llm.components import components, contracted
 
 
 
@@ -153,7 +153,7 @@ def _probes(setting: Setting):
     return probes
 
 
-class _Forest(dict):
+class Forest(dict):
     """Union-find over whatever joins."""
 
     def __missing__(self, x: int) -> int:
@@ -210,7 +210,7 @@ def _bucket_ties(distance: int):
     """
 
     def tied_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forest = _Forest()
+        forest = Forest()
 
         def tie(keys: np.ndarray, ids: np.ndarray, sigs: np.ndarray) -> None:
             cuts = np.flatnonzero(np.diff(keys)) + 1
@@ -271,7 +271,7 @@ def candidate_ties(classes: DataFrame, setting: Setting) -> DataFrame:
     out = met.repartition(F.shiftright("key", 32)).sortWithinPartitions("key", "id").mapInArrow(_bucket_ties(setting.distance), "a bigint, b bigint")
     for part in found:
         out = out.unionByName(part)
-    return out.distinct()
+    return contracted(out)
 
 
 def _shared(sets: list[np.ndarray]) -> np.ndarray:
@@ -302,7 +302,7 @@ def spanning_links(sets: list[np.ndarray], percent: int, cross: np.ndarray | Non
     if cross is not None:
         possible &= cross[:, None] != cross[None, :]
     left, right = np.nonzero(possible)
-    forest, out = _Forest(), []
+    forest, out = Forest(), []
     if len(left) > 64:
         both = np.rint(_shared(sets)).astype(np.int64)[left, right]
         hit = 100 * both >= percent * (sizes[left] + sizes[right] - both)

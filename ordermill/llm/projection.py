@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.llm.common import modest_batches, quoted, saved
-from ordermill.llm.components import components
+from ordermill.llm.components import components, contracted
+from ordermill.llm.hamming import Forest
 
 COSINE = 0.93
 PASSES = 24
@@ -76,7 +77,7 @@ def _window_links(cosine: float, window: int):
         rows = rows.sort_values("rank", ignore_index=True)
         nodes, labels, ranks = rows["node"].to_numpy(), rows["label"].to_numpy(), rows["rank"].to_numpy()
         units = _padded(rows["unit"])
-        out = []
+        forest = Forest()
         for i in range(0, len(rows), 128):
             part = slice(i, min(i + 128, len(rows)))
             near = slice(i, min(i + 128 + window, len(rows)))
@@ -84,9 +85,12 @@ def _window_links(cosine: float, window: int):
             hit = (gap > 0) & (gap <= window) & (labels[near][None, :] == labels[part][:, None])
             hit &= units[part] @ units[near].T >= cosine
             a, b = np.nonzero(hit)
-            out.append(np.stack([nodes[part][a], nodes[near][b]], axis=1))
-        found = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": found.min(axis=1), "b": found.max(axis=1)}) if len(found) else pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+            for x, y in zip(nodes[part][a].tolist(), nodes[near][b].tolist()):
+                forest.join(x, y)
+        # Every vector is tied once, to the smallest one it is linked with in the block.
+        ends = [(forest.root(x), x) for x in list(forest)]
+        left, right = zip(*[(a, b) for a, b in ends if a != b]) if len(ends) else ((), ())
+        return pd.DataFrame({"a": np.array(left, np.int64), "b": np.array(right, np.int64)})
 
     return links
 
@@ -157,7 +161,7 @@ def link_groups(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str =
     both = F.when(F.col("rank") % BLOCK < window, F.array(block, block - 1)).otherwise(F.array(block))
     dealt = ranked.withColumn("block", F.explode(both)).where("block >= 0").join(classes.select("node", "unit"), "node")
     pairs = dealt.groupBy("block").applyInPandas(_window_links(cosine, window), "a bigint, b bigint")
-    found = saved(components(saved(pairs.distinct(), "vector-pairs")), "vector-groups")
+    found = saved(components(saved(contracted(pairs), "vector-pairs")), "vector-groups")
 
     sizes = found.groupBy(F.col("component").alias("c")).agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     grouped = saved(

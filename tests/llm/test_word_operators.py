@@ -215,3 +215,17 @@ def test_licence_base_places_equal_brute_force(texts, spark):
         row = got[k]
         assert (row["n_words"], row["n_base"], row["first_word"], row["last_word"], row["base_labels"]) == want
         assert {x for _, x in at} <= set(row["labels"].split(","))
+
+
+def test_contraction_connects_the_same(spark):
+    from ordermill.llm.components import components, contracted
+
+    rng = random.Random(8)
+    # Three groups, each tied by many tasks to many different leaders.
+    links = [(g * 1000 + rng.randrange(40), g * 1000 + rng.randrange(400)) for g in range(3) for _ in range(4000)]
+    frame = spark.createDataFrame(links, "a bigint, b bigint")
+    fewer = contracted(frame)
+    want = {tuple(r) for r in components(frame).collect()}
+    got = dict(map(tuple, components(fewer).collect()))
+    assert all(got.get(node, node) == low for node, low in want)
+    assert fewer.count() < 1400 < frame.distinct().count() and contracted(frame.limit(0)).count() == 0
