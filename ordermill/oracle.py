@@ -374,6 +374,11 @@ SELECT order_id, CAST(ts AS DATE) AS _event_date, CAST(o_orderkey % 4 AS INTEGER
        o_orderkey + chunk * 1000000000000 AS _kafka_offset
 FROM events_seen WHERE copy = 0"""
 
+    q["bronze_undated"] = f"""
+WITH {EVENTS}
+SELECT CASE WHEN o_orderkey % 3 = 0 THEN DATE '2026-01-31' ELSE CAST(ts AS DATE) END AS _event_date, count(*) AS rows,
+       count(DISTINCT order_id) AS orders FROM events_seen WHERE copy = 0 GROUP BY 1"""
+
     q["bronze_rows"] = f"""
 WITH {EVENTS}
 SELECT order_id, CAST(ts AS DATE) AS _event_date, CAST(o_orderkey % 4 AS INTEGER) AS _kafka_partition,
@@ -719,5 +724,13 @@ WITH {EVENTS}
 SELECT CAST(ts AS DATE) AS _event_date, count(*) FILTER (WHERE year(ts) < 1996) AS missing, CAST(0 AS BIGINT) AS left,
        count(*) FILTER (WHERE copy = 0) AS events FROM events_seen GROUP BY 1"""
 
+    q["stream_cdc_table"] = f"""
+WITH {PRODUCTS}
+SELECT 'cdc_product_changes' AS topic, id AS key, id, CASE WHEN p_size % 14 = 0 THEN 'again ' || name ELSE name END AS name,
+       CAST(CASE WHEN p_size % 14 = 0 THEN 5 WHEN p_size % 5 = 0 THEN price_units + 2
+                 WHEN p_size % 3 = 0 THEN price_units + 1 ELSE price_units END AS VARCHAR) AS price_units,
+       CAST(price_nanos AS VARCHAR) AS price_nanos FROM products WHERE p_size % 7 <> 0 OR p_size % 14 = 0"""
+
+    q["stream_lag_alert"] = q["lag_alert"]
     q["stream_cart_fold"] = q["cart_fold"]
     return q

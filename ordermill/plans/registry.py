@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from ordermill.operators import (
     checkout,
     feeds,
     ingest,
+    keyed,
     landing,
     moneyops,
     monitoring,
@@ -26,9 +28,10 @@ from ordermill.operators import (
 )
 from ordermill.operators import vectors as vectors_op
 from ordermill.plans import bi, models, quality, store, upkeep
+from ordermill.schemas import BRONZE
 from ordermill.session import fresh_dir, use_utc
 from ordermill.sources import files, tables
-from ordermill.streaming import cart_stream, etl
+from ordermill.streaming import alerts, cart_stream, cdc_stream, etl
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -255,6 +258,23 @@ def landing_manifest(spark, sf_dir):
     return landing.manifest_totals(manifest).select("event_date", "rows", "min_event_date", "max_event_date")
 
 
+#: The test tables hold few events a day; months make whole files of them.
+BY_MONTH = replace(bronze.BY_DAY, period="month")
+
+
+@query
+def bronze_undated(spark, sf_dir):
+    """Events without a usable time, dated by their arrival: copies that land on other days are not added."""
+    root = fresh_dir(spark, "lake")
+    raw = F.regexp_replace("raw", '"timestamp":"[^"]*"', '"timestamp":"soon"')
+    events = tables.order_events(spark, sf_dir, replays=False).withColumn("raw", F.when(F.col("o_orderkey") % 3 == 0, raw).otherwise(F.col("raw")))
+    table = keyed.KeyedTable(spark, f"{root}/bronze", BRONZE, BY_MONTH)
+    for day, part in (("2026-01-31", events), ("2026-02-01", events.where("o_orderkey % 2 = 0")), ("2026-04-01", events.where("o_orderkey % 5 = 0"))):
+        rows = bronze.one_per_row_id(bronze.bronze_rows(landing.decorate(part, F.lit(day).cast("timestamp"))))
+        table.insert_absent(rows, bronze.own_date(F.col("raw")))
+    return bronze.read_bronze(spark, f"{root}/bronze").groupBy("_event_date").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("order_id").alias("orders"))
+
+
 @query
 def bronze_sync(spark, sf_dir):
     """Two landed batches, the second all replays, each drained into bronze."""
@@ -264,7 +284,7 @@ def bronze_sync(spark, sf_dir):
     stamp = F.lit("2026-01-01").cast("timestamp")
     for batch, part in enumerate((events.where(~late), events.where(late))):
         landing.land_batch(part, f"{root}/landing", batch, ingested_at=stamp)
-        while bronze.sync(spark, f"{root}/landing", f"{root}/bronze", f"{root}/ledger"):
+        while bronze.sync(spark, f"{root}/landing", f"{root}/bronze", f"{root}/ledger", layout=BY_MONTH):
             pass
     table = bronze.read_bronze(spark, f"{root}/bronze")
     return table.select("order_id", "_event_date", "_kafka_partition", "_kafka_offset")
@@ -274,8 +294,8 @@ def bronze_sync(spark, sf_dir):
 def bronze_first_load(spark, sf_dir):
     """Everything landed into an empty table, then a sync that finds nothing; rows per day."""
     landed, root = store.landed(spark, sf_dir), fresh_dir(spark, "lake")
-    bronze.load_full(spark, landed, f"{root}/bronze", f"{root}/ledger")
-    bronze.sync(spark, landed, f"{root}/bronze", f"{root}/ledger")
+    bronze.load_full(spark, landed, f"{root}/bronze", f"{root}/ledger", layout=BY_MONTH)
+    bronze.sync(spark, landed, f"{root}/bronze", f"{root}/ledger", layout=BY_MONTH)
     table = bronze.read_bronze(spark, f"{root}/bronze")
     return table.groupBy("_event_date").agg(F.count(F.lit(1)).alias("rows"))
 
@@ -780,3 +800,29 @@ def stream_cart_fold(spark, sf_dir):
     for batch in range(4):  # in no order of time across the batches
         events.where(F.col("event_id") % 4 == batch).coalesce(1).write.mode("append").parquet(f"{root}/events")
     return cart_stream.run_available(spark, f"{root}/events", root, max_files=1)
+
+
+@query
+def stream_cdc_table(spark, sf_dir):
+    """A snapshot and two batches of changes, late and repeated ones among them; the table they leave."""
+    root = fresh_dir(spark, "changes")
+    log = tables.change_log(spark, sf_dir)
+    for batch in range(3):
+        log.where(F.array_contains("batches", batch)).select("key", "value", "topic").write.mode("append").parquet(f"{root}/messages")
+    cdc_stream.run_available(spark, f"{root}/messages", root, max_files=1)
+    rows = cdc_stream.current(spark, root)
+    return cdc.fields(rows.withColumn("fields", cdc.row_image(F.col("after"))), CDC_FIELDS)
+
+
+@query
+def stream_lag_alert(spark, sf_dir):
+    """The alert on a live stream: lag samples in order of time, a heartbeat after the last."""
+    root = fresh_dir(spark, "lag")
+    samples = tables.lag_samples(spark, sf_dir)
+    last = samples.agg((F.max("ts") + F.expr("interval 1 hour")).alias("ts")).selectExpr("ts", "cast(null as string) as topic", "0L as lag")
+    cuts = [F.lit(f"2024-01-{day}").cast("timestamp") for day in (11, 21)]
+    for part in (samples.where(F.col("ts") < cuts[0]), samples.where((F.col("ts") >= cuts[0]) & (F.col("ts") < cuts[1])), samples.where(F.col("ts") >= cuts[1]), last):
+        part.write.mode("append").parquet(f"{root}/samples")
+    alerts.run_available(spark, f"{root}/samples", root)
+    fired = spark.read.schema(alerts.ALERT).parquet(f"{root}/alerts").where("state = 'firing'")
+    return fired.select(F.col("since").alias("window_start"), "topic", F.col("lag").alias("min_lag"))

@@ -436,6 +436,37 @@ def change_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change events of the product table with their log positions, and the batches that bring them.
+
+    All products are in the snapshot. By size some are updated once or twice, deleted, or created again; the
+    first update comes after later changes, and the snapshot and the deletes come twice.
+    """
+    rows = products(spark, sf_dir).join(table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id"), "p_partkey", "p_size"), "id")
+
+    def event(kind: str, turn: int, batches: list[int], every: int, name: Column, units: Column) -> Column:
+        text = lambda c: F.struct(c.cast("string").alias("string"))
+        row = F.struct(F.col("id"), text(name).alias("name"), units.alias("price_units"), F.col("price_nanos"))
+        after = F.lit(None) if kind == "d" else F.to_json(row)
+        place = F.col("p_partkey") + F.lit(turn * 1_000_000_000_000)
+        made = F.struct(F.lit(kind).alias("op"), place.alias("position"), after.cast("string").alias("after"), F.array(*map(F.lit, batches)).alias("batches"))
+        return F.when(F.col("p_size") % every == 0, made)
+
+    name, units = F.col("name"), F.col("price_units")
+    events = F.array(
+        event("r", 0, [0, 2], 1, name, units),
+        event("u", 1, [2], 3, name, units + 1),
+        event("u", 2, [1], 5, name, units + 2),
+        event("d", 3, [0, 2], 7, name, units),
+        event("c", 4, [1], 14, F.concat(F.lit("again "), name), F.lit(5).cast("bigint")),
+    )
+    source = F.concat(F.lit('{"table":"products","lsn":'), F.col("e.position"), F.lit("}"))
+    value = F.concat(F.lit('{"op":"'), F.col("e.op"), F.lit('","after":'), F.coalesce("e.after", F.lit("null")), F.lit(',"source":'), source, F.lit("}"))
+    return rows.select("id", F.explode(F.array_compact(events)).alias("e")).select(
+        F.col("id").alias("key"), value.alias("value"), F.lit("dbserver1.public.products").alias("topic"), "e.batches"
+    )
+
+
 def csv_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed rows as text: known ids, and new ids for the large sizes."""
     key = F.col("p_partkey").cast("string")

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 from ordermill.operators import ingest, landing
 from ordermill.operators.bronze import _exists
-from ordermill.operators.dedupe import absent_from, first_by
+from ordermill.operators.dedupe import first_by
+from ordermill.operators.keyed import KeyedTable, Layout
 from ordermill.schemas import MESSAGE, ORDER_ITEMS
-from ordermill.session import many_writers
 from ordermill.sources import streams
 
 KEY = ["order_id", "product_id"]
+ITEMS_LAYOUT = Layout(tuple(KEY), "event_date", period="month")
 TRIGGER = "60 seconds"
 # First arrival: by the broker's time, then by place, then by position in the event.
 ARRIVAL = ("timestamp", "topic", "partition", "offset", "item_pos")
@@ -24,28 +25,23 @@ ARRIVAL = ("timestamp", "topic", "partition", "offset", "item_pos")
 def read_order_items(spark: SparkSession, path: str) -> DataFrame:
     if not _exists(spark, path):
         return spark.createDataFrame([], ORDER_ITEMS)
-    return spark.read.schema(ORDER_ITEMS).parquet(path)
+    return spark.read.schema(ORDER_ITEMS).parquet(path).select(*ORDER_ITEMS.fieldNames())
 
 
-def insert_absent(items: DataFrame, path: str, same_day: bool = False) -> None:
+def insert_absent(items: DataFrame, path: str, same_day: bool = False, layout: Layout = ITEMS_LAYOUT) -> None:
     """Appends the items whose (order_id, product_id) the table lacks.
 
     The first arrival in the batch wins. Running the same batch again adds
-    nothing. With ``same_day`` only the batch's days of the table are searched:
-    exact as long as every copy of an order states the same timestamp.
+    nothing. The table's filters tell which of its periods may hold a key; with
+    ``same_day`` only the batch's own are looked at: exact as long as every copy
+    of an order states the same timestamp.
     """
-    spark = items.sparkSession
     first = first_by(items, KEY, list(ARRIVAL))
-    rows = ingest.order_item_rows(first)
-    target = read_order_items(spark, path)
-    if same_day:
-        days = sorted(r[0] for r in items.select(F.to_date("event_timestamp")).distinct().collect())
-        day = F.col("event_date")
-        if days:
-            target = target.where(day.isin(days))  # one entry per day: bounded by the calendar
-    fresh = absent_from(rows, target, KEY).hint("rebalance", "event_date")
-    with many_writers(spark):
-        fresh.write.mode("append").partitionBy("event_date").parquet(path)
+    rows = ingest.order_item_rows(first).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        KeyedTable(items.sparkSession, path, ORDER_ITEMS, layout).insert_absent(rows, F.lit(same_day))
+    finally:
+        rows.unpersist()
 
 
 def publish_files(rows: DataFrame, path: str, topic: str, batch_id: int) -> None:
