@@ -67,14 +67,15 @@ EVENTS = (
     HEADERS
     + f""",
 layout AS (
-  SELECT split, width, (line - 1) // width + 1 AS blocks FROM (
+  SELECT l_orderkey, n, split, width, (line - 1) // width + 1 AS blocks FROM (
     SELECT *, greatest(1, {LINES_PER_EVENT} // split) AS width FROM (
-      SELECT greatest(1, CAST(ceil(max(n) / {LINES_PER_EVENT}.0) AS BIGINT)) AS split, max(line) AS line FROM (
-        SELECT count(*) AS n, max(l_linenumber) AS line FROM lineitem GROUP BY l_orderkey) s) t) u),
+      SELECT l_orderkey, count(*) AS n, max(l_linenumber) AS line, CAST(ceil(count(*) / {LINES_PER_EVENT}.0) AS BIGINT) AS split
+      FROM lineitem GROUP BY l_orderkey) t) u),
 placed AS (
-  SELECT l.*, ((row_number() OVER (PARTITION BY l_orderkey, l_partkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice) - 1)
-               // {LINES_PER_EVENT} * blocks + (l_linenumber - 1) // width) * split + l_partkey % split AS chunk
-  FROM lineitem l, layout),
+  SELECT l.*, CASE WHEN n <= {LINES_PER_EVENT} THEN 0 ELSE
+         ((row_number() OVER (PARTITION BY l_orderkey, l_partkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice) - 1)
+          // {LINES_PER_EVENT} * blocks + (l_linenumber - 1) // width) * split + l_partkey % split END AS chunk
+  FROM lineitem l JOIN layout USING (l_orderkey)),
 published AS (
   SELECT o_orderkey, ts, coalesce(chunk, 0) AS chunk, CAST(count(l_orderkey) AS INTEGER) AS items,
          CAST(coalesce(sum(l_quantity), 0) AS BIGINT) AS units
@@ -342,7 +343,7 @@ r AS (
   SELECT CAST(y AS INTEGER) AS year, coalesce(o.items, 0) AS fact_items, coalesce(o.units, 0) AS fact_units, coalesce(o.cents, 0) AS fact_revenue_cents,
          coalesce(t.items, 0) AS reference_items, coalesce(t.units, 0) AS reference_units, coalesce(t.cents, 0) AS reference_revenue_cents,
          coalesce(mismatch, 0) AS fact_price_mismatch_rows
-  FROM (SELECT unnest([1994, 1995, 1996, 1997, 1998, 1999, 2030]) AS y) s LEFT JOIN ours o USING (y) LEFT JOIN theirs t USING (y))
+  FROM (SELECT y FROM ours UNION SELECT y FROM theirs) s LEFT JOIN ours o USING (y) LEFT JOIN theirs t USING (y))
 SELECT *, fact_items - reference_items AS items_delta, fact_units - reference_units AS units_delta,
        fact_revenue_cents - reference_revenue_cents AS revenue_cents_delta
 FROM r WHERE fact_items <> reference_items OR fact_units <> reference_units OR fact_revenue_cents <> reference_revenue_cents"""
@@ -396,7 +397,13 @@ WITH {EVENTS}
 SELECT strftime(ts, '%Y-%m-%d') AS event_date, CAST(count(*) AS BIGINT) AS rows
 FROM events_seen WHERE ts >= TIMESTAMP '1999-01-01' GROUP BY 1"""
 
-    q["pending_files_per_run"] = q["pending_files"].replace("GROUP BY 1", "AND ts < TIMESTAMP '1999-01-08' GROUP BY 1")
+    q["pending_files_per_run"] = f"""
+WITH {EVENTS}
+SELECT strftime(ts, '%Y-%m-%d') AS event_date, CAST(count(*) AS BIGINT) AS rows FROM events_seen GROUP BY 1"""
+
+    q["bronze_without_tests"] = f"""
+WITH {EVENTS}
+SELECT CAST(ts AS DATE) AS _event_date, count(*) AS rows FROM events_seen WHERE order_id NOT LIKE '7%' GROUP BY 1"""
 
     q["order_event_items"] = f"""
 WITH {EVENTS}

@@ -197,13 +197,9 @@ def quality_report_faulty(spark, sf_dir):
 @query
 def reconcile_differences(spark, sf_dir):
     """Years in which the faulty fact and the reference disagree, and by how much."""
-    fact, reference = _faulty(_fact(spark, sf_dir)), tables.reference_items(spark, sf_dir)
-    years = []
-    for year in (1994, 1995, 1996, 1997, 1998, 1999, 2030):
-        span = (f"{year}-01-01", f"{year}-12-31")
-        row = quality.reconcile(quality.by_event_date(fact, *span), quality.by_timestamp(reference, *span))
-        years.append(quality.differences(row).withColumn("year", F.lit(year)))
-    return quality.checkpoint(*years)
+    fact = _faulty(_fact(spark, sf_dir)).withColumn("year", F.year("event_date"))
+    reference = tables.reference_items(spark, sf_dir).withColumn("year", F.year("event_timestamp"))
+    return quality.differences(quality.reconcile_by(fact, reference, "year"))
 
 
 # --- ingest --------------------------------------------------------------------
@@ -336,17 +332,23 @@ def pending_files(spark, sf_dir):
 
 @query
 def pending_files_per_run(spark, sf_dir):
-    """Two files a run until nothing is pending: every file is taken once, by one run."""
+    """Runs over the whole manifest until nothing is pending: every file is entered once, by one run."""
     manifest = landing.read_manifest(spark, f"{store.landed(spark, sf_dir)}/manifest")
-    week = manifest.where("min_event_date between '1999-01-01' and '1999-01-07'")
-    taken, ledger = [], _ledger(week.limit(0))
+    ledger = f"{fresh_dir(spark, 'runs')}/ledger"
     while True:
-        run = bronze.next_run(bronze.pending_files(week, ledger), 2).collect()
-        if not run:
+        run = bronze.next_run(bronze.pending_files(manifest, bronze.read_ledger(spark, ledger)))
+        if run.isEmpty():
             break
-        taken += [(r["path"], r["rows"], r["min_event_date"]) for r in run]
-        ledger = spark.createDataFrame(taken, "source_path string, rows bigint, day string")
-    return ledger.groupBy(F.col("day").alias("event_date")).agg(F.sum("rows").alias("rows"))
+        bronze.record(run, ledger, F.lit("2026-01-01").cast("timestamp"))
+    done = bronze.read_ledger(spark, ledger)
+    return done.groupBy(_day_of("source_path").alias("event_date")).agg(F.sum("rows").alias("rows"))
+
+
+@query
+def bronze_without_tests(spark, sf_dir):
+    """Events per day without those of the test traffic, known by a prefix of the order id."""
+    kept = bronze.without_prefix(store.layers(spark, sf_dir).bronze, "7")
+    return kept.groupBy("_event_date").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def _ledger(manifest: DataFrame) -> DataFrame:
@@ -487,7 +489,12 @@ def catalog_upsert(spark, sf_dir):
 
 @query
 def catalog_upsert_json(spark, sf_dir):
-    feed = feeds.from_json_feed(tables.json_feed(spark, sf_dir))
+    """Product documents as files, a hundred products each, read back and merged into the catalogue."""
+    root = fresh_dir(spark, "feed")
+    feed = tables.json_feed(spark, sf_dir)
+    documents = feed.groupBy(F.floor(F.col("id").cast("bigint") / 100).alias("n")).agg(F.collect_list(F.struct(*feed.columns)).alias("products"))
+    documents.select(F.to_json(F.struct("products")).alias("value")).write.option("maxRecordsPerFile", 1).text(f"{root}/products")
+    feed = feeds.from_json_feed(files.read_products_json(spark, f"{root}/products"))
     return feeds.upsert_products(tables.products(spark, sf_dir), feed, keep_currency=False)
 
 
@@ -760,8 +767,8 @@ def _message_files(spark, sf_dir, root):
     value = F.col("value")
     again = F.regexp_replace(value, '"quantity":[0-9]+', '"quantity":77')
     at = F.lit("2026-01-01").cast("timestamp") + F.make_dt_interval(mins=(F.col("o_orderkey") % 60).cast("int"))
-    first = F.struct(value.alias("value"), (F.col("o_orderkey") % 3 + 1).cast("int").alias("partition"), F.col("o_orderkey").alias("offset"), at.alias("timestamp"))
-    late = F.struct(again.alias("value"), F.lit(0).alias("partition"), F.lit(0).cast("bigint").alias("offset"), (at + F.expr("interval 5 hours")).alias("timestamp"))
+    first = F.struct(value.alias("value"), (F.col("o_orderkey") % 3 + 1).cast("int").alias("partition"), (F.col("o_orderkey") + F.col("chunk") * 1_000_000_000_000).alias("offset"), at.alias("timestamp"))
+    late = F.struct(again.alias("value"), F.lit(0).alias("partition"), F.col("chunk").alias("offset"), (at + F.expr("interval 5 hours")).alias("timestamp"))
     both = F.when(F.col("o_orderkey") % 10 == 0, F.array(first, late)).otherwise(F.array(first))
     messages = tables.faulty_messages(spark, sf_dir).select(F.col("o_orderkey").cast("string").alias("key"), F.explode(both).alias("m")).select(
         "key", "m.value", F.when(F.col("m.value").startswith('{"original":'), "orders_retry").otherwise("orders").alias("topic"), "m.partition", "m.offset", "m.timestamp"

@@ -127,28 +127,32 @@ LINE_ENTRY = "line:int,part:bigint,supp:bigint,quantity:int,cents:bigint,copies:
 def orders_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order event: header columns plus an ``items`` array of all its lines.
 
-    An order is one event while no order has more than :data:`LINES_PER_EVENT` lines.
-    Otherwise lines go by line number, finer the larger the largest order is, then by
-    product, so that the first line of a
+    An order of at most :data:`LINES_PER_EVENT` lines is one event. The lines of a larger one go by line number,
+    finer the larger it is, then by product, so that the first line of a
     product stays in the earliest event that holds the product; equal lines are folded
     on the map side, and what one event can't hold of them goes to later events.
-    Nothing is left out, and no array holds much more than a share of its order.
+    Nothing is left out, no array holds much more than a share of its order, and no
+    order's events depend on another order.
     """
     lineitem = table(spark, sf_dir, "lineitem")
-    sizes = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.max("l_linenumber").alias("line"))
-    split = F.greatest(F.lit(1), F.ceil(F.max("n") / LINES_PER_EVENT))
-    layout = sizes.agg(split.alias("split"), F.max("line").alias("lines")).select(  # one row
-        "split", "lines", F.greatest(F.lit(1), F.floor(F.lit(LINES_PER_EVENT) / F.col("split"))).alias("width")
-    ).withColumn("blocks", F.floor((F.col("lines") - 1) / F.col("width")) + 1)
-    copies = (
+    sizes = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.max("l_linenumber").alias("lines"))
+    split = F.ceil(F.col("n") / LINES_PER_EVENT)
+    width = F.greatest(F.lit(1), F.floor(F.lit(LINES_PER_EVENT) / F.col("split")))
+    large = sizes.where(F.col("n") > LINES_PER_EVENT).withColumn("split", split).withColumn("width", width)
+    large = large.select(F.col("l_orderkey").cast("string").alias("large"), "split", "width", (F.floor((F.col("lines") - 1) / F.col("width")) + 1).alias("blocks"))
+    folded = (
         lineitem.select("l_orderkey", F.col("l_partkey").alias("part"), *_line_columns())
         .groupBy("l_orderkey", "part", *LINE_ORDER)
         .agg(F.count(F.lit(1)).alias("n"))
-        .join(F.broadcast(layout.drop("lines")), F.lit(True))
-        .withColumn("block", F.floor((F.col("line") - 1) / F.col("width")))
+    )
+    # The text key gives the join an exchange of its own, so AQE may split a hot order.
+    copies = (
+        folded.withColumn("_order", F.col("l_orderkey").cast("string"))
+        .join(large, F.col("_order") == F.col("large"), "left")
         .withColumn("turn", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / LINES_PER_EVENT))))
     )
-    chunk = (F.col("turn") * F.col("blocks") + F.col("block")) * F.col("split") + F.pmod("part", "split")
+    block = F.floor((F.col("line") - 1) / F.col("width"))
+    chunk = F.coalesce((F.col("turn") * F.col("blocks") + block) * F.col("split") + F.pmod("part", "split"), F.lit(0).cast("bigint"))
     here = F.least(F.lit(LINES_PER_EVENT), F.col("n") - F.col("turn") * LINES_PER_EVENT).cast("int")
     events = copies.groupBy("l_orderkey", chunk.alias("chunk")).agg(
         F.collect_list(F.struct("line", "part", "supp", "quantity", "cents", here.alias("copies"))).alias("lines")
@@ -226,9 +230,9 @@ def order_events(spark: SparkSession, sf_dir: str, replays: bool = True) -> Data
 
 
 def faulty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order as one message; some orders carry one of eight faults.
+    """Every order event as one message; some orders carry one of eight faults.
 
-    Columns: value, o_orderkey, target_away (the write would fail for a reason
+    Columns: value, o_orderkey, chunk (the event's place in its order), target_away (the write would fail for a reason
     outside the message).
     """
     base = orders_with_items(spark, sf_dir)
@@ -274,6 +278,7 @@ def faulty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             F.when(kind == 7, wrap(1)).when(kind == 8, wrap(3)).otherwise(F.col("body")).alias("value"),
             "o_orderkey",
+            "chunk",
             kind.isin(7, 8).alias("target_away"),
         )
     )

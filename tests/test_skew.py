@@ -3,6 +3,7 @@
 import duckdb
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from compare import TABLES, duck, rows_of
@@ -97,3 +98,23 @@ def test_an_order_of_many_lines_keeps_them_all(spark, skewed):
 def test_silver_joins_lines_to_headers_once(spark):
     plan = tables.orders_with_items(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert sum("Join Inner, (order_id" in line for line in plan.splitlines()) == 1
+
+
+def test_a_large_order_leaves_the_others_whole(spark, tmp_path):
+    """One order of 3 000 lines comes in many events, in line order; every other order stays one event."""
+    import shutil
+
+    for name in ("orders", "customer"):
+        shutil.copy(f"{SMALL}/{name}.parquet", tmp_path)
+    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet")
+    large = lines.agg(F.min("l_orderkey")).first()[0]
+    more = lines.where(F.col("l_orderkey") != large).limit(1).crossJoin(spark.range(3000)).withColumns(
+        {"l_orderkey": F.lit(large).cast(lines.schema["l_orderkey"].dataType), "l_linenumber": (F.col("id") + 10).cast(lines.schema["l_linenumber"].dataType),
+         "l_partkey": (F.col("id") % 7 + 1).cast(lines.schema["l_partkey"].dataType)}
+    )
+    lines.unionByName(more.select(*lines.columns)).write.parquet(f"{tmp_path}/lineitem.parquet")
+    events = tables.orders_with_items(spark, str(tmp_path)).select("o_orderkey", "chunk", F.size("items").alias("n")).collect()
+    parts = [r for r in events if r["o_orderkey"] == large]
+    assert len(parts) > 40 and sum(r["n"] for r in parts) == 3000 + lines.where(F.col("l_orderkey") == large).count() and max(r["n"] for r in parts) <= 64
+    others = [r for r in events if r["o_orderkey"] != large]
+    assert len({r["o_orderkey"] for r in others}) == len(others) and all(r["chunk"] == 0 for r in others)
