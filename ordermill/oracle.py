@@ -478,6 +478,16 @@ FROM s, range(8) r(i)"""
     q["catalog_page"] = f"""
 WITH {PRODUCTS} SELECT {PRODUCT_LIST}, categories FROM products ORDER BY id LIMIT 21 OFFSET 20"""
 
+    q["catalog_search_many"] = f"""
+WITH {PRODUCTS},
+asked AS (
+  SELECT id || '-' || kind AS query_id, lower(query) AS query FROM (
+    SELECT id, unnest([0, 1, 2, 3]) AS kind,
+           unnest([substr(name, 2, 5), substr(name, 1, 3) || '_' || substr(name, 5, 2), substr(name, 2, 2) || '%' || substr(name, 6, 3),
+                   substr(name, 3, 1) || '_' || substr(name, 5, 1)]) AS query
+    FROM products WHERE CAST(id AS BIGINT) % 100 = 0) a)
+SELECT query_id, id FROM asked, products WHERE lower(name) LIKE '%' || query || '%'"""
+
     q["catalog_search"] = f"""
 WITH {PRODUCTS} SELECT {PRODUCT_LIST}, categories FROM products
 WHERE lower(name) LIKE '%red g_z%' OR lower(description) LIKE '%red g_z%'"""

@@ -24,6 +24,7 @@ from ordermill.operators import (
     moneyops,
     monitoring,
     screening,
+    substring,
     suggest,
 )
 from ordermill.operators import vectors as vectors_op
@@ -459,6 +460,19 @@ def catalog_search(spark, sf_dir):
     )
 
 
+@query
+def catalog_search_many(spark, sf_dir):
+    """Searches made of every hundredth product's name, with wildcards, over the names of all products."""
+    names = tables.products(spark, sf_dir).select("id", F.col("name").alias("text"))
+    asked = names.where(F.col("id").cast("bigint") % 100 == 0)
+    part = lambda at, size: F.substring("text", at, size)
+    kinds = F.array(part(2, 5), F.concat(part(1, 3), F.lit("_"), part(5, 2)), F.concat(part(2, 2), F.lit("%"), F.upper(part(6, 3))), F.concat(part(3, 1), F.lit("_"), part(5, 1)))
+    queries_ = asked.select(F.col("id"), F.posexplode(kinds).alias("kind", "query")).select(F.concat_ws("-", "id", "kind").alias("query_id"), "query")
+    root = fresh_dir(spark, "letters")
+    substring.postings(names).write.parquet(root)
+    return substring.search(queries_, names, spark.read.schema("id string, letters string").parquet(root))
+
+
 @query
 def catalog_products(spark, sf_dir):
     return catalog.with_categories(tables.products(spark, sf_dir), tables.product_categories(spark, sf_dir))

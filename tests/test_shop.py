@@ -1,6 +1,7 @@
 """Carts, catalogue, feeds, screening, suggestions, vectors, change events."""
 
 import json
+import re
 
 import numpy as np
 import pytest
@@ -362,3 +363,18 @@ def test_sliding_counts_and_alerts(spark):
     steady = spark.createDataFrame(steps, "t string, lag bigint").select(F.col("t").cast("timestamp").alias("ts"), F.lit("orders").alias("topic"), "lag")
     held = [r["window_start"].strftime("%M:%S") for r in monitoring.alert_lag(steady).orderBy("window_start").collect()]
     assert held == ["00:00", "00:15", "00:30", "00:45", "01:00"]
+
+
+def test_substring_index_equals_like(spark):
+    from ordermill.operators import substring
+
+    texts = ["Red gauze", "RED GXZ", "a", "", None, "éclair au café", "100% wool_blend", "aaaa", "ab ab"]
+    asked = ["red", "d g_z", "%", "", "_", "a", "É", "CAFÉ", "0%w", "ab%ab", "aa_a", "zzz", "l_b", None, "abc" * 5]
+    frame = spark.createDataFrame([(str(k), t) for k, t in enumerate(texts)], "id string, text string")
+    queries = spark.createDataFrame(list(enumerate(asked)), "query_id int, query string")
+    got = {tuple(r) for r in substring.search(queries, frame, substring.postings(frame)).collect()}
+    pattern = lambda q: "(?s).*" + "".join({"%": ".*", "_": "."}.get(c, re.escape(c)) for c in q.lower()) + ".*"
+    want = {(k, str(n)) for k, q in enumerate(asked) if q is not None for n, t in enumerate(texts) if t is not None and re.fullmatch(pattern(q), t.lower())}
+    assert got == want
+    plan = substring.search(queries, frame, substring.postings(frame))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Cross" not in plan and "LIKE" in plan.upper()
