@@ -813,14 +813,19 @@ def stream_outcomes(spark, sf_dir):
     return counted.groupBy("status").agg(F.sum("n").cast("bigint").alias("n"))
 
 
+#: Files that each batch of the cart stream comes in.
+FILES_PER_BATCH = 4
+
+
 @query
 def stream_cart_fold(spark, sf_dir):
     """Cart events through the stateful stream; what is left in the carts."""
     root = fresh_dir(spark, "carts")
-    events = tables.cart_events(spark, sf_dir)
-    for batch in range(4):  # in no order of time across the batches
-        events.where(F.col("event_id") % 4 == batch).coalesce(1).write.mode("append").parquet(f"{root}/events")
-    return cart_stream.run_available(spark, f"{root}/events", root, max_files=1)
+    batches = tables.late_cart_events(spark, sf_dir)
+    for batch in range(tables.CART_BATCHES + 1):
+        of_batch = batches.where(F.array_contains("batches", batch)).drop("batches")
+        of_batch.repartition(FILES_PER_BATCH).write.mode("append").parquet(f"{root}/events")
+    return cart_stream.run_available(spark, f"{root}/events", root, max_files=FILES_PER_BATCH)
 
 
 @query

@@ -321,6 +321,28 @@ def cart_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+CART_BATCHES = 4
+
+
+def late_cart_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cart events with the ``batches`` that bring them: by quarters of the time; of a quarter's last day every
+    third event comes a batch late, every fifth one twice."""
+    events = cart_events(spark, sf_dir)
+    at = F.unix_micros("ts")
+    span = events.agg(F.min(at).alias("first"), (F.max(at) + 1 - F.min(at)).alias("span"))
+    quarter = F.floor((at - F.col("first")) * CART_BATCHES / F.col("span"))
+    end = F.col("first") + (F.col("_quarter") + 1) * F.col("span") / CART_BATCHES
+    last_day = at >= end - 86_400_000_000
+    late, twice = last_day & (F.col("event_id") % 3 == 0), last_day & (F.col("event_id") % 5 == 0)
+    own = F.col("_quarter") + late.cast("int")
+    return (
+        events.join(F.broadcast(span), F.lit(True))  # one row
+        .withColumn("_quarter", quarter)
+        .withColumn("batches", F.when(twice, F.array(own, F.col("_quarter") + 1)).otherwise(F.array(own)))
+        .drop("first", "span", "_quarter")
+    )
+
+
 def processing_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.col("ts").cast("timestamp").alias("ts"),

@@ -26,93 +26,114 @@ LINE = T.StructType(
     [
         T.StructField("user_id", T.StringType()),
         T.StructField("product_id", T.StringType()),
+        T.StructField("slice", T.LongType()),
         T.StructField("quantity", T.LongType()),
     ]
 )
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-# A user's lines are spread over this many state keys, so that a very busy user
-# is not one task's work.
+# A user's adds are spread over this many state keys by product and event, so that neither a very busy
+# user nor a single very busy line is one task's work.
 SLICES = 8
+#: How much later than the newest event an event may come.
+LATE = "2 days"
+
+PLACE = [T.StructField("ts", T.LongType()), T.StructField("event_id", T.LongType())]
+ADD = T.StructType([*PLACE, T.StructField("quantity", T.LongType())])
 
 
 class CartProcessor(StatefulProcessor):
-    """State per (user, slice of the products): when the cart was last emptied, and
-    the adds since. Events count by their own time, whatever batch brings them: an add
-    older than the last empty is dropped, a late empty takes only the adds before
-    it, an add that is replayed is known by its time and id. Changed lines are emitted
-    with their new quantity, 0 when nothing is left.
+    """State per (user, slice): when the cart was last emptied, and a map with one entry per line.
 
-    A batch reads and writes a slice's adds at once; the slices and the last empty
-    bound how many there are."""
+    A line holds the adds that late events may still touch one by one, and the sum of those
+    behind the watermark. Events count by their own time, whatever batch brings them: an add
+    older than the last empty is dropped, a late empty takes only the adds before it, an
+    add that is replayed is known by its time and id, and what is behind the watermark comes too late.
+    Every empty that is still accepted lies behind all settled adds, so it takes the sum as a whole.
+    A batch reads and writes the lines that it adds to; an empty reads the slice's lines. Changed lines are
+    emitted with their new quantity, 0 when nothing is left."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        place = [T.StructField("ts", T.LongType()), T.StructField("event_id", T.LongType())]
-        line = [T.StructField("product_id", T.StringType()), T.StructField("quantity", T.LongType())]
-        self._adds = handle.getListState("adds", T.StructType([*place, *line]))
-        self._emptied = handle.getValueState("emptied", T.StructType(place))
+        self._lines = handle.getMapState(
+            "lines",
+            T.StructType([T.StructField("product_id", T.StringType())]),
+            T.StructType([T.StructField("settled", T.LongType()), T.StructField("recent", T.ArrayType(ADD))]),
+        )
+        self._emptied = handle.getValueState("emptied", T.StructType(PLACE))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        watermark = timerValues.getCurrentWatermarkInMs() * 1000
         emptied = tuple(self._emptied.get()) if self._emptied.exists() else None
-        held = {(ts, event_id, product): quantity for ts, event_id, product, quantity in self._adds.get()} if self._adds.exists() else {}
-        before = self._totals(held)
+        latest, adds = emptied, {}
         for chunk in rows:
-            ts, event_id = chunk["ts"].astype("datetime64[us]").astype("int64"), chunk["event_id"].astype("int64")
-            empties = (chunk["action"] == "empty").to_numpy()
-            if empties.any():
-                latest = max(zip(ts[empties].tolist(), event_id[empties].tolist()))
-                emptied = latest if emptied is None else max(emptied, latest)
-            adds = (chunk["action"] == "add").to_numpy()
-            if emptied is not None:
-                adds &= ((ts > emptied[0]) | ((ts == emptied[0]) & (event_id > emptied[1]))).to_numpy()
-            held.update(zip(zip(ts[adds].tolist(), event_id[adds].tolist(), chunk["product_id"][adds]), chunk["quantity"][adds].astype("int64").tolist()))
-        if emptied is not None:
-            held = {place: quantity for place, quantity in held.items() if place[:2] > emptied}
-            self._emptied.update(emptied)
-        if held:
-            self._adds.put([(*place, quantity) for place, quantity in held.items()])
+            chunk = chunk.assign(ts=chunk["ts"].astype("datetime64[us]").astype("int64"))
+            if watermark > 0:
+                chunk = chunk[chunk["ts"] >= watermark]
+            empties = chunk[chunk["action"] == "empty"]
+            if len(empties):
+                place = max(zip(empties["ts"].tolist(), empties["event_id"].tolist()))
+                latest = place if latest is None else max(latest, place)
+            added = chunk[chunk["action"] == "add"]
+            for product, *add in zip(added["product_id"], added["ts"].tolist(), added["event_id"].tolist(), added["quantity"].tolist()):
+                adds.setdefault(product, {})[tuple(add[:2])] = int(add[2])
+        if latest != emptied:
+            self._emptied.update(latest)
+            held = {k[0]: v for k, v in self._lines.iterator()}
         else:
-            self._adds.clear()
-        after = self._totals(held)
-        changed = [p for p in before.keys() | after.keys() if before.get(p, 0) != after.get(p, 0)]
+            held = {p: self._lines.getValue((p,)) for p in adds if self._lines.containsKey((p,))}
+        changed: dict[str, int] = {}
+        for product in adds.keys() | held.keys():
+            settled, recent = held.get(product) or (0, [])
+            before = settled + sum(add[2] for add in recent)
+            kept = {(add[0], add[1]): add[2] for add in recent} | adds.get(product, {})
+            if latest != emptied:
+                settled = 0
+            if latest is not None:
+                kept = {place: quantity for place, quantity in kept.items() if place > latest}
+            after = settled + sum(kept.values())
+            settled += sum(quantity for place, quantity in kept.items() if place[0] < watermark)
+            kept = {place: quantity for place, quantity in kept.items() if place[0] >= watermark}
+            if kept or settled:
+                self._lines.updateValue((product,), (settled, [(*place, quantity) for place, quantity in sorted(kept.items())]))
+            elif product in held:
+                self._lines.removeKey((product,))
+            if before != after:
+                changed[product] = after
         yield pd.DataFrame(
-            {"user_id": str(key[0]), "product_id": changed, "quantity": [after.get(p, 0) for p in changed]}
-        ).astype({"user_id": "object", "product_id": "object", "quantity": "int64"})
-
-    @staticmethod
-    def _totals(held: dict[tuple, int]) -> dict[str, int]:
-        totals: dict[str, int] = {}
-        for (_, _, product), quantity in held.items():
-            totals[product] = totals.get(product, 0) + quantity
-        return totals
+            {"user_id": str(key[0]), "product_id": list(changed), "slice": int(key[1]), "quantity": list(changed.values())}
+        ).astype({"user_id": "object", "product_id": "object", "slice": "int64", "quantity": "int64"})
 
     def close(self) -> None:
         pass
 
 
-def changes(events: DataFrame) -> DataFrame:
-    """Changed cart lines of a stream of cart events. Empties go to every slice."""
-    own = F.array(F.pmod(F.xxhash64("product_id"), F.lit(SLICES)))
+def changes(events: DataFrame, late: str = LATE) -> DataFrame:
+    """Changed cart lines of a stream of cart events, per slice. Empties go to every slice; events without
+    a time or an id are left out."""
+    own = F.array(F.pmod(F.xxhash64("product_id", "event_id"), F.lit(SLICES)))
     every = F.sequence(F.lit(0).cast("bigint"), F.lit(SLICES - 1).cast("bigint"))
-    sliced = events.withColumn(
-        "slice", F.explode(F.when(F.col("action") == "empty", every).otherwise(own))
+    sliced = (
+        events.where("ts is not null and event_id is not null")
+        .withWatermark("ts", late)
+        .withColumn("slice", F.explode(F.when(F.col("action") == "empty", every).otherwise(own)))
     )
     return sliced.groupBy("user_id", "slice").transformWithStateInPandas(
         statefulProcessor=CartProcessor(),
         outputStructType=LINE,
         outputMode="Update",
-        timeMode="None",
+        timeMode="EventTime",
     )
 
 
 def current(updates: DataFrame) -> DataFrame:
-    """Lines that are in the carts now: the latest change per line, if not 0."""
-    latest = first_by(updates, ["user_id", "product_id"], [F.desc("batch")])
-    return latest.where(F.col("quantity") > 0).select("user_id", "product_id", "quantity")
+    """Lines that are in the carts now: the latest change per line and slice, added up, if not 0."""
+    latest = first_by(updates, ["user_id", "product_id", "slice"], [F.desc("batch")])
+    lines = latest.groupBy("user_id", "product_id").agg(F.sum("quantity").alias("quantity"))
+    return lines.where(F.col("quantity") > 0)
 
 
-def run_available(spark: SparkSession, events_path: str, root: str, max_files: int | None = None) -> DataFrame:
+def run_available(spark: SparkSession, events_path: str, root: str, max_files: int | None = None, late: str = LATE) -> DataFrame:
     """Runs the stream over what is there and returns the carts after it."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     reader = spark.readStream.schema(EVENT)
@@ -126,7 +147,7 @@ def run_available(spark: SparkSession, events_path: str, root: str, max_files: i
         )
 
     query = (
-        changes(reader.parquet(events_path))
+        changes(reader.parquet(events_path), late)
         .writeStream.foreachBatch(store)
         .option("checkpointLocation", f"{root}/checkpoint")
         .outputMode("update")

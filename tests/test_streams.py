@@ -2,6 +2,7 @@
 
 import datetime
 import json
+import random
 
 from pyspark.sql import functions as F
 
@@ -104,6 +105,40 @@ def test_carts_go_by_event_time_and_not_by_batch(spark, folder):
     assert sorted(map(tuple, lines.collect())) == [("1", "new", 3), ("2", "kept", 3)]
 
 
+def _cart_batches(spark, folder, batches, **how):
+    """The lines after all batches, one a trigger."""
+    for rows in batches:
+        frame = spark.createDataFrame(rows, "user_id bigint, action string, product_id string, quantity bigint, t bigint, event_id bigint")
+        frame.withColumn("ts", F.timestamp_seconds("t")).drop("t").coalesce(1).write.mode("append").parquet(f"{folder}/events")
+    return {tuple(r) for r in cart_stream.run_available(spark, f"{folder}/events", folder, max_files=1, **how).collect()}
+
+
+def test_carts_are_the_same_in_any_order_of_batches(spark, folder):
+    rng = random.Random(11)
+    events = [(rng.randrange(3), rng.choice(["add", "add", "add", "empty"]), rng.choice(["a", "b", None]), rng.randrange(1, 5), t, t) for t in range(100, 160)]
+    want: dict = {}
+    for user, action, product, quantity, _, _ in events:
+        if action == "empty":
+            want = {k: q for k, q in want.items() if k[0] != str(user)}
+        else:
+            want[str(user), product] = want.get((str(user), product), 0) + quantity
+    for n, step in enumerate((1, 7)):
+        batches = [events[k::4] for k in range(4)] if step == 7 else [events[45:], events[:20] + events[50:], events[20:45]]
+        got = _cart_batches(spark, f"{folder}/{n}", batches)
+        assert got == {(*k, q) for k, q in want.items()}
+
+
+def test_cart_state_holds_lines_and_not_the_history(spark, folder):
+    """Adds behind the watermark are one sum per line, late ones are dropped, an empty still takes the sums."""
+    rounds = [[(1, "add", "p", 1, 1000 * k + j, 1000 * k + j) for j in range(20)] for k in range(1, 6)]
+    rounds.insert(4, [(1, "add", "p", 50, 1001, 7), (1, "empty", None, 0, 1002, 8)])  # far too late
+    assert _cart_batches(spark, folder, rounds, late="10 seconds") == {("1", "p", 100)}
+    state = spark.read.format("statestore").option("stateVarName", "lines").load(f"{folder}/checkpoint")
+    held = state.selectExpr("sum(size(user_map_value.recent)) recent", "sum(user_map_value.settled) settled", "count(*) lines").first()
+    assert held["recent"] <= 40 and held["settled"] + held["recent"] == 100 and held["lines"] <= cart_stream.SLICES
+    assert _cart_batches(spark, folder, [[(1, "empty", None, 0, 6000, 9), (1, "add", "q", 2, 6001, 10)]], late="10 seconds") == {("1", "q", 2)}
+
+
 def test_first_arrival_is_the_earliest_message(spark, folder):
     """By time, before partition and offset, over both topics."""
     at = lambda minute: datetime.datetime(2031, 5, 17, 6, minute)
