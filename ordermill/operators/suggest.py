@@ -11,6 +11,8 @@ RECOMMENDED, SHOWN = 5, 4
 FALLBACK_ADS = 2
 SALTS = 64
 SLOT_DIGITS = 2
+# Rounds of the permutation, an even number, and the field its keys are squared in.
+ROUNDS, PRIME = 4, 2**31 - 1
 
 
 def draw(*parts: Column) -> Column:
@@ -22,20 +24,23 @@ def recommend(requests: DataFrame, baskets: DataFrame, catalogue: DataFrame, see
     """Up to ``k`` random products of the catalogue that are not in the basket.
 
     ``requests``: request_id; ``baskets``: request_id, product_id (one row per product);
-    ``catalogue``: product_id. The catalogue is numbered in a random order and each
-    request reads on from a random place, as many products as its basket may strike
-    out and ``k`` more: an equi-join by number, whatever the catalogue's size.
+    ``catalogue``: product_id. The catalogue is numbered, and each request has a
+    permutation of the numbers of its own, of which it takes as many as its basket may
+    strike out and ``k`` more: a sample without replacement by an equi-join on
+    numbers, whatever the catalogue's size.
     """
     numbered, size = _numbered(catalogue, ["product_id"])
     held = baskets.groupBy("request_id").agg(F.count(F.lit(1)).alias("held"))
-    start = F.pmod(F.conv(F.substring(draw(F.col("request_id"), F.lit(seed)), 1, 12), 16, 10).cast("bigint"), F.col("rows"))
     wanted = F.least(F.col("rows"), F.coalesce("held", F.lit(0)) + k)
+    digest = draw(F.col("request_id"), F.lit(seed))
+    keys = F.array(*(F.conv(F.substring(digest, 1 + 7 * i, 7), 16, 10).cast("bigint") for i in range(ROUNDS)))
     drawn = (
         requests.join(held, "request_id", "left")
         .join(F.broadcast(size), F.lit(True))  # one row
         .where("rows > 0")
+        .withColumn("_keys", keys)
         .withColumn("step", F.explode(F.sequence(F.lit(0).cast("bigint"), wanted - 1)))
-        .withColumn("number", (start + F.col("step")) % F.col("rows"))
+        .withColumn("number", permuted(F.col("step"), F.col("rows"), F.col("_keys")))
     )
     found = drawn.join(numbered, "number").select("request_id", "step", "product_id")
     free = found.join(baskets.select("request_id", "product_id"), ["request_id", "product_id"], "left_anti")
@@ -43,6 +48,32 @@ def recommend(requests: DataFrame, baskets: DataFrame, catalogue: DataFrame, see
     return free.withColumn("rank", rank).where(F.col("rank") <= k).select("request_id", "rank", "product_id", (F.col("rank") <= SHOWN).alias("shown"))
 
 
+def permuted(step: Column, rows: Column, keys: Column) -> Column:
+    """Where a keyed permutation of 0 .. rows - 1 puts ``step``.
+
+    Feistel rounds over a grid of a x b places, the smallest near-square one that holds all rows; fewer than
+    a places are too many. A step that lands on one of those goes on from there, which
+    ends after as many turns as there are such places and is rare: about one step in sqrt(rows).
+    """
+    a = F.ceil(F.sqrt(rows.cast("double"))).cast("bigint")
+    b = F.ceil(rows / a).cast("bigint")
+
+    def mixed(value: Column, key: int) -> Column:
+        moved = (value + keys[key]) % PRIME
+        return moved * moved % PRIME
+
+    def turn(place: Column) -> Column:
+        left, right = F.floor(place / b), place % b
+        for key in range(0, ROUNDS, 2):
+            left = (left + mixed(right, key)) % a
+            right = (right + mixed(left, key + 1)) % b
+        return left * b + right
+
+    spare = F.sequence(F.lit(1).cast("bigint"), F.greatest(a * b - rows, F.lit(1).cast("bigint")))
+    first = turn(step)
+    return F.when(first < rows, first).otherwise(F.aggregate(spare, first, lambda at, _: F.when(at < rows, at).otherwise(turn(at))))
+
+
 def ads_for(requests: DataFrame, ads: DataFrame, seed: int = 0) -> DataFrame:
     """Ads of a request's context keys, in key order and with repeats; two random
     ads where no key has any.

@@ -179,6 +179,16 @@ served AS (
   JOIN numbered USING (number))"""
 
 
+def _turn(place: str) -> str:
+    """A place of the grid a x b after four keyed rounds."""
+    left, right = f"({place} // b)", f"({place} % b)"
+    mixed = lambda value, key: f"((({value} + k{key}) % 2147483647) * (({value} + k{key}) % 2147483647) % 2147483647)"
+    for key in (0, 2):
+        left = f"(({left} + {mixed(right, key)}) % a)"
+        right = f"(({right} + {mixed(left, key + 1)}) % b)"
+    return f"CAST({left} * b + {right} AS BIGINT)"
+
+
 def queries() -> dict[str, str]:
     q: dict[str, str] = {}
 
@@ -616,20 +626,26 @@ SELECT CAST(user_id AS VARCHAR) AS user_id, cart_size, lines, currency_code,
 FROM t"""
 
     q["recommendations"] = f"""
-WITH {CARTS},
+WITH RECURSIVE {CARTS},
 numbered AS (
   SELECT CAST(p_partkey AS VARCHAR) AS product_id,
          row_number() OVER (ORDER BY substr(md5(CAST(p_partkey AS VARCHAR)), 1, 2), CAST(p_partkey AS VARCHAR)) - 1 AS number
   FROM part),
+grid AS (
+  SELECT n, a, CAST(ceil(n / a) AS BIGINT) AS b
+  FROM (SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS a FROM part)),
 asked AS (
   SELECT user_id, (SELECT count(*) FROM carts c WHERE c.user_id = u.user_id) + 5 AS wanted,
-         CAST('0x' || substr(md5(user_id || '|7'), 1, 12) AS BIGINT) AS start
+         {", ".join(f"CAST('0x' || substr(md5(user_id || '|7'), {1 + 7 * i}, 7) AS BIGINT) AS k{i}" for i in range(4))}
   FROM (SELECT DISTINCT user_id FROM events) u),
+walk AS (
+  SELECT user_id, i AS step, k0, k1, k2, k3, n, a, b, {_turn("i")} AS number
+  FROM asked, grid, range((SELECT max(wanted) FROM asked)) r(i)
+  WHERE i < least(wanted, n)
+  UNION ALL
+  SELECT user_id, step, k0, k1, k2, k3, n, a, b, {_turn("number")} FROM walk WHERE number >= n),
 read AS (
-  SELECT a.user_id, i AS step, n.product_id
-  FROM asked a, range((SELECT max(wanted) FROM asked)) r(i)
-  JOIN numbered n ON n.number = (a.start + i) % (SELECT count(*) FROM part)
-  WHERE i < least(wanted, (SELECT count(*) FROM part))),
+  SELECT w.user_id, w.step, p.product_id FROM walk w JOIN numbered p ON p.number = w.number),
 ranked AS (
   SELECT user_id, product_id, row_number() OVER (PARTITION BY user_id ORDER BY step) AS rank
   FROM read r WHERE NOT EXISTS (SELECT 1 FROM carts c WHERE c.user_id = r.user_id AND c.product_id = r.product_id))
@@ -660,6 +676,13 @@ s AS (SELECT query_id, vec_id, list_cosine_similarity(CAST(embedding AS DOUBLE[]
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, vec_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 10"""
 
+    q["vector_topk_indexed"] = """
+WITH s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) AS score
+  FROM embeddings v, embeddings q WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s WHERE NOT isnan(score))
+SELECT CAST(query_id AS BIGINT) AS query_id, CAST(vec_id AS BIGINT) AS vec_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 10"""
+
     q["payload_screen"] = """
 SELECT c_custkey AS checkout_id, CASE
   WHEN c_nationkey = 0 THEN 'email' WHEN c_nationkey = 1 THEN 'street_address'

@@ -666,6 +666,15 @@ def vector_topk(spark, sf_dir):
     return found.withColumn("score", F.round("score", 6))
 
 
+@query
+def vector_topk_indexed(spark, sf_dir):
+    """The ten vectors nearest to every vector whose id is divisible by 100, by the index."""
+    vectors = tables.table(spark, sf_dir, "embeddings")
+    asked = vectors.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    found = vectors_op.Index.build(vectors).nearest(asked, 10)
+    return found.select("query_id", "vec_id", F.round("score", 6).alias("score"), "rank")
+
+
 # --- screening -----------------------------------------------------------------
 
 
