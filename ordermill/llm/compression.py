@@ -1,9 +1,10 @@
 """Quality rules by compression bands.
 
-A text is compressed whole, in chunks and in parts of half a chunk. Chunks and parts overlap by half and
-the last ones end with the text, so that junk is judged alike wherever it stands. Very small outputs mean repetition, very large ones
-noise. What is usual depends on the length (a short text has little to repeat), so every length has
-its own limits; they hold for whole texts, and for chunks and parts, where noise between good lines shows.
+A text is compressed whole, in chunks and in parts a quarter as long as the text, within bounds. Chunks and parts overlap
+by half and the last ones end with the text, so that junk is judged alike wherever it stands. Very small outputs mean
+repetition, very large ones noise. What is usual depends on the length (a short text has little to repeat), so every
+length has its own limits, and a window is held to those of its own length. Limits and the length of the parts
+change with the text's length without a jump.
 """
 
 from __future__ import annotations
@@ -15,22 +16,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordermill.llm.common import quoted, words, without
+from ordermill.llm.common import modest_batches, quoted, words, without
 
 LEVEL = 3
 CHUNK = 4096
 SYMBOLS = "#*$%&|<>"
 SPACE = " \t\n\x0b\f\r"
-#: Bytes from which a row holds; least and most raw bytes per compressed byte. Shorter texts pass.
+#: Least and most raw bytes per compressed byte at these numbers of bytes; straight lines over the logarithm of the length
+#: lie between them. Shorter texts pass: fifty words hardly fit in 256 bytes.
 BANDS = ((256, 1.15, 3.0), (512, 1.3, 3.2), (1024, 1.45, 3.6), (2048, 1.5, 4.2), (8192, 1.55, 5.0), (32768, 1.6, 6.5), (131072, 1.6, 8.0))
-#: The same for a whole chunk of CHUNK bytes.
-CHUNK_BAND = (1.45, 5.0)
-#: Bytes of a part, held to the limits of its own length.
-PART = CHUNK // 2
-PART_BAND = next((low, high) for start, low, high in BANDS if start == PART)
+SHORTEST = BANDS[0][0]
+#: A part has this share of the text's bytes, at least ``SHORTEST`` and at most ``PART``.
+SHARE, PART = 4, CHUNK // 2
 OWN = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "ratio", "chunk_least", "chunk_most", "base_failed", "kept")
-MEASURES = (*OWN[:8], "part_least", "part_most")
-KIND = T.StructType([T.StructField(x, T.LongType() if k < 5 else T.DoubleType()) for k, x in enumerate(MEASURES)])
+MEASURES = (*OWN[:8], "inside")
+KIND = T.StructType([T.StructField(x, T.LongType() if k < 5 else T.DoubleType() if k < 8 else T.BooleanType()) for k, x in enumerate(MEASURES)])
+_LENGTHS, _LOW, _HIGH = (np.array(x, float) for x in zip(*BANDS))
 
 
 def repeated(ws: list[bytes]) -> int:
@@ -64,24 +65,37 @@ def dup_lines(text: str) -> int:
     return found
 
 
+def limits(size: int) -> tuple[float, float]:
+    """Least and most raw bytes per compressed byte of ``size`` bytes."""
+    at = np.log2(size)
+    return float(np.interp(at, np.log2(_LENGTHS), _LOW)), float(np.interp(at, np.log2(_LENGTHS), _HIGH))
+
+
 def window_ratios(raw: bytes, size: int, press: zstandard.ZstdCompressor) -> list[float]:
     """Raw bytes per compressed byte of windows that overlap by half; the last one ends with ``raw``."""
     starts = [*range(0, len(raw) - size, size // 2), len(raw) - size]
     return [size / len(press.compress(raw[i : i + size])) for i in starts]
 
 
-def ratios(raw: bytes, press: zstandard.ZstdCompressor) -> tuple[float, float, float, float, float]:
-    """Raw bytes per compressed byte: of the whole, the least and most of the chunks, and of the parts.
+def ratios(raw: bytes, press: zstandard.ZstdCompressor) -> tuple[float, float, float, bool]:
+    """Raw bytes per compressed byte of the whole, the least and most of the chunks, and whether the whole, its
+    chunks and its parts lie within their limits.
 
-    Texts shorter than a chunk have neither; the whole's stands for them.
+    Texts shorter than a chunk have none; the whole's ratio stands for them.
     """
     if not raw:
-        return 1.0, 1.0, 1.0, 1.0, 1.0
+        return 1.0, 1.0, 1.0, True
     whole = len(raw) / len(press.compress(raw))
-    if len(raw) < CHUNK:
-        return whole, whole, whole, whole, whole
-    chunks, parts = window_ratios(raw, CHUNK, press), window_ratios(raw, PART, press)
-    return whole, min(chunks), max(chunks), min(parts), max(parts)
+    if len(raw) < SHORTEST:
+        return whole, whole, whole, True
+    chunks = window_ratios(raw, CHUNK, press) if len(raw) >= CHUNK else [whole]
+    part = min(PART, max(SHORTEST, len(raw) // SHARE))
+    parts = window_ratios(raw, part, press)
+    inside = True
+    for size, found in ((len(raw), [whole]), (min(CHUNK, len(raw)), chunks), (part, parts)):
+        low, high = limits(size)
+        inside &= low <= min(found) and max(found) <= high
+    return whole, min(chunks), max(chunks), inside
 
 
 def measure(text: str | None, press: zstandard.ZstdCompressor) -> tuple:
@@ -97,7 +111,7 @@ def measure(text: str | None, press: zstandard.ZstdCompressor) -> tuple:
 def _measured(texts: pa.Array) -> pa.Array:
     press = zstandard.ZstdCompressor(level=LEVEL)
     columns = list(zip(*[measure(t, press) for t in texts.to_pylist()])) or [()] * len(MEASURES)
-    kinds = [pa.int64()] * 5 + [pa.float64()] * 5
+    kinds = [pa.int64()] * 5 + [pa.float64()] * 3 + [pa.bool_()]
     return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=list(MEASURES))
 
 
@@ -107,19 +121,11 @@ def judge(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     Null texts count as empty: no words, so base_failed. Input columns named like the operator's are
     replaced; rows that repeat stay; an empty table gives an empty table.
     """
-    size = F.octet_length(quoted(text_col))
-    least, most = F.lit(0.0), F.lit(float("inf"))
-    for start, low, high in BANDS:
-        least, most = F.when(size >= start, low).otherwise(least), F.when(size >= start, high).otherwise(most)
+    modest_batches(docs.sparkSession)
     keep = without(docs, OWN)
     failed = (F.col("_m.n_words") < 50) | (100 * F.col("_m.n_repeat_words") > 50 * F.col("_m.n_words"))
-    chunks = (F.col("_m.chunk_least") >= CHUNK_BAND[0]) & (F.col("_m.chunk_most") <= CHUNK_BAND[1])
-    parts = (F.col("_m.part_least") >= PART_BAND[0]) & (F.col("_m.part_most") <= PART_BAND[1])
-    inside = (F.col("_m.ratio") >= F.col("_least")) & (F.col("_m.ratio") <= F.col("_most"))
-    return (
-        docs.select(*map(quoted, keep), _measured(quoted(text_col)).alias("_m"), least.alias("_least"), most.alias("_most"), size.alias("_size"))
-        .withColumn("_ok", inside & (F.coalesce(F.col("_size") < CHUNK, F.lit(True)) | (chunks & parts)))
-        .select(*map(quoted, keep), *[F.col(f"_m.{x}") for x in OWN[:8]], failed.alias("base_failed"), (~failed & F.col("_ok")).alias("kept"))
+    return docs.select(*map(quoted, keep), _measured(quoted(text_col)).alias("_m")).select(
+        *map(quoted, keep), *[F.col(f"_m.{x}") for x in OWN[:8]], failed.alias("base_failed"), (~failed & F.col("_m.inside")).alias("kept")
     )
 
 

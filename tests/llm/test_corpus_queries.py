@@ -419,6 +419,21 @@ def test_junk_is_found_wherever_it_stands(spark, after):
     assert kept[2][1] >= 1.5 and kept[4][1] >= 1.55 and kept[5][1] <= 5.0
 
 
+def test_verdicts_do_not_jump_with_the_length(spark):
+    """Two fifths of junk are found on both sides of every edge, prose of any length is kept, and limits have no steps."""
+    rng = random.Random(4)
+    good = prose(rng, 20_000, 4000)
+    noise = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", k=14_000))
+    line = "the same line comes again and again\n" * 400
+    edges = [size + more for size in (1024, 2048, 4096, 8192, 32768) for more in (-1, 0, 1)]
+    texts = [good[: size - junk] + of[:junk] for size in edges for of, junk in ((good, 0), (noise, 2 * size // 5), (line, 2 * size // 5))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    kept = {r.doc_id: r.kept for r in compression.judge(docs).collect()}
+    assert [kept[k] for k in range(len(texts))] == [True, False, False] * len(edges)
+    steps = np.array([compression.limits(size) for size in range(200, 140_000)])
+    assert np.abs(np.diff(steps, axis=0)).max() < 0.01
+
+
 BASE = [
     ("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), lambda m: len(m[2]) >= 6),
     ("access", re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20),
