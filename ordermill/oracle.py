@@ -773,4 +773,5 @@ SELECT 'cdc_product_changes' AS topic, id AS key, id, CASE WHEN p_size % 14 = 0
 
     q["stream_lag_alert"] = q["lag_alert"]
     q["stream_cart_fold"] = q["cart_fold"]
+    q["gold_from_deltas"] = q["gold_fact_order_items"]
     return q

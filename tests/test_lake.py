@@ -4,11 +4,12 @@ import json
 from datetime import date
 
 import pytest
+from conftest import SMALL
 from pyspark.sql import functions as F
 
 from ordermill.functions import timestamps
 from ordermill.operators import bronze, landing
-from ordermill.plans import upkeep
+from ordermill.plans import increment, models, store, upkeep
 from ordermill.sources import files, streams
 
 
@@ -186,3 +187,36 @@ def test_stream_options_and_registry_frame(spark):
 def test_read_jsonl_skips_blank_lines(spark, tmp_path):
     (tmp_path / "in.jsonl").write_text('{"a": 1}\n\n   \n{"a":  2}\n')
     assert [r[0] for r in files.read_jsonl(spark, f"file://{tmp_path}/in.jsonl").collect()] == ['{"a": 1}', '{"a":  2}']
+
+
+def _files_by_day(spark, path):
+    rows = spark.read.parquet(path).select("period", "_metadata.file_path").distinct().collect()
+    out = {}
+    for day, file in rows:
+        out.setdefault(day, set()).add(file)
+    return out
+
+
+def test_models_from_deltas_equal_the_full_build(spark, folder):
+    """Events in any order of arrival; a day that no delta touches keeps its files, a day that loses its last row goes."""
+    rows = store.layers(spark, SMALL).bronze
+    rows = rows.where(F.col("_event_date") < F.date_add(F.lit(rows.agg(F.min("_event_date")).first()[0]), 60))
+    by_hash = F.pmod(F.xxhash64("_row_id", "_kafka_offset"), F.lit(3))
+    day = rows.groupBy("_event_date").count().orderBy("count", "_event_date").first()["_event_date"]
+    moved = rows.where(F.col("_event_date") == day).withColumns({"_ingested_at": F.lit("1990-01-01").cast("timestamp"), "_event_date": F.lit("1991-12-31").cast("date")})
+    deltas = [rows.where(by_hash == k) for k in (2, 0, 1)] + [moved, rows.limit(0), rows.where(by_hash == 0)]
+    seen = rows.limit(0)
+    for delta in deltas:
+        seen = seen.unionByName(delta)
+        before = _files_by_day(spark, f"{folder}/silver") if delta is not deltas[0] else {}
+        days = increment.apply(spark, folder, delta)
+        want = models.gold_fact(models.silver_items(seen))
+        got = increment.gold(spark, folder)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+        after = _files_by_day(spark, f"{folder}/silver")
+        assert {d: f for d, f in before.items() if d not in days} == {d: f for d, f in after.items() if d not in days}
+        assert all(after[d] != before[d] for d in days if d in before and d in after)
+        if delta is moved:
+            assert days == [date(1991, 12, 31), day] and day not in after
+        if delta is deltas[4]:
+            assert days == []
