@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,16 +49,18 @@ class Setting:
         return 2 * self.chunks - 1
 
 
-#: At similarity 0.85, 66 slots differ in 9.9 places on average, 2.9 standard deviation; 21 is four above.
+#: At similarity 0.85, 66 slots differ in 9.9 places on average, 2.9 standard deviation; 21 is four above. By the
+#: binomial tail one link in 6 700 right at the limit lies beyond it.
 THREE_WORDS = Setting(3, 85, 6, 11)
-#: At similarity 0.8, 70 slots differ in 13.9 places on average, 3.3 standard deviation; 27 is four above.
+#: At similarity 0.8, 70 slots differ in 13.9 places on average, 3.3 standard deviation; 27 is four above; beyond
+#: it lies one link in 11 000.
 FIVE_WORDS = Setting(5, 80, 5, 14)
 MOST_SLOTS = 128
 #: Documents of a block in the comparison of full sets.
 BLOCK = 256
 #: Rows of a small table that may be broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 2_000_000
-#: Buckets larger than this give up their leader's ball to a join of its own before they are gathered.
+#: Buckets larger than this are not gathered in one task but split, see ``candidate_ties``.
 LARGE_BUCKET = 50_000
 
 _random = np.random.default_rng(20240229)
@@ -250,25 +252,62 @@ def _distance(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array((_signatures(a) != _signatures(b)).sum(axis=1), pa.int32())
 
 
+def _parted(setting: Setting, turn: int):
+    """Keys of a bucket's parts: the bucket's with each chunk key of the slots in another order.
+
+    A pair within the distance meets in some part again (see ``chunk_keys``). Every turn deals the slots
+    to chunks anew, so that what agreed by chance in one does not in the next.
+    """
+    order = np.random.default_rng(turn).permutation(setting.slots)
+
+    def parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                whole = np.repeat(batch.column(0).to_numpy(), setting.slots).view(np.uint64)
+                keys = chunk_keys(_signatures(batch.column(2))[:, order], setting).reshape(-1).view(np.uint64)
+                ids = np.repeat(batch.column(1).to_numpy(), setting.slots)
+                yield pa.RecordBatch.from_pydict({"key": _mixed(_mixed(whole * M1) ^ keys).view(np.int64), "id": ids})
+
+    return parted
+
+
+def _met(probes: DataFrame, classes: DataFrame) -> DataFrame:
+    """(key, id, signature) of the keys that hold two ids or more. Keys are counted on the map side first."""
+    several = probes.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least != most").select("key")
+    return saved(probes.join(several, "key", "left_semi").join(classes.select("id", "signature"), "id").select("key", "id", "signature"), "buckets")
+
+
 def candidate_ties(classes: DataFrame, setting: Setting) -> DataFrame:
-    """(a, b) pairs of class ids; any two classes within the distance are connected through them."""
-    probes = classes.select("id", "signature").mapInArrow(_probes(setting), "key bigint, id bigint")
-    bucket = Window.partitionBy("key")
-    met = probes.select("key", "id", F.min("id").over(bucket).alias("least"), F.max("id").over(bucket).alias("most"))
-    met = saved(met.where("least != most").select("key", "id").join(classes.select("id", "signature"), "id").select("key", "id", "signature"), "buckets")
-    found = []
+    """(a, b) pairs of class ids; any two classes within the distance are connected through them.
+
+    A bucket too large for one task gives up the ball of a leader if that holds half of it; what lies within
+    twice the distance is then tied unseen, which makes candidate groups larger and loses no pair. Any other
+    large bucket is split by further slots (see ``_parted``). Only large buckets take part in a turn.
+    """
+    met = _met(classes.select("id", "signature").mapInArrow(_probes(setting), "key bigint, id bigint"), classes)
+    small, found, turn = [], [], 0
     while True:
-        sizes = met.groupBy("key").count().where(F.col("count") > LARGE_BUCKET)
+        sizes = saved(met.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > LARGE_BUCKET), "large-buckets")
         if not sizes.take(1):
+            small.append(met)
             break
-        # A leader's ball leaves all large buckets in one join, which splits where a key is hot; the
-        # ring around it is tied unseen, which makes candidate groups larger and loses no pair.
-        leaders = met.join(sizes, "key").groupBy("key").agg(F.min(F.struct("id", "signature")).alias("leader"))
-        led = met.join(leaders, "key", "left").withColumn("at", F.coalesce("leader.signature", "signature"))
-        seen = saved(led.withColumn("far", _distance("signature", "at")), "balls")
-        found.append(seen.where(f"leader is not null and far <= {2 * setting.distance} and id != leader.id").select(F.col("leader.id").alias("a"), F.col("id").alias("b")).distinct())
-        met = seen.where(f"leader is null or far > {setting.distance}").select("key", "id", "signature")
-    out = met.repartition(F.shiftright("key", 32)).sortWithinPartitions("key", "id").mapInArrow(_bucket_ties(setting.distance), "a bigint, b bigint")
+        small.append(met.join(sizes, "key", "left_anti"))
+        turn += 1
+        large = met.join(sizes, "key")
+        leaders = large.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)), "id", "signature")).alias("leader"))
+        led = large.join(leaders, "key").withColumn("far", _distance("signature", "leader.signature"))
+        seen = saved(led.select("key", "id", "signature", "n", F.col("leader.id").alias("leader"), "far"), "balls")
+        near = F.col("far") <= setting.distance
+        balls = seen.groupBy("key", "n").agg(F.count_if(near).alias("ball")).where("2 * ball >= n").select(F.col("key").alias("led"))
+        judged = seen.join(balls, F.col("key") == F.col("led"), "left")
+        found.append(judged.where((F.col("led").isNotNull()) & (F.col("far") <= 2 * setting.distance) & (F.col("id") != F.col("leader"))).select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct())
+        rest = judged.where(F.col("led").isNotNull() & ~near).select("key", "id", "signature")
+        parts = judged.where("led is null").select("key", "id", "signature").mapInArrow(_parted(setting, turn), "key bigint, id bigint")
+        met = saved(rest.unionByName(_met(parts, classes)), "buckets")
+    buckets = small[0]
+    for part in small[1:]:
+        buckets = buckets.unionByName(part)
+    out = buckets.repartition(F.shiftright("key", 32)).sortWithinPartitions("key", "id").mapInArrow(_bucket_ties(setting.distance), "a bigint, b bigint")
     for part in found:
         out = out.unionByName(part)
     return contracted(out)
