@@ -5,6 +5,11 @@ of a label by these signs in a row, the first direction foremost. Similar vector
 near each other; everyone is compared with the WINDOW next ones. The pairs that reach the cosine, of all
 passes together, connect vectors to groups; inside a group, block against block, every pair is compared
 once more, so that dense groups larger than a window keep their links.
+
+How often similar vectors meet depends on the size and shape of a label. So pairs are planted that lie exactly at
+the limit, in every label that a window does not span; as long as fewer than MEET of a label's pairs have met, it
+gets another turn of passes with twice the comparisons. Where a turn would cost as much as all pairs of the
+label, its blocks are compared with each other instead.
 """
 
 from __future__ import annotations
@@ -30,17 +35,19 @@ WINDOW = 64
 #: Vectors of a block; its neighbours' window is added to it.
 BLOCK = 1024
 SEED = 7
+#: Pairs planted per label, an eighth of its vectors at most, and the share of them that has to meet.
+PLANTED, MEET = 500, 0.99
 
 
-def directions(passes: int, dims: int) -> np.ndarray:
+def directions(passes: int, dims: int, turn: int = 0) -> np.ndarray:
     """(passes, 63, dims) random directions, the same in every task."""
-    return np.random.default_rng(SEED).standard_normal((passes, 63, dims))
+    return np.random.default_rng(SEED + turn).standard_normal((passes, 63, dims))
 
 
-def sort_keys(units: np.ndarray, passes: int = PASSES) -> np.ndarray:
+def sort_keys(units: np.ndarray, passes: int = PASSES, turn: int = 0) -> np.ndarray:
     """(vectors, passes) keys: the signs of 63 projections, the first direction in the highest bit."""
     powers = np.int64(1) << np.arange(62, -1, -1, dtype=np.int64)
-    return np.stack([(units @ d.T >= 0) @ powers for d in directions(passes, units.shape[1])], axis=1)
+    return np.stack([(units @ d.T >= 0) @ powers for d in directions(passes, units.shape[1], turn)], axis=1)
 
 
 def _units(column: pa.Array) -> np.ndarray:
@@ -95,6 +102,137 @@ def _window_links(cosine: float, window: int):
     return links
 
 
+def _block_links(cosine: float):
+    def links(rows: pd.DataFrame) -> pd.DataFrame:
+        """Ties of one block, or of two with each other."""
+        units, nodes, side = _padded(rows["unit"]), rows["node"].to_numpy(), rows["side"].to_numpy()
+        own, other = side == 0, side == side.max()
+        forest = Forest()
+        for i in range(0, int(own.sum()), 128):
+            a, b = np.nonzero(units[own][i : i + 128] @ units[other].T >= cosine)
+            for x, y in zip(nodes[own][i + a].tolist(), nodes[other][b].tolist()):
+                forest.join(x, y)
+        ends = [(root, x) for root, x in ((forest.root(x), x) for x in list(forest)) if root != x]
+        return pd.DataFrame(ends, columns=["a", "b"]).astype(np.int64)
+
+    return links
+
+
+def _blocks_paired(rows: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``rows`` (component, block, ...) once for each block that theirs meets, with ``task`` and ``side``.
+
+    ``blocks`` has the components c with their number of blocks n.
+    """
+    one = blocks.select("c", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("block1"))
+    meets = one.withColumn("block2", F.explode(F.sequence(F.col("block1"), F.col("n") - 1))).withColumn("task", F.xxhash64("c", "block1", "block2"))
+    sides = meets.select("c", "task", F.col("block1").alias("b"), F.lit(0).alias("side")).unionByName(
+        meets.where("block1 < block2").select("c", "task", F.col("block2").alias("b"), F.lit(1).alias("side"))
+    )
+    return rows.join(sides, (F.col("component") == F.col("c")) & (F.col("block") == F.col("b"))).drop("c", "b")
+
+
+def _planted(cosine: float):
+    """Both ends of a pair at exactly ``cosine`` for every vector: half of them in a random direction, half towards another vector."""
+
+    def planted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spaces, nodes, units, out, last = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), [], None
+            for k, unit in enumerate(units):
+                u = np.frombuffer(unit, np.float64)
+                other = np.frombuffer(last, np.float64) if k % 2 and spaces[k] == spaces[k - 1] else np.random.default_rng(nodes[k] & 0xFFFFFFFF).standard_normal(len(u))
+                side = other - (other @ u) * u
+                size = math.sqrt(float(side @ side))
+                out.append((cosine * u + math.sqrt(1 - cosine * cosine) * side / size if size > 1e-9 else u).tobytes())
+                last = unit
+            for ends in (units, out):
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ends, pa.binary())], names=["space", "pair", "unit"])
+
+    return planted
+
+
+def _pass_keys(passes: int, turn: int):
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row per vector and pass: space, node, pair, key."""
+        for batch in batches:
+            sizes = np.array([len(x) for x in batch.column(3).to_pylist()])
+            for size in np.unique(sizes):
+                part = batch.filter(pa.array(sizes == size))
+                keys = sort_keys(_units(part.column(3)), passes, turn)
+                for k in range(passes):
+                    number = pa.array(np.full(len(keys), k, np.int32))
+                    yield pa.RecordBatch.from_arrays([number, part.column(0), pa.array(keys[:, k]), part.column(1), part.column(2)], names=["pass", "space", "key", "node", "pair"])
+
+    return keyed
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places in the partition's order; planted vectors take none and stand at the next one's."""
+    part, at = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        real = np.asarray(batch.column("pair").is_null())
+        place = at + np.cumsum(real) - real
+        at += int(real.sum())
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(x) for x in ("pass", "space", "node", "pair")), pa.array(np.full(len(real), part, np.int32)), pa.array(place.astype(np.int64))],
+            names=["pass", "space", "node", "pair", "part", "place"],
+        )
+
+
+def _turn(entrants: DataFrame, passes: int, window: int, turn: int) -> DataFrame:
+    """(pass, space, node, pair, rank) of all vectors in the orders of one turn of passes."""
+    order = ["pass", "space", "key", "node"]
+    keys = entrants.select("space", "node", "pair", "unit").mapInArrow(_pass_keys(passes, turn), "pass int, space string, key bigint, node bigint, pair bigint")
+    places = saved(keys.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_numbered, "pass int, space string, node bigint, pair bigint, part int, place bigint"), "places")
+    parts = places.groupBy(F.col("part").alias("p")).agg(F.count_if(F.col("pair").isNull()).alias("n"))
+    offsets = parts.select("p", F.coalesce(F.sum("n").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    return places.join(F.broadcast(offsets), F.col("part") == F.col("p")).select("pass", "space", "node", "pair", (F.col("before") + F.col("place")).alias("rank"))
+
+
+def linked_pairs(classes: DataFrame, *, cosine: float, passes: int, window: int) -> DataFrame:
+    """(a, b) ties of classes (node, space, unit): turns of passes, each with twice the comparisons of the one
+    before, for the spaces whose planted pairs have not met yet; then block against block.
+    """
+    sizes = saved(classes.groupBy("space").agg(F.count("*").alias("n")), "spaces")
+    share = F.least(F.lit(PLANTED) / F.col("n"), F.lit(1 / 8))
+    drawn = F.pmod(F.xxhash64("node", F.lit(SEED)), F.lit(1 << 30)) < share * (1 << 30)
+    chosen = classes.join(sizes.where(F.col("n") > window + 1), "space").where(drawn).select("space", "node", "unit")
+    plants = saved(chosen.repartition("space").sortWithinPartitions("space", "node").mapInArrow(_planted(cosine), "space string, pair bigint, unit binary"), "planted")
+    wanted = plants.groupBy("space").agg(F.count_distinct("pair").alias("pairs"))
+    real = classes.select("space", "node", F.lit(None).cast("bigint").alias("pair"), "unit")
+    both = real.unionByName(plants.select("space", F.col("pair").alias("node"), "pair", "unit"))
+    found, met, spent, turn, left = [], None, 0, 0, sizes
+    while True:
+        entrants = both if turn == 0 else both.join(left.select("space"), "space", "left_semi")
+        ranked = _turn(entrants, passes, window, turn)
+        block = F.floor(F.col("rank") / BLOCK)
+        # The first rows of a block also close the window of the block before.
+        two = F.when(F.col("rank") % BLOCK < window, F.array(block, block - 1)).otherwise(F.array(block))
+        dealt = ranked.where("pair is null").select("space", "node", "rank", F.explode(two).alias("block")).where("block >= 0").join(classes.select("node", "unit"), "node")
+        links = dealt.select("block", F.col("space").alias("label"), "node", "rank", "unit").groupBy("block").applyInPandas(_window_links(cosine, window), "a bigint, b bigint")
+        found.append(saved(contracted(links), "vector-pairs"))
+        near = ranked.where("pair is not null").groupBy("pass", "space", "pair").agg((F.max("rank") - F.min("rank")).alias("gap")).where(F.col("gap") <= window).select("space", "pair")
+        met = saved((near if met is None else near.unionByName(met)).distinct(), "met")
+        shares = left.join(wanted, "space").join(met.groupBy("space").agg(F.count("*").alias("met")), "space", "left")
+        left = saved(shares.where(F.coalesce("met", F.lit(0)) < MEET * F.col("pairs")).select("space", "n"), "spaces")
+        if not left.take(1):
+            break
+        spent, turn = spent + passes * window, turn + 1
+        window, passes = (2 * window, passes) if 2 * window <= BLOCK else (window, 2 * passes)
+        whole = left.where(F.col("n") <= 2 * (spent + passes * window))
+        if whole.take(1):
+            blocks = whole.select(F.col("space").alias("c"), F.ceil(F.col("n") / BLOCK).alias("n"))
+            rows = classes.join(blocks, F.col("space") == F.col("c")).select("node", "unit", F.col("space").alias("component"), F.pmod(F.xxhash64("node"), F.col("n")).alias("block"))
+            exact = _blocks_paired(rows, blocks).groupBy("task").applyInPandas(_block_links(cosine), "a bigint, b bigint")
+            found.append(saved(contracted(exact), "vector-pairs"))
+            left = saved(left.where(F.col("n") > 2 * (spent + passes * window)), "spaces")
+            if not left.take(1):
+                break
+    pairs = found[0]
+    for part in found[1:]:
+        pairs = pairs.unionByName(part)
+    return pairs if len(found) == 1 else saved(contracted(pairs), "vector-pairs")
+
+
 def _group_counts(cosine: float):
     def counts(rows: pd.DataFrame) -> pd.DataFrame:
         """Links of each vector of side 0 with those of the task's group; copies count as often as they occur."""
@@ -133,35 +271,9 @@ def link_groups(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str =
         "vector-classes",
     )
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = np.array([len(x) for x in batch.column(2).to_pylist()])
-            for size in np.unique(sizes):
-                part = batch.filter(pa.array(sizes == size))
-                keys = sort_keys(_units(part.column(2)), passes)
-                label = pa.array([f"{size}:{x}" for x in part.column(1).to_pylist()])
-                for k in range(passes):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), k, np.int32)), label, pa.array(keys[:, k]), part.column(0)], names=["pass", "label", "key", "node"])
-
-    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, at = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            n = batch.num_rows
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(3), pa.array(np.full(n, part, np.int32)), pa.array(np.arange(at, at + n))], names=["label", "node", "part", "place"])
-            at += n
-
-    keys = classes.select("node", "label", "unit").mapInArrow(keyed, "pass int, label string, key bigint, node bigint")
-    order = ["pass", "label", "key", "node"]
-    places = saved(keys.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(numbered, "label string, node bigint, part int, place bigint"), "places")
-    parts = places.groupBy(F.col("part").alias("p")).agg(F.count("*").alias("n"))
-    offsets = parts.select("p", F.coalesce(F.sum("n").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    ranked = places.join(F.broadcast(offsets), F.col("part") == F.col("p")).select("label", "node", (F.col("before") + F.col("place")).alias("rank"))
-    block = F.floor(F.col("rank") / BLOCK)
-    # The first rows of a block also close the window of the block before.
-    both = F.when(F.col("rank") % BLOCK < window, F.array(block, block - 1)).otherwise(F.array(block))
-    dealt = ranked.withColumn("block", F.explode(both)).where("block >= 0").join(classes.select("node", "unit"), "node")
-    pairs = dealt.groupBy("block").applyInPandas(_window_links(cosine, window), "a bigint, b bigint")
-    found = saved(components(saved(contracted(pairs), "vector-pairs")), "vector-groups")
+    # Vectors of different lengths are spaces of their own.
+    spaces = classes.select("node", F.concat((F.octet_length("unit") / 8).cast("int").cast("string"), F.lit(":"), "label").alias("space"), "unit")
+    found = saved(components(linked_pairs(spaces, cosine=cosine, passes=passes, window=window)), "vector-groups")
 
     sizes = found.groupBy(F.col("component").alias("c")).agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     grouped = saved(
@@ -172,12 +284,7 @@ def link_groups(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str =
     schema = "node bigint, links bigint"
     tasks = max(1, -(-grouped.count() // BLOCK))
     whole = grouped.where("blocks = 1").select("component", "node", "unit", "copies", F.lit(0).alias("side"), F.pmod(F.xxhash64("component"), F.lit(tasks)).alias("task"))
-    one = sizes.where("blocks > 1").select("c", F.col("blocks").alias("n"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block1"))
-    meets = one.withColumn("block2", F.explode(F.sequence(F.col("block1"), F.col("n") - 1))).withColumn("task", F.xxhash64("c", "block1", "block2"))
-    sides = meets.select("c", "task", F.col("block1").alias("b"), F.lit(0).alias("side")).unionByName(
-        meets.where("block1 < block2").select("c", "task", F.col("block2").alias("b"), F.lit(1).alias("side"))
-    )
-    large = grouped.where("blocks > 1").join(sides, (F.col("component") == F.col("c")) & (F.col("block") == F.col("b")))
+    large = _blocks_paired(grouped.where("blocks > 1"), sizes.where("blocks > 1").select("c", F.col("blocks").alias("n")))
     compared = whole.unionByName(large.select("component", "node", "unit", "copies", "side", "task"))
     links = compared.groupBy("task").applyInPandas(_group_counts(cosine), schema).groupBy(F.col("node").alias("n1")).agg(F.sum("links").alias("links"))
     least = found.join(classes.select("node", "least"), "node").groupBy(F.col("component").alias("c1")).agg(F.min("least").alias("component_id"))

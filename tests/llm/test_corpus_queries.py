@@ -302,6 +302,22 @@ def test_one_large_group_of_near_copies(spark, monkeypatch):
     assert [got[k] for k in range(150)] == linked([grams(t, 3) for t in texts], 85)
 
 
+def test_texts_of_half_a_template_end_in_few_turns(spark, monkeypatch):
+    """Members that share chunks but lie far apart: buckets are split, not emptied leader by leader."""
+    rng = random.Random(4)
+    template, texts = prose(rng, 60), []
+    for k in range(200):
+        own = template + " " + " ".join(f"w{rng.randrange(100_000)}" for _ in range(60))
+        texts.append(texts[-1] + " last" if k % 10 == 1 else own)
+    turns, parted = [], hamming._parted
+    monkeypatch.setattr(hamming, "_parted", lambda setting, turn: turns.append(turn) or parted(setting, turn))
+    monkeypatch.setattr(hamming, "LARGE_BUCKET", 10)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in hamming.op4(docs).collect()}
+    assert [got[k] for k in range(200)] == linked([grams(t, 3) for t in texts], 85)
+    assert 1 <= len(turns) <= 4
+
+
 def test_distinct_documents_keep_one_of_each_group(spark, tables, rows):
     docs = spark.read.parquet(f"{tables[0]}/documents.parquet")
     kept = hamming.distinct_documents(docs).collect()
@@ -570,6 +586,27 @@ def test_dense_group_larger_than_window_and_block(spark, monkeypatch):
     assert all(r.n_links == 199 and r.component_id == 0 for r in got)
 
 
+def test_labels_that_the_passes_miss_get_more_turns(spark, monkeypatch):
+    """Vectors about a common mean, few passes: planted pairs show what is missed, and no link is lost."""
+    monkeypatch.setattr(projection, "BLOCK", 64)
+    monkeypatch.setattr(projection, "PLANTED", 100)
+    rng = np.random.default_rng(1)
+    vectors = 1.8 * rng.standard_normal(32) + rng.standard_normal((700, 32))
+    for k in range(0, 700, 7):
+        u = vectors[k] / np.linalg.norm(vectors[k])
+        side = rng.standard_normal(32)
+        side -= (side @ u) * u
+        vectors[k + 1] = 0.9305 * u + math.sqrt(1 - 0.9305**2) * side / np.linalg.norm(side)
+    units = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    links = (units @ units.T >= 0.93).sum(axis=1) - 1
+    calls, turn = [], projection._turn
+    monkeypatch.setattr(projection, "_turn", lambda *a: calls.append(a[1:]) or turn(*a))
+    frame = spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(vectors)], "vec_id bigint, embedding array<double>, label int")
+    got = {r.id: r.n_links for r in projection.link_groups(frame, window=4, passes=2).collect()}
+    assert [got[k] for k in range(700)] == links.tolist()
+    assert len(calls) > 1
+
+
 def test_twins_agree(spark, tables, result):
     con = duckdb.connect()
     for name in ("documents", "embeddings"):
