@@ -3,26 +3,32 @@
 The patterns find assignments, access keys and hex keys. Beside them every value in a credential
 context (``pwd=``, ``Bearer``, ``user:value@host``, "the passphrase is") is cut into words, dates,
 repeats, walks and brute-force characters so that the product of their guess counts is least; what
-still costs ``THRESHOLD`` powers of ten is a secret. Words are a few fixed ones and those of the text
-itself, by their rank in it, so that ordinary prose after a colon is cheap.
+still costs ``THRESHOLD`` powers of ten is a secret. Words are a few fixed ones, those of the text
+itself and the most frequent of all texts, by their ranks, so that ordinary prose after a colon is cheap. Values
+that are known words throughout, joined by hyphens and the like, need ``WORDS_THRESHOLD``.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import ChainMap, Counter
+from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordermill.llm.common import quoted, without
+from ordermill.llm.common import modest_batches, quoted, without
 
 KINDS = ("assign", "access", "hex", "guess")
 #: Powers of ten of guesses from which a value counts as a secret.
 THRESHOLD = 10.0
+#: The same for known words in a row: about four words drawn from a list of some thousand.
+WORDS_THRESHOLD = 14.0
+#: Words of the corpus that have a rank, and documents that a ranked word stands in at least.
+RANKED, MIN_DOCS = 50_000, 3
 SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("cost", pa.float64())]))
 
 # Fixed patterns of the contract; the flags keep "either case" to ASCII letters.
@@ -57,6 +63,10 @@ DATE = re.compile(r"(?:19|20)\d\d(?:[-/._]?(?:0[1-9]|1[0-2])(?:[-/._]?(?:0[1-9]|
 LONGEST_WORD = 24
 #: Guesses per character: letters at the rate of prose, digits, anything else.
 LETTER, DIGIT, OTHER = math.log10(6), 1.0, math.log10(33)
+#: A mark between two letters, as it joins words.
+JOINER, JOINERS = 0.3, frozenset("-_./")
+KNOWN = re.compile(r"[^\W\d_]{3,24}")
+WORD_ROW = re.compile(r"[^\W\d_]+(?:[-_./][^\W\d_]+)*")
 
 
 def _char(c: str) -> float:
@@ -77,7 +87,7 @@ def _runs(value: str, goes_on) -> list[int]:
     return out
 
 
-def guess_cost(value: str, ranks: dict[str, int] | None = None) -> float:
+def guess_cost(value: str, ranks: Mapping[str, int] | None = None) -> float:
     """Least log10 of guesses over all segmentations; the time is linear in the value's length.
 
     Runs (repeats of up to eight characters, keyboard walks, sequences) are taken whole; a change of
@@ -98,7 +108,8 @@ def guess_cost(value: str, ranks: dict[str, int] | None = None) -> float:
     best = [0.0] + [math.inf] * n
     for i in range(n):
         here = best[i]
-        best[i + 1] = min(best[i + 1], here + costs[i])
+        joins = 0 < i < n - 1 and value[i] in JOINERS and value[i - 1].isalpha() and value[i + 1].isalpha()
+        best[i + 1] = min(best[i + 1], here + (JOINER if joins else costs[i]))
         for size in range(3, min(LONGEST_WORD, n - i) + 1):
             for word in (low[i : i + size], plain[i : i + size]):
                 rank = ranks.get(word)
@@ -120,13 +131,43 @@ def guess_cost(value: str, ranks: dict[str, int] | None = None) -> float:
 COMMON_RANKS = {word: k + 1 for k, word in enumerate(COMMON)}
 
 
-def _ranks(text: str, values: list[str]) -> dict[str, int]:
-    """Fixed words, then the text's own by frequency, the values themselves left out."""
-    counted = Counter(re.findall(r"[^\W\d_]{3,}", text.lower()))
+def _ranks(text: str, values: list[str], corpus: Mapping[str, int]) -> Mapping[str, int]:
+    """Fixed words, then the text's own by frequency, the values themselves left out, then the corpus's."""
+    counted = Counter(KNOWN.findall(text.lower()))
     for value in values:
-        counted.subtract(re.findall(r"[^\W\d_]{3,}", value.lower()))
-    ranks = {w: len(COMMON_RANKS) + k + 1 for k, (w, c) in enumerate(counted.most_common()) if c > 0}
-    return ranks | COMMON_RANKS
+        counted.subtract(KNOWN.findall(value.lower()))
+    own = {w: len(COMMON_RANKS) + k + 1 for k, (w, c) in enumerate(counted.most_common()) if c > 0}
+    return ChainMap(COMMON_RANKS, own, corpus)
+
+
+def _limit(value: str, ranks: Mapping[str, int]) -> float:
+    known = WORD_ROW.fullmatch(value) and all(len(w) < 3 or w in ranks for w in re.split(r"[-_./]", value.lower()))
+    return WORDS_THRESHOLD if known else THRESHOLD
+
+
+def _document_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, documents) of a partition's texts without their values in credential contexts; parts of bounded size."""
+    counted: Counter[str] = Counter()
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            if text:
+                counted.update(set(KNOWN.findall(CONTEXT.sub(" ", text).lower())))
+            if len(counted) > 200_000:
+                yield pa.RecordBatch.from_arrays([pa.array(counted.keys(), pa.string()), pa.array(counted.values(), pa.int64())], names=["word", "documents"])
+                counted.clear()
+    yield pa.RecordBatch.from_arrays([pa.array(counted.keys(), pa.string()), pa.array(counted.values(), pa.int64())], names=["word", "documents"])
+
+
+def word_ranks(docs: DataFrame, *, text_col: str = "text") -> dict[str, int]:
+    """Ranks of the RANKED words of at most 24 letters that stand in most documents, of all texts, MIN_DOCS at least.
+
+    Values in credential contexts don't count, so a password that repeats does not become a word.
+    """
+    modest_batches(docs.sparkSession)
+    words = docs.select(quoted(text_col).alias("text")).mapInArrow(_document_words, "word string, documents bigint")
+    counts = words.groupBy("word").agg(F.sum("documents").alias("documents")).where(F.col("documents") >= MIN_DOCS)
+    top = counts.orderBy(F.desc("documents"), "word").limit(RANKED).collect()  # at most RANKED words of 24 letters
+    return {r["word"]: len(COMMON_RANKS) + k + 1 for k, r in enumerate(top)}
 
 
 def _covered(start: int, end: int, spans: list[tuple[int, int]]) -> bool:
@@ -138,11 +179,11 @@ def _covered(start: int, end: int, spans: list[tuple[int, int]]) -> bool:
     return start >= end
 
 
-def find(text: str | None) -> list[tuple[str, int, int, float]]:
+def find(text: str | None, corpus: Mapping[str, int] | None = None) -> list[tuple[str, int, int, float]]:
     """(kind, start, end, cost) in code points, by start, then kind; base kinds have no cost.
 
     A guess span is the value alone; values that base spans cover whole are left to them, others are
-    scored from end to end.
+    scored from end to end. ``corpus`` has the ranks of the words of all texts.
     """
     if not text:
         return []
@@ -160,32 +201,39 @@ def find(text: str | None) -> list[tuple[str, int, int, float]]:
         values = [(a, a + len(text[a:b].rstrip(".)]}!?:"))) for a, b in values]
         free = [s for s in values if not _covered(*s, taken)]
         if free:
-            ranks = _ranks(text, [text[a:b] for a, b in free])
+            ranks = _ranks(text, [text[a:b] for a, b in free], corpus or {})
             for a, b in free:
                 cost = guess_cost(text[a:b], ranks)
-                if b - a >= 6 and cost >= THRESHOLD:
+                if b - a >= 6 and cost >= _limit(text[a:b], ranks):
                     found.append(("guess", a, b, cost))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
-@F.arrow_udf(T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("cost", T.DoubleType())])))
-def _spans(texts: pa.Array) -> pa.Array:
-    rows = ([{"kind": k, "start": a, "end": b, "cost": None if c != c else c} for k, a, b, c in find(t)] for t in texts.to_pylist())
-    return pa.array(rows, SPANS)
+SPANS_TYPE = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("cost", T.DoubleType())]))
+
+
+def _spans(corpus: Mapping[str, int]):
+    def spans(texts: pa.Array) -> pa.Array:
+        rows = ([{"kind": k, "start": a, "end": b, "cost": None if c != c else c} for k, a, b, c in find(t, corpus)] for t in texts.to_pylist())
+        return pa.array(rows, SPANS)
+
+    return F.arrow_udf(spans, SPANS_TYPE)
+
 
+def _redacted(corpus: Mapping[str, int]):
+    def redacted(texts: pa.Array) -> pa.Array:
+        out = []
+        for text in texts.to_pylist():
+            spans, at, parts = find(text, corpus), 0, []
+            for kind, start, end, _ in spans:
+                if end <= at:
+                    continue
+                parts += [text[at:start] if start >= at else "", f"<{kind}>" if start >= at else ""]
+                at = end
+            out.append("".join([*parts, text[at:]]) if spans else text)
+        return pa.array(out, pa.string())
 
-@F.arrow_udf(T.StringType())
-def _redacted(texts: pa.Array) -> pa.Array:
-    out = []
-    for text in texts.to_pylist():
-        spans, at, parts = find(text), 0, []
-        for kind, start, end, _ in spans:
-            if end <= at:
-                continue
-            parts += [text[at:start] if start >= at else "", f"<{kind}>" if start >= at else ""]
-            at = end
-        out.append("".join([*parts, text[at:]]) if spans else text)
-    return pa.array(out, pa.string())
+    return F.arrow_udf(redacted, T.StringType())
 
 
 def scan(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
@@ -194,7 +242,7 @@ def scan(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     Null and empty texts have no spans. Rows keep their number and order of columns; an input column
     named spans is replaced. An empty table gives an empty table.
     """
-    return docs.select(*map(quoted, without(docs, ["spans"])), _spans(quoted(text_col)).alias("spans"))
+    return docs.select(*map(quoted, without(docs, ["spans"])), _spans(word_ranks(docs, text_col=text_col))(quoted(text_col)).alias("spans"))
 
 
 def redact(docs: DataFrame, *, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
@@ -202,7 +250,7 @@ def redact(docs: DataFrame, *, text_col: str = "text", chars_col: str = "n_chars
 
     Columns keep their names and order; null texts stay null.
     """
-    text = docs.withColumn("_redacted", _redacted(quoted(text_col)))
+    text = docs.withColumn("_redacted", _redacted(word_ranks(docs, text_col=text_col))(quoted(text_col)))
     chars = F.coalesce(F.length("_redacted").cast("long"), quoted(chars_col)) if chars_col in docs.columns else None
     swap = {text_col: F.col("_redacted"), chars_col: chars}
     return text.select(*[swap.get(x, quoted(x)).alias(x) for x in docs.columns])

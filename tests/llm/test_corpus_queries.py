@@ -503,6 +503,58 @@ def test_guess_cost_is_the_least_and_linear():
     assert secret_scan.guess_cost("") == 0
 
 
+def segmented(value, ranks):
+    """Least cost over every segmentation, span by span."""
+    low, n, j = value.lower(), len(value), math.log10
+    plain = low.translate(secret_scan.LEET)
+    mixed = value != low and value != value.upper() and value[1:] != low[1:] or any(map(str.isdigit, value)) and any(map(str.isalpha, value))
+    char = [max(secret_scan._char(c), j(26)) if mixed and c.isalpha() else secret_scan._char(c) for c in value]
+
+    def span(a, b):
+        part, found = value[a:b], []
+        if b - a == 1:
+            inner = 0 < a < n - 1 and part in "-_./" and value[a - 1].isalpha() and value[a + 1].isalpha()
+            found.append(0.3 if inner else char[a])
+        if 3 <= b - a <= 24:
+            found += [j(ranks[w] + 1) + j(2) * (part != w) + 0.3 for w in (low[a:b], plain[a:b]) if w in ranks]
+        for p in range(1, 9):
+            if b - a >= p + max(2, p) and all(value[k] == value[k + p] for k in range(a, b - p)) and not (b < n and value[b] == value[b - p]):
+                found.append(sum(char[a : a + p]) + j(2 + (b - a - p) / p))
+        steps = range(a, b - 1)
+        for ties in (lambda k: secret_scan._near(low[k], low[k + 1]), lambda k: ord(value[k + 1]) - ord(value[k]) == 1, lambda k: ord(value[k]) - ord(value[k + 1]) == 1):
+            if b - a >= 4 and all(map(ties, steps)) and not (b < n and ties(b - 1)):
+                found.append(j(len(secret_scan.PLACE)) + j(b - a) + 0.6)
+        if (m := secret_scan.DATE.match(value, a)) and m.end() == b:
+            found.append(j(120) if b - a == 4 else j(365 * 120))
+        return min(found, default=math.inf)
+
+    best = [0.0] + [math.inf] * n
+    for cuts in range(1 << max(0, n - 1)):
+        ends = [0, *(k + 1 for k in range(n - 1) if cuts >> k & 1), n]
+        best[n] = min(best[n], sum(span(a, b) for a, b in zip(ends, ends[1:])))
+    return best[n]
+
+
+@pytest.mark.parametrize("value", ["pass1999", "abab-dog", "qwertyxx", "p@ss_dog", "19991231a", "dcba4321", "aaaaaaa", "dog-dog-x", "Zr8kQ2vL"])
+def test_guess_cost_is_that_of_every_segmentation(value):
+    ranks = {"pass": 1, "dog": 5, "password": 2, "dogs": 9}
+    assert secret_scan.guess_cost(value, ranks) == pytest.approx(segmented(value, ranks))
+
+
+def test_prose_after_credential_words_is_no_secret(spark):
+    """Words that other documents hold are cheap; passphrases of many of them and repeated passwords are not."""
+    words = "documentation driven authentication required administrators installation guide internationalization see the by correct horse battery staple lantern quickly".split()
+    rng = random.Random(3)
+    texts = [" ".join(rng.sample(words, len(words))) + " plain words of this text" for _ in range(20)] + ["pwd=Zr8kQ2vL9xWq again"] * 5
+    asked = [
+        "The password is documentation-driven", "Bearer authentication-required-by-administrators", "auth: see-the-installation-guide",
+        "token is: internationalization", "pwd=Zr8kQ2vL9xWq once more",
+    ]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts + asked)], DOCS)
+    got = {r.doc_id - 25: r.n_guess for r in secret_scan.op8(docs).collect()}
+    assert [got[k] for k in range(-5, 5)] == [1] * 5 + [0, 0, 0, 0, 1]
+
+
 def test_redaction_leaves_clean_texts(spark, tables, rows):
     docs = spark.read.parquet(f"{tables[0]}/documents.parquet")
     got = {r.doc_id: r for r in secret_scan.redact(docs).collect()}
