@@ -33,56 +33,71 @@ LINE = T.StructType(
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-# A user's adds are spread over this many state keys by product and event, so that neither a very busy
+# A user's adds are spread over this many slices by product and event, so that neither a very busy
 # user nor a single very busy line is one task's work.
 SLICES = 8
+#: Groups that users are dealt to by hash. A state key is a slice of a group, so what a batch pays per key does not
+#: grow with the users.
+GROUPS = 512
 #: How much later than the newest event an event may come.
 LATE = "2 days"
 
 PLACE = [T.StructField("ts", T.LongType()), T.StructField("event_id", T.LongType())]
 ADD = T.StructType([*PLACE, T.StructField("quantity", T.LongType())])
+USER = T.StructField("user_id", T.StringType())
 
 
 class CartProcessor(StatefulProcessor):
-    """State per (user, slice): when the cart was last emptied, and a map with one entry per line.
+    """State per slice of a group of users: for each user when the cart was last emptied and which products have a
+    line here, and a map with one entry per line.
 
     A line holds the adds that late events may still touch one by one, and the sum of those
     behind the watermark. Events count by their own time, whatever batch brings them: an add
     older than the last empty is dropped, a late empty takes only the adds before it, an
     add that is replayed is known by its time and id, and what is behind the watermark comes too late.
     Every empty that is still accepted lies behind all settled adds, so it takes the sum as a whole.
-    A batch reads and writes the lines that it adds to; an empty reads the slice's lines. Changed lines are
-    emitted with their new quantity, 0 when nothing is left."""
+    A batch reads and writes its users and the lines that it adds to; an empty reads its user's lines. Changed lines
+    are emitted with their new quantity, 0 when nothing is left."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._lines = handle.getMapState(
             "lines",
-            T.StructType([T.StructField("product_id", T.StringType())]),
+            T.StructType([USER, T.StructField("product_id", T.StringType())]),
             T.StructType([T.StructField("settled", T.LongType()), T.StructField("recent", T.ArrayType(ADD))]),
         )
-        self._emptied = handle.getValueState("emptied", T.StructType(PLACE))
+        self._users = handle.getMapState(
+            "users", T.StructType([USER]), T.StructType([*PLACE, T.StructField("products", T.ArrayType(T.StringType()))])
+        )
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        emptied = tuple(self._emptied.get()) if self._emptied.exists() else None
-        latest, adds = emptied, {}
+        empties: dict[str | None, tuple[int, int]] = {}
+        adds: dict[str | None, dict] = {}
         for chunk in rows:
             chunk = chunk.assign(ts=chunk["ts"].astype("datetime64[us]").astype("int64"))
             if watermark > 0:
                 chunk = chunk[chunk["ts"] >= watermark]
-            empties = chunk[chunk["action"] == "empty"]
-            if len(empties):
-                place = max(zip(empties["ts"].tolist(), empties["event_id"].tolist()))
-                latest = place if latest is None else max(latest, place)
+            emptied = chunk[chunk["action"] == "empty"]
+            for user, *place in zip(emptied["user_id"], emptied["ts"].tolist(), emptied["event_id"].tolist()):
+                empties[user] = max(empties.get(user, (place[0], place[1])), (place[0], place[1]))
             added = chunk[chunk["action"] == "add"]
-            for product, *add in zip(added["product_id"], added["ts"].tolist(), added["event_id"].tolist(), added["quantity"].tolist()):
-                adds.setdefault(product, {})[tuple(add[:2])] = int(add[2])
-        if latest != emptied:
-            self._emptied.update(latest)
-            held = {k[0]: v for k, v in self._lines.iterator()}
-        else:
-            held = {p: self._lines.getValue((p,)) for p in adds if self._lines.containsKey((p,))}
-        changed: dict[str, int] = {}
+            for user, product, *add in zip(added["user_id"], added["product_id"], added["ts"].tolist(), added["event_id"].tolist(), added["quantity"].tolist()):
+                adds.setdefault(user, {}).setdefault(product, {})[tuple(add[:2])] = int(add[2])
+        changed = [line for user in adds.keys() | empties.keys() for line in self._folded(user, empties.get(user), adds.get(user, {}), watermark)]
+        users, products, quantities = zip(*changed) if changed else ((), (), ())
+        yield pd.DataFrame(
+            {"user_id": list(map(str, users)), "product_id": list(products), "slice": int(key[0]) % SLICES, "quantity": list(quantities)}
+        ).astype({"user_id": "object", "product_id": "object", "slice": "int64", "quantity": "int64"})
+
+    def _folded(self, user: str | None, empty: tuple[int, int] | None, adds: dict, watermark: int) -> Iterator[tuple]:
+        """Brings a user's lines up to date; yields those that changed."""
+        known = self._users.getValue((user,)) if self._users.containsKey((user,)) else None
+        emptied = (known[0], known[1]) if known is not None and known[0] is not None else None
+        before_lines = set(known[2]) if known is not None else set()
+        latest = emptied if empty is None else empty if emptied is None else max(emptied, empty)
+        read = before_lines if latest != emptied else before_lines & adds.keys()
+        held = {p: self._lines.getValue((user, p)) for p in read}
+        after_lines = set(before_lines)
         for product in adds.keys() | held.keys():
             settled, recent = held.get(product) or (0, [])
             before = settled + sum(add[2] for add in recent)
@@ -95,30 +110,33 @@ class CartProcessor(StatefulProcessor):
             settled += sum(quantity for place, quantity in kept.items() if place[0] < watermark)
             kept = {place: quantity for place, quantity in kept.items() if place[0] >= watermark}
             if kept or settled:
-                self._lines.updateValue((product,), (settled, [(*place, quantity) for place, quantity in sorted(kept.items())]))
+                after_lines.add(product)
+                self._lines.updateValue((user, product), (settled, [(*place, quantity) for place, quantity in sorted(kept.items())]))
             elif product in held:
-                self._lines.removeKey((product,))
+                after_lines.discard(product)
+                self._lines.removeKey((user, product))
             if before != after:
-                changed[product] = after
-        yield pd.DataFrame(
-            {"user_id": str(key[0]), "product_id": list(changed), "slice": int(key[1]), "quantity": list(changed.values())}
-        ).astype({"user_id": "object", "product_id": "object", "slice": "int64", "quantity": "int64"})
+                yield user, product, after
+        if latest != emptied or after_lines != before_lines:
+            self._users.updateValue((user,), (*(latest or (None, None)), list(after_lines)))
 
     def close(self) -> None:
         pass
 
 
 def changes(events: DataFrame, late: str = LATE) -> DataFrame:
-    """Changed cart lines of a stream of cart events, per slice. Empties go to every slice; events without
-    a time or an id are left out."""
+    """Changed cart lines of a stream of cart events, per slice. Empties go to every slice of their user's group;
+    events without a time or an id are left out."""
+    group = F.pmod(F.xxhash64("user_id"), F.lit(GROUPS))
     own = F.array(F.pmod(F.xxhash64("product_id", "event_id"), F.lit(SLICES)))
     every = F.sequence(F.lit(0).cast("bigint"), F.lit(SLICES - 1).cast("bigint"))
     sliced = (
         events.where("ts is not null and event_id is not null")
         .withWatermark("ts", late)
         .withColumn("slice", F.explode(F.when(F.col("action") == "empty", every).otherwise(own)))
+        .select((group * SLICES + F.col("slice")).alias("part"), F.col("user_id").cast("string").alias("user_id"), "action", "product_id", "quantity", "ts", "event_id")
     )
-    return sliced.groupBy("user_id", "slice").transformWithStateInPandas(
+    return sliced.groupBy("part").transformWithStateInPandas(
         statefulProcessor=CartProcessor(),
         outputStructType=LINE,
         outputMode="Update",

@@ -155,3 +155,13 @@ def test_metric_stream(spark, folder):
     metrics.run(metrics.increase(stream, "dlq"), "parquet", f"{folder}/ck1", path=f"{folder}/out").awaitTermination()
     done = spark.read.parquet(f"{folder}/out")
     assert done.where("window_start < timestamp'1970-01-01 00:30:00'").agg(F.count("n"), F.max("n")).first() == (20, 2)
+
+
+def test_cart_state_keys_do_not_grow_with_the_users(spark, folder):
+    """Many users share a state key, and still none takes another's lines or empties."""
+    users = 3 * cart_stream.GROUPS
+    adds = [(user, "add", "p", user % 9 + 1, 100 + user, user) for user in range(users)]
+    empties = [(user, "empty", None, 0, 5000, users + user) for user in range(0, users, 2)]
+    assert _cart_batches(spark, folder, [adds, empties]) == {(str(u), "p", u % 9 + 1) for u in range(1, users, 2)}
+    state = spark.read.format("statestore").option("stateVarName", "users").load(f"{folder}/checkpoint")
+    assert state.select("key").distinct().count() <= cart_stream.GROUPS * cart_stream.SLICES
