@@ -426,3 +426,20 @@ def test_substring_index_equals_like(spark):
     assert got == want
     plan = substring.search(queries, frame, substring.postings(frame))._jdf.queryExecution().optimizedPlan().toString()
     assert "Join Cross" not in plan and "LIKE" in plan.upper()
+
+
+def test_equal_searches_and_texts_are_verified_once(spark):
+    """Ids with equal texts, and some with several, against repeated searches: all pairs, each once, in many tasks."""
+    from ordermill.operators import substring
+
+    rows = [(str(k), f"text {k % 3}") for k in range(2500)] + [("7", "other"), ("8", "text 2"), (None, "text 0"), ("9", None)]
+    asked = [(k, ("t 1", "T_2", "oth%r", None)[k % 4]) for k in range(40)] + [(1, "t 0"), (0, "t 1")]
+    frame = spark.createDataFrame(rows, "id string, text string").persist()
+    found = substring.search(spark.createDataFrame(asked, "query_id int, query string"), frame, substring.postings(frame))
+    holds = {"t 0": {"text 0"}, "t 1": {"text 1"}, "T_2": {"text 2"}, "oth%r": {"other"}, None: set()}
+    want = {(q, i) for q, query in asked for i, text in rows if i is not None and text in holds[query]}
+    got = [tuple(r) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    # What is found is dealt as blocks of ids and listed last, without a shuffle of the pairs.
+    assert "Repartition " in found._jdf.queryExecution().optimizedPlan().toString()
+    frame.unpersist()
