@@ -111,3 +111,20 @@ def test_plans(spark):
     events = tables.order_events(spark, SMALL)
     parsed = plan(models.silver_items(events)).split("== Physical Plan ==")[1]
     assert parsed.count("from_json(StructField(order_id") == 1
+
+
+def test_lines_are_not_shuffled_for_large_orders(spark):
+    """Few large orders are broadcast, and a task's share is bounded by bytes."""
+    from ordermill.session import TASK_SIZES
+    from ordermill.sources import tables
+
+    before = {k: spark.conf.get(k, None) for k in TASK_SIZES}
+    try:
+        entry_module.queries()["retention_kept"](spark, SMALL)
+        assert {k: spark.conf.get(k) for k in TASK_SIZES} == TASK_SIZES
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    plan = tables.orders_with_items(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join [_order#" in line]
+    assert joins and all("BroadcastHashJoin" in line for line in joins), joins
