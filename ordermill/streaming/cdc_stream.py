@@ -49,22 +49,30 @@ def _latest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield frame.sort_values("position").drop_duplicates(["topic", "key"], keep="last")
 
 
+#: Groups that keys are dealt to by hash: what a batch pays per state key does not grow with the keys of the table.
+GROUPS = 1024
+KEY = T.StructType([T.StructField("topic", T.StringType()), T.StructField("key", T.StringType())])
+
+
 class ChangeProcessor(StatefulProcessor):
-    """State per key: the position of the change that holds. Emits changes that take effect, one per key and batch."""
+    """State per group: for each key the position of the change that holds. Emits changes that take effect, one per
+    key and batch."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._position = handle.getValueState("position", T.StructType([T.StructField("position", T.LongType())]))
+        self._positions = handle.getMapState("positions", KEY, T.StructType([T.StructField("position", T.LongType())]))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = self._position.get()[0] if self._position.exists() else None
-        best = None
-        for frame in rows:
-            row = frame.loc[frame["position"].idxmax()]
-            if (held is None or row["position"] > held) and (best is None or row["position"] > best["position"]):
-                best = row
-        if best is not None:
-            self._position.update((int(best["position"]),))
-            yield pd.DataFrame([best])[CHANGE.fieldNames()]
+        best = pd.concat([frame[CHANGE.fieldNames()] for frame in rows])
+        best = best.sort_values("position", kind="stable").drop_duplicates(["topic", "key"], keep="last")
+        effective = [self._takes_effect((topic, name), int(position)) for topic, name, position in zip(best["topic"], best["key"], best["position"].tolist())]
+        if any(effective):
+            yield best[effective]
+
+    def _takes_effect(self, key: tuple, position: int) -> bool:
+        if self._positions.containsKey(key) and position <= self._positions.getValue(key)[0]:
+            return False
+        self._positions.updateValue(key, (position,))
+        return True
 
     def close(self) -> None:
         pass
@@ -72,8 +80,8 @@ class ChangeProcessor(StatefulProcessor):
 
 def applied(changes: DataFrame) -> DataFrame:
     """Of a stream of positioned changes those that take effect, in update mode."""
-    folded = changes.mapInPandas(_latest, CHANGE)
-    return folded.groupBy("topic", "key").transformWithStateInPandas(
+    folded = changes.mapInPandas(_latest, CHANGE).withColumn("part", F.pmod(F.xxhash64("topic", "key"), F.lit(GROUPS)))
+    return folded.groupBy("part").transformWithStateInPandas(
         statefulProcessor=ChangeProcessor(), outputStructType=CHANGE, outputMode="Update", timeMode="None"
     )
 
