@@ -80,6 +80,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_i
 
 #: Cells of an index; their centres are the vectors of the first hashes, a bounded sample.
 CELLS = 1024
+#: Vectors whose distances to all centres a task holds at once.
+ROWS_PER_STEP = 512
 #: Distances are compared with this much to spare, far above the rounding of unit vectors.
 SPARE = 1e-6
 
@@ -94,6 +96,15 @@ def _distances(units: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (units @ centres.T)))
 
 
+def _assigned(frame: pd.DataFrame, centres: np.ndarray) -> Iterator[pd.DataFrame]:
+    """Rows with the cell of their nearest centre, a bounded number against all centres at once."""
+    for start in range(0, len(frame), ROWS_PER_STEP):
+        part = frame.iloc[start : start + ROWS_PER_STEP]
+        apart = _distances(_units(part["vector"]), centres)
+        cell = apart.argmin(axis=1)
+        yield part.assign(cell=cell, apart=apart[np.arange(len(cell)), cell])
+
+
 @dataclass(frozen=True)
 class Index:
     """Vectors in cells around centres, for exact nearest neighbours by cosine.
@@ -120,10 +131,7 @@ class Index:
 
         def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for frame in frames:
-                if len(frame):
-                    apart = _distances(_units(frame["vector"]), centres)
-                    cell = apart.argmin(axis=1)
-                    yield frame.assign(cell=cell, apart=apart[np.arange(len(cell)), cell])
+                yield from _assigned(frame, centres)
 
         path = fresh_dir(spark, "vector-index")
         placed = rows.mapInPandas(assign, "vec_id bigint, vector array<double>, cell bigint, apart double")

@@ -443,3 +443,20 @@ def test_equal_searches_and_texts_are_verified_once(spark):
     # What is found is dealt as blocks of ids and listed last, without a shuffle of the pairs.
     assert "Repartition " in found._jdf.queryExecution().optimizedPlan().toString()
     frame.unpersist()
+
+
+def test_cells_are_assigned_in_bounded_steps(monkeypatch):
+    """However many vectors a batch of rows brings, few meet all centres at once."""
+    import numpy as np
+    import pandas as pd
+
+    from ordermill.operators import vectors
+
+    rng = np.random.default_rng(3)
+    rows, centres = rng.normal(size=(1300, 6)), vectors._units(pd.Series(list(rng.normal(size=(20, 6)))))
+    seen, whole = [], vectors._distances
+    monkeypatch.setattr(vectors, "_distances", lambda units, at: seen.append(len(units)) or whole(units, at))
+    got = pd.concat(vectors._assigned(pd.DataFrame({"vec_id": range(1300), "vector": list(rows)}), centres))
+    want = whole(vectors._units(pd.Series(list(rows))), centres)
+    assert max(seen) <= vectors.ROWS_PER_STEP and got["vec_id"].tolist() == list(range(1300))
+    assert got["cell"].tolist() == want.argmin(axis=1).tolist() and np.allclose(got["apart"], want.min(axis=1))
