@@ -86,7 +86,7 @@ class CartProcessor(StatefulProcessor):
         changed = [line for user in adds.keys() | empties.keys() for line in self._folded(user, empties.get(user), adds.get(user, {}), watermark)]
         users, products, quantities = zip(*changed) if changed else ((), (), ())
         yield pd.DataFrame(
-            {"user_id": list(map(str, users)), "product_id": list(products), "slice": int(key[0]) % SLICES, "quantity": list(quantities)}
+            {"user_id": list(users), "product_id": list(products), "slice": int(key[0]) % SLICES, "quantity": list(quantities)}
         ).astype({"user_id": "object", "product_id": "object", "slice": "int64", "quantity": "int64"})
 
     def _folded(self, user: str | None, empty: tuple[int, int] | None, adds: dict, watermark: int) -> Iterator[tuple]:
