@@ -165,3 +165,12 @@ def test_cart_state_keys_do_not_grow_with_the_users(spark, folder):
     assert _cart_batches(spark, folder, [adds, empties]) == {(str(u), "p", u % 9 + 1) for u in range(1, users, 2)}
     state = spark.read.format("statestore").option("stateVarName", "users").load(f"{folder}/checkpoint")
     assert state.select("key").distinct().count() <= cart_stream.GROUPS * cart_stream.SLICES
+
+
+def test_cart_lines_of_a_null_user_are_one_cart(spark, folder):
+    """A null user beside others in a batch leaves their ids and lines whole."""
+    batches = [
+        [(None, "add", "p", 2, 100, 1), (7, "add", "p", 3, 101, 2), (8, "add", None, 4, 102, 3), (None, "add", "q", 1, 103, 4)],
+        [(None, "add", "p", 5, 110, 5), (8, "empty", None, 0, 111, 6), (7, "add", "q", 1, 112, 7)],
+    ]
+    assert _cart_batches(spark, folder, batches) == {(None, "p", 7), (None, "q", 1), ("7", "p", 3), ("7", "q", 1)}
