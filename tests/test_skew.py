@@ -118,3 +118,30 @@ def test_a_large_order_leaves_the_others_whole(spark, tmp_path):
     assert len(parts) > 40 and sum(r["n"] for r in parts) == 3000 + lines.where(F.col("l_orderkey") == large).count() and max(r["n"] for r in parts) <= 64
     others = [r for r in events if r["o_orderkey"] != large]
     assert len({r["o_orderkey"] for r in others}) == len(others) and all(r["chunk"] == 0 for r in others)
+
+
+def test_lines_are_shuffled_once_for_the_order_events(spark):
+    """Lines gathered by order are dealt as the join with the headers needs them."""
+    plan = tables.orders_with_items(spark, SMALL)
+    plan.collect()
+    final = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    dealt = [line for line in final.splitlines() if " Exchange hashpartitioning(" in line and "l_orderkey" in line]
+    assert len(dealt) == 1, dealt
+
+
+def test_orders_without_lines_and_null_keys(spark, tmp_path):
+    """An order without lines is an empty event, one with a null key too; lines with a null key belong to none; a key
+    that orders share gives each its lines."""
+    customers = spark.read.parquet(f"{SMALL}/customer.parquet")
+    orders = spark.read.parquet(f"{SMALL}/orders.parquet")
+    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet")
+    first = [r[0] for r in orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left_semi").select("o_orderkey").orderBy("o_orderkey").limit(4).collect()]
+    customers.write.parquet(f"{tmp_path}/customer.parquet")
+    few = orders.where(F.col("o_orderkey").isin(first))
+    kind = orders.schema["o_orderkey"].dataType
+    few.unionByName(few.where(F.col("o_orderkey") == first[1])).unionByName(few.where(F.col("o_orderkey") == first[2]).withColumn("o_orderkey", F.lit(None).cast(kind))).write.parquet(f"{tmp_path}/orders.parquet")
+    key = F.when(F.col("l_orderkey") != first[3], F.col("l_orderkey"))
+    lines.where(F.col("l_orderkey").isin(first)).withColumn("l_orderkey", key).write.parquet(f"{tmp_path}/lineitem.parquet")
+    size = {r["l_orderkey"]: r["count"] for r in lines.groupBy("l_orderkey").count().collect()}
+    got = sorted(((r["o_orderkey"], r["n"]) for r in tables.orders_with_items(spark, str(tmp_path)).select("o_orderkey", F.size("items").alias("n")).collect()), key=str)
+    assert got == sorted([(first[0], size[first[0]]), (first[1], size[first[1]]), (first[1], size[first[1]]), (first[2], size[first[2]]), (first[3], 0), (None, 0)], key=str)
