@@ -220,3 +220,28 @@ def test_models_from_deltas_equal_the_full_build(spark, folder):
             assert days == [date(1991, 12, 31), day] and day not in after
         if delta is deltas[4]:
             assert days == []
+
+
+def test_a_small_delta_leaves_other_rows_where_they_lie(spark, folder, monkeypatch):
+    """Stored rows of orders that a delta does not name are joined by a broadcast and written without an exchange; with
+    more orders than are broadcast the rows are the same."""
+    rows = store.layers(spark, SMALL).bronze
+    late = F.pmod(F.xxhash64("order_id"), F.lit(50)) == 0
+    want = models.gold_fact(models.silver_items(rows))
+    for part, most in (("few", increment.BROADCAST_ORDERS), ("many", 0)):
+        monkeypatch.setattr(increment, "BROADCAST_ORDERS", most)
+        written = []
+        monkeypatch.setattr(increment, "_write", lambda r, path, write=increment._write: (written.append(r), write(r, path)))
+        increment.apply(spark, f"{folder}/{part}", rows.where(~late), unit="year")
+        increment.apply(spark, f"{folder}/{part}", rows.where(late), unit="year")
+        got = increment.gold(spark, f"{folder}/{part}")
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+        plans = [r._jdf.queryExecution().executedPlan().toString() for r in written]
+        if part == "few":
+            assert sum("Exchange" in p.replace("BroadcastExchange", "") for p in plans) == 1
+        monkeypatch.undo()
+
+
+def test_a_first_empty_delta_writes_nothing(spark, folder):
+    assert increment.apply(spark, folder, store.layers(spark, SMALL).bronze.limit(0)) == []
+    assert not bronze._exists(spark, f"{folder}/silver")
