@@ -245,3 +245,16 @@ def test_a_small_delta_leaves_other_rows_where_they_lie(spark, folder, monkeypat
 def test_a_first_empty_delta_writes_nothing(spark, folder):
     assert increment.apply(spark, folder, store.layers(spark, SMALL).bronze.limit(0)) == []
     assert not bronze._exists(spark, f"{folder}/silver")
+
+
+def test_only_the_tables_asked_for_are_built(spark, tmp_path):
+    """Bronze alone is written for a query that reads bronze alone."""
+    import shutil
+
+    for name in ("orders", "customer", "lineitem"):
+        shutil.copy(f"{SMALL}/{name}.parquet", tmp_path)
+    stored = store.layers(spark, str(tmp_path))
+    assert stored.bronze.count() > 0
+    built = lambda: [n for n in ("bronze", "silver", "quarantine", "gold") if bronze._exists(spark, f"{stored.root}/{n}")]
+    assert built() == ["bronze"]
+    assert stored.gold.count() > 0 and built() == ["bronze", "silver", "gold"]
