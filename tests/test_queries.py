@@ -128,3 +128,10 @@ def test_lines_are_not_shuffled_for_large_orders(spark):
     plan = tables.orders_with_items(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join [_order#" in line]
     assert joins and all("BroadcastHashJoin" in line for line in joins), joins
+
+
+def test_letters_draw_on_messages_that_were_parsed_once(spark):
+    """Both topics read the refused messages as they are kept; neither builds the messages again."""
+    letters = entry_module.queries()["ingest_letters"](spark, SMALL)
+    assert {r["topic"] for r in letters.select("topic").distinct().collect()} == {"orders_dlq", "orders_retry"}
+    assert not [f for f in letters.inputFiles() if "lineitem" in f]
