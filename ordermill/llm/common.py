@@ -65,6 +65,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(df: DataFrame) -> None:
+    """Removes the files of a table that ``saved`` wrote, once what was made of it is saved itself."""
+    spark = df.sparkSession
+    for folder in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def without(df: DataFrame, own: Iterable[str]) -> list[str]:
     """Input columns that do not clash with the operator's own; on a clash the operator's column wins."""
     taken = {x.lower() for x in own}

@@ -10,13 +10,15 @@ after the first.
 The work is dealt by word: a bucket holds a range of word hashes with all their contexts, so that a word's
 seats in every context and in the parent lie in one row of a table, and sweeps over rows need no shuffle. Only
 the restaurants' totals, CONTEXTS numbers, are shared between sweeps. Tokens meet the model in the same
-buckets: a chunk of documents sends each bucket its tokens and receives sums per document. Buckets with
-many tokens (a very frequent word) are copied, and chunks spread over the copies.
+buckets: a chunk of documents sends each bucket its tokens and receives sums per document. Neighbouring buckets
+form a band, at most BANDS however many buckets there are; a task goes through a band bucket by bucket and answers a
+chunk once, so answers grow with the documents alone. Bands with many tokens are copied, and chunks spread over the copies.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
@@ -24,10 +26,10 @@ import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import fold, lower_words, modest_batches, quoted, saved, word_hashes
+from ordermill.llm.common import fold, forget, lower_words, modest_batches, quoted, saved, word_hashes
 
 #: Restaurants that contexts are hashed to; 16 bits beside 48 bits of the word in a key.
 CONTEXTS = 1 << 16
@@ -36,8 +38,11 @@ SWEEPS, BURN_IN = 4, 1
 STRENGTH, PARENT_STRENGTH = 1.0, 1.0
 #: Text bytes of a bucket on average, tokens of a chunk, fewest buckets, chunk blocks merged at once.
 BUCKET_BYTES, CHUNK_TOKENS, LEAST_BUCKETS, FAN_IN = 24_000_000, 3_000_000, 16, 64
-#: Training tokens from which a bucket is copied for scoring.
-HOT_TOKENS = 16_000_000
+#: Entries merged at once beside those that are merged already, documents of a chunk.
+MERGED_AT_ONCE, CHUNK_DOCS = 2_000_000, 50_000
+BATCH_BYTES = "8m"
+#: Bands of buckets; training tokens and documents from which a band is copied for scoring.
+BANDS, HOT_TOKENS, HOT_DOCS = 16, 64_000_000, 2_000_000
 END, START = np.uint64(0x5AFE_E4D0_F7E8_7001), np.uint64(0x0B57_A127_0F7E_8702)
 LOW = np.uint64(CONTEXTS - 1)
 SHIFT = np.uint64(16)
@@ -116,12 +121,39 @@ BLOCKS = "bucket bigint, chunk bigint, keys binary, counts binary"
 
 
 def _merged(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    return _counted(np.concatenate([_unpack_sorted(x) for x in rows["keys"]]), np.concatenate([_unpack(x, np.int64) for x in rows["counts"]]))
+    """The blocks added up, a few at a time, so that memory goes with the distinct keys and not with the blocks."""
+    keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    size = 0
+    for more, times in zip(rows["keys"], rows["counts"]):
+        keys.append(_unpack_sorted(more))
+        counts.append(_unpack(times, np.int64))
+        size += len(keys[-1])
+        if size >= max(MERGED_AT_ONCE, len(keys[0])):
+            merged = _counted(np.concatenate(keys), np.concatenate(counts))
+            keys, counts, size = [merged[0]], [merged[1]], 0
+    return (keys[0], counts[0]) if len(keys) == 1 else _counted(np.concatenate(keys), np.concatenate(counts))
+
+
+def _merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    keys, counts = _merged(rows)
+    return pd.DataFrame({"bucket": [key[0]], "chunk": [key[1]], "keys": [_pack_sorted(keys)], "counts": [_pack(counts)]})
 
 
-def _merge(rows: pd.DataFrame) -> pd.DataFrame:
-    keys, counts = _merged(rows)
-    return pd.DataFrame({"bucket": rows["bucket"].iloc[:1], "chunk": rows["chunk"].iloc[:1] // FAN_IN, "keys": [_pack_sorted(keys)], "counts": [_pack(counts)]})
+@contextmanager
+def _bounded_batches(spark: SparkSession) -> Iterator[None]:
+    """For tables whose rows may have megabytes: an Arrow batch ends by its bytes."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Row by row: a batch of states or blocks is not copied as a whole."""
+    return (batch.slice(k, 1).to_pylist()[0] for k in range(batch.num_rows))
 
 
 STATE = (
@@ -187,7 +219,7 @@ def _sweep(sweep: int, totals: dict, by_context: np.ndarray):
 
     def swept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for old in batch.to_pylist():
+            for old in _rows(batch):
                 rng = np.random.default_rng((sweep, old["bucket"]))
                 keys, counts, tables = _unpack_sorted(old["keys"]), _unpack(old["counts"], np.int64), _unpack(old["tables"], np.int64)
                 parent = _unpack(old["parent"], np.int64)
@@ -243,21 +275,29 @@ class Model:
 def train(texts: DataFrame, buckets: int, *, sweeps: int = SWEEPS) -> Model:
     """The model of the column ``text``; no text at all gives a model that knows no word."""
     modest_batches(texts.sparkSession)
+    with _bounded_batches(texts.sparkSession):
+        return _trained(texts, buckets, sweeps)
+
+
+def _trained(texts: DataFrame, buckets: int, sweeps: int) -> Model:
     blocks = texts.select("text").mapInArrow(_count_blocks(buckets), BLOCKS)
-    while True:
-        blocks = saved(blocks, "ngram-blocks")
-        most = blocks.agg(F.count_distinct("chunk").alias("n")).first().n
-        if most <= FAN_IN:
-            break
-        blocks = blocks.groupBy("bucket", F.floor(F.col("chunk") / FAN_IN)).applyInPandas(_merge, BLOCKS)
+    blocks = saved(blocks, "ngram-blocks")
+    while (most := blocks.agg(F.count_distinct("chunk").alias("n")).first().n) > FAN_IN:
+        # Chunks are numbered with gaps: dealt by hash, every round leaves one in FAN_IN.
+        group = F.pmod(F.xxhash64("chunk"), F.lit(-(-most // FAN_IN)))
+        merged = saved(blocks.groupBy("bucket", group.alias("group")).applyInPandas(_merge, BLOCKS), "ngram-blocks")
+        forget(blocks)
+        blocks = merged
     state = saved(blocks.groupBy("bucket").applyInPandas(_first_state, STATE), "seats-0")
+    forget(blocks)
     totals = _totals(state)
     customers = _context_sums(state)
     by_context, mean, averaged = np.zeros(CONTEXTS, np.int64), np.zeros(CONTEXTS), dict.fromkeys(NUMBERS, 0.0)
     for k in range(1, sweeps + 1):
         if k == 1:
             by_context = np.minimum(customers, totals["ones"] / max(1, totals["n_tokens"]) * customers)
-        state = saved(state.mapInArrow(_sweep(k, totals, by_context), STATE), f"seats-{k}")
+        before, state = state, saved(state.mapInArrow(_sweep(k, totals, by_context), STATE), f"seats-{k}")
+        forget(before)
         totals = _totals(state)
         by_context = _context_sums(state)
         if k > BURN_IN:
@@ -266,10 +306,11 @@ def train(texts: DataFrame, buckets: int, *, sweeps: int = SWEEPS) -> Model:
     return Model(state, buckets, totals | averaged | {"n_tokens": totals["n_tokens"], "n_words": totals["n_words"]}, customers, mean, sweeps - BURN_IN)
 
 
-PARTS = "bucket bigint, copy bigint, chunk bigint, keys binary, docs binary, n_docs bigint"
+#: Blocks of tokens (``data`` has each token's document) and, as chunk -1, the buckets of the model (its counts).
+PARTS = "band bigint, copy bigint, bucket bigint, chunk bigint, keys binary, data binary, tables_sum binary, parent_sum binary, n_docs bigint"
 
 
-def _token_blocks(buckets: int, copies: dict[int, int]):
+def _token_blocks(buckets: int, copies: list[int]):
     edges = _edges(buckets)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,17 +327,22 @@ def _token_blocks(buckets: int, copies: dict[int, int]):
             keys, docs = keys[order], docs[order]
             cuts = [0, *np.searchsorted(keys, edges), len(keys)]
             rows = [(b, a, z) for b, (a, z) in enumerate(zip(cuts, cuts[1:])) if a < z]
+            bands = [_band(b, buckets) for b, _, _ in rows]
             name = (part << 24) + chunk
             about = pa.RecordBatch.from_pydict({"id": pa.array(ids, pa.int64()), "held_out": pa.array(out, pa.bool_()), "n_tokens": lengths})
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, about.schema) as writer:
                 writer.write_batch(about)
+            none = pa.nulls(len(rows) + 1, pa.binary())
             return pa.RecordBatch.from_pydict({
+                "band": pa.array([-1, *bands], pa.int64()),
+                # Parts may have a chunk or two: counted on from part to part, they meet all copies.
+                "copy": pa.array([name, *[(part + chunk) % copies[k] for k in bands]], pa.int64()),
                 "bucket": pa.array([-1, *[b for b, _, _ in rows]], pa.int64()),
-                "copy": pa.array([name, *[name % copies.get(b, 1) for b, _, _ in rows]], pa.int64()),
                 "chunk": pa.array([name] * (len(rows) + 1), pa.int64()),
                 "keys": pa.array([sink.getvalue().to_pybytes(), *[_pack_sorted(keys[a:z]) for _, a, z in rows]], pa.binary()),
-                "docs": pa.array([b"", *[_pack(docs[a:z]) for _, a, z in rows]], pa.binary()),
+                "data": pa.array([b"", *[_pack(docs[a:z]) for _, a, z in rows]], pa.binary()),
+                "tables_sum": none, "parent_sum": none,
                 "n_docs": pa.array([len(held)] * (len(rows) + 1), pa.int64()),
             })
 
@@ -306,7 +352,7 @@ def _token_blocks(buckets: int, copies: dict[int, int]):
                 ids.append(number)
                 out.append(outside)
                 size += len(held[-1])
-                if size >= CHUNK_TOKENS:
+                if size >= CHUNK_TOKENS or len(held) >= CHUNK_DOCS:
                     yield flush()
                     held, ids, out, size, chunk = [], [], [], 0, chunk + 1
         if held:
@@ -315,24 +361,24 @@ def _token_blocks(buckets: int, copies: dict[int, int]):
     return blocks
 
 
-SUMS = "chunk bigint, bucket bigint, about binary, score binary, base binary, known binary"
+def _band(bucket, buckets: int):
+    """The band of a bucket; of at most BANDS buckets each is one."""
+    return bucket * min(BANDS, buckets) // buckets
+
 
+SUMS = "chunk bigint, band bigint, about binary, score binary, base binary, known binary"
 
-def _bucket_sums(totals: dict, customers: np.ndarray, tables: np.ndarray, samples: int):
-    """Per chunk, each document's sums over a bucket's tokens."""
+
+def _band_sums(totals: dict, customers: np.ndarray, tables: np.ndarray, samples: int):
+    """Per chunk, each document's sums over a band's tokens. Rows arrive sorted by band, copy, bucket and chunk."""
     d = totals["discount"]
     stay = 1 / (STRENGTH + customers)
     back = (STRENGTH + d * tables) * stay
     below = totals["n_tokens"] + 0.1 * (totals["n_words"] + 1)
 
-    def sums(key: tuple, blocks: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
-        if not len(blocks):
-            return pd.DataFrame({x.split()[0]: [] for x in SUMS.split(", ")})
-        if key[0] == -1:
-            return pd.DataFrame({"chunk": blocks["chunk"], "bucket": -1, "about": blocks["keys"], "score": b"", "base": b"", "known": b""})
-        if len(state):
-            own = state.iloc[0]
-            keys, counts = _unpack_sorted(own["keys"]), _unpack(own["counts"], np.int64)
+    def scorer(own: dict | None):
+        if own:
+            keys, counts = _unpack_sorted(own["keys"]), _unpack(own["data"], np.int64)
             seats, parent = _unpack(own["tables_sum"], np.int64) / samples, _unpack(own["parent_sum"], np.int64) / samples
         else:
             keys, counts, seats, parent = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
@@ -343,30 +389,58 @@ def _bucket_sums(totals: dict, customers: np.ndarray, tables: np.ndarray, sample
         general = np.append(_parent(np.add.reduceat(seats, starts) if len(starts) else seats, parent, totals), _parent(np.zeros(1), np.zeros(1), totals))
         base = np.log10((np.append(of_word, 0) + 0.1) / below)
         special = np.append(counts - d * seats, 0.0)
-        out = []
-        for block in blocks.itertuples():
-            mine, docs = _unpack_sorted(block.keys), _unpack(block.docs, np.uint32).astype(np.int64)
+        keys_, words_ = np.append(keys, np.uint64(0)), np.append(words, np.uint64(0))
+
+        def sums(block: dict) -> list[np.ndarray]:
+            mine, docs = _unpack_sorted(block["keys"]), _unpack(block["data"], np.uint32).astype(np.int64)
             first = np.flatnonzero(np.append(True, mine[1:] != mine[:-1]))
             kinds = mine[first]
             times = np.diff(np.append(first, len(mine)))
             at = np.searchsorted(keys, kinds)
-            at[(at == len(keys)) | (np.append(keys, np.uint64(0))[at] != kinds)] = len(keys)
+            at[(at == len(keys)) | (keys_[at] != kinds)] = len(keys)
             word = kinds >> SHIFT
             of = np.searchsorted(words, word)
-            of[(of == len(words)) | (np.append(words, np.uint64(0))[of] != word)] = len(words)
+            of[(of == len(words)) | (words_[of] != word)] = len(words)
             context = (kinds & LOW).astype(np.int64)
             score = np.log10(special[at] * stay[context] + back[context] * general[of])
-            n = int(block.n_docs)
-            spread = [np.bincount(docs, np.repeat(x, times), n) for x in (score, base[of], (of < len(words)).astype(float))]
-            out.append((block.chunk, key[0], b"", *[x.tobytes() for x in spread]))
-        return pd.DataFrame(out, columns=["chunk", "bucket", "about", "score", "base", "known"])
+            return [np.bincount(docs, np.repeat(x, times), block["n_docs"]) for x in (score, base[of], (of < len(words)).astype(float))]
 
-    return sums
+        return sums
+
+    def answer(chunk: int, band: int, about: bytes, sums: list[bytes]) -> pa.RecordBatch:
+        values = [[chunk], [band], [about], *[[x] for x in sums]]
+        kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
+        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], [x.split()[0] for x in SUMS.split(", ")])
+
+    def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, bucket, sums = None, None, None
+        held: dict[int, list[np.ndarray]] = {}
+        for batch in batches:
+            for row in _rows(batch):
+                if row["band"] == -1:
+                    yield answer(row["chunk"], -1, row["keys"], [b""] * 3)
+                    continue
+                if (row["band"], row["copy"]) != place:
+                    yield from (answer(chunk, place[0], b"", [x.tobytes() for x in own]) for chunk, own in held.items())
+                    place, bucket, held = (row["band"], row["copy"]), None, {}
+                if row["bucket"] != bucket:
+                    bucket, sums = row["bucket"], scorer(row if row["chunk"] == -1 else None)
+                if row["chunk"] == -1:
+                    continue
+                more = sums(row)
+                if row["chunk"] in held:
+                    for mine, x in zip(held[row["chunk"]], more):
+                        mine += x
+                else:
+                    held[row["chunk"]] = more
+        yield from (answer(chunk, place[0], b"", [x.tobytes() for x in own]) for chunk, own in held.items())
+
+    return answers
 
 
 def _documents(rows: pd.DataFrame) -> pd.DataFrame:
-    """A chunk's documents with the sums of all buckets, added in the order of the buckets."""
-    rows = rows.sort_values("bucket")
+    """A chunk's documents with the sums of all bands, added in the order of the bands."""
+    rows = rows.sort_values("band")
     out = pa.ipc.open_stream(rows["about"].iloc[0]).read_pandas()
     for name in ("score", "base", "known"):
         out[name] = sum((np.frombuffer(x, np.float64) for x in rows[name].iloc[1:]), np.zeros(len(out)))
@@ -380,16 +454,21 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     """
     modest_batches(docs.sparkSession)
     rows = docs.select(quoted(id_col).cast("long").alias("id"), (fold(id_col, folds) == 0).alias("out"), quoted(text_col).alias("text"))
-    hot = model.state.where(F.col("n_tokens") > HOT_TOKENS).select("bucket", F.ceil(F.col("n_tokens") / HOT_TOKENS).alias("copies"))
-    copies = {r.bucket: r.copies for r in hot.collect()}  # fewer than one per HOT_TOKENS tokens
+    band = F.expr(f"bucket * {min(BANDS, model.buckets)} div {model.buckets}")
+    tokens = {r.band: r.n for r in model.state.groupBy(band.alias("band")).agg(F.sum("n_tokens").alias("n")).collect()}  # at most BANDS rows
+    least = max(1, -(-docs.count() // HOT_DOCS))
+    copies = [max(least, -(-tokens.get(k, 0) // HOT_TOKENS)) for k in range(min(BANDS, model.buckets))]
     blocks = rows.mapInArrow(_token_blocks(model.buckets, copies), PARTS)
-    number = F.greatest(F.lit(1), F.ceil(F.col("n_tokens") / HOT_TOKENS))
-    state = model.state.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), (number - 1).cast("long")))).select("bucket", "copy", "keys", "counts", "tables_sum", "parent_sum")
-    sums = blocks.groupBy("bucket", "copy").cogroup(state.groupBy("bucket", "copy")).applyInPandas(
-        _bucket_sums(model.totals, model.customers, model.tables, model.samples), SUMS
+    copy = F.explode(F.sequence(F.lit(0).cast("long"), F.element_at(F.array(*map(F.lit, copies)), (band + 1).cast("int")).cast("long") - 1))
+    state = model.state.select(
+        band.alias("band"), copy.alias("copy"), "bucket", F.lit(-1).cast("long").alias("chunk"), "keys", F.col("counts").alias("data"), "tables_sum", "parent_sum", F.lit(0).cast("long").alias("n_docs")
     )
+    dealt = blocks.unionByName(state).repartition("band", "copy").sortWithinPartitions("band", "copy", "bucket", "chunk")
+    sums = dealt.mapInArrow(_band_sums(model.totals, model.customers, model.tables, model.samples), SUMS)
+    with _bounded_batches(docs.sparkSession):
+        sums = saved(sums, "document-sums")
     return (
-        saved(sums, "document-sums").groupBy("chunk").applyInPandas(_documents, "id bigint, held_out boolean, n_tokens bigint, score double, base double, known double")
+        sums.groupBy("chunk").applyInPandas(_documents, "id bigint, held_out boolean, n_tokens bigint, score double, base double, known double")
         .select("id", "held_out", "n_tokens", F.round("known").cast("long").alias("n_known"), F.col("base").alias("base_score"), "score")
     )
 

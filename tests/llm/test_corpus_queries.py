@@ -377,6 +377,45 @@ def _chain(model, word):
     return (special + (pitman_yor.STRENGTH + d * model.tables[at]) * general) / (pitman_yor.STRENGTH + model.customers[at])
 
 
+def _log_probability(model, state, text):
+    """The log10 probability of a text, key by key from the model's table."""
+    return sum(math.log10(_of_key(model, state, int(key))) for key in pitman_yor.token_keys(text))
+
+
+def _of_key(model, state, key):
+    at = key & int(pitman_yor.LOW)
+    totals, d = model.totals, model.totals["discount"]
+    customers = tables = special = 0.0
+    for keys, counts, seats, parent, number in state:
+        mine = keys >> pitman_yor.SHIFT == key >> int(pitman_yor.SHIFT)
+        if mine.any():
+            customers, tables = seats[mine].sum(), parent[number[mine][0]]
+            special = float((counts - d * seats)[keys == key].sum())
+    general = pitman_yor._parent(np.array([customers]), np.array([tables]), totals)[0]
+    return (special + (pitman_yor.STRENGTH + d * model.tables[at]) * general) / (pitman_yor.STRENGTH + model.customers[at])
+
+
+def test_many_buckets_and_chunks_of_a_language_model(spark, rows, monkeypatch):
+    """Blocks of many chunks are merged in one round; a chunk is answered once per band, however many buckets there are."""
+    docs = spark.createDataFrame([(r[0], r[1]) for r in rows[:60]] + [(60, None), (61, ""), (61, "")], "doc_id bigint, text string").repartition(20)
+    tables = []
+    monkeypatch.setattr(pitman_yor, "FAN_IN", 8)
+    monkeypatch.setattr(pitman_yor, "saved", lambda df, name, f=pitman_yor.saved: tables.append((name, f(df, name))) or tables[-1][1])
+    model = pitman_yor.train(docs, 80)
+    assert [name for name, _ in tables].count("ngram-blocks") == 2
+    got = pitman_yor.score(docs, model).collect()
+    most = tables[-1][1].groupBy("chunk").count().agg({"count": "max"}).first()[0]
+    assert tables[-1][0] == "document-sums" and most <= 1 + pitman_yor.BANDS
+    state = []
+    for r in model.state.collect():
+        keys = pitman_yor._unpack_sorted(r.keys)
+        seats, parent = (pitman_yor._unpack(x, np.int64) / model.samples for x in (r.tables_sum, r.parent_sum))
+        state.append((keys, pitman_yor._unpack(r.counts, np.int64), seats, parent, pitman_yor._words(keys)[1]))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert sorted(r.id for r in got) == sorted([*texts, 61])
+    assert all(math.isclose(r.score, _log_probability(model, state, texts[r.id]), rel_tol=1e-9) for r in got if r.id % 7 == 5 or r.id >= 60)
+
+
 def test_seating_follows_the_restaurant():
     rng = np.random.default_rng(0)
     tables = pitman_yor.seat(np.full(4000, 3), np.full(4000, 0.5), 0.4, rng)
