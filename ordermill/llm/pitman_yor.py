@@ -18,7 +18,6 @@ chunk once, so answers grow with the documents alone. Bands with many tokens are
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
@@ -26,10 +25,11 @@ import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm.common import fold, forget, lower_words, modest_batches, quoted, saved, word_hashes
+from ordermill.session import bounded_batches
 
 #: Restaurants that contexts are hashed to; 16 bits beside 48 bits of the word in a key.
 CONTEXTS = 1 << 16
@@ -40,7 +40,6 @@ STRENGTH, PARENT_STRENGTH = 1.0, 1.0
 BUCKET_BYTES, CHUNK_TOKENS, LEAST_BUCKETS, FAN_IN = 24_000_000, 3_000_000, 16, 64
 #: Entries merged at once beside those that are merged already, documents of a chunk.
 MERGED_AT_ONCE, CHUNK_DOCS = 2_000_000, 50_000
-BATCH_BYTES = "8m"
 #: Bands of buckets; training tokens and documents from which a band is copied for scoring.
 BANDS, HOT_TOKENS, HOT_DOCS = 16, 64_000_000, 2_000_000
 END, START = np.uint64(0x5AFE_E4D0_F7E8_7001), np.uint64(0x0B57_A127_0F7E_8702)
@@ -139,18 +138,6 @@ def _merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"bucket": [key[0]], "chunk": [key[1]], "keys": [_pack_sorted(keys)], "counts": [_pack(counts)]})
 
 
-@contextmanager
-def _bounded_batches(spark: SparkSession) -> Iterator[None]:
-    """For tables whose rows may have megabytes: an Arrow batch ends by its bytes."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, BATCH_BYTES)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
     """Row by row: a batch of states or blocks is not copied as a whole."""
     return (batch.slice(k, 1).to_pylist()[0] for k in range(batch.num_rows))
@@ -275,7 +262,7 @@ class Model:
 def train(texts: DataFrame, buckets: int, *, sweeps: int = SWEEPS) -> Model:
     """The model of the column ``text``; no text at all gives a model that knows no word."""
     modest_batches(texts.sparkSession)
-    with _bounded_batches(texts.sparkSession):
+    with bounded_batches(texts.sparkSession):
         return _trained(texts, buckets, sweeps)
 
 
@@ -465,7 +452,7 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     )
     dealt = blocks.unionByName(state).repartition("band", "copy").sortWithinPartitions("band", "copy", "bucket", "chunk")
     sums = dealt.mapInArrow(_band_sums(model.totals, model.customers, model.tables, model.samples), SUMS)
-    with _bounded_batches(docs.sparkSession):
+    with bounded_batches(docs.sparkSession):
         sums = saved(sums, "document-sums")
     return (
         sums.groupBy("chunk").applyInPandas(_documents, "id bigint, held_out boolean, n_tokens bigint, score double, base double, known double")
