@@ -130,6 +130,27 @@ def test_lines_are_not_shuffled_for_large_orders(spark):
     assert joins and all("BroadcastHashJoin" in line for line in joins), joins
 
 
+def test_kept_rows_are_blocked_by_hundreds(spark):
+    """Memory for kept rows is asked for every 16 blocks: a block of wide rows must be small. A session's smaller blocks stay."""
+    from ordermill.session import TASK_SIZES
+
+    before = {k: spark.conf.get(k, None) for k in TASK_SIZES}
+    key = "spark.sql.inMemoryColumnarStorage.batchSize"
+    try:
+        entry_module.queries()["retention_kept"](spark, SMALL)
+        kept = spark.range(0, 5000, 1, 1).selectExpr("id", "'kept in blocks' as text").persist()
+        assert kept.count() == 5000
+        found = spark._jsparkSession.sharedState().cacheManager().lookupCachedData(kept._jdf)
+        assert found.get().cachedRepresentation().cacheBuilder().cachedColumnBuffers().count() >= 10
+        kept.unpersist()
+        spark.conf.set(key, "70")
+        entry_module.queries()["retention_kept"](spark, SMALL)
+        assert spark.conf.get(key) == "70"
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def test_letters_draw_on_messages_that_were_parsed_once(spark):
     """Both topics read the refused messages as they are kept; neither builds the messages again."""
     letters = entry_module.queries()["ingest_letters"](spark, SMALL)
